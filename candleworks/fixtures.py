@@ -189,3 +189,31 @@ def stored_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _slug(s: str) -> str:
     return "".join(ch if ch.isalnum() else "_" for ch in s.strip("/"))[-60:]
+
+
+# ---- dimensions built from the screener -------------------------------------------
+
+def screener_dims(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    from candleworks.operators import dimensions as dm
+    s = dm.clean_screener(screener(spark, sf_dir))
+    return {col: dm.load_dimension(s, col, dim) for col, dim in dm.SCREENER_DIMS.items()}
+
+
+def symbol_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """stock_symbol_DIM as the initial load produces it."""
+    from candleworks.operators import dimensions as dm
+    d = screener_dims(spark, sf_dir)
+    return dm.stock_symbols(dm.clean_screener(screener(spark, sf_dir)),
+                            d["Country"], d["Sector"], d["Industry"])
+
+
+def screener_files(spark: SparkSession, sf_dir: str, base: str) -> str:
+    """Land the screener as three CSV objects (one per exchange), nulls as ``NA``."""
+    from candleworks.sinks import landing
+    from candleworks.sources.screener import SCREENER_FILES
+    names = spark.createDataFrame([(e, n) for n, e in SCREENER_FILES], "exchange smallint, object string")
+    rows = screener(spark, sf_dir).join(F.broadcast(names), "exchange", "inner").drop("exchange")
+    landing.write_screener_csv(rows.withColumn("IPO Year", F.lit(None).cast("string"))
+                               .select("Symbol", "Name", "Country", "IPO Year", "Sector", "Industry",
+                                       "object"), base)
+    return base

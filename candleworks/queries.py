@@ -16,7 +16,11 @@ from pyspark.sql import functions as F
 
 from candleworks import fixtures as fx
 from candleworks import session as _session
-from candleworks.fixtures import CANDLES_SQL
+from candleworks.fixtures import CANDLES_SQL, SCREENER_SQL
+from candleworks.functions import uuid_key_sql
+from candleworks.operators import candles as cd
+from candleworks.operators import dimensions as dm
+from candleworks.sources.screener import read_screeners
 from candleworks.functions import times
 from candleworks.operators import bars, indicators
 
@@ -205,6 +209,201 @@ def avg_volume(spark, sf_dir):
         "stock_symbol", d2s("date").alias("date"), r6("sliding_avg").alias("sliding_avg"))
 
 
+# =============================== dimensions ===============================
+
+def _dim_sql(table: str, name: str, column: str) -> str:
+    return f"""WITH {SCREENER_SQL},
+cur AS (SELECT DISTINCT coalesce({column}, 'unpredict') AS {name} FROM screener WHERE exchange = 1),
+inc AS (SELECT DISTINCT coalesce({column}, 'unpredict') AS {name} FROM screener WHERE exchange <> 1)
+SELECT {uuid_key_sql(table, name)} AS {name.replace('_name', '') + '_id' if name != 'sector' else 'sector_id'}, {name}
+FROM inc WHERE NOT EXISTS (SELECT 1 FROM cur WHERE cur.{name} = inc.{name})"""
+
+
+def _dim_query(column: str):
+    def run(spark, sf_dir):
+        s = dm.clean_screener(fx.screener(spark, sf_dir))
+        dim = dm.SCREENER_DIMS[column]
+        current = dm.load_dimension(s.where(F.col("exchange") == 1), column, dim)
+        return dm.load_dimension(s.where(F.col("exchange") != 1), column, dim, current=current)
+    return run
+
+
+for _col, _dim in (("Country", dm.COUNTRY), ("Sector", dm.SECTOR), ("Industry", dm.INDUSTRY)):
+    query("dim_" + _col.lower(), _dim_sql(_dim.table, _dim.name_col, _col))(_dim_query(_col))
+
+
+@query("exchange_seed", """SELECT exchange_id, exchange_name FROM
+  (SELECT CAST(n_nationkey + 1 AS SMALLINT) AS exchange_id, n_name AS exchange_name FROM nation)
+WHERE exchange_id >= 4
+UNION ALL SELECT * FROM (VALUES (1, 'nasdaq'), (2, 'nyse'), (3, 'amex')) v(exchange_id, exchange_name)""")
+def exchange_seed(spark, sf_dir):
+    """Reseed the exchange dimension (delete ids < 4, insert the fixed three)."""
+    return dm.reseed_exchanges(fx.current_exchange_dim(spark, sf_dir))
+
+
+STOCK_SYMBOL_SQL = f"""WITH {SCREENER_SQL}
+SELECT Symbol AS stock_symbol, Name AS stock_symbol_name,
+       {uuid_key_sql('country_DIM', "coalesce(Country, 'unpredict')")} AS country_id,
+       {uuid_key_sql('sector_DIM', "coalesce(Sector, 'unpredict')")} AS sector_id,
+       {uuid_key_sql('industry_DIM', "coalesce(Industry, 'unpredict')")} AS industry_id,
+       exchange
+FROM screener"""
+
+
+@query("stock_symbol_dim", STOCK_SYMBOL_SQL)
+def stock_symbol_dim(spark, sf_dir):
+    """Symbols with their country/sector/industry ids."""
+    return fx.symbol_dim(spark, sf_dir)
+
+
+@query("na_words_to_null", f"""WITH {SCREENER_SQL}
+SELECT Symbol, Name, Country, Sector, Industry, exchange FROM screener""")
+def na_words_to_null(spark, sf_dir):
+    """Screener CSVs (nulls landed as the word NA) read in one scan,
+    exchange id from the file name, missing-value words -> null."""
+    base = _session.scratch_path(spark, "screener", unique=True)
+    fx.screener_files(spark, sf_dir, base)
+    return read_screeners(spark, base)
+
+
+# =============================== candle loads ===============================
+
+_DIM_SYMBOLS_SQL = "dim AS (SELECT DISTINCT Symbol AS stock_symbol FROM screener)"
+_DAY_SQL = """dd AS (SELECT max(trade_date) AS d FROM candles),
+today AS (SELECT * FROM candles WHERE trade_date = (SELECT d FROM dd))"""
+
+
+@query("candles_right_join_dim", f"""WITH {CANDLES_SQL}, {SCREENER_SQL}, {_DIM_SYMBOLS_SQL}, {_DAY_SQL}
+SELECT dim.stock_symbol, today.o, today.h, today.l, today.c, today.v, today.trans,
+       round(today.vwap, 6) AS vwap
+FROM dim LEFT JOIN today ON today.stock_symbol = dim.stock_symbol""")
+def candles_right_join_dim(spark, sf_dir):
+    """The newest day's bars against every symbol of the dimension."""
+    bars_ = _candles(spark, sf_dir)
+    day = bars_.where(F.col("trade_date") == indicators._max_date(bars_))
+    return cd.right_join_dim(day, fx.symbol_dim(spark, sf_dir)).select(
+        "stock_symbol", "o", "h", "l", "c", "v", "trans", r6("vwap").alias("vwap"))
+
+
+@query("untraded_symbols", f"""WITH {CANDLES_SQL}, {SCREENER_SQL}, {_DIM_SYMBOLS_SQL}, {_DAY_SQL}
+SELECT dim.stock_symbol FROM dim LEFT JOIN today ON today.stock_symbol = dim.stock_symbol
+WHERE today.stock_symbol IS NULL""")
+def untraded_symbols(spark, sf_dir):
+    """Symbols of the dimension without a bar on the newest day."""
+    bars_ = _candles(spark, sf_dir)
+    day = bars_.where(F.col("trade_date") == indicators._max_date(bars_))
+    return cd.untraded(day, fx.symbol_dim(spark, sf_dir))
+
+
+def _fact_out(df: DataFrame) -> DataFrame:
+    return df.select("stock_symbol", "o", "h", "c", "l", F.col("v").cast("long").alias("v"),
+                     F.col("Trans").cast("long").alias("Trans"), "t", r6("vwap").alias("vwap"),
+                     d2s("trade_date").alias("trade_date"))
+
+
+_FACT_OUT_SQL = """stock_symbol, o, h, c, l, CAST(v AS BIGINT) AS v, CAST(Trans AS BIGINT) AS Trans, t,
+       round(vwap, 6) AS vwap, CAST(trade_date AS VARCHAR) AS trade_date"""
+
+
+@query("carry_forward_last_day", f"""WITH {CANDLES_SQL}, {SCREENER_SQL}, {_DIM_SYMBOLS_SQL}, {_DAY_SQL},
+nd AS (SELECT max(trade_date) AS d FROM candles WHERE trade_date < (SELECT d FROM dd)),
+nearest AS (SELECT * FROM candles WHERE trade_date = (SELECT d FROM nd)),
+rows AS (
+  SELECT stock_symbol, o, h, c, l, v, trans AS Trans, t, vwap, trade_date FROM today
+  WHERE stock_symbol IN (SELECT stock_symbol FROM dim)
+  UNION ALL
+  SELECT dim.stock_symbol, n.c, n.c, n.c, n.c, 0, 0, (SELECT min(t) FROM today), n.vwap, (SELECT d FROM dd)
+  FROM dim JOIN nearest n ON n.stock_symbol = dim.stock_symbol
+  WHERE dim.stock_symbol NOT IN (SELECT stock_symbol FROM today))
+SELECT {_FACT_OUT_SQL} FROM rows""")
+def carry_forward_last_day(spark, sf_dir):
+    """Load the newest day; untraded symbols repeat their close
+    of the nearest earlier date in history (the reference's daily step)."""
+    bars_ = _candles(spark, sf_dir)
+    return _fact_out(cd.load_latest_day(bars_, fx.symbol_dim(spark, sf_dir), bars_))
+
+
+CARRY_FORWARD_SQL = f"""WITH {CANDLES_SQL}, {SCREENER_SQL}, {_DIM_SYMBOLS_SQL},
+known AS (SELECT * FROM candles WHERE stock_symbol IN (SELECT stock_symbol FROM dim)),
+days AS (SELECT trade_date, min(t) AS day_t FROM candles GROUP BY trade_date),
+firsts AS (SELECT stock_symbol, min(trade_date) AS first_date FROM known GROUP BY stock_symbol),
+gaps AS (SELECT f.stock_symbol, d.trade_date, d.day_t FROM firsts f JOIN days d ON d.trade_date > f.first_date
+         WHERE NOT EXISTS (SELECT 1 FROM known k WHERE k.stock_symbol = f.stock_symbol AND k.trade_date = d.trade_date)),
+prior AS (SELECT g.stock_symbol, g.trade_date, g.day_t, k.c, k.vwap,
+                 row_number() OVER (PARTITION BY g.stock_symbol, g.trade_date ORDER BY k.trade_date DESC) AS rn
+          FROM gaps g JOIN known k ON k.stock_symbol = g.stock_symbol AND k.trade_date < g.trade_date),
+rows AS (
+  SELECT stock_symbol, o, h, c, l, v, trans AS Trans, t, vwap, trade_date FROM known
+  UNION ALL
+  SELECT stock_symbol, c, c, c, c, 0, 0, day_t, vwap, trade_date FROM prior WHERE rn = 1)
+SELECT {_FACT_OUT_SQL} FROM rows"""
+
+
+@query("carry_forward_history", CARRY_FORWARD_SQL)
+def carry_forward_history(spark, sf_dir):
+    """The whole fact with every gap filled (backfill == day-by-day loads)."""
+    return _fact_out(cd.carry_forward(_candles(spark, sf_dir), fx.symbol_dim(spark, sf_dir)))
+
+
+@query("load_candles", f"""WITH {CANDLES_SQL}, {SCREENER_SQL}, {_DIM_SYMBOLS_SQL}, {_DAY_SQL},
+known AS (SELECT * FROM candles WHERE stock_symbol IN (SELECT stock_symbol FROM dim)),
+last_before AS (SELECT * FROM known WHERE trade_date < (SELECT d FROM dd)
+                QUALIFY row_number() OVER (PARTITION BY stock_symbol ORDER BY trade_date DESC) = 1),
+rows AS (
+  SELECT stock_symbol, o, h, c, l, v, trans AS Trans, t, vwap, trade_date FROM today
+  WHERE stock_symbol IN (SELECT stock_symbol FROM dim)
+  UNION ALL
+  SELECT lb.stock_symbol, lb.c, lb.c, lb.c, lb.c, 0, 0, (SELECT min(t) FROM today), lb.vwap, (SELECT d FROM dd)
+  FROM last_before lb WHERE lb.stock_symbol NOT IN (SELECT stock_symbol FROM today))
+SELECT {_FACT_OUT_SQL} FROM rows""")
+def load_candles(spark, sf_dir):
+    """M4: load the newest day on top of the fact the earlier days' loads left
+    (which carries every known symbol forward, so the fill is the last close)."""
+    bars_ = _candles(spark, sf_dir)
+    dim = fx.symbol_dim(spark, sf_dir)
+    d = indicators._max_date(bars_)
+    history = cd.carry_forward(bars_.where(F.col("trade_date") < d), dim)
+    return _fact_out(cd.load_latest_day(bars_, dim, history))
+
+
+@query("unknown_tickers", f"""WITH {CANDLES_SQL}, {SCREENER_SQL}, {_DIM_SYMBOLS_SQL}
+SELECT stock_symbol, CAST(trade_date AS VARCHAR) AS trade_date, o, h, l, c, v, trans, t
+FROM candles WHERE stock_symbol NOT IN (SELECT stock_symbol FROM dim)""")
+def unknown_tickers(spark, sf_dir):
+    """Bars of tickers missing from the dimension (quarantine)."""
+    return cd.unknown_tickers(_candles(spark, sf_dir), fx.symbol_dim(spark, sf_dir)).select(
+        "stock_symbol", d2s("trade_date").alias("trade_date"), "o", "h", "l", "c", "v", "trans", "t")
+
+
+@query("load_guard_new_dates", f"""WITH {CANDLES_SQL},
+loaded AS (SELECT * FROM candles WHERE trade_date <= DATE '{fx.LOADED_THROUGH}'),
+incoming AS (SELECT * FROM candles WHERE trade_date >= DATE '{fx.INCOMING_FROM}')
+SELECT stock_symbol, CAST(trade_date AS VARCHAR) AS trade_date, c FROM incoming
+WHERE trade_date NOT IN (SELECT trade_date FROM loaded)""")
+def load_guard_new_dates(spark, sf_dir):
+    """A re-delivered drop keeps only the dates not loaded yet."""
+    bars_ = _candles(spark, sf_dir)
+    loaded = bars_.where(F.col("trade_date") <= F.lit(fx.LOADED_THROUGH))
+    incoming = bars_.where(F.col("trade_date") >= F.lit(fx.INCOMING_FROM))
+    return cd.new_dates_only(incoming, loaded).select(
+        "stock_symbol", d2s("trade_date").alias("trade_date"), "c")
+
+
+@query("epoch_text_to_date", f"""WITH {CANDLES_SQL}
+SELECT stock_symbol, t, left(t, 10) AS t_seconds, TRY_CAST(t AS BIGINT) AS t_millis,
+       CAST(DATE '1970-01-01' + CAST(floor(TRY_CAST(left(t, 10) AS BIGINT) / 86400) AS INTEGER) AS VARCHAR) AS date_from_seconds,
+       CAST(DATE '1970-01-01' + CAST(floor(TRY_CAST(t AS BIGINT) / 86400000) AS INTEGER) AS VARCHAR) AS date_from_millis
+FROM candles""")
+def epoch_text_to_date(spark, sf_dir):
+    """Epoch-ms text -> seconds text -> number -> date, both ways."""
+    c = _candles(spark, sf_dir)
+    return c.select("stock_symbol", "t",
+                    times.epoch_seconds_text("t").alias("t_seconds"),
+                    times.text_to_long("t").alias("t_millis"),
+                    d2s(times.date_from_epoch_seconds_text("t")).alias("date_from_seconds"),
+                    d2s(times.date_from_epoch_millis_text("t")).alias("date_from_millis"))
+
+
 def queries() -> dict[str, QueryFn]:
     return {k: fn for k, (fn, _) in REGISTRY.items()}
 
