@@ -102,7 +102,7 @@ def current_exchange_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- news ------------------------------------------------------------------------
 
-def news_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+def news_flat(spark: SparkSession, sf_dir: str, numbered: bool = True) -> DataFrame:
     """News items without arrays, numbered 0..n-1 within each file day."""
     o = table(spark, sf_dir, "orders")
     flat = o.select(
@@ -114,6 +114,8 @@ def news_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderpriority").alias("source"),
         F.concat(F.lower("o_orderpriority"), F.lit(".example.com")).alias("source_domain"),
         (F.col("o_totalprice") / 1000000).alias("overall_sentiment_score"))
+    if not numbered:
+        return flat
     return numbering.number_within(flat, ["file_date"], ["o_orderkey"], "in_date_id")
 
 
@@ -217,3 +219,35 @@ def screener_files(spark: SparkSession, sf_dir: str, base: str) -> str:
                                .select("Symbol", "Name", "Country", "IPO Year", "Sector", "Industry",
                                        "object"), base)
     return base
+
+
+# ---- landing drops written once per application ------------------------------------
+
+def _once(spark: SparkSession, sf_dir: str, name: str, write) -> str:
+    key = (spark.sparkContext.applicationId, sf_dir + "#" + name)
+    path = _BUILT.get(key)
+    if path is None:
+        path = _session.scratch_path(spark, "fixture-landing", spark.sparkContext.applicationId,
+                                     _slug(sf_dir), name)
+        if not _session.path_exists(spark, path + "/_SUCCESS"):
+            tmp = path + ".tmp"
+            write(tmp)
+            _session.rename_path(spark, tmp, path)
+        _BUILT[key] = path
+    return path
+
+
+def candle_landing(spark: SparkSession, sf_dir: str) -> str:
+    """``OHCL_<day>.json`` objects, one per trading day, as the vendor step lands them."""
+    from candleworks.sinks import landing
+    rows = bars.to_landing_rows(candles(spark, sf_dir))
+    return _once(spark, sf_dir, "polygon",
+                 lambda p: landing.write_daily_json(rows, p, "OHCL", "trade_date"))
+
+
+def news_landing(spark: SparkSession, sf_dir: str) -> str:
+    """``news_<day>.json`` objects, one per file day."""
+    from candleworks.sinks import landing
+    rows = news(spark, sf_dir).drop("o_orderkey")
+    return _once(spark, sf_dir, "news-data",
+                 lambda p: landing.write_daily_json(rows, p, "news", "file_date"))

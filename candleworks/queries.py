@@ -16,7 +16,11 @@ from pyspark.sql import functions as F
 
 from candleworks import fixtures as fx
 from candleworks import session as _session
-from candleworks.fixtures import CANDLES_SQL, SCREENER_SQL
+from candleworks import schemas
+from candleworks.fixtures import CANDLES_SQL, ITEMS_SQL, NEWS_SQL, SCREENER_SQL
+from candleworks.operators import news as ns
+from candleworks.sinks import landing as landing_sink
+from candleworks.sources import landing as landing_src
 from candleworks.functions import uuid_key_sql
 from candleworks.operators import candles as cd
 from candleworks.operators import dimensions as dm
@@ -404,6 +408,225 @@ def epoch_text_to_date(spark, sf_dir):
                     d2s(times.date_from_epoch_millis_text("t")).alias("date_from_millis"))
 
 
+# =============================== news ===============================
+
+_SRC_KEY_SQL = uuid_key_sql("source_DIM", "source_name || '|' || coalesce(source_domain, '')")
+_TOPIC_KEY_SQL = uuid_key_sql("topic_DIM", "topic")
+_SRC_SQL = f"""src AS (SELECT source AS source_name, min(source_domain) AS source_domain FROM news GROUP BY source),
+src_dim AS (SELECT {_SRC_KEY_SQL} AS source_id, source_name, source_domain FROM src)"""
+_LINES_SQL = "lines AS (SELECT i.* FROM items i WHERE i.l_orderkey IN (SELECT o_orderkey FROM orders))"
+
+
+def _news_flat(spark, sf_dir, numbered=True):
+    return fx.news_flat(spark, sf_dir, numbered=numbered)
+
+
+@query("new_sources", f"""WITH {NEWS_SQL}, {_SRC_SQL}
+SELECT source_id, source_name, source_domain FROM src_dim
+WHERE source_name NOT IN (SELECT source_name FROM src_dim WHERE source_name < '{fx.CURRENT_SOURCES_BELOW}')""")
+def new_sources(spark, sf_dir):
+    """Sources of the feed not in source_DIM yet (anti join on the name)."""
+    flat = _news_flat(spark, sf_dir, numbered=False)
+    current = ns.sources(flat).where(F.col("source_name") < fx.CURRENT_SOURCES_BELOW)
+    return ns.new_sources(flat, current)
+
+
+@query("new_topics", f"""WITH {ITEMS_SQL}, {_LINES_SQL}
+SELECT DISTINCT {_TOPIC_KEY_SQL} AS topic_id, topic AS topic_name FROM lines
+WHERE topic IS NOT NULL AND topic NOT IN (SELECT DISTINCT topic FROM lines WHERE topic < '{fx.CURRENT_TOPICS_BELOW}')""")
+def new_topics(spark, sf_dir):
+    """Topics exploded from the nested arrays, distinct, not yet known."""
+    n = fx.news(spark, sf_dir)
+    current = ns.topics(n).where(F.col("topic_name") < fx.CURRENT_TOPICS_BELOW)
+    return ns.new_topics(n, current)
+
+
+@query("news_numbered", f"""WITH {NEWS_SQL}
+SELECT CAST(file_date AS VARCHAR) AS file_date, in_date_id, title, url FROM news""")
+def news_numbered(spark, sf_dir):
+    """Items numbered 0..n-1 within their file day, in a declared total order."""
+    return _news_flat(spark, sf_dir).select(d2s("file_date").alias("file_date"), "in_date_id", "title", "url")
+
+
+@query("news_day_slice", f"""WITH {NEWS_SQL}
+SELECT CAST(file_date + 2 AS VARCHAR) AS run_date, CAST(file_date AS VARCHAR) AS extract_day,
+       strftime(file_date, '%Y%m%d') || 'T0000' AS time_from, strftime(file_date, '%Y%m%d') || 'T2359' AS time_to,
+       title, url
+FROM news QUALIFY row_number() OVER (PARTITION BY file_date ORDER BY time_published, url) <= 1000""")
+def news_day_slice(spark, sf_dir):
+    """Each run's extraction window (published on run date - 2) with the
+    vendor's cap of 1,000 items per request."""
+    sl = ns.day_slice(_news_flat(spark, sf_dir, numbered=False), limit=1000, lag_days=2)
+    return sl.select(d2s("run_date").alias("run_date"), d2s("extract_day").alias("extract_day"),
+                     "time_from", "time_to", "title", "url")
+
+
+@query("news_publish_date", f"""WITH {NEWS_SQL}
+SELECT title, time_published,
+       CAST(CAST(strptime(left(time_published, 8), '%Y%m%d') AS DATE) AS VARCHAR) AS time_publish_id,
+       CAST(file_date + 2 AS VARCHAR) AS insert_date,
+       CAST(file_date - 2 AS VARCHAR) AS lag_date,
+       strftime(file_date, '%Y%m%d') || 'T0000' AS time_from,
+       'news_' || CAST(file_date AS VARCHAR) || '.json' AS object,
+       CAST(CAST(substr('news_' || CAST(file_date AS VARCHAR) || '.json', 6, 10) AS DATE) AS VARCHAR) AS object_date
+FROM news""")
+def news_publish_date(spark, sf_dir):
+    """Publish text -> date, insert date = file date + 2, lag, vendor
+    time_from text, object name and the date read back out of it."""
+    f = _news_flat(spark, sf_dir, numbered=False)
+    obj = times.object_name("news", "file_date")
+    return f.select("title", "time_published",
+                    d2s(times.publish_date("time_published")).alias("time_publish_id"),
+                    d2s(ns.insert_date("file_date")).alias("insert_date"),
+                    d2s(F.date_sub("file_date", 2)).alias("lag_date"),
+                    times.compact_day_text("file_date", "T0000").alias("time_from"),
+                    obj.alias("object"),
+                    d2s(times.object_date(obj)).alias("object_date"))
+
+
+NEWS_DIM_SQL = f"""WITH {NEWS_SQL}, {_SRC_SQL}
+SELECT CAST(n.file_date + 2 AS VARCHAR) AS insert_date, n.in_date_id, n.title, n.url,
+       CAST(CAST(strptime(left(n.time_published, 8), '%Y%m%d') AS DATE) AS VARCHAR) AS time_publish_id,
+       s.source_id, round(n.overall_sentiment_score, 6) AS overall_sentiment_score
+FROM news n LEFT JOIN src_dim s ON n.source = s.source_name"""
+
+
+def _news_dim_out(df):
+    return df.select(d2s("insert_date").alias("insert_date"), "in_date_id", "title", "url",
+                     d2s("time_publish_id").alias("time_publish_id"), "source_id",
+                     r6("overall_sentiment_score").alias("overall_sentiment_score"))
+
+
+@query("news_dim", NEWS_DIM_SQL)
+def news_dim(spark, sf_dir):
+    """news_DIM rows with the source id looked up by name."""
+    flat = _news_flat(spark, sf_dir)
+    return _news_dim_out(ns.news_rows(flat, ns.sources(flat)))
+
+
+@query("source_fanout", f"""WITH {NEWS_SQL},
+fan AS (SELECT DISTINCT o_orderpriority AS source_name, o_orderstatus AS source_domain FROM orders)
+SELECT CAST(n.file_date + 2 AS VARCHAR) AS insert_date, n.in_date_id, n.title,
+       {uuid_key_sql("source_DIM", "fan.source_name || '|' || coalesce(fan.source_domain, '')")} AS source_id
+FROM news n LEFT JOIN fan ON n.source = fan.source_name""")
+def source_fanout(spark, sf_dir):
+    """T5: deduplicating sources on (name, domain) but looking them up by name
+    multiplies a news item by the number of domains of its source."""
+    flat = _news_flat(spark, sf_dir)
+    orders = fx.table(spark, sf_dir, "orders").select(
+        F.col("o_orderpriority").alias("source"), F.col("o_orderstatus").alias("source_domain"))
+    fan = ns.sources(orders, one_per_name=False)
+    return ns.news_rows(flat, fan).select(d2s("insert_date").alias("insert_date"), "in_date_id",
+                                          "title", "source_id")
+
+
+TOPIC_FACT_SQL = f"""WITH {NEWS_SQL}, {ITEMS_SQL}
+SELECT CAST(n.file_date + 2 AS VARCHAR) AS insert_date, n.in_date_id, {_TOPIC_KEY_SQL} AS topic_id,
+       round(i.relevance, 6) AS sentiment_score
+FROM news n JOIN items i ON i.l_orderkey = n.o_orderkey"""
+
+
+def _fact_scores(df, key):
+    return df.select(d2s("insert_date").alias("insert_date"), "in_date_id", key,
+                     r6("sentiment_score").alias("sentiment_score"))
+
+
+@query("topic_sentiment_fact", TOPIC_FACT_SQL)
+def topic_sentiment_fact(spark, sf_dir):
+    """One fact per topic element; the score is the relevance."""
+    n = fx.news(spark, sf_dir)
+    return _fact_scores(ns.topic_facts(n, ns.topics(n)), "topic_id")
+
+
+STOCK_FACT_SQL = f"""WITH {NEWS_SQL}, {ITEMS_SQL}, {SCREENER_SQL}
+SELECT CAST(n.file_date + 2 AS VARCHAR) AS insert_date, n.in_date_id, i.ticker AS stock_symbol,
+       round(i.ticker_score, 6) AS sentiment_score
+FROM news n JOIN items i ON i.l_orderkey = n.o_orderkey
+WHERE i.ticker IN (SELECT Symbol FROM screener)"""
+
+
+@query("stock_sentiment_fact", STOCK_FACT_SQL)
+def stock_sentiment_fact(spark, sf_dir):
+    """One fact per ticker element of a known symbol."""
+    n = fx.news(spark, sf_dir)
+    return _fact_scores(ns.stock_facts(n, fx.symbol_dim(spark, sf_dir)), "stock_symbol")
+
+
+_ROUNDTRIP_SQL = f"""WITH {NEWS_SQL}, {ITEMS_SQL},
+agg AS (SELECT l_orderkey, count(*) AS n, sum(relevance) AS rs, sum(ticker_score) AS ts FROM items GROUP BY l_orderkey)
+SELECT n.in_date_id, n.title, n.url, n.time_published, n.source, n.source_domain,
+       round(n.overall_sentiment_score, 6) AS overall_sentiment_score,
+       agg.n AS n_topics, agg.n AS n_tickers, round(agg.rs, 6) AS relevance_sum, round(agg.ts, 6) AS ticker_score_sum
+FROM news n LEFT JOIN agg ON agg.l_orderkey = n.o_orderkey"""
+
+
+def _nested_summary(df):
+    def total(arr, field):
+        return F.aggregate(F.col(arr), F.lit(0.0).cast("double"),
+                           lambda acc, x: acc + x[field].try_cast("double"))
+    return df.select(
+        "in_date_id", "title", "url", "time_published", "source", "source_domain",
+        r6("overall_sentiment_score").alias("overall_sentiment_score"),
+        F.when(F.col("topics").isNotNull(), F.size("topics")).cast("long").alias("n_topics"),
+        F.when(F.col("ticker_sentiment").isNotNull(), F.size("ticker_sentiment")).cast("long").alias("n_tickers"),
+        r6(total("topics", "relevance_score")).alias("relevance_sum"),
+        r6(total("ticker_sentiment", "ticker_sentiment_score")).alias("ticker_score_sum"))
+
+
+@query("news_json_roundtrip", _ROUNDTRIP_SQL)
+def news_json_roundtrip(spark, sf_dir):
+    """News rows -> JSON text -> typed columns with the declared schema."""
+    n = fx.news(spark, sf_dir)
+    fields = [f.name for f in schemas.NEWS_RAW.fields]
+    text = n.select(F.to_json(F.struct(*fields)).alias("value"))
+    back = text.select(F.from_json("value", schemas.NEWS_RAW).alias("j")).select("j.*")
+    return _nested_summary(back)
+
+
+@query("land_news", f"""WITH {NEWS_SQL}, {ITEMS_SQL},
+agg AS (SELECT l_orderkey, count(*) AS n FROM items GROUP BY l_orderkey)
+SELECT CAST(n.file_date AS VARCHAR) AS file_date, 'news_' || CAST(n.file_date AS VARCHAR) || '.json' AS object,
+       n.in_date_id, n.title, agg.n AS n_topics, agg.n AS n_tickers
+FROM news n LEFT JOIN agg ON agg.l_orderkey = n.o_orderkey""")
+def land_news(spark, sf_dir):
+    """Land numbered news as one NDJSON object per day, read it back."""
+    base = _session.scratch_path(spark, "land-news", unique=True)
+    landing_sink.write_daily_json(fx.news(spark, sf_dir).drop("o_orderkey"), base, "news", "file_date")
+    back = landing_src.read_news(spark, base)
+    return back.select(d2s("file_date").alias("file_date"), "object", "in_date_id", "title",
+                       F.when(F.col("topics").isNotNull(), F.size("topics")).cast("long").alias("n_topics"),
+                       F.when(F.col("ticker_sentiment").isNotNull(), F.size("ticker_sentiment"))
+                       .cast("long").alias("n_tickers"))
+
+
+@query("land_candles", f"""WITH {CANDLES_SQL}
+SELECT stock_symbol AS ticker, CAST(trade_date AS VARCHAR) AS file_date, 'OHCL_' || CAST(trade_date AS VARCHAR) || '.json' AS object,
+       o, h, l, c, CAST(v AS DOUBLE) AS v, round(vwap, 6) AS vwap, t AS time, trans
+FROM candles""")
+def land_candles(spark, sf_dir):
+    """Land daily bars as one NDJSON object per day, read back."""
+    base = _session.scratch_path(spark, "land-candles", unique=True)
+    landing_sink.write_daily_json(bars.to_landing_rows(fx.candles(spark, sf_dir)), base, "OHCL", "trade_date")
+    back = landing_src.read_candles(spark, base)
+    return back.select("ticker", d2s("file_date").alias("file_date"), "object", "o", "h", "l", "c", "v",
+                       r6("vwap").alias("vwap"), "time", "trans")
+
+
+@query("candle_scan_projection", f"""WITH {CANDLES_SQL}, {SCREENER_SQL}
+SELECT c.stock_symbol, c.o, c.h, c.c, c.l, CAST(c.v AS BIGINT) AS v, c.trans AS Trans, c.t,
+       round(c.vwap, 6) AS vwap, s.Name AS stock_symbol_name
+FROM candles c LEFT JOIN screener s ON s.Symbol = c.stock_symbol""")
+def candle_scan_projection(spark, sf_dir):
+    """Scan the landed candle objects with the declared schema, rename to
+    the fact's names, and look up the name in a two-column projection of the dimension."""
+    raw = landing_src.read_candles(spark, fx.candle_landing(spark, sf_dir))
+    dim2 = fx.symbol_dim(spark, sf_dir).select("stock_symbol", "stock_symbol_name")
+    return (raw.select(F.col("ticker").alias("stock_symbol"), "o", "h", "c", "l",
+                       F.col("v").try_cast("bigint").alias("v"), F.col("trans").alias("Trans"),
+                       F.col("time").alias("t"), r6("vwap").alias("vwap"))
+            .join(dim2, "stock_symbol", "left"))
+
+
 def queries() -> dict[str, QueryFn]:
     return {k: fn for k, (fn, _) in REGISTRY.items()}
 
