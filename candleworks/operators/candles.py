@@ -17,12 +17,39 @@ FACT_COLS = ["stock_symbol", "o", "h", "c", "l", "v", "Trans", "t", "vwap", "tra
 
 
 def with_trade_date(raw_landing: DataFrame) -> DataFrame:
-    """Landing rows (ticker, ..., time) -> fact-shaped rows with the derived date."""
+    """Landing rows (ticker, ..., time) -> fact-shaped rows with the date derived
+    once from the epoch text (null when the text is not a number). The landing
+    object's date is kept as ``file_date`` (null when unknown)."""
+    file_date = F.col("file_date") if "file_date" in raw_landing.columns else F.lit(None).cast("date")
     return raw_landing.select(
         F.col("ticker").alias("stock_symbol"), "o", "h", "c", "l",
-        F.col("v").try_cast("bigint").alias("v"), F.col("trans").alias("trans"),
+        F.round(F.col("v")).try_cast("bigint").alias("v"), F.col("trans").alias("trans"),
         F.col("time").alias("t"), "vwap",
-        times.date_from_epoch_millis_text("time").alias("trade_date"))
+        times.date_from_epoch_millis_text("time").alias("trade_date"),
+        file_date.alias("file_date"))
+
+
+def _reason(dim_hit: str) -> "F.Column":
+    return (F.when(F.col("trade_date").isNull(), F.lit("bad_time"))
+            .when(F.col("file_date").isNotNull() & (F.col("file_date") != F.col("trade_date")),
+                  F.lit("file_date_mismatch"))
+            .when(F.col(dim_hit).isNull(), F.lit("unknown_ticker")))
+
+
+def _with_reason(bars: DataFrame, dim: DataFrame) -> DataFrame:
+    hits = dim.select(F.col("stock_symbol").alias("_known")).distinct()
+    return (bars.join(hits, F.col("stock_symbol") == F.col("_known"), "left")
+            .withColumn("reason", _reason("_known")).drop("_known"))
+
+
+def quarantine(bars: DataFrame, dim: DataFrame) -> DataFrame:
+    """Rows a load must not take: unparseable time, a trade date other than the
+    landing object's date, or a ticker missing from the dimension."""
+    return _with_reason(bars, dim).where(F.col("reason").isNotNull())
+
+
+def accepted(bars: DataFrame, dim: DataFrame) -> DataFrame:
+    return _with_reason(bars, dim).where(F.col("reason").isNull()).drop("reason")
 
 
 def right_join_dim(day: DataFrame, dim: DataFrame) -> DataFrame:

@@ -92,3 +92,11 @@ def stock_symbols(screener: DataFrame, country: DataFrame, sector: DataFrame,
             .select(F.col("Symbol").alias("stock_symbol"), F.col("Name").alias("stock_symbol_name"),
                     COUNTRY.id_col, SECTOR.id_col, INDUSTRY.id_col,
                     F.col("exchange").cast("short").alias("exchange")))
+
+
+def calendar(dates: DataFrame, column: str = "trade_date") -> DataFrame:
+    """date_DIM: one row per calendar day between the first and the last date
+    (id = ``yyyyMMdd`` text). The range is bounded by the calendar, not the data."""
+    bounds = dates.agg(F.min(column).alias("_lo"), F.max(column).alias("_hi"))
+    return (bounds.select(F.explode(F.sequence("_lo", "_hi")).alias("date"))
+            .select(F.date_format("date", "yyyyMMdd").alias("date_id"), "date"))

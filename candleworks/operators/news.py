@@ -27,10 +27,10 @@ def insert_date(file_date: Column | str = "file_date") -> Column:
     return F.date_add(c, INSERT_LAG_DAYS)
 
 
-def source_key(name: Column | str = "source_name", domain: Column | str = "source_domain") -> Column:
-    n = F.col(name) if isinstance(name, str) else name
-    d = F.col(domain) if isinstance(domain, str) else domain
-    return uuid_key(SOURCE.table, F.concat(n, F.lit("|"), F.coalesce(d, F.lit(""))))
+def source_key(name: Column | str = "source_name") -> Column:
+    """Id of a source: keyed on the name, the column the news rows look it up by,
+    so incremental and one-shot loads agree whatever domains arrive later."""
+    return uuid_key(SOURCE.table, name)
 
 
 # ---- sources ------------------------------------------------------------------------
@@ -38,7 +38,7 @@ def source_key(name: Column | str = "source_name", domain: Column | str = "sourc
 def sources(news: DataFrame, one_per_name: bool = True) -> DataFrame:
     """Distinct sources. ``one_per_name``: one row per name with its smallest
     domain (the job's rule); otherwise every distinct (name, domain) pair, which
-    is what the reference inserts - two domains then mean two ids for one name."""
+    is what the reference inserts - two domains then mean two rows for one name."""
     pairs = news.select(F.col("source").alias("source_name"), "source_domain")
     if one_per_name:
         pairs = pairs.groupBy("source_name").agg(F.min("source_domain").alias("source_domain"))

@@ -18,7 +18,11 @@ from candleworks import fixtures as fx
 from candleworks import session as _session
 from candleworks import schemas
 from candleworks.fixtures import CANDLES_SQL, ITEMS_SQL, NEWS_SQL, SCREENER_SQL
+from candleworks.operators import models, quality
 from candleworks.operators import news as ns
+from candleworks.plans.warehouse import Warehouse
+from candleworks.sinks import tables as sink_tables
+from candleworks.streaming import incremental
 from candleworks.sinks import landing as landing_sink
 from candleworks.sources import landing as landing_src
 from candleworks.functions import uuid_key_sql
@@ -410,7 +414,7 @@ def epoch_text_to_date(spark, sf_dir):
 
 # =============================== news ===============================
 
-_SRC_KEY_SQL = uuid_key_sql("source_DIM", "source_name || '|' || coalesce(source_domain, '')")
+_SRC_KEY_SQL = uuid_key_sql("source_DIM", "source_name")
 _TOPIC_KEY_SQL = uuid_key_sql("topic_DIM", "topic")
 _SRC_SQL = f"""src AS (SELECT source AS source_name, min(source_domain) AS source_domain FROM news GROUP BY source),
 src_dim AS (SELECT {_SRC_KEY_SQL} AS source_id, source_name, source_domain FROM src)"""
@@ -507,7 +511,7 @@ def news_dim(spark, sf_dir):
 @query("source_fanout", f"""WITH {NEWS_SQL},
 fan AS (SELECT DISTINCT o_orderpriority AS source_name, o_orderstatus AS source_domain FROM orders)
 SELECT CAST(n.file_date + 2 AS VARCHAR) AS insert_date, n.in_date_id, n.title,
-       {uuid_key_sql("source_DIM", "fan.source_name || '|' || coalesce(fan.source_domain, '')")} AS source_id
+       {uuid_key_sql("source_DIM", "fan.source_name")} AS source_id, fan.source_domain
 FROM news n LEFT JOIN fan ON n.source = fan.source_name""")
 def source_fanout(spark, sf_dir):
     """T5: deduplicating sources on (name, domain) but looking them up by name
@@ -516,8 +520,10 @@ def source_fanout(spark, sf_dir):
     orders = fx.table(spark, sf_dir, "orders").select(
         F.col("o_orderpriority").alias("source"), F.col("o_orderstatus").alias("source_domain"))
     fan = ns.sources(orders, one_per_name=False)
-    return ns.news_rows(flat, fan).select(d2s("insert_date").alias("insert_date"), "in_date_id",
-                                          "title", "source_id")
+    src = fan.select("source_id", "source_name", F.col("source_domain").alias("fan_domain"))
+    return (flat.join(src, F.col("source") == F.col("source_name"), "left")
+            .select(d2s(ns.insert_date("file_date")).alias("insert_date"), "in_date_id", "title",
+                    "source_id", F.col("fan_domain").alias("source_domain")))
 
 
 TOPIC_FACT_SQL = f"""WITH {NEWS_SQL}, {ITEMS_SQL}
@@ -627,6 +633,246 @@ def candle_scan_projection(spark, sf_dir):
             .join(dim2, "stock_symbol", "left"))
 
 
+# =============================== composite jobs ===============================
+
+_LOAD_NEWS_SQL = f"""WITH {NEWS_SQL}, {ITEMS_SQL}, {SCREENER_SQL}, {_LINES_SQL},
+src AS (SELECT source AS source_name, min(source_domain) AS source_domain FROM news GROUP BY source),
+topics AS (SELECT DISTINCT topic FROM lines WHERE topic IS NOT NULL)
+SELECT 'source_DIM' AS output, CAST(NULL AS VARCHAR) AS insert_date, CAST(NULL AS BIGINT) AS in_date_id,
+       {_SRC_KEY_SQL} AS key, source_name AS name, CAST(NULL AS DOUBLE) AS score
+FROM src WHERE source_name >= '{fx.CURRENT_SOURCES_BELOW}'
+UNION ALL
+SELECT 'topic_DIM', NULL, NULL, {_TOPIC_KEY_SQL}, topic, NULL FROM topics WHERE topic >= '{fx.CURRENT_TOPICS_BELOW}'
+UNION ALL
+SELECT 'news_DIM', CAST(n.file_date + 2 AS VARCHAR), n.in_date_id,
+       {uuid_key_sql("source_DIM", "n.source")}, n.title, round(n.overall_sentiment_score, 6) FROM news n
+UNION ALL
+SELECT 'new_sentiment_industry_FACT', CAST(n.file_date + 2 AS VARCHAR), n.in_date_id, {_TOPIC_KEY_SQL},
+       NULL, round(i.relevance, 6) FROM news n JOIN items i ON i.l_orderkey = n.o_orderkey
+UNION ALL
+SELECT 'new_sentiment_stock_FACT', CAST(n.file_date + 2 AS VARCHAR), n.in_date_id, i.ticker, NULL,
+       round(i.ticker_score, 6) FROM news n JOIN items i ON i.l_orderkey = n.o_orderkey
+WHERE i.ticker IN (SELECT Symbol FROM screener)"""
+
+
+@query("load_news", _LOAD_NEWS_SQL)
+def load_news(spark, sf_dir):
+    """M6: every landed day at once - new sources, new topics, news items, topic
+    facts and stock facts, tagged by output table and unioned."""
+    n = fx.news(spark, sf_dir)
+    src_cur = ns.sources(n).where(F.col("source_name") < fx.CURRENT_SOURCES_BELOW)
+    top_cur = ns.topics(n).where(F.col("topic_name") < fx.CURRENT_TOPICS_BELOW)
+    new_src, new_top = ns.new_sources(n, src_cur), ns.new_topics(n, top_cur)
+    src_dim, top_dim = src_cur.unionByName(new_src), top_cur.unionByName(new_top)
+
+    def tag(df, out, insert_date, in_date_id, key, name, score):
+        return df.select(F.lit(out).alias("output"), insert_date.alias("insert_date"),
+                         in_date_id.cast("long").alias("in_date_id"), key.alias("key"),
+                         name.alias("name"), score.alias("score"))
+    none_s, none_l, none_d = F.lit(None).cast("string"), F.lit(None).cast("long"), F.lit(None).cast("double")
+    parts = [
+        tag(new_src, "source_DIM", none_s, none_l, F.col("source_id"), F.col("source_name"), none_d),
+        tag(new_top, "topic_DIM", none_s, none_l, F.col("topic_id"), F.col("topic_name"), none_d),
+        tag(ns.news_rows(n, src_dim), "news_DIM", d2s("insert_date"), F.col("in_date_id"),
+            F.col("source_id"), F.col("title"), r6("overall_sentiment_score")),
+        tag(ns.topic_facts(n, top_dim), "new_sentiment_industry_FACT", d2s("insert_date"),
+            F.col("in_date_id"), F.col("topic_id"), none_s, r6("sentiment_score")),
+        tag(ns.stock_facts(n, fx.symbol_dim(spark, sf_dir)), "new_sentiment_stock_FACT",
+            d2s("insert_date"), F.col("in_date_id"), F.col("stock_symbol"), none_s, r6("sentiment_score")),
+    ]
+    out = parts[0]
+    for p_ in parts[1:]:
+        out = out.unionByName(p_)
+    return out
+
+
+@query("union_all_literals", f"""WITH {CANDLES_SQL},
+my_first_dbt_model AS (SELECT trans AS id FROM candles UNION ALL SELECT NULL AS id)
+SELECT 'my_second_dbt_model' AS model, id FROM my_first_dbt_model WHERE id = 1
+UNION ALL
+SELECT 'not_null_ids' AS model, id FROM my_first_dbt_model WHERE id IS NOT NULL""")
+def union_all_literals(spark, sf_dir):
+    """A model made of a relation UNION ALL a literal
+    null row, materialised as a view, and models that refer to it by name
+    (``select * ... where id = 1`` / ``where id is not null``)."""
+    first = _candles(spark, sf_dir).select(F.col("trans").cast("long").alias("id")).unionByName(
+        spark.sql("SELECT CAST(NULL AS BIGINT) AS id"))
+    models.materialize_view(first, "my_first_dbt_model")
+    second = models.filtered_model(spark, "my_first_dbt_model", "id = 1")
+    not_null = models.filtered_model(spark, "my_first_dbt_model", "id IS NOT NULL")
+    return (second.select(F.lit("my_second_dbt_model").alias("model"), "id")
+            .unionByName(not_null.select(F.lit("not_null_ids").alias("model"), "id")))
+
+
+_UNIQUE_CANDLE = "stock_symbol || '@' || CAST(trade_date AS STRING)"
+_UNIQUE_NEWS = "CAST(insert_date AS STRING) || '#' || CAST(in_date_id AS STRING)"
+
+
+def _unique_sql(model, column, rel, expr):
+    return (f"SELECT '{model}' AS model, '{column}' AS column_name, 'unique' AS test, count(*) AS failures "
+            f"FROM (SELECT {expr} AS v FROM {rel} WHERE {expr} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)")
+
+
+@query("data_test_unique", f"""WITH {CANDLES_SQL}, {SCREENER_SQL}, {NEWS_SQL}
+{_unique_sql('stock_symbol_DIM', 'stock_symbol', 'screener', 'Symbol')}
+UNION ALL {_unique_sql('candles_FACT', 'stock_symbol', 'candles', 'stock_symbol')}
+UNION ALL {_unique_sql('candles_FACT', _UNIQUE_CANDLE.replace("'", "''"), 'candles', "stock_symbol || '@' || CAST(trade_date AS VARCHAR)")}
+UNION ALL {_unique_sql('news_DIM', _UNIQUE_NEWS.replace("'", "''"), 'news', "CAST(file_date + 2 AS VARCHAR) || '#' || CAST(in_date_id AS VARCHAR)")}
+UNION ALL {_unique_sql('news_DIM', 'source', 'news', 'source')}""")
+def data_test_unique(spark, sf_dir):
+    """``unique`` tests on warehouse keys (failures = duplicated values)."""
+    flat = _news_flat(spark, sf_dir)
+    news_dim_rows = ns.news_rows(flat, ns.sources(flat))
+    return quality.run_data_tests([
+        ("stock_symbol_DIM", fx.symbol_dim(spark, sf_dir), "unique", ["stock_symbol"]),
+        ("candles_FACT", _candles(spark, sf_dir), "unique", ["stock_symbol", _UNIQUE_CANDLE]),
+        ("news_DIM", news_dim_rows, "unique", [_UNIQUE_NEWS]),
+        ("news_DIM", flat, "unique", ["source"]),
+    ])
+
+
+def _not_null_sql(model, rel, cols):
+    return " UNION ALL ".join(
+        f"SELECT '{model}' AS model, '{c}' AS column_name, 'not_null' AS test, "
+        f"CAST(sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS failures FROM {rel}" for c in cols)
+
+
+@query("data_test_not_null", f"""WITH {CANDLES_SQL}, {SCREENER_SQL}
+{_not_null_sql('candles_FACT', 'candles', ['o', 'h', 'l', 'c', 'v', 'vwap', 't'])}
+UNION ALL {_not_null_sql('screener', 'screener', ['Symbol', 'Country', 'Sector', 'Industry'])}""")
+def data_test_not_null(spark, sf_dir):
+    """``not_null`` tests, all columns of a relation in one scan."""
+    return quality.run_data_tests([
+        ("candles_FACT", _candles(spark, sf_dir), "not_null", ["o", "h", "l", "c", "v", "vwap", "t"]),
+        ("screener", fx.screener(spark, sf_dir), "not_null", ["Symbol", "Country", "Sector", "Industry"]),
+    ])
+
+
+_PASSTHROUGH = """SELECT f.stock_symbol, d.stock_symbol_name, count(*) AS n_days,
+       round(avg(f.c), 6) AS avg_c, round(max(f.h), 6) AS max_h
+FROM candles_FACT f JOIN stock_symbol_DIM d ON d.stock_symbol = f.stock_symbol
+GROUP BY f.stock_symbol, d.stock_symbol_name"""
+
+
+@query("sql_passthrough", f"""WITH {CANDLES_SQL}, {SCREENER_SQL},
+candles_FACT AS (SELECT * FROM candles),
+stock_symbol_DIM AS (SELECT Symbol AS stock_symbol, Name AS stock_symbol_name FROM screener)
+{_PASSTHROUGH}""")
+def sql_passthrough(spark, sf_dir):
+    """Arbitrary SQL text over tables registered under their warehouse names."""
+    _candles(spark, sf_dir).createOrReplaceTempView("candles_FACT")
+    fx.symbol_dim(spark, sf_dir).createOrReplaceTempView("stock_symbol_DIM")
+    return spark.sql(_PASSTHROUGH)
+
+
+@query("date_dim", f"""WITH {CANDLES_SQL}
+SELECT strftime(d, '%Y%m%d') AS date_id, CAST(CAST(d AS DATE) AS VARCHAR) AS date
+FROM (SELECT unnest(generate_series(min(trade_date), max(trade_date), INTERVAL 1 DAY)) AS d FROM candles)""")
+def date_dim(spark, sf_dir):
+    """The calendar dimension over the loaded trade dates."""
+    return dm.calendar(_candles(spark, sf_dir)).select("date_id", d2s("date").alias("date"))
+
+
+@query("landing_audit", None)
+def landing_audit(spark, sf_dir):
+    """A10 A4 A5 A9 M10 (rows only): per landing object its date, files, bytes and
+    rows, and which object is the newest."""
+    parts = []
+    for bucket, path in (("polygon", fx.candle_landing(spark, sf_dir)),
+                         ("news-data", fx.news_landing(spark, sf_dir))):
+        listing = landing_src.objects(spark, path)
+        newest = landing_src.newest_object(listing).select(F.col("object").alias("_newest"))
+        parts.append(listing.join(F.broadcast(newest), F.col("object") == F.col("_newest"), "left")
+                     .select(F.lit(bucket).alias("bucket"), "object", d2s("file_date").alias("file_date"),
+                             "files", "bytes", "rows", F.col("_newest").isNotNull().alias("is_newest")))
+    return parts[0].unionByName(parts[1])
+
+
+@query("insert_select", OHCL_INDICATOR_SQL)
+def insert_select(spark, sf_dir):
+    """Write the indicator to its table by column name,
+    twice (a re-run replaces its date partition), plus an insert-select of a model
+    into a table; read the table back."""
+    wh = Warehouse(spark, _session.scratch_path(spark, "insert-select", unique=True))
+    sink_tables.create_if_missing(spark, wh.path("ohcl_indicator"), "ohcl_indicator")
+    rows = indicators.ohcl_indicator(_candles(spark, sf_dir))
+    for _ in range(2):
+        if not rows.isEmpty():
+            wh.replace_partitions("ohcl_indicator", rows)
+    back = wh.read("ohcl_indicator")
+    models.materialize_view(back, "ohcl_indicator_model")
+    models.insert_select(spark, wh.path("ohcl_indicator_copy"), "ohcl_indicator_model")
+    copy = spark.read.parquet(wh.path("ohcl_indicator_copy"))
+    return copy.select("stock_symbol", "date", r6("delta").alias("delta"),
+                       r6("sliding_avg_3").alias("sliding_avg_3"), r6("sliding_avg_5").alias("sliding_avg_5"))
+
+
+def _init_schema_sql() -> str:
+    counts = {
+        "industry_DIM": "(SELECT count(DISTINCT coalesce(Industry, 'unpredict')) FROM screener)",
+        "exchange_DIM": "3",
+        "country_DIM": "(SELECT count(DISTINCT coalesce(Country, 'unpredict')) FROM screener)",
+        "sector_DIM": "(SELECT count(DISTINCT coalesce(Sector, 'unpredict')) FROM screener)",
+        "stock_symbol_DIM": "(SELECT count(DISTINCT Symbol) FROM screener)",
+    }
+    rows = [f"SELECT '{t}' AS table_name, CAST({len(m['schema'].fields)} AS BIGINT) AS n_columns, "
+            f"CAST({counts.get(t, '0')} AS BIGINT) AS n_rows" for t, m in schemas.TABLES.items()]
+    return f"WITH {SCREENER_SQL}\n" + "\nUNION ALL ".join(rows)
+
+
+@query("init_schema", _init_schema_sql())
+def init_schema(spark, sf_dir):
+    """Create the 16 tables, reseed exchanges, load the dimensions and
+    symbols from the screener (twice: the loads are re-runnable); list the catalog."""
+    wh = Warehouse(spark, _session.scratch_path(spark, "init-schema", unique=True))
+    scr = fx.screener(spark, sf_dir)
+    for _ in range(2):
+        wh.init_schema()
+        wh.load_dimensions(scr)
+        wh.load_stock_symbols(scr)
+    return wh.catalog()
+
+
+_FACT_OUT_REAL_SQL = """stock_symbol, round(CAST(CAST(o AS REAL) AS DOUBLE), 6) AS o, round(CAST(CAST(h AS REAL) AS DOUBLE), 6) AS h,
+       round(CAST(CAST(c AS REAL) AS DOUBLE), 6) AS c, round(CAST(CAST(l AS REAL) AS DOUBLE), 6) AS l,
+       CAST(v AS BIGINT) AS v, CAST(Trans AS BIGINT) AS Trans, t,
+       round(CAST(CAST(vwap AS REAL) AS DOUBLE), 6) AS vwap, CAST(trade_date AS VARCHAR) AS trade_date"""
+
+
+@query("incremental_candles", CARRY_FORWARD_SQL.replace(f"SELECT {_FACT_OUT_SQL} FROM rows",
+                                                        f"SELECT {_FACT_OUT_REAL_SQL} FROM rows"))
+def incremental_candles(spark, sf_dir):
+    """K1 K3 K4 M4: stream the daily candle objects (one per micro-batch, availableNow)
+    into the warehouse; the final fact equals the one-shot carry-forward."""
+    wh = Warehouse(spark, _session.scratch_path(spark, "incremental-candles", unique=True))
+    wh.init_schema()
+    scr = fx.screener(spark, sf_dir)
+    wh.load_dimensions(scr)
+    wh.load_stock_symbols(scr)
+    landing = fx.candle_landing(spark, sf_dir)
+    incremental.order_landing_by_day(spark, landing)
+    incremental.ingest_candles(spark, wh, landing, checkpoint=wh.root + "/_checkpoints/candles",
+                               quarantine_dir=wh.root + "/_quarantine", max_files=1)
+    f = wh.read("candles_FACT")
+    return f.select("stock_symbol", *[r6(c).alias(c) for c in ("o", "h", "c", "l")],
+                    F.col("v").cast("long").alias("v"), F.col("Trans").cast("long").alias("Trans"), "t",
+                    r6("vwap").alias("vwap"), d2s("trade_date").alias("trade_date"))
+
+
+@query("incremental_news", NEWS_DIM_SQL)
+def incremental_news(spark, sf_dir):
+    """K2 M6: stream the daily news objects into the warehouse; the final news_DIM
+    equals the one-shot load."""
+    wh = Warehouse(spark, _session.scratch_path(spark, "incremental-news", unique=True))
+    wh.init_schema()
+    scr = fx.screener(spark, sf_dir)
+    wh.load_dimensions(scr)
+    wh.load_stock_symbols(scr)
+    landing = fx.news_landing(spark, sf_dir)
+    incremental.ingest_news(spark, wh, landing, checkpoint=wh.root + "/_checkpoints/news", max_files=512)
+    return _news_dim_out(wh.read("news_DIM"))
+
+
 def queries() -> dict[str, QueryFn]:
     return {k: fn for k, (fn, _) in REGISTRY.items()}
 

@@ -11,11 +11,12 @@ from candleworks.functions import times
 def write_daily_json(rows: DataFrame, base: str, prefix: str, date_col: str,
                      mode: str = "overwrite") -> None:
     """Write ``rows`` as NDJSON, one object per day named ``<prefix>_<yyyy-MM-dd>.json``
-    (a partition directory of that name). Rows are range-partitioned by day so a
-    hot day is written by several tasks; re-writing a day replaces only that day."""
+    (a partition directory of that name holding one file: the landing contract is
+    one object per day, whose size the vendor bounds - one bar per ticker, at most
+    1,000 news items). Re-writing a day replaces only that day."""
     out = (rows.withColumn("object", times.object_name(prefix, date_col))
            .drop(date_col)
-           .repartitionByRange("object")
+           .repartition("object")
            .write.mode(mode)
            .option("compression", "none")
            .option("ignoreNullFields", "false"))
