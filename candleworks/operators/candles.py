@@ -70,9 +70,14 @@ def unknown_tickers(bars: DataFrame, dim: DataFrame) -> DataFrame:
 
 
 def new_dates_only(incoming: DataFrame, loaded: DataFrame) -> DataFrame:
-    """Already-loaded guard: drop incoming rows of a date the fact already holds."""
-    done = loaded.select("trade_date").distinct()
-    return incoming.join(done, "trade_date", "left_anti")
+    """Already-loaded guard: drop incoming rows of a date the fact already holds.
+    The date checked is the landing object's date when known (as the reference
+    checks the file name), else the row's own trade date."""
+    done = loaded.select(F.col("trade_date").alias("_done")).distinct()
+    day = (F.coalesce(F.col("file_date"), F.col("trade_date")) if "file_date" in incoming.columns
+           else F.col("trade_date"))
+    return (incoming.withColumn("_day", day)
+            .join(done, F.col("_day") == F.col("_done"), "left_anti").drop("_day"))
 
 
 def _fact(df: DataFrame) -> DataFrame:
@@ -110,12 +115,15 @@ def load_latest_day(bars: DataFrame, dim: DataFrame, history: DataFrame) -> Data
     return fill_day(day, dim, nearest_before(history, d))
 
 
-def carry_forward(bars: DataFrame, dim: DataFrame, seed: DataFrame | None = None) -> DataFrame:
+def carry_forward(bars: DataFrame, dim: DataFrame, seed: DataFrame | None = None,
+                  days: DataFrame | None = None) -> DataFrame:
     """Last-observation-carried-forward fact for every known symbol and every
     trading day (a day some file exists for) from the symbol's first trade on.
 
     ``seed`` (optional) holds fact rows of one earlier day (the stored fact's
     nearest day before ``bars``); they start the carry and are not re-emitted.
+    ``days`` (optional, ``trade_date, t``) adds trading days that have no bar of a
+    known symbol (a loaded day being recomputed).
 
     One shuffle by symbol does the work: grid cells (generated per symbol, no
     cross join) and bars are unioned and a single per-symbol window both carries
@@ -126,7 +134,10 @@ def carry_forward(bars: DataFrame, dim: DataFrame, seed: DataFrame | None = None
     rows = known.select("stock_symbol", "trade_date", "o", "h", "l", "c", "v",
                         F.col("trans").cast("bigint").alias("trans"), "t", "vwap",
                         F.lit(1).alias("_kind"), F.lit(False).alias("_seed"))
-    days = bars.groupBy("trade_date").agg(F.min("t").alias("_day_t"))
+    all_days = bars.select("trade_date", "t")
+    if days is not None:
+        all_days = all_days.unionByName(days.select("trade_date", "t"))
+    days = all_days.groupBy("trade_date").agg(F.min("t").alias("_day_t"))
     if seed is not None:
         seed_rows = seed.select("stock_symbol", "trade_date", "o", "h", "l", "c", "v",
                                 F.col("Trans").cast("bigint").alias("trans"), "t", "vwap",

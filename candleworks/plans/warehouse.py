@@ -120,7 +120,8 @@ class Warehouse:
         later = (fact.where((F.col("trade_date") >= first_new) & (F.col("Trans") > 0))
                  .withColumnRenamed("Trans", "trans"))
         todo = bars.select(*later.columns).unionByName(later)
-        out = _materialized(cd.carry_forward(todo, dim, seed=seed))
+        loaded_days = fact.where(F.col("trade_date") >= first_new).select("trade_date", "t")
+        out = _materialized(cd.carry_forward(todo, dim, seed=seed, days=loaded_days))
         self.replace_partitions("candles_FACT", out)
 
     @staticmethod
