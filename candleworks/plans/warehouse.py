@@ -142,7 +142,15 @@ class Warehouse:
     # ---- M6: news -----------------------------------------------------------------
     def load_news(self, news: DataFrame) -> None:
         """Sources, topics, news items and both sentiment facts for the given items
-        (any number of file days). Items are replaced per insert_date."""
+        (any number of file days). Items are replaced per insert_date. The items feed
+        five writes, so they are read once and kept (memory, spilling to disk)."""
+        news = news.persist()
+        try:
+            self._load_news(news)
+        finally:
+            news.unpersist()
+
+    def _load_news(self, news: DataFrame) -> None:
         self.append("source_DIM", ns.new_sources(news, self.read("source_DIM")))
         self.append("topic_DIM", ns.new_topics(news, self.read("topic_DIM")))
         self.replace_partitions("news_DIM", ns.news_rows(news, self.read("source_DIM")))

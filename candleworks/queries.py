@@ -842,7 +842,7 @@ _FACT_OUT_REAL_SQL = """stock_symbol, round(CAST(CAST(o AS REAL) AS DOUBLE), 6)
 @query("incremental_candles", CARRY_FORWARD_SQL.replace(f"SELECT {_FACT_OUT_SQL} FROM rows",
                                                         f"SELECT {_FACT_OUT_REAL_SQL} FROM rows"))
 def incremental_candles(spark, sf_dir):
-    """K1 K3 K4 M4: stream the daily candle objects (one per micro-batch, availableNow)
+    """K1 K3 K4 M4: stream the daily candle objects (8 days per micro-batch, availableNow)
     into the warehouse; the final fact equals the one-shot carry-forward."""
     wh = Warehouse(spark, _session.scratch_path(spark, "incremental-candles", unique=True))
     wh.init_schema()
@@ -852,7 +852,7 @@ def incremental_candles(spark, sf_dir):
     landing = fx.candle_landing(spark, sf_dir)
     incremental.order_landing_by_day(spark, landing)
     incremental.ingest_candles(spark, wh, landing, checkpoint=wh.root + "/_checkpoints/candles",
-                               quarantine_dir=wh.root + "/_quarantine", max_files=1)
+                               quarantine_dir=wh.root + "/_quarantine", max_files=8)
     f = wh.read("candles_FACT")
     return f.select("stock_symbol", *[r6(c).alias(c) for c in ("o", "h", "c", "l")],
                     F.col("v").cast("long").alias("v"), F.col("Trans").cast("long").alias("Trans"), "t",

@@ -14,9 +14,12 @@ def write_daily_json(rows: DataFrame, base: str, prefix: str, date_col: str,
     (a partition directory of that name holding one file: the landing contract is
     one object per day, whose size the vendor bounds - one bar per ticker, at most
     1,000 news items). Re-writing a day replaces only that day."""
+    # An explicit task count keeps AQE from folding a small drop into one writer
+    # task that would then create every day's object one after another.
+    tasks = rows.sparkSession.sparkContext.defaultParallelism
     out = (rows.withColumn("object", times.object_name(prefix, date_col))
            .drop(date_col)
-           .repartition("object")
+           .repartition(tasks, "object")
            .write.mode(mode)
            .option("compression", "none")
            .option("ignoreNullFields", "false"))

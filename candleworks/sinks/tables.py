@@ -4,9 +4,12 @@
   types first (a positional insert would swap prices and volumes).
 * Repeating a load is safe: partitioned tables are written with dynamic partition
   overwrite, so a re-run replaces the days it writes and nothing else.
-* Layout: rows are range-partitioned on (partition column, sort key) so a hot day
-  spreads over many writer tasks, then sorted within each task; parquet row-group
-  min/max statistics then skip data for filters on the sort key.
+* Layout: rows are sorted within each task by (partition column, sort key), so a
+  task keeps one file open at a time and parquet row-group min/max statistics skip
+  data for filters on the sort key. No shuffle is added by default: a daily load
+  holds one day, and landing splits hold one day each. A backfill whose splits mix
+  many days passes ``range_partitions`` to range-partition on the same keys first
+  (a hot day then spreads over several writer tasks instead of one).
 * A path that is being read is never overwritten in place: write beside, then swap.
 """
 
@@ -30,15 +33,19 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def clustered(df: DataFrame, partition_by: str | None, sort_by: list[str] | None) -> DataFrame:
+def clustered(df: DataFrame, partition_by: str | None, sort_by: list[str] | None,
+              range_partitions: int | None = None) -> DataFrame:
     keys = ([partition_by] if partition_by else []) + list(sort_by or [])
     if not keys:
         return df
-    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    if range_partitions:
+        df = df.repartitionByRange(range_partitions, *keys)
+    return df.sortWithinPartitions(*keys)
 
 
 def write_table(df: DataFrame, path: str, table: str | None = None, mode: str = "append",
-                partition_by: str | None = None, sort_by: list[str] | None = None) -> None:
+                partition_by: str | None = None, sort_by: list[str] | None = None,
+                range_partitions: int | None = None) -> None:
     """Append (``mode='append'``) or replace the written partitions (``'overwrite'``,
     dynamic partition overwrite) of the table at ``path``."""
     if table:
@@ -46,19 +53,19 @@ def write_table(df: DataFrame, path: str, table: str | None = None, mode: str =
         df = conform(df, table)
         partition_by = partition_by or meta.get("partition")
         sort_by = sort_by or meta.get("sort")
-    out = clustered(df, partition_by, sort_by).write.mode(mode)
+    out = clustered(df, partition_by, sort_by, range_partitions).write.mode(mode)
     if partition_by:
         out = out.partitionBy(partition_by)
     out.parquet(path)
 
 
 def write_beside_then_swap(df: DataFrame, path: str, partition_by: str | None = None,
-                           sort_by: list[str] | None = None) -> None:
+                           sort_by: list[str] | None = None, range_partitions: int | None = None) -> None:
     """Write the whole table next to ``path`` and move it into place when complete,
     so readers never see a half-written table."""
     spark = df.sparkSession
     tmp = f"{path}.tmp-{uuid.uuid4().hex}"
-    out = clustered(df, partition_by, sort_by).write.mode("overwrite")
+    out = clustered(df, partition_by, sort_by, range_partitions).write.mode("overwrite")
     if partition_by:
         out = out.partitionBy(partition_by)
     out.parquet(tmp)
