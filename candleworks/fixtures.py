@@ -53,7 +53,7 @@ CANDLES_SQL = """candles AS (
            max(value) AS h,
            min(value) AS l,
            last(value ORDER BY ts, event_id) AS c,
-           sum(CAST(round(value * 100) AS BIGINT)) AS v,
+           CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS v,
            count(*) AS trans,
            sum(value * CAST(round(value * 100) AS BIGINT)) / sum(CAST(round(value * 100) AS BIGINT)) AS vwap,
            CAST(((CAST(ts AS DATE) - DATE '1970-01-01') * 86400 + 72000) * 1000 AS VARCHAR) AS t
@@ -133,18 +133,23 @@ def news_items(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("l_tax").cast("string").alias("ticker_sentiment_score")))
 
 
-def news(spark: SparkSession, sf_dir: str) -> DataFrame:
+def news(spark: SparkSession, sf_dir: str, numbered: bool = True) -> DataFrame:
     """News items in landing form: nested ``topics`` and ``ticker_sentiment``
     arrays (null for an order without lines). An article's arrays are bounded by
     the feed format (here: by the lines of one order)."""
     items = (news_items(spark, sf_dir).groupBy("l_orderkey")
              .agg(F.collect_list(F.struct("topic", "relevance_score")).alias("topics"),
                   F.collect_list(F.struct("ticker", "ticker_sentiment_score")).alias("ticker_sentiment")))
-    return (news_flat(spark, sf_dir)
+    return (news_flat(spark, sf_dir, numbered=numbered)
             .join(items, F.col("o_orderkey") == F.col("l_orderkey"), "left")
             .drop("l_orderkey"))
 
 
+def news_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vendor feed (no file date, no numbering): flat fields plus arrays."""
+    return news(spark, sf_dir, numbered=False).drop("file_date", "o_orderkey")
+
+
 NEWS_SQL = """news AS (
     SELECT CAST(o_orderdate AS DATE) AS file_date,
            o_orderkey,

@@ -20,6 +20,8 @@ from candleworks.functions import times, uuid_key
 from candleworks.operators.dimensions import SOURCE, TOPIC
 
 INSERT_LAG_DAYS = 2
+# A total order of the items of one day (the feed's own order is not kept by files).
+FEED_ORDER = ("time_published", "url", "title")
 
 
 def insert_date(file_date: Column | str = "file_date") -> Column:
@@ -136,7 +138,7 @@ def day_slice(news: DataFrame, limit: int = 1000, lag_days: int = 2) -> DataFram
     rows = (news.withColumn("_pub", pub).withColumn("extract_day", day)
             .where((F.col("_pub") >= F.col("extract_day").cast("timestamp")) &
                    (F.col("_pub") < F.date_add("extract_day", 1).cast("timestamp"))))
-    top = top_k_within(rows, ["extract_day"], [F.col("time_published"), F.col("url")], limit)
+    top = top_k_within(rows, ["extract_day"], [F.col(c) for c in FEED_ORDER], limit)
     return top.select(
         F.date_add("extract_day", lag_days).alias("run_date"),
         F.date_sub(F.date_add("extract_day", lag_days), lag_days).alias("extract_day"),

@@ -20,6 +20,7 @@ from candleworks import schemas
 from candleworks.fixtures import CANDLES_SQL, ITEMS_SQL, NEWS_SQL, SCREENER_SQL
 from candleworks.operators import models, quality
 from candleworks.operators import news as ns
+from candleworks.plans import landing_jobs
 from candleworks.plans.warehouse import Warehouse
 from candleworks.sinks import tables as sink_tables
 from candleworks.streaming import incremental
@@ -243,7 +244,8 @@ for _col, _dim in (("Country", dm.COUNTRY), ("Sector", dm.SECTOR), ("Industry",
 @query("exchange_seed", """SELECT exchange_id, exchange_name FROM
   (SELECT CAST(n_nationkey + 1 AS SMALLINT) AS exchange_id, n_name AS exchange_name FROM nation)
 WHERE exchange_id >= 4
-UNION ALL SELECT * FROM (VALUES (1, 'nasdaq'), (2, 'nyse'), (3, 'amex')) v(exchange_id, exchange_name)""")
+UNION ALL SELECT CAST(exchange_id AS SMALLINT), exchange_name
+          FROM (VALUES (1, 'nasdaq'), (2, 'nyse'), (3, 'amex')) v(exchange_id, exchange_name)""")
 def exchange_seed(spark, sf_dir):
     """Reseed the exchange dimension (delete ids < 4, insert the fixed three)."""
     return dm.reseed_exchanges(fx.current_exchange_dim(spark, sf_dir))
@@ -590,14 +592,16 @@ def news_json_roundtrip(spark, sf_dir):
 
 
 @query("land_news", f"""WITH {NEWS_SQL}, {ITEMS_SQL},
-agg AS (SELECT l_orderkey, count(*) AS n FROM items GROUP BY l_orderkey)
+agg AS (SELECT l_orderkey, count(*) AS n FROM items GROUP BY l_orderkey),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY file_date ORDER BY time_published, url, title) AS rk FROM news)
 SELECT CAST(n.file_date AS VARCHAR) AS file_date, 'news_' || CAST(n.file_date AS VARCHAR) || '.json' AS object,
-       n.in_date_id, n.title, agg.n AS n_topics, agg.n AS n_tickers
-FROM news n LEFT JOIN agg ON agg.l_orderkey = n.o_orderkey""")
+       n.rk - 1 AS in_date_id, n.title, agg.n AS n_topics, agg.n AS n_tickers
+FROM ranked n LEFT JOIN agg ON agg.l_orderkey = n.o_orderkey WHERE n.rk <= 1000""")
 def land_news(spark, sf_dir):
-    """Land numbered news as one NDJSON object per day, read it back."""
+    """Each day's extraction slice (at most 1,000 items),
+    numbered in the feed order, landed as one NDJSON object per day, read back."""
     base = _session.scratch_path(spark, "land-news", unique=True)
-    landing_sink.write_daily_json(fx.news(spark, sf_dir).drop("o_orderkey"), base, "news", "file_date")
+    landing_jobs.land_news(fx.news_feed(spark, sf_dir), base, limit=1000)
     back = landing_src.read_news(spark, base)
     return back.select(d2s("file_date").alias("file_date"), "object", "in_date_id", "title",
                        F.when(F.col("topics").isNotNull(), F.size("topics")).cast("long").alias("n_topics"),
@@ -612,7 +616,9 @@ FROM candles""")
 def land_candles(spark, sf_dir):
     """Land daily bars as one NDJSON object per day, read back."""
     base = _session.scratch_path(spark, "land-candles", unique=True)
-    landing_sink.write_daily_json(bars.to_landing_rows(fx.candles(spark, sf_dir)), base, "OHCL", "trade_date")
+    landing_jobs.land_candles(fx.table(spark, sf_dir, "events"), base, symbol=fx.symbol_of("user_id"),
+                              ts="ts", price="value", size=F.round(F.col("value") * 100).cast("bigint"),
+                              tiebreak="event_id")
     back = landing_src.read_candles(spark, base)
     return back.select("ticker", d2s("file_date").alias("file_date"), "object", "o", "h", "l", "c", "v",
                        r6("vwap").alias("vwap"), "time", "trans")
@@ -790,9 +796,10 @@ def landing_audit(spark, sf_dir):
 
 @query("insert_select", OHCL_INDICATOR_SQL)
 def insert_select(spark, sf_dir):
-    """Write the indicator to its table by column name,
-    twice (a re-run replaces its date partition), plus an insert-select of a model
-    into a table; read the table back."""
+    """Write the indicator to its table by column name
+    (partitioned by date, sorted by the sort key), twice - a re-run replaces its
+    date partition; skip the write when there is nothing to write; expose the
+    table as a model (view) and insert-select it into another table; read back."""
     wh = Warehouse(spark, _session.scratch_path(spark, "insert-select", unique=True))
     sink_tables.create_if_missing(spark, wh.path("ohcl_indicator"), "ohcl_indicator")
     rows = indicators.ohcl_indicator(_candles(spark, sf_dir))
@@ -822,8 +829,9 @@ def _init_schema_sql() -> str:
 
 @query("init_schema", _init_schema_sql())
 def init_schema(spark, sf_dir):
-    """Create the 16 tables, reseed exchanges, load the dimensions and
-    symbols from the screener (twice: the loads are re-runnable); list the catalog."""
+    """Create the 16 tables, reseed exchanges, append unseen
+    dimension members (column subset + generated key) and symbols from the
+    screener - twice, the loads are re-runnable; list the catalog with row counts."""
     wh = Warehouse(spark, _session.scratch_path(spark, "init-schema", unique=True))
     scr = fx.screener(spark, sf_dir)
     for _ in range(2):
