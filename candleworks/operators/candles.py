@@ -80,6 +80,13 @@ def new_dates_only(incoming: DataFrame, loaded: DataFrame) -> DataFrame:
             .join(done, F.col("_day") == F.col("_done"), "left_anti").drop("_day"))
 
 
+def first_stamp(t: str = "t"):
+    """Earliest epoch-ms stamp of a group, as text. The minimum is taken over the
+    number (a hash aggregate with a map-side partial; a minimum over text would
+    need a sort-based aggregate that sorts every input row first)."""
+    return F.min(F.col(t).try_cast("bigint")).cast("string")
+
+
 def _fact(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c) for c in FACT_COLS])
 
@@ -87,7 +94,7 @@ def _fact(df: DataFrame) -> DataFrame:
 def fill_day(day: DataFrame, dim: DataFrame, prior: DataFrame) -> DataFrame:
     """One day's load: traded known symbols, plus untraded symbols filled from
     ``prior`` (one candle per symbol, e.g. the fact's nearest earlier date)."""
-    day_t = day.agg(F.min("t")).scalar()
+    day_t = day.agg(first_stamp()).scalar()
     d = day.agg(F.max("trade_date")).scalar()
     traded = day.join(dim.select("stock_symbol"), "stock_symbol", "left_semi")
     missing = untraded(day, dim)
@@ -137,13 +144,13 @@ def carry_forward(bars: DataFrame, dim: DataFrame, seed: DataFrame | None = None
     all_days = bars.select("trade_date", "t")
     if days is not None:
         all_days = all_days.unionByName(days.select("trade_date", "t"))
-    days = all_days.groupBy("trade_date").agg(F.min("t").alias("_day_t"))
+    days = all_days.groupBy("trade_date").agg(first_stamp().alias("_day_t"))
     if seed is not None:
         seed_rows = seed.select("stock_symbol", "trade_date", "o", "h", "l", "c", "v",
                                 F.col("Trans").cast("bigint").alias("trans"), "t", "vwap",
                                 F.lit(1).alias("_kind"), F.lit(True).alias("_seed"))
         rows = rows.unionByName(seed_rows)
-        days = days.unionByName(seed.groupBy("trade_date").agg(F.min("t").alias("_day_t")))
+        days = days.unionByName(seed.groupBy("trade_date").agg(first_stamp().alias("_day_t")))
     last_day = days.agg(F.max("trade_date")).scalar()
     # Trading days are bounded by the calendar (about 250 a year), so broadcasting
     # them is safe at any data volume.
