@@ -93,11 +93,15 @@ SCREENER_SQL = """screener AS (
 
 
 def current_exchange_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An exchange dimension as found before reseeding: one member per nation
-    (id = nationkey + 1), so ids 1..3 are replaced and the rest kept."""
-    return table(spark, sf_dir, "nation").select(
-        (F.col("n_nationkey") + 1).cast("short").alias("exchange_id"),
-        F.col("n_name").alias("exchange_name"))
+    """An exchange dimension as found before reseeding, derived from the listed
+    suppliers: one member per supplier nation (id = nationkey + 1), so ids 1..3
+    are replaced and the rest kept."""
+    s = table(spark, sf_dir, "supplier").select("s_nationkey")
+    n = table(spark, sf_dir, "nation")
+    return (s.join(n, s.s_nationkey == n.n_nationkey, "inner")
+            .select((F.col("n_nationkey") + 1).cast("short").alias("exchange_id"),
+                    F.col("n_name").alias("exchange_name"))
+            .distinct())
 
 
 # ---- news ------------------------------------------------------------------------

@@ -264,3 +264,19 @@ def test_carry_forward_plan_has_one_wide_shuffle(spark):
     rows = cd.carry_forward(b, dim).collect()
     assert [(str(r.trade_date), r.c) for r in sorted(rows, key=lambda r: r.trade_date)] == [
         ("2024-01-01", 1.0), ("2024-01-03", 2.0)]
+
+
+def test_daily_step_takes_the_newest_object_once(spark, days):
+    from candleworks.plans import daily
+    from candleworks.sinks import landing as landing_sink
+    from candleworks.streaming import incremental
+
+    base = S.scratch_path(spark, "t-land", unique=True)
+    land = _landing(spark, [r for d in days[:3] for r in d]).withColumnRenamed("file_date", "day")
+    landing_sink.write_daily_json(land, base, "OHCL", "day")
+    incremental.order_landing_by_day(spark, base)
+    wh = Warehouse(spark, S.scratch_path(spark, "t-dailywh", unique=True))
+    _symbols(spark, wh, ["A", "B", "C"])
+    assert daily.load_newest_candles(wh, base) == D(2024, 1, 3)
+    assert daily.load_newest_candles(wh, base) is None          # loaded already
+    assert sorted((r.stock_symbol, r.c) for r in wh.read("candles_FACT").collect()) == [("C", 5.0)]
