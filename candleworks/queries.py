@@ -881,7 +881,7 @@ def incremental_news(spark, sf_dir):
     wh.load_dimensions(scr)
     wh.load_stock_symbols(scr)
     landing = fx.news_landing(spark, sf_dir)
-    incremental.ingest_news(spark, wh, landing, checkpoint=wh.root + "/_checkpoints/news", max_files=512)
+    incremental.ingest_news(spark, wh, landing, checkpoint=wh.root + "/_checkpoints/news", max_files=1024)
     return _news_dim_out(wh.read("news_DIM"))
 
 

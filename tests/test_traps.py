@@ -280,3 +280,36 @@ def test_daily_step_takes_the_newest_object_once(spark, days):
     assert daily.load_newest_candles(wh, base) == D(2024, 1, 3)
     assert daily.load_newest_candles(wh, base) is None          # loaded already
     assert sorted((r.stock_symbol, r.c) for r in wh.read("candles_FACT").collect()) == [("C", 5.0)]
+
+
+def test_stream_late_file_and_malformed_line(spark, days):
+    """Days 1, 2, 4 are streamed; day 3 lands later (plus a malformed line). The
+    stream's second run recomputes day 4's fills; the fact equals the backfill."""
+    import os
+
+    from candleworks.sinks import landing as landing_sink
+    from candleworks.streaming import incremental
+
+    base = S.scratch_path(spark, "t-stream-land", unique=True)
+
+    def land(rows):
+        df = _landing(spark, rows).withColumnRenamed("file_date", "day")
+        landing_sink.write_daily_json(df, base, "OHCL", "day", mode="append")
+
+    first = [r for i in (0, 1, 3) for r in days[i] if r[0] != "A" or i != 3]
+    land(first)
+    wh = Warehouse(spark, S.scratch_path(spark, "t-stream-wh", unique=True))
+    _symbols(spark, wh, ["A", "B", "C", "D"])
+    ckpt = wh.root + "/_ckpt"
+    incremental.ingest_candles(spark, wh, base, ckpt, quarantine_dir=wh.root + "/_q", max_files=1)
+    land(days[2])
+    junk_dir = base.replace("file:", "") + "/object=OHCL_2024-01-03.json"
+    with open(os.path.join(junk_dir, "part-99999-junk.json"), "w") as fh:
+        fh.write('{"ticker": "B", "o": 1.0, "time": \n')
+    incremental.ingest_candles(spark, wh, base, ckpt, quarantine_dir=wh.root + "/_q", max_files=1)
+
+    ref = Warehouse(spark, S.scratch_path(spark, "t-stream-ref", unique=True))
+    _symbols(spark, ref, ["A", "B", "C", "D"])
+    ref.load_candles(_landing(spark, first + days[2]))
+    assert _fact_rows(wh) == _fact_rows(ref)
+    assert ("A", "2024-01-04", 3.0, 0, 0) in _fact_rows(wh)
