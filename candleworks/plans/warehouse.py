@@ -139,6 +139,36 @@ class Warehouse:
         rows = indicators.ohcl_indicator(self.read("candles_FACT"))
         self.replace_partitions("ohcl_indicator", rows)
 
+    # ---- F1 F2 F3 / B13: moving averages and the calendar ----------------------------
+    def compute_moving_averages(self, since=None, short: int = 3, long: int = 5,
+                                volume: int = 5) -> None:
+        """Fill shot_MA, long_MA and avg_volume for the trading days from ``since``
+        (default: all). Each needs the previous ``n - 1`` trading days of history,
+        so the fact is read from the earliest such day on (a partition filter), and
+        only days >= ``since`` are written (their partitions replaced)."""
+        fact = self.read("candles_FACT")
+        widest = max(short, long, volume)
+        if since is None:
+            start, rows = None, fact
+        else:
+            start = F.lit(since).cast("date")
+            back = (fact.where(F.col("trade_date") < start).select("trade_date").distinct()
+                    .orderBy(F.col("trade_date").desc()).limit(widest - 1)
+                    .agg(F.min("trade_date")).scalar())
+            rows = fact.where(F.col("trade_date") >= F.coalesce(back, start))
+        rows = _materialized(rows.select("stock_symbol", "t", "c", "v", "trade_date"))
+
+        def keep(df, col="trade_date"):
+            return df if start is None else df.where(F.col(col) >= start)
+
+        self.replace_partitions("shot_MA", keep(indicators.moving_average(rows, "c", short)))
+        self.replace_partitions("long_MA", keep(indicators.moving_average(rows, "c", long)))
+        self.replace_partitions("avg_volume", keep(indicators.avg_volume(rows, volume), "date"))
+
+    def build_calendar(self) -> None:
+        """date_DIM over the fact's first..last trade date (whole table, swapped in)."""
+        self.replace_table("date_DIM", dm.calendar(self.read("candles_FACT")))
+
     # ---- M6: news -----------------------------------------------------------------
     def load_news(self, news: DataFrame) -> None:
         """Sources, topics, news items and both sentiment facts for the given items

@@ -73,12 +73,14 @@ TABLES: dict[str, dict] = {
     "new_sentiment_industry_FACT": dict(schema=_schema(
         ("insert_date", D), ("in_date_id", U32), ("topic_id", S), ("sentiment_score", F32)),
         sort=["insert_date", "in_date_id", "topic_id"], partition="insert_date"),
-    "shot_MA": dict(schema=_schema(("stock_symbol", S), ("t", S), ("ma", F64)),
-                    sort=["stock_symbol", "t"]),
-    "long_MA": dict(schema=_schema(("stock_symbol", S), ("t", S), ("ma", F64)),
-                    sort=["stock_symbol", "t"]),
+    # The moving-average tables carry the fact's trade_date as partition column so
+    # that a daily run replaces only the days it computes.
+    "shot_MA": dict(schema=_schema(("stock_symbol", S), ("t", S), ("ma", F64), ("trade_date", D)),
+                    sort=["stock_symbol", "t"], partition="trade_date"),
+    "long_MA": dict(schema=_schema(("stock_symbol", S), ("t", S), ("ma", F64), ("trade_date", D)),
+                    sort=["stock_symbol", "t"], partition="trade_date"),
     "avg_volume": dict(schema=_schema(("stock_symbol", S), ("date", D), ("sliding_avg", F32)),
-                       sort=["stock_symbol", "date"]),
+                       sort=["stock_symbol", "date"], partition="date"),
     "ohcl_indicator": dict(schema=_schema(
         ("stock_symbol", S), ("date", S), ("delta", F64), ("sliding_avg_3", F64),
         ("sliding_avg_5", F64)), sort=["date"], partition="date"),

@@ -313,3 +313,26 @@ def test_stream_late_file_and_malformed_line(spark, days):
     ref.load_candles(_landing(spark, first + days[2]))
     assert _fact_rows(wh) == _fact_rows(ref)
     assert ("A", "2024-01-04", 3.0, 0, 0) in _fact_rows(wh)
+
+
+def test_moving_average_tables_incremental_equal_full(spark, days):
+    wh = Warehouse(spark, S.scratch_path(spark, "t-ma", unique=True))
+    _symbols(spark, wh, ["A", "B", "C", "D"])
+    for d in days[:2]:
+        wh.load_candles(_landing(spark, d))
+    wh.compute_moving_averages()
+    for d in days[2:]:
+        wh.load_candles(_landing(spark, d))
+    wh.compute_moving_averages(since=D(2024, 1, 3))
+    fact = wh.read("candles_FACT")
+    for table, n, col in (("shot_MA", 3, "c"), ("long_MA", 5, "c")):
+        want = sorted((r.stock_symbol, r.t, round(r.ma, 6))
+                      for r in indicators.moving_average(fact, col, n).collect())
+        got = sorted((r.stock_symbol, r.t, round(r.ma, 6)) for r in wh.read(table).collect())
+        assert got == want, table
+    vol = sorted((r.stock_symbol, r.date, round(r.sliding_avg, 3)) for r in wh.read("avg_volume").collect())
+    assert vol == sorted((r.stock_symbol, r.date, round(r.sliding_avg, 3))
+                         for r in indicators.avg_volume(fact, 5).collect())
+    wh.build_calendar()
+    assert [r.date_id for r in wh.read("date_DIM").orderBy("date_id").collect()] == [
+        "20240101", "20240102", "20240103", "20240104"]
