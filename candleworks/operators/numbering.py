@@ -28,16 +28,19 @@ def number_within(df: DataFrame, group_cols: list[str], order_cols: list[str], o
     """Add ``out`` = 0-based position of the row in its group under ``order_cols``.
     ``order_cols`` must be a total order within a group (ties would be numbered
     arbitrarily)."""
-    if largest_group(df, group_cols) <= max_group_rows:
+    largest = largest_group(df, group_cols)
+    if largest <= max_group_rows:
         w = Window.partitionBy(*group_cols).orderBy(*order_cols)
         return df.withColumn(out, (F.row_number().over(w) - 1).cast("long"))
-    return sliced_number_within(df, group_cols, order_cols, out, slices)
+    # Enough slices that the largest group spreads over pieces of ~max_group_rows/2.
+    need = -(-2 * largest // max_group_rows)
+    return sliced_number_within(df, group_cols, order_cols, out, slices or need)
 
 
 def sliced_number_within(df: DataFrame, group_cols: list[str], order_cols: list[str], out: str,
                          slices: int | None = None) -> DataFrame:
     spark = df.sparkSession
-    n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = max(slices or 0, int(spark.conf.get("spark.sql.shuffle.partitions")))
     keys = [*group_cols, *order_cols]
     ranged = (df.repartitionByRange(n, *keys)
               .withColumn("_slice", F.spark_partition_id())

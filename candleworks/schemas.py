@@ -86,9 +86,6 @@ TABLES: dict[str, dict] = {
         ("sliding_avg_5", F64)), sort=["date"], partition="date"),
 }
 
-# Contract column order of the candle fact (writes bind by name, never by position).
-CANDLE_COLUMNS = [f.name for f in TABLES["candles_FACT"]["schema"].fields]
-
 
 def schema_of(table: str) -> T.StructType:
     return TABLES[table]["schema"]

@@ -8,7 +8,6 @@ that setting is missing (a laptop, a test) does :func:`get_session` pick one.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -98,15 +97,6 @@ def _looks_like_app_leaf(path: str) -> bool:
         return False
 
 
-def local_path(path: str) -> str | None:
-    """Filesystem path for ``file:`` URIs (used only by tests and fixtures)."""
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    if path.startswith("/"):
-        return path
-    return None
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through Spark's file system layer (works on any store)."""
     jvm = spark.sparkContext._jvm
@@ -136,9 +126,3 @@ def set_mtime(spark: SparkSession, path: str, millis: int) -> None:
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     fs.setTimes(p, int(millis), -1)
 
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default

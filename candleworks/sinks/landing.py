@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from candleworks.functions import times
 
@@ -36,7 +35,3 @@ def write_screener_csv(screener: DataFrame, base: str, file_col: str = "object",
      .option("header", True).option("nullValue", null_word)
      .partitionBy(file_col).csv(base))
 
-
-def day_object_date(object_col: str = "object"):
-    """Trade/file date of a landing object (characters 6..15 of its name)."""
-    return times.object_date(F.col(object_col))
