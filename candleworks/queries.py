@@ -747,14 +747,21 @@ def _not_null_sql(model, rel, cols):
         f"CAST(sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS failures FROM {rel}" for c in cols)
 
 
-@query("data_test_not_null", f"""WITH {CANDLES_SQL}, {SCREENER_SQL}
+@query("data_test_not_null", f"""WITH {CANDLES_SQL}, {SCREENER_SQL},
+ids AS (SELECT {uuid_key_sql('country_DIM', "coalesce(Country, 'unpredict')")} AS country_id,
+               {uuid_key_sql('sector_DIM', "coalesce(Sector, 'unpredict')")} AS sector_id,
+               {uuid_key_sql('industry_DIM', "coalesce(Industry, 'unpredict')")} AS industry_id FROM screener)
 {_not_null_sql('candles_FACT', 'candles', ['o', 'h', 'l', 'c', 'v', 'vwap', 't'])}
-UNION ALL {_not_null_sql('screener', 'screener', ['Symbol', 'Country', 'Sector', 'Industry'])}""")
+UNION ALL {_not_null_sql('screener', 'screener', ['Symbol', 'Country', 'Sector', 'Industry'])}
+UNION ALL {_not_null_sql('stock_symbol_DIM', 'ids', ['country_id', 'sector_id', 'industry_id'])}""")
 def data_test_not_null(spark, sf_dir):
-    """``not_null`` tests, all columns of a relation in one scan."""
+    """``not_null`` tests, all columns of a relation in one scan
+    (a member id left null by a failed lookup is reported, never written as text)."""
     return quality.run_data_tests([
         ("candles_FACT", _candles(spark, sf_dir), "not_null", ["o", "h", "l", "c", "v", "vwap", "t"]),
         ("screener", fx.screener(spark, sf_dir), "not_null", ["Symbol", "Country", "Sector", "Industry"]),
+        ("stock_symbol_DIM", fx.symbol_dim(spark, sf_dir), "not_null",
+         ["country_id", "sector_id", "industry_id"]),
     ])
 
 

@@ -336,3 +336,9 @@ def test_moving_average_tables_incremental_equal_full(spark, days):
     wh.build_calendar()
     assert [r.date_id for r in wh.read("date_DIM").orderBy("date_id").collect()] == [
         "20240101", "20240102", "20240103", "20240104"]
+
+
+def test_t19_empty_fact_gives_empty_indicator(spark):
+    empty = bars(spark, [("A", D(2024, 1, 1), 1)]).where("false")
+    assert indicators.ohcl_indicator(empty).collect() == []
+    assert indicators.latest_trade_date(empty).collect()[0].max_date is None
