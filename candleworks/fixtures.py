@@ -250,7 +250,7 @@ def candle_landing(spark: SparkSession, sf_dir: str) -> str:
     """``OHCL_<day>.json`` objects, one per trading day, as the vendor step lands them."""
     from candleworks.sinks import landing
     rows = bars.to_landing_rows(candles(spark, sf_dir))
-    return _once(spark, sf_dir, "polygon",
+    return _once(spark, sf_dir, "candles",
                  lambda p: landing.write_daily_json(rows, p, "OHCL", "trade_date"))
 
 
@@ -258,5 +258,5 @@ def news_landing(spark: SparkSession, sf_dir: str) -> str:
     """``news_<day>.json`` objects, one per file day."""
     from candleworks.sinks import landing
     rows = news(spark, sf_dir).drop("o_orderkey")
-    return _once(spark, sf_dir, "news-data",
+    return _once(spark, sf_dir, "news",
                  lambda p: landing.write_daily_json(rows, p, "news", "file_date"))

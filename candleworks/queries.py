@@ -795,8 +795,8 @@ def landing_audit(spark, sf_dir):
     """A10 A4 A5 A9 M10 (rows only): per landing object its date, files, bytes and
     rows, and which object is the newest."""
     parts = []
-    for bucket, path in (("polygon", fx.candle_landing(spark, sf_dir)),
-                         ("news-data", fx.news_landing(spark, sf_dir))):
+    for bucket, path in (("candles", fx.candle_landing(spark, sf_dir)),
+                         ("news", fx.news_landing(spark, sf_dir))):
         listing = landing_src.objects(spark, path)
         newest = landing_src.newest_object(listing).select(F.col("object").alias("_newest"))
         parts.append(listing.join(F.broadcast(newest), F.col("object") == F.col("_newest"), "left")
