@@ -107,7 +107,8 @@ def last_n_dates(candles: DataFrame, n: int) -> DataFrame:
 
 def avg_close_last_n_days(candles: DataFrame, windows: tuple[int, ...] = (3, 5)) -> DataFrame:
     """What the "sliding" averages evidently meant: average close per symbol over the
-    last n trading dates, for each n, in one scan."""
+    last n trading dates, for each n, in one scan of the fact. Each cut-off date is a
+    small scalar subquery (distinct dates, top-n) that reads only the partition column."""
     widest = max(windows)
     since = {n: last_n_dates(candles, n).agg(F.min("d")).scalar() for n in windows}
     c = F.col("c").cast("double")
