@@ -51,3 +51,20 @@ def run_data_tests(spec: list[tuple[str, DataFrame, str, list[str]]]) -> DataFra
         else:
             raise ValueError(f"unknown test {test}")
     return reduce(DataFrame.unionByName, parts)
+
+
+def tests_from_spec(spark, spec: dict | str) -> DataFrame:
+    """Run the generic tests declared in a models spec - the nested shape
+    ``{"models": [{"name": m, "columns": [{"name": c, "data_tests": ["unique",
+    "not_null"]}]}]}`` - against the relations registered under the model names.
+    ``spec`` may also be the YAML text of such a file (needs PyYAML)."""
+    if isinstance(spec, str):
+        import yaml  # optional dependency, only for YAML text
+        spec = yaml.safe_load(spec)
+    plan = []
+    for model in spec.get("models", []):
+        rel = spark.table(model["name"])
+        for column in model.get("columns", []):
+            for test in column.get("data_tests", column.get("tests", [])):
+                plan.append((model["name"], rel, test, [column["name"]]))
+    return run_data_tests(plan)

@@ -342,3 +342,15 @@ def test_t19_empty_fact_gives_empty_indicator(spark):
     empty = bars(spark, [("A", D(2024, 1, 1), 1)]).where("false")
     assert indicators.ohcl_indicator(empty).collect() == []
     assert indicators.latest_trade_date(empty).collect()[0].max_date is None
+
+
+def test_tests_from_spec_matches_starter_expectations(spark):
+    models.materialize_view(models.starter_model(spark), "my_first_dbt_model")
+    models.materialize_view(models.filtered_model(spark, "my_first_dbt_model", "id = 1"),
+                            "my_second_dbt_model")
+    spec = {"models": [
+        {"name": "my_first_dbt_model", "columns": [{"name": "id", "data_tests": ["unique", "not_null"]}]},
+        {"name": "my_second_dbt_model", "columns": [{"name": "id", "data_tests": ["unique", "not_null"]}]}]}
+    got = sorted((r.model, r.test, r.failures) for r in quality.tests_from_spec(spark, spec).collect())
+    assert got == [("my_first_dbt_model", "not_null", 1), ("my_first_dbt_model", "unique", 0),
+                   ("my_second_dbt_model", "not_null", 0), ("my_second_dbt_model", "unique", 0)]
