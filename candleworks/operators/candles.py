@@ -52,6 +52,15 @@ def accepted(bars: DataFrame, dim: DataFrame) -> DataFrame:
     return _with_reason(bars, dim).where(F.col("reason").isNull()).drop("reason")
 
 
+def landed_days(bars: DataFrame) -> DataFrame:
+    """(trade_date, t) of every row with a usable date that matches its object's
+    date, whatever the ticker: a day whose file holds only unknown tickers is still
+    a trading day on which known symbols get carried forward."""
+    ok = F.col("trade_date").isNotNull() & (
+        F.col("file_date").isNull() | (F.col("file_date") == F.col("trade_date")))
+    return bars.where(ok).select("trade_date", "t")
+
+
 def right_join_dim(day: DataFrame, dim: DataFrame) -> DataFrame:
     """Every symbol of the dimension with its bar of the day (null if it did not
     trade); bars of unknown tickers drop out. Written as dim LEFT JOIN bars."""

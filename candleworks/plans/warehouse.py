@@ -106,13 +106,14 @@ class Warehouse:
         recomputed, so late files never leave stale fills behind."""
         dim = self.read("stock_symbol_DIM").select("stock_symbol")
         fact = self.read("candles_FACT")
-        bars = cd.new_dates_only(cd.with_trade_date(landing_rows), fact)
+        incoming = cd.new_dates_only(cd.with_trade_date(landing_rows), fact)
         if quarantine_dir:
-            self._quarantine(cd.quarantine(bars, dim), quarantine_dir)
-        bars = cd.accepted(bars, dim)
-        if bars.isEmpty():  # nothing new: leave every table as it is
+            self._quarantine(cd.quarantine(incoming, dim), quarantine_dir)
+        new_days = cd.landed_days(incoming)
+        if new_days.isEmpty():  # nothing new: leave every table as it is
             return
-        first_new = bars.agg(F.min("trade_date")).scalar()
+        bars = cd.accepted(incoming, dim)
+        first_new = new_days.agg(F.min("trade_date")).scalar()
         seed_day = fact.where(F.col("trade_date") < first_new).agg(F.max("trade_date")).scalar()
         seed = fact.where(F.col("trade_date") == seed_day)
         # Traded rows of already-loaded later days take part in the recompute
@@ -120,8 +121,8 @@ class Warehouse:
         later = (fact.where((F.col("trade_date") >= first_new) & (F.col("Trans") > 0))
                  .withColumnRenamed("Trans", "trans"))
         todo = bars.select(*later.columns).unionByName(later)
-        loaded_days = fact.where(F.col("trade_date") >= first_new).select("trade_date", "t")
-        out = _materialized(cd.carry_forward(todo, dim, seed=seed, days=loaded_days))
+        days = new_days.unionByName(fact.where(F.col("trade_date") >= first_new).select("trade_date", "t"))
+        out = _materialized(cd.carry_forward(todo, dim, seed=seed, days=days))
         self.replace_partitions("candles_FACT", out)
 
     @staticmethod

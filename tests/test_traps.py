@@ -354,3 +354,11 @@ def test_tests_from_spec_matches_starter_expectations(spark):
     got = sorted((r.model, r.test, r.failures) for r in quality.tests_from_spec(spark, spec).collect())
     assert got == [("my_first_dbt_model", "not_null", 1), ("my_first_dbt_model", "unique", 0),
                    ("my_second_dbt_model", "not_null", 0), ("my_second_dbt_model", "unique", 0)]
+
+
+def test_day_with_only_unknown_tickers_still_fills(spark):
+    wh = Warehouse(spark, S.scratch_path(spark, "t-unknown-day", unique=True))
+    _symbols(spark, wh, ["A"])
+    wh.load_candles(_landing(spark, [("A", "2024-01-01", 1.0, _ms("2024-01-01"))]))
+    wh.load_candles(_landing(spark, [("ZZZ", "2024-01-02", 9.0, _ms("2024-01-02"))]))
+    assert _fact_rows(wh) == [("A", "2024-01-01", 1.0, 100, 1), ("A", "2024-01-02", 1.0, 0, 0)]
