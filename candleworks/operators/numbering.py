@@ -58,13 +58,30 @@ def sliced_number_within(df: DataFrame, group_cols: list[str], order_cols: list[
 
 
 def top_k_within(df: DataFrame, group_cols: list[str], order_cols: list, k: int,
-                 salt_buckets: int = 64) -> DataFrame:
-    """The first ``k`` rows of each group (``rank <= k``) without sending a hot group
-    through one task: each of ``salt_buckets`` sub-groups keeps its own first k,
-    then the at most ``k * salt_buckets`` survivors per group are ranked again."""
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salt_buckets)))
-    w1 = Window.partitionBy(*group_cols, "_salt").orderBy(*order_cols)
-    pre = salted.withColumn("_r", F.row_number().over(w1)).where(F.col("_r") <= k)
-    w2 = Window.partitionBy(*group_cols).orderBy(*order_cols)
-    return (pre.withColumn("_r", F.row_number().over(w2)).where(F.col("_r") <= k)
-            .drop("_salt", "_r"))
+                 max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+    """The first ``k`` rows of each group under ``order_cols`` (a total order),
+    without sending a hot group through one task.
+
+    Level 0 keeps the first k rows of each group within each input split (the split
+    is the salt, so every piece is bounded by the split size). While some group
+    still has more than ``max_group_rows`` survivors, survivors are re-salted by a
+    hash into enough buckets and reduced again (each level shrinks a group by
+    about piece size / k). The last level ranks each group's survivors once.
+    Every row gets exactly one salt per level, so the result is exact."""
+    def keep_first_k(frame: DataFrame) -> DataFrame:
+        w = Window.partitionBy(*group_cols, "_salt").orderBy(*order_cols)
+        return frame.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).drop("_r", "_salt")
+
+    cur = keep_first_k(df.withColumn("_salt", F.spark_partition_id()))
+    largest = largest_group(cur, group_cols)
+    # A level keeps at most buckets * k rows of a group, so it only helps while
+    # pieces of max_group_rows hold many more than k rows; stop once it cannot shrink.
+    while largest > max_group_rows and 2 * k <= max_group_rows:
+        buckets = -(-largest // max_group_rows)
+        if buckets * k >= largest:
+            break
+        cur = cur.checkpoint(eager=True)  # each level is computed once
+        cur = keep_first_k(cur.withColumn("_salt", F.pmod(F.xxhash64(*cur.columns), F.lit(buckets))))
+        largest = largest_group(cur, group_cols)
+    w = Window.partitionBy(*group_cols).orderBy(*order_cols)
+    return cur.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).drop("_r")
