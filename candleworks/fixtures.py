@@ -191,9 +191,12 @@ def stored_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = _session.scratch_path(spark, "fixture-warehouse", spark.sparkContext.applicationId,
                                      _slug(sf_dir), "candles_FACT")
         if not _session.path_exists(spark, path + "/_SUCCESS"):
+            # A backfill mixes all days in every task: range-cluster by day first so
+            # each day is written by few tasks (few, larger files per partition).
             sink_tables.write_beside_then_swap(
                 candles(spark, sf_dir), path, partition_by="trade_date",
-                sort_by=["t", "stock_symbol"])
+                sort_by=["t", "stock_symbol"],
+                range_partitions=spark.sparkContext.defaultParallelism)
         _BUILT[key] = path
     return spark.read.parquet(path)
 
