@@ -362,3 +362,17 @@ def test_day_with_only_unknown_tickers_still_fills(spark):
     wh.load_candles(_landing(spark, [("A", "2024-01-01", 1.0, _ms("2024-01-01"))]))
     wh.load_candles(_landing(spark, [("ZZZ", "2024-01-02", 9.0, _ms("2024-01-02"))]))
     assert _fact_rows(wh) == [("A", "2024-01-01", 1.0, 100, 1), ("A", "2024-01-02", 1.0, 0, 0)]
+
+
+def test_indicator_sql_text_equals_dataframe(spark):
+    from candleworks import fixtures as fx
+    from candleworks.plans.sql import OHCL_INDICATOR
+
+    fx.stored_candles(spark, "/root/testdata/sf0.001").createOrReplaceTempView("candles_FACT")
+    via_sql = spark.sql(OHCL_INDICATOR)
+    via_df = indicators.ohcl_indicator(fx.stored_candles(spark, "/root/testdata/sf0.001"))
+    norm = lambda df: sorted((r.stock_symbol, r.date, round(r.delta, 6), round(r.sliding_avg_3, 6),
+                              round(r.sliding_avg_5, 6)) for r in df.collect())
+    assert norm(via_sql) == norm(via_df) and len(norm(via_df)) == 13
+    plan = via_sql._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(trade_date" in plan
