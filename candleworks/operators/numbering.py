@@ -62,16 +62,20 @@ def top_k_within(df: DataFrame, group_cols: list[str], order_cols: list, k: int,
     """The first ``k`` rows of each group under ``order_cols`` (a total order),
     without sending a hot group through one task.
 
-    Level 0 keeps the first k rows of each group within each input split (the split
-    is the salt, so every piece is bounded by the split size). While some group
-    still has more than ``max_group_rows`` survivors, survivors are re-salted by a
-    hash into enough buckets and reduced again (each level shrinks a group by
-    about piece size / k). The last level ranks each group's survivors once.
-    Every row gets exactly one salt per level, so the result is exact."""
+    If the largest group fits one task (one aggregate tells), a plain window ranks
+    each group. Otherwise level 0 keeps the first k rows of each group within each
+    input split (the split is the salt, so every piece is bounded by the split
+    size). While some group still has more than ``max_group_rows`` survivors, they
+    are re-salted by a hash into enough buckets and reduced again (each level
+    shrinks a group by about piece size / k). The last level ranks each group's
+    survivors once. Every row gets exactly one salt per level: the result is exact."""
     def keep_first_k(frame: DataFrame) -> DataFrame:
         w = Window.partitionBy(*group_cols, "_salt").orderBy(*order_cols)
         return frame.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).drop("_r", "_salt")
 
+    w = Window.partitionBy(*group_cols).orderBy(*order_cols)
+    if largest_group(df, group_cols) <= max_group_rows:
+        return df.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).drop("_r")
     cur = keep_first_k(df.withColumn("_salt", F.spark_partition_id()))
     largest = largest_group(cur, group_cols)
     # A level keeps at most buckets * k rows of a group, so it only helps while
@@ -83,5 +87,4 @@ def top_k_within(df: DataFrame, group_cols: list[str], order_cols: list, k: int,
         cur = cur.checkpoint(eager=True)  # each level is computed once
         cur = keep_first_k(cur.withColumn("_salt", F.pmod(F.xxhash64(*cur.columns), F.lit(buckets))))
         largest = largest_group(cur, group_cols)
-    w = Window.partitionBy(*group_cols).orderBy(*order_cols)
     return cur.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).drop("_r")

@@ -376,3 +376,23 @@ def test_indicator_sql_text_equals_dataframe(spark):
     assert norm(via_sql) == norm(via_df) and len(norm(via_df)) == 13
     plan = via_sql._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(trade_date" in plan
+
+
+def test_a4_newest_object_tie_goes_to_first_listed(spark):
+    from candleworks.sinks import landing as landing_sink
+    from candleworks.sources import landing as landing_src
+
+    base = S.scratch_path(spark, "t-newest", unique=True)
+    rows = _landing(spark, [("A", d, 1.0, _ms(d)) for d in ("2024-01-01", "2024-01-02", "2024-01-03")])
+    landing_sink.write_daily_json(rows.withColumnRenamed("file_date", "day"), base, "OHCL", "day")
+    jvm = spark.sparkContext._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    it = fs.listFiles(jvm.org.apache.hadoop.fs.Path(base), True)
+    while it.hasNext():
+        p = it.next().getPath().toString()
+        if p.endswith(".json"):
+            S.set_mtime(spark, p, 1_000_000 if "2024-01-01" in p else 2_000_000)  # 01-02, 01-03 tie
+    listing = landing_src.objects(spark, base)
+    assert landing_src.newest_object(listing).first()["object"] == "OHCL_2024-01-02.json"
+    got = {r.object: (r.rows, str(r.file_date)) for r in listing.collect()}
+    assert got["OHCL_2024-01-03.json"] == (1, "2024-01-03")
