@@ -27,7 +27,6 @@ from candleworks.plans import landing_jobs
 from candleworks.plans.warehouse import Warehouse
 from candleworks.sinks import tables as sink_tables
 from candleworks.streaming import incremental
-from candleworks.sinks import landing as landing_sink
 from candleworks.sources import landing as landing_src
 from candleworks.functions import uuid_key_sql
 from candleworks.operators import candles as cd

@@ -15,7 +15,6 @@ with a partition filter, so a batch costs O(symbols + batch), never O(history).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from candleworks import schemas
 from candleworks.functions import times
