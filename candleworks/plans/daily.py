@@ -15,7 +15,7 @@ from candleworks.sources import landing
 def newest_day(wh: Warehouse, landing_dir: str):
     """(object name, date) of the most recently modified object, or None. The
     listing aggregates file metadata; only the one winning row reaches the driver."""
-    listing = landing.objects(wh.spark, landing_dir)
+    listing = landing.objects(wh.spark, landing_dir, with_rows=False)  # metadata only
     row = (landing.newest_object(listing)
            .join(listing.select("object", "file_date"), "object", "inner").first())
     return None if row is None or row["object"] is None else (row["object"], row["file_date"])
