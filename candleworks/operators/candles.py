@@ -131,8 +131,13 @@ def load_latest_day(bars: DataFrame, dim: DataFrame, history: DataFrame) -> Data
     return fill_day(day, dim, nearest_before(history, d))
 
 
+# Bars of one symbol and day above which identical copies are collapsed before the
+# per-symbol window (and expanded again after it).
+MAX_COPIES = 10_000
+
+
 def carry_forward(bars: DataFrame, dim: DataFrame, seed: DataFrame | None = None,
-                  days: DataFrame | None = None) -> DataFrame:
+                  days: DataFrame | None = None, max_copies: int = MAX_COPIES) -> DataFrame:
     """Last-observation-carried-forward fact for every known symbol and every
     trading day (a day some file exists for) from the symbol's first trade on.
 
@@ -144,12 +149,21 @@ def carry_forward(bars: DataFrame, dim: DataFrame, seed: DataFrame | None = None
     One shuffle by symbol does the work: grid cells (generated per symbol, no
     cross join) and bars are unioned and a single per-symbol window both carries
     the last trade forward and drops grid cells that a bar already covers. A
-    symbol's partition holds at most two rows per trading day.
+    symbol's partition holds one grid cell and the bars of each trading day; if
+    some symbol-day holds more than ``max_copies`` bars (copies of one bar, say),
+    identical bars are first counted (a map-side-combined aggregate) and the window
+    sees each distinct bar once; the copies are restored after it.
     """
+    from candleworks.operators.numbering import largest_group
     known = bars.join(dim.select("stock_symbol").distinct(), "stock_symbol", "left_semi")
     rows = known.select("stock_symbol", "trade_date", "o", "h", "l", "c", "v",
                         F.col("trans").cast("bigint").alias("trans"), "t", "vwap",
                         F.lit(1).alias("_kind"), F.lit(False).alias("_seed"))
+    collapse = largest_group(rows, ["stock_symbol", "trade_date"]) > max_copies
+    if collapse:
+        rows = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    else:
+        rows = rows.withColumn("_copies", F.lit(1).cast("long"))
     all_days = bars.select("trade_date", "t")
     if days is not None:
         all_days = all_days.unionByName(days.select("trade_date", "t"))
@@ -157,7 +171,8 @@ def carry_forward(bars: DataFrame, dim: DataFrame, seed: DataFrame | None = None
     if seed is not None:
         seed_rows = seed.select("stock_symbol", "trade_date", "o", "h", "l", "c", "v",
                                 F.col("Trans").cast("bigint").alias("trans"), "t", "vwap",
-                                F.lit(1).alias("_kind"), F.lit(True).alias("_seed"))
+                                F.lit(1).alias("_kind"), F.lit(True).alias("_seed"),
+                                F.lit(1).cast("long").alias("_copies"))
         rows = rows.unionByName(seed_rows)
         days = days.unionByName(seed.groupBy("trade_date").agg(first_stamp().alias("_day_t")))
     last_day = days.agg(F.max("trade_date")).scalar()
@@ -172,7 +187,8 @@ def carry_forward(bars: DataFrame, dim: DataFrame, seed: DataFrame | None = None
                       (("o", "double"), ("h", "double"), ("l", "double"), ("c", "double"),
                        ("v", "bigint"), ("trans", "bigint"))],
                     F.col("_day_t").alias("t"), F.lit(None).cast("double").alias("vwap"),
-                    F.lit(0).alias("_kind"), F.lit(False).alias("_seed")))
+                    F.lit(0).alias("_kind"), F.lit(False).alias("_seed"),
+                    F.lit(1).cast("long").alias("_copies")))
     cells = grid.unionByName(rows.select(*grid.columns))
     order = Window.partitionBy("stock_symbol").orderBy("trade_date", "_kind")
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -184,6 +200,8 @@ def carry_forward(bars: DataFrame, dim: DataFrame, seed: DataFrame | None = None
     is_gap = (F.col("_kind") == 0) & (F.col("_next_date").isNull() |
                                       (F.col("_next_date") != F.col("trade_date")))
     out = cells.where((is_bar | is_gap) & ~F.col("_seed"))
+    if collapse:  # restore every copy (a narrow step, no shuffle)
+        out = out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("_copy")
     last_c = F.col("_last.c")
     return out.select(
         "stock_symbol",

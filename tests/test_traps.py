@@ -396,3 +396,12 @@ def test_a4_newest_object_tie_goes_to_first_listed(spark):
     assert landing_src.newest_object(listing).first()["object"] == "OHCL_2024-01-02.json"
     got = {r.object: (r.rows, str(r.file_date)) for r in listing.collect()}
     assert got["OHCL_2024-01-03.json"] == (1, "2024-01-03")
+
+
+def test_carry_forward_collapses_copies_and_keeps_them(spark):
+    rows = [("A", D(2024, 1, 1), 1)] * 50 + [("A", D(2024, 1, 2), 2), ("B", D(2024, 1, 2), 3)]
+    b = bars(spark, rows)
+    dim = spark.createDataFrame([("A",), ("B",)], "stock_symbol string")
+    plain = sorted(tuple(r) for r in cd.carry_forward(b, dim).collect())
+    collapsed = sorted(tuple(r) for r in cd.carry_forward(b, dim, max_copies=5).collect())
+    assert plain == collapsed and len(collapsed) == 52
