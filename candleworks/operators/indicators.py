@@ -46,7 +46,9 @@ def latest_day_close(candles: DataFrame) -> DataFrame:
 
 def close_delta(candles: DataFrame) -> DataFrame:
     """Latest close minus previous-date close, for symbols present on both dates
-    (inner self-join on symbol, as the reference's SQL)."""
+    (inner self-join on symbol, as the reference's SQL). Each side is one day of
+    the fact, whose key (symbol, trade_date) the load keeps unique, so the join
+    pairs one row with one row."""
     cur = candles.where(F.col(DATE) == _max_date(candles)).select(
         "stock_symbol", F.col("c").alias("c_cur"))
     prv = candles.where(F.col(DATE) == _prev_date(candles)).select(

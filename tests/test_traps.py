@@ -405,3 +405,11 @@ def test_carry_forward_collapses_copies_and_keeps_them(spark):
     plain = sorted(tuple(r) for r in cd.carry_forward(b, dim).collect())
     collapsed = sorted(tuple(r) for r in cd.carry_forward(b, dim, max_copies=5).collect())
     assert plain == collapsed and len(collapsed) == 52
+
+
+def test_copies_in_landing_are_one_fact(spark):
+    wh = Warehouse(spark, S.scratch_path(spark, "t-copies", unique=True))
+    _symbols(spark, wh, ["A"])
+    day = [("A", "2024-01-01", 1.0, _ms("2024-01-01"))] * 3
+    wh.load_candles(_landing(spark, day))
+    assert _fact_rows(wh) == [("A", "2024-01-01", 1.0, 100, 1)]
