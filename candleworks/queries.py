@@ -18,28 +18,27 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candleworks import fixtures as fx
-from candleworks import session as _session
 from candleworks import schemas
+from candleworks import session as _session
 from candleworks.fixtures import CANDLES_SQL, ITEMS_SQL, NEWS_SQL, SCREENER_SQL
-from candleworks.operators import models, quality
+from candleworks.functions import times, uuid_key_sql
+from candleworks.operators import bars, indicators, models, quality
+from candleworks.operators import candles as cd
+from candleworks.operators import dimensions as dm
 from candleworks.operators import news as ns
 from candleworks.plans import landing_jobs
 from candleworks.plans.warehouse import Warehouse
 from candleworks.sinks import tables as sink_tables
-from candleworks.streaming import incremental
 from candleworks.sources import landing as landing_src
-from candleworks.functions import uuid_key_sql
-from candleworks.operators import candles as cd
-from candleworks.operators import dimensions as dm
 from candleworks.sources.screener import read_screeners
-from candleworks.functions import times
-from candleworks.operators import bars, indicators
+from candleworks.streaming import incremental
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
 
 
 def query(name: str, sql: str | None):
+    """Register ``fn`` under ``name`` with its oracle SQL (None: rows-only check)."""
     def deco(fn: QueryFn) -> QueryFn:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             _session.configure(spark)
@@ -61,6 +60,7 @@ def d2s(c: Column | str) -> Column:
 
 
 def _candles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The candle fact as the indicator family reads it: stored, partitioned by date."""
     return fx.stored_candles(spark, sf_dir)
 
 
