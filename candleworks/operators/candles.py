@@ -137,7 +137,7 @@ MAX_COPIES = 10_000
 
 
 def carry_forward(bars: DataFrame, dim: DataFrame, seed: DataFrame | None = None,
-                  days: DataFrame | None = None, max_copies: int = MAX_COPIES) -> DataFrame:
+                  days: DataFrame | None = None, max_copies: int | None = MAX_COPIES) -> DataFrame:
     """Last-observation-carried-forward fact for every known symbol and every
     trading day (a day some file exists for) from the symbol's first trade on.
 
@@ -152,14 +152,15 @@ def carry_forward(bars: DataFrame, dim: DataFrame, seed: DataFrame | None = None
     symbol's partition holds one grid cell and the bars of each trading day; if
     some symbol-day holds more than ``max_copies`` bars (copies of one bar, say),
     identical bars are first counted (a map-side-combined aggregate) and the window
-    sees each distinct bar once; the copies are restored after it.
+    sees each distinct bar once; the copies are restored after it. ``max_copies=None``
+    skips that check (for inputs already free of copies).
     """
     from candleworks.operators.numbering import largest_group
     known = bars.join(dim.select("stock_symbol").distinct(), "stock_symbol", "left_semi")
     rows = known.select("stock_symbol", "trade_date", "o", "h", "l", "c", "v",
                         F.col("trans").cast("bigint").alias("trans"), "t", "vwap",
                         F.lit(1).alias("_kind"), F.lit(False).alias("_seed"))
-    collapse = largest_group(rows, ["stock_symbol", "trade_date"]) > max_copies
+    collapse = max_copies is not None and largest_group(rows, ["stock_symbol", "trade_date"]) > max_copies
     if collapse:
         rows = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_copies"))
     else:

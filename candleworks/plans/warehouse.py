@@ -125,7 +125,8 @@ class Warehouse:
                  .withColumnRenamed("Trans", "trans"))
         todo = bars.select(*later.columns).unionByName(later)
         days = new_days.unionByName(fact.where(F.col("trade_date") >= first_new).select("trade_date", "t"))
-        out = _materialized(cd.carry_forward(todo, dim, seed=seed, days=days))
+        # todo holds no copies (deduplicated above; stored facts keep the key)
+        out = _materialized(cd.carry_forward(todo, dim, seed=seed, days=days, max_copies=None))
         self.replace_partitions("candles_FACT", out)
 
     @staticmethod
