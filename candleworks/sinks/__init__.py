@@ -1 +1 @@
-"""Sinks: warehouse tables and NDJSON landing drops."""
+"""Sinks: warehouse tables (by-name, re-runnable writes) and NDJSON/CSV landing drops."""
