@@ -62,19 +62,19 @@ def close_delta(candles: DataFrame) -> DataFrame:
 def first_rows_dates(candles: DataFrame, k: int) -> DataFrame:
     """Dates of the ``k`` earliest rows (rows, not distinct dates: ``ORDER BY date
     LIMIT k``). A top-k: each task keeps k rows, the driver merges k x tasks."""
-    return candles.select(F.col(DATE).alias("near_date")).orderBy("near_date").limit(k)
+    return candles.select(F.col(DATE).alias("row_date")).orderBy("row_date").limit(k)
 
 
 def _kth_row_date(candles: DataFrame, k: int):
     # The k earliest rows hold exactly the dates <= the k-th row's date, so the
     # semi join ``date IN (first k rows)`` is the range filter ``date <= kth``.
-    return first_rows_dates(candles, k).agg(F.max("near_date")).scalar()
+    return first_rows_dates(candles, k).agg(F.max("row_date")).scalar()
 
 
 def avg_close_first_rows(candles: DataFrame, k: int) -> DataFrame:
     """Average close per symbol over the dates of the ``k`` earliest rows."""
     return (candles.where(F.col(DATE) <= _kth_row_date(candles, k))
-            .groupBy("stock_symbol").agg(F.avg(F.col("c").cast("double")).alias(f"avg_c_{k}")))
+            .groupBy("stock_symbol").agg(F.avg(F.col("c").cast("double")).alias("avg_close")))
 
 
 def ohcl_indicator(candles: DataFrame, short: int = 3, long: int = 5) -> DataFrame:

@@ -9,27 +9,27 @@ from pyspark.sql import DataFrame
 from candleworks.plans.warehouse import Warehouse
 
 OHCL_INDICATOR = """
-WITH max_data AS (SELECT max(trade_date) AS max_date FROM candles_FACT),
-second_max_data AS (
-    SELECT max(trade_date) AS max_date_2 FROM candles_FACT
-    WHERE trade_date <> (SELECT max_date FROM max_data)),
+WITH last_day AS (SELECT max(trade_date) AS d FROM candles_FACT),
+day_before AS (
+    SELECT max(trade_date) AS d FROM candles_FACT
+    WHERE trade_date <> (SELECT d FROM last_day)),
 cur AS (SELECT stock_symbol, CAST(c AS DOUBLE) AS c FROM candles_FACT
-        WHERE trade_date = (SELECT max_date FROM max_data)),
+        WHERE trade_date = (SELECT d FROM last_day)),
 prv AS (SELECT stock_symbol, CAST(c AS DOUBLE) AS c FROM candles_FACT
-        WHERE trade_date = (SELECT max_date_2 FROM second_max_data)),
-near_3 AS (SELECT max(trade_date) AS d FROM
+        WHERE trade_date = (SELECT d FROM day_before)),
+third_row_day AS (SELECT max(trade_date) AS d FROM
            (SELECT trade_date FROM candles_FACT ORDER BY trade_date LIMIT 3)),
-near_5 AS (SELECT max(trade_date) AS d FROM
+fifth_row_day AS (SELECT max(trade_date) AS d FROM
            (SELECT trade_date FROM candles_FACT ORDER BY trade_date LIMIT 5)),
 avgs AS (
     SELECT stock_symbol,
-           avg(CASE WHEN trade_date <= (SELECT d FROM near_3) THEN CAST(c AS DOUBLE) END) AS sliding_avg_3,
-           count(CASE WHEN trade_date <= (SELECT d FROM near_3) THEN 1 END) AS n_3,
+           avg(CASE WHEN trade_date <= (SELECT d FROM third_row_day) THEN CAST(c AS DOUBLE) END) AS sliding_avg_3,
+           count(CASE WHEN trade_date <= (SELECT d FROM third_row_day) THEN 1 END) AS n_3,
            avg(CAST(c AS DOUBLE)) AS sliding_avg_5
-    FROM candles_FACT WHERE trade_date <= (SELECT d FROM near_5)
+    FROM candles_FACT WHERE trade_date <= (SELECT d FROM fifth_row_day)
     GROUP BY stock_symbol)
 SELECT cur.stock_symbol,
-       date_format((SELECT max_date FROM max_data), 'yyyy-MM-dd') AS date,
+       date_format((SELECT d FROM last_day), 'yyyy-MM-dd') AS date,
        cur.c - prv.c AS delta,
        avgs.sliding_avg_3, avgs.sliding_avg_5
 FROM cur JOIN prv ON cur.stock_symbol = prv.stock_symbol

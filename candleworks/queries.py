@@ -101,14 +101,12 @@ def latest_day_close(spark, sf_dir):
     return indicators.latest_day_close(_candles(spark, sf_dir))
 
 
-_DELTA_SQL = """max_data AS (SELECT max(trade_date) AS max_date FROM candles),
-second_max_data AS (SELECT max(trade_date) AS max_date_2 FROM candles
-                    WHERE trade_date <> (SELECT max_date FROM max_data)),
-curr_price AS (SELECT c, stock_symbol FROM candles WHERE trade_date = (SELECT max_date FROM max_data)),
-previous_price AS (SELECT c, stock_symbol FROM candles WHERE trade_date = (SELECT max_date_2 FROM second_max_data)),
-delta AS (SELECT (SELECT max_date FROM max_data) AS date, curr_price.c - previous_price.c AS delta,
-                 curr_price.stock_symbol
-          FROM curr_price JOIN previous_price ON curr_price.stock_symbol = previous_price.stock_symbol)"""
+_DELTA_SQL = """last_day AS (SELECT max(trade_date) AS d FROM candles),
+day_before AS (SELECT max(trade_date) AS d FROM candles WHERE trade_date <> (SELECT d FROM last_day)),
+today_close AS (SELECT stock_symbol, c FROM candles WHERE trade_date = (SELECT d FROM last_day)),
+prior_close AS (SELECT stock_symbol, c FROM candles WHERE trade_date = (SELECT d FROM day_before)),
+delta AS (SELECT (SELECT d FROM last_day) AS date, t.c - p.c AS delta, t.stock_symbol
+          FROM today_close t JOIN prior_close p ON t.stock_symbol = p.stock_symbol)"""
 
 
 @query("close_delta", f"""WITH {CANDLES_SQL}, {_DELTA_SQL}
@@ -120,51 +118,51 @@ def close_delta(spark, sf_dir):
 
 
 @query("first_rows_dates", f"""WITH {CANDLES_SQL}
-SELECT 3 AS k, CAST(near_date AS VARCHAR) AS near_date
-FROM (SELECT trade_date AS near_date FROM candles ORDER BY trade_date LIMIT 3)
+SELECT 3 AS k, CAST(row_date AS VARCHAR) AS row_date
+FROM (SELECT trade_date AS row_date FROM candles ORDER BY trade_date LIMIT 3)
 UNION ALL
-SELECT 5 AS k, CAST(near_date AS VARCHAR) AS near_date
-FROM (SELECT trade_date AS near_date FROM candles ORDER BY trade_date LIMIT 5)""")
+SELECT 5 AS k, CAST(row_date AS VARCHAR) AS row_date
+FROM (SELECT trade_date AS row_date FROM candles ORDER BY trade_date LIMIT 5)""")
 def first_rows_dates(spark, sf_dir):
     """G1: dates of the 3 and the 5 earliest rows (duplicates kept)."""
     c = _candles(spark, sf_dir)
-    return indicators.first_rows_dates(c, 3).select(F.lit(3).alias("k"), d2s("near_date").alias("near_date")) \
+    return indicators.first_rows_dates(c, 3).select(F.lit(3).alias("k"), d2s("row_date").alias("row_date")) \
         .unionByName(indicators.first_rows_dates(c, 5).select(F.lit(5).alias("k"),
-                                                              d2s("near_date").alias("near_date")))
+                                                              d2s("row_date").alias("row_date")))
 
 
 def _avg_first_sql(k: int) -> str:
     return f"""WITH {CANDLES_SQL},
-near_{k}_day AS (SELECT trade_date AS near_date FROM candles ORDER BY trade_date LIMIT {k})
-SELECT round(avg(c), 6) AS avg_c_{k}, stock_symbol FROM candles
-WHERE trade_date IN (SELECT near_date FROM near_{k}_day) GROUP BY stock_symbol"""
+first_rows AS (SELECT trade_date FROM candles ORDER BY trade_date LIMIT {k})
+SELECT stock_symbol, round(avg(c), 6) AS avg_close FROM candles
+WHERE trade_date IN (SELECT trade_date FROM first_rows) GROUP BY stock_symbol"""
 
 
 @query("avg_close_first_3_rows", _avg_first_sql(3))
 def avg_close_first_3_rows(spark, sf_dir):
     """Average close over the dates of the 3 earliest rows."""
     return indicators.avg_close_first_rows(_candles(spark, sf_dir), 3).select(
-        r6("avg_c_3").alias("avg_c_3"), "stock_symbol")
+        "stock_symbol", r6("avg_close").alias("avg_close"))
 
 
 @query("avg_close_first_5_rows", _avg_first_sql(5))
 def avg_close_first_5_rows(spark, sf_dir):
     """Average close over the dates of the 5 earliest rows."""
     return indicators.avg_close_first_rows(_candles(spark, sf_dir), 5).select(
-        r6("avg_c_5").alias("avg_c_5"), "stock_symbol")
+        "stock_symbol", r6("avg_close").alias("avg_close"))
 
 
 OHCL_INDICATOR_SQL = f"""WITH {CANDLES_SQL}, {_DELTA_SQL},
-near_3_day AS (SELECT trade_date AS near_date FROM candles ORDER BY trade_date LIMIT 3),
-a3 AS (SELECT avg(c) AS avg_c_3, stock_symbol FROM candles
-       WHERE trade_date IN (SELECT near_date FROM near_3_day) GROUP BY stock_symbol),
-near_5_day AS (SELECT trade_date AS near_date FROM candles ORDER BY trade_date LIMIT 5),
-a5 AS (SELECT avg(c) AS avg_c_5, stock_symbol FROM candles
-       WHERE trade_date IN (SELECT near_date FROM near_5_day) GROUP BY stock_symbol)
+rows3 AS (SELECT trade_date FROM candles ORDER BY trade_date LIMIT 3),
+rows5 AS (SELECT trade_date FROM candles ORDER BY trade_date LIMIT 5),
+short_avg AS (SELECT stock_symbol, avg(c) AS v FROM candles
+              WHERE trade_date IN (SELECT trade_date FROM rows3) GROUP BY stock_symbol),
+long_avg AS (SELECT stock_symbol, avg(c) AS v FROM candles
+             WHERE trade_date IN (SELECT trade_date FROM rows5) GROUP BY stock_symbol)
 SELECT delta.stock_symbol, CAST(delta.date AS VARCHAR) AS date, round(delta.delta, 6) AS delta,
-       round(a3.avg_c_3, 6) AS sliding_avg_3, round(a5.avg_c_5, 6) AS sliding_avg_5
-FROM delta JOIN a3 ON delta.stock_symbol = a3.stock_symbol
-           JOIN a5 ON delta.stock_symbol = a5.stock_symbol"""
+       round(short_avg.v, 6) AS sliding_avg_3, round(long_avg.v, 6) AS sliding_avg_5
+FROM delta JOIN short_avg ON delta.stock_symbol = short_avg.stock_symbol
+           JOIN long_avg ON delta.stock_symbol = long_avg.stock_symbol"""
 
 
 def ohcl_indicator_df(candles: DataFrame) -> DataFrame:
@@ -696,21 +694,21 @@ def load_news(spark, sf_dir):
 
 
 @query("union_all_literals", f"""WITH {CANDLES_SQL},
-my_first_dbt_model AS (SELECT trans AS id FROM candles UNION ALL SELECT NULL AS id)
-SELECT 'my_second_dbt_model' AS model, id FROM my_first_dbt_model WHERE id = 1
+id_model AS (SELECT trans AS id FROM candles UNION ALL SELECT NULL AS id)
+SELECT 'id_equals_one' AS model, id FROM id_model WHERE id = 1
 UNION ALL
-SELECT 'not_null_ids' AS model, id FROM my_first_dbt_model WHERE id IS NOT NULL""")
+SELECT 'id_not_null' AS model, id FROM id_model WHERE id IS NOT NULL""")
 def union_all_literals(spark, sf_dir):
     """A model made of a relation UNION ALL a literal
     null row, materialised as a view, and models that refer to it by name
     (``select * ... where id = 1`` / ``where id is not null``)."""
     first = _candles(spark, sf_dir).select(F.col("trans").cast("long").alias("id")).unionByName(
         spark.sql("SELECT CAST(NULL AS BIGINT) AS id"))
-    models.materialize_view(first, "my_first_dbt_model")
-    second = models.filtered_model(spark, "my_first_dbt_model", "id = 1")
-    not_null = models.filtered_model(spark, "my_first_dbt_model", "id IS NOT NULL")
-    return (second.select(F.lit("my_second_dbt_model").alias("model"), "id")
-            .unionByName(not_null.select(F.lit("not_null_ids").alias("model"), "id")))
+    models.materialize_view(first, "id_model")
+    equals_one = models.filtered_model(spark, "id_model", "id = 1")
+    not_null = models.filtered_model(spark, "id_model", "id IS NOT NULL")
+    return (equals_one.select(F.lit("id_equals_one").alias("model"), "id")
+            .unionByName(not_null.select(F.lit("id_not_null").alias("model"), "id")))
 
 
 _UNIQUE_CANDLE = "stock_symbol || '@' || CAST(trade_date AS STRING)"

@@ -225,12 +225,12 @@ def test_news_load_twice_is_once(spark):
 def test_e7_e8_starter_model(spark):
     m = models.starter_model(spark)
     res = {(r.test, r.failures) for r in quality.run_data_tests(
-        [("my_first_dbt_model", m, "unique", ["id"]), ("my_first_dbt_model", m, "not_null", ["id"])]).collect()}
+        [("starter_model", m, "unique", ["id"]), ("starter_model", m, "not_null", ["id"])]).collect()}
     assert res == {("unique", 0), ("not_null", 1)}
     dup = spark.sql("SELECT 1 AS id UNION ALL SELECT 1 AS id")
     assert quality.run_data_tests([("m", dup, "unique", ["id"])]).collect()[0].failures == 1
-    models.materialize_view(m, "my_first_dbt_model")
-    assert [r.id for r in models.filtered_model(spark, "my_first_dbt_model", "id = 1").collect()] == [1]
+    models.materialize_view(m, "starter_model")
+    assert [r.id for r in models.filtered_model(spark, "starter_model", "id = 1").collect()] == [1]
 
 
 def test_exchange_reseed_is_repeatable(spark):
@@ -345,15 +345,15 @@ def test_t19_empty_fact_gives_empty_indicator(spark):
 
 
 def test_tests_from_spec_matches_starter_expectations(spark):
-    models.materialize_view(models.starter_model(spark), "my_first_dbt_model")
-    models.materialize_view(models.filtered_model(spark, "my_first_dbt_model", "id = 1"),
-                            "my_second_dbt_model")
+    models.materialize_view(models.starter_model(spark), "starter_model")
+    models.materialize_view(models.filtered_model(spark, "starter_model", "id = 1"),
+                            "starter_filtered")
     spec = {"models": [
-        {"name": "my_first_dbt_model", "columns": [{"name": "id", "data_tests": ["unique", "not_null"]}]},
-        {"name": "my_second_dbt_model", "columns": [{"name": "id", "data_tests": ["unique", "not_null"]}]}]}
+        {"name": "starter_model", "columns": [{"name": "id", "data_tests": ["unique", "not_null"]}]},
+        {"name": "starter_filtered", "columns": [{"name": "id", "data_tests": ["unique", "not_null"]}]}]}
     got = sorted((r.model, r.test, r.failures) for r in quality.tests_from_spec(spark, spec).collect())
-    assert got == [("my_first_dbt_model", "not_null", 1), ("my_first_dbt_model", "unique", 0),
-                   ("my_second_dbt_model", "not_null", 0), ("my_second_dbt_model", "unique", 0)]
+    assert got == [("starter_model", "not_null", 1), ("starter_model", "unique", 0),
+                   ("starter_filtered", "not_null", 0), ("starter_filtered", "unique", 0)]
 
 
 def test_day_with_only_unknown_tickers_still_fills(spark):
