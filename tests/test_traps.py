@@ -352,8 +352,8 @@ def test_tests_from_spec_matches_starter_expectations(spark):
         {"name": "starter_model", "columns": [{"name": "id", "data_tests": ["unique", "not_null"]}]},
         {"name": "starter_filtered", "columns": [{"name": "id", "data_tests": ["unique", "not_null"]}]}]}
     got = sorted((r.model, r.test, r.failures) for r in quality.tests_from_spec(spark, spec).collect())
-    assert got == [("starter_model", "not_null", 1), ("starter_model", "unique", 0),
-                   ("starter_filtered", "not_null", 0), ("starter_filtered", "unique", 0)]
+    assert got == [("starter_filtered", "not_null", 0), ("starter_filtered", "unique", 0),
+                   ("starter_model", "not_null", 1), ("starter_model", "unique", 0)]
 
 
 def test_day_with_only_unknown_tickers_still_fills(spark):
