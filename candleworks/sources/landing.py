@@ -36,21 +36,27 @@ def read_day(spark: SparkSession, base: str, prefix: str, day: str, schema) -> D
 
 def objects(spark: SparkSession, path: str | list[str], with_rows: bool = True) -> DataFrame:
     """Per landing object: name, date in the name, files, bytes, modification time
-    and (``with_rows``) line count. The listing comes from the ``binaryFile`` source
-    with its content column pruned, so only file metadata is read; counting rows is
-    the one part that scans the files, and the daily step does not ask for it."""
-    files = (spark.read.format("binaryFile").load(path)
-             .select(object_name("path").alias("object"), F.col("length").alias("bytes"),
-                     F.col("modificationTime").alias("modified")))
-    listing = (files.groupBy("object")
-               .agg(F.sum("bytes").alias("bytes"), F.max("modified").alias("modified"),
-                    F.count(F.lit(1)).alias("files"))
-               .withColumn("file_date", times.object_date("object")))
-    if not with_rows:
-        return listing
-    rows = (spark.read.text(path).select(object_name().alias("object"))
-            .groupBy("object").agg(F.count(F.lit(1)).alias("rows")))
-    return listing.join(rows, "object", "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
+    and (``with_rows``) line count.
+
+    Without row counts only file metadata is read: the ``binaryFile`` source with
+    its content column pruned (the daily step uses this). With row counts, one
+    text scan yields lines and each file's metadata together."""
+    if with_rows:
+        per_file = (spark.read.text(path)
+                    .select(object_name().alias("object"), F.col("_metadata.file_path").alias("file"),
+                            F.col("_metadata.file_size").alias("bytes"),
+                            F.col("_metadata.file_modification_time").alias("modified"))
+                    .groupBy("object", "file")
+                    .agg(F.max("bytes").alias("bytes"), F.max("modified").alias("modified"),
+                         F.count(F.lit(1)).alias("rows")))
+    else:
+        per_file = (spark.read.format("binaryFile").load(path)
+                    .select(object_name("path").alias("object"), F.col("length").alias("bytes"),
+                            F.col("modificationTime").alias("modified")))
+    aggs = [F.sum("bytes").alias("bytes"), F.max("modified").alias("modified"),
+            F.count(F.lit(1)).alias("files")] + ([F.sum("rows").alias("rows")] if with_rows else [])
+    return (per_file.groupBy("object").agg(*aggs)
+            .withColumn("file_date", times.object_date("object")))
 
 
 def newest_object(listing: DataFrame) -> DataFrame:
