@@ -13,6 +13,8 @@ Only this module and :mod:`candleworks.queries` know the test tables.
 from __future__ import annotations
 
 import datetime as _dt
+import threading
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -178,14 +180,20 @@ ITEMS_SQL = """items AS (
 # ---- a warehouse built once per application and test-data folder ------------------
 
 _BUILT: dict[tuple[str, str], str] = {}
+_LOCK = threading.RLock()  # queries may be built from several threads
 
 
 def stored_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The candle bars stored as the fact table (partitioned by trade_date, sorted by
     the fact's sort key), as a nightly load leaves them. Built once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    with _LOCK:
+        return spark.read.parquet(_build_candles(spark, sf_dir, key))
+
+
+def _build_candles(spark: SparkSession, sf_dir: str, key) -> str:
     from candleworks.sinks import tables as sink_tables
 
-    key = (spark.sparkContext.applicationId, sf_dir)
     path = _BUILT.get(key)
     if path is None or not _session.path_exists(spark, path):
         path = _session.scratch_path(spark, "fixture-warehouse", spark.sparkContext.applicationId,
@@ -198,7 +206,7 @@ def stored_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
                 sort_by=["t", "stock_symbol"],
                 range_partitions=spark.sparkContext.defaultParallelism)
         _BUILT[key] = path
-    return spark.read.parquet(path)
+    return path
 
 
 def _slug(s: str) -> str:
@@ -237,16 +245,17 @@ def screener_files(spark: SparkSession, sf_dir: str, base: str) -> str:
 
 def _once(spark: SparkSession, sf_dir: str, name: str, write) -> str:
     key = (spark.sparkContext.applicationId, sf_dir + "#" + name)
-    path = _BUILT.get(key)
-    if path is None:
-        path = _session.scratch_path(spark, "fixture-landing", spark.sparkContext.applicationId,
-                                     _slug(sf_dir), name)
-        if not _session.path_exists(spark, path + "/_SUCCESS"):
-            tmp = path + ".tmp"
-            write(tmp)
-            _session.rename_path(spark, tmp, path)
-        _BUILT[key] = path
-    return path
+    with _LOCK:
+        path = _BUILT.get(key)
+        if path is None:
+            path = _session.scratch_path(spark, "fixture-landing", spark.sparkContext.applicationId,
+                                         _slug(sf_dir), name)
+            if not _session.path_exists(spark, path + "/_SUCCESS"):
+                tmp = f"{path}.tmp-{uuid.uuid4().hex}"
+                write(tmp)
+                _session.rename_path(spark, tmp, path)
+            _BUILT[key] = path
+        return path
 
 
 def candle_landing(spark: SparkSession, sf_dir: str) -> str:
