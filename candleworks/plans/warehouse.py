@@ -76,8 +76,14 @@ class Warehouse:
 
     # ---- M1: schema ---------------------------------------------------------------
     def init_schema(self) -> list[str]:
-        """Create every missing table, then reseed the exchange dimension."""
-        created = [t for t in schemas.TABLES if sink.create_if_missing(self.spark, self.path(t), t)]
+        """Create every missing table, then reseed the exchange dimension. The 16
+        creations are independent tiny jobs, submitted from a few threads at once."""
+        from concurrent.futures import ThreadPoolExecutor
+
+        with ThreadPoolExecutor(max_workers=8) as pool:
+            made = list(pool.map(lambda t: sink.create_if_missing(self.spark, self.path(t), t),
+                                 schemas.TABLES))
+        created = [t for t, m in zip(schemas.TABLES, made) if m]
         # Written beside the old table and swapped in, so reading it here is safe.
         self.replace_table("exchange_DIM", dm.reseed_exchanges(self.read("exchange_DIM")))
         return created
