@@ -12,15 +12,11 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
-def main() -> None:
-    src, dst, k = sys.argv[1], sys.argv[2], int(sys.argv[3])
+def replicate(spark, src: str, dst: str, k: int) -> str:
+    """Write ``dst/events.parquet`` = ``src`` events replicated k times (disjoint user
+    and event ids); link the other tables when ``dst`` is a local path."""
     from pyspark.sql import functions as F
 
-    from candleworks.session import get_session
-
-    spark = get_session("local[8]", 16, app_name="replicate")
-    spark.sparkContext.setLogLevel("ERROR")
-    os.makedirs(dst, exist_ok=True)
     ev = spark.read.parquet(f"{src}/events.parquet")
     span = ev.agg(F.max("user_id") + 1, F.max("event_id") + 1).first()
     out = (ev.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
@@ -28,11 +24,24 @@ def main() -> None:
                    (F.col("user_id") + F.col("_copy") * span[0]).alias("user_id"),
                    "event_type", "value", "props"))
     out.repartition(max(1, k // 4)).write.mode("overwrite").parquet(f"{dst}/events.parquet")
-    for name in os.listdir(src):
-        if name.endswith(".parquet") and name != "events.parquet":
-            link = os.path.join(dst, name)
-            if not os.path.exists(link):
-                os.symlink(os.path.join(src, name), link)
+    local = dst[len("file:"):] if dst.startswith("file:") else dst
+    if local.startswith("/"):
+        for name in os.listdir(src):
+            if name.endswith(".parquet") and name != "events.parquet":
+                link = os.path.join(local, name)
+                if not os.path.exists(link):
+                    os.symlink(os.path.join(src, name), link)
+    return dst
+
+
+def main() -> None:
+    src, dst, k = sys.argv[1], sys.argv[2], int(sys.argv[3])
+    from candleworks.session import get_session
+
+    spark = get_session("local[8]", 16, app_name="replicate")
+    spark.sparkContext.setLogLevel("ERROR")
+    os.makedirs(dst, exist_ok=True)
+    replicate(spark, src, dst, k)
     spark.stop()
 
 
