@@ -30,3 +30,22 @@ def test_cli_daily_cycle(spark, tmp_path, capsys):
     assert len(newest) == 1 and wh.read("news_DIM").count() > 0
     out = capsys.readouterr().out
     assert "unique" in out and "not_null" in out
+
+
+def test_bench_prints_one_json_line():
+    import json
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, BENCH_SF_DIR=SF_SMALL, BENCH_CPUS="2", BENCH_RUNS="1",
+               BENCH_QUERIES="latest_trade_date,epoch_text_to_date")
+    out = subprocess.run([sys.executable, os.path.join(root, "bench.py")], env=env, cwd=root,
+                         capture_output=True, text=True, timeout=600)
+    lines = [ln for ln in out.stdout.splitlines() if ln.strip()]
+    assert len(lines) == 1, out.stdout
+    d = json.loads(lines[0])
+    assert d["unit"] == "sec" and d["sf"] == 0.001
+    assert set(d["queries"]) == {"latest_trade_date", "epoch_text_to_date"}
+    assert d["value"] == round(sum(d["queries"].values()), 3)
