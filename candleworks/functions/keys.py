@@ -1,4 +1,4 @@
-"""Deterministic surrogate keys (replaces a random UUID column default).
+"""Deterministic surrogate keys (I13: replaces a random UUID column default).
 
 A key is ``md5('<table>:' || natural key)`` laid out 8-4-4-4-12 like a UUID, so a
 retried or repeated load produces the same id, facts can derive the id of a

@@ -23,5 +23,6 @@ def na_to_null(c: Column | str) -> Column:
 
 
 def or_default(c: Column | str, default: str = DEFAULT_MEMBER) -> Column:
+    """A missing member becomes the default word."""
     col = F.col(c) if isinstance(c, str) else c
     return F.coalesce(col, F.lit(default))

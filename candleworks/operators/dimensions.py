@@ -49,7 +49,8 @@ def members(raw: DataFrame, column: str, dim: Dim) -> DataFrame:
 
 
 def new_members(incoming: DataFrame, current: DataFrame, dim: Dim) -> DataFrame:
-    """Members not yet in the dimension (anti join; names are never null here)."""
+    """Members not yet in the dimension (anti join, not ``NOT IN``, whose null
+    rule differs; names are never null here)."""
     return incoming.join(current.select(dim.name_col), dim.name_col, "left_anti")
 
 

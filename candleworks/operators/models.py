@@ -37,3 +37,8 @@ def filtered_model(spark: SparkSession, parent: str, predicate: str) -> DataFram
 def insert_select(spark: SparkSession, target_path: str, source: str) -> None:
     """``INSERT INTO target SELECT * FROM {{ ref(source) }}`` (append)."""
     ref(spark, source).write.mode("append").parquet(target_path)
+
+
+def preview(df: DataFrame, n: int = 10) -> DataFrame:
+    """The first ``n`` rows to look at (a limit; no order is implied)."""
+    return df.limit(n)
