@@ -39,3 +39,14 @@ def test_indicator_prunes_partitions(spark):
     assert re.search(r"PartitionFilters: \[isnotnull\(trade_date#\d+\), \(trade_date#\d+ = ", formatted)
     assert "TakeOrderedAndProject" in formatted
     assert "ReadSchema: struct<stock_symbol:string,c:double>" in formatted
+
+
+def test_every_survey_id_is_referenced_in_the_package():
+    import pathlib
+
+    root = pathlib.Path(__file__).resolve().parent.parent / "candleworks"
+    text = "\n".join(p.read_text() for p in root.rglob("*.py"))
+    ids = [f"{p}{i}" for p, n in [("A", 16), ("B", 13), ("C", 17), ("D", 13), ("E", 8), ("F", 5),
+                                   ("G", 3), ("H", 3), ("I", 15), ("J", 3), ("K", 4), ("M", 10)]
+           for i in range(1, n + 1)]
+    assert [i for i in ids if not re.search(rf"\b{i}\b", text)] == []
