@@ -413,3 +413,32 @@ def test_copies_in_landing_are_one_fact(spark):
     day = [("A", "2024-01-01", 1.0, _ms("2024-01-01"))] * 3
     wh.load_candles(_landing(spark, day))
     assert _fact_rows(wh) == [("A", "2024-01-01", 1.0, 100, 1)]
+
+
+def test_read_day_and_daily_news_step(spark):
+    from candleworks import schemas
+    from candleworks.plans import daily
+    from candleworks.sinks import landing as landing_sink
+    from candleworks.sources import landing as landing_src
+    from candleworks.streaming import incremental
+
+    base = S.scratch_path(spark, "t-news-land", unique=True)
+    items = spark.createDataFrame(
+        [(D(2024, 1, d), 0, f"t{d}", f"u{d}", f"202401{d:02d}T100000", "Wire", "a.com", 0.1,
+          [("Tech", "0.5")], [("A", "0.3")]) for d in (1, 2)],
+        "file_date date, in_date_id long, title string, url string, time_published string, "
+        "source string, source_domain string, overall_sentiment_score double, "
+        "topics array<struct<topic:string,relevance_score:string>>, "
+        "ticker_sentiment array<struct<ticker:string,ticker_sentiment_score:string>>")
+    landing_sink.write_daily_json(items, base, "news", "file_date")
+    incremental.order_landing_by_day(spark, base)
+    assert landing_src.read_day(spark, base, "news", "2024-01-05", schemas.NEWS_RAW).count() == 0
+    assert [r.title for r in landing_src.read_day(spark, base, "news", "2024-01-02",
+                                                  schemas.NEWS_RAW).collect()] == ["t2"]
+    wh = Warehouse(spark, S.scratch_path(spark, "t-news-daily", unique=True))
+    _symbols(spark, wh, ["A"])
+    assert daily.load_newest_news(wh, base) == D(2024, 1, 2)
+    got = [(r.insert_date, r.title) for r in wh.read("news_DIM").collect()]
+    assert got == [(D(2024, 1, 4), "t2")]
+    assert [r.sentiment_score for r in wh.read("new_sentiment_stock_FACT").collect()] == [pytest.approx(0.3)]
+    assert models.preview(wh.read("news_DIM"), 5).count() == 1
