@@ -27,9 +27,9 @@ SCALE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
-    # Runtime broadcast decisions are taken on measured shuffle sizes (AQE), so a
-    # dimension that grows past this bound falls back to a sort-merge join.
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
+    # Runtime broadcast decisions are taken on measured shuffle sizes (AQE) against
+    # Spark's default bound (10 MB, compressed): a larger bound let a side whose hash
+    # table expands well past its shuffle size exhaust the driver at 10x test data.
     "spark.sql.files.maxPartitionBytes": "128MB",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
@@ -38,11 +38,14 @@ SCALE_CONF = {
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "candleworks") -> SparkSession:
-    """Build (or reuse) a session with the library's settings."""
+                app_name: str = "candleworks", driver_memory: str | None = None) -> SparkSession:
+    """Build (or reuse) a session with the library's settings. ``driver_memory``
+    only takes effect when this call starts the JVM (local runs)."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
     builder = builder.config("spark.ui.enabled", "false")
     for k, v in {**REQUIRED_CONF, **SCALE_CONF}.items():
         builder = builder.config(k, v)
