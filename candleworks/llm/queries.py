@@ -28,6 +28,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_licenses")
+def op1_licenses(spark, sf_dir):
+    """Licence phrases, notices and tag expressions of every document."""
+    from candleworks.llm import license_scan
+
+    return license_scan.summary(license_scan.scan(table(spark, sf_dir, "documents")))
+
+
+@query("op3_secrets")
+def op3_secrets(spark, sf_dir):
+    """Spans of secrets in every document."""
+    from candleworks.llm import secret_scan
+
+    return secret_scan.summary(secret_scan.scan(table(spark, sf_dir, "documents")))
+
+
 @query("op2_exact_dedup", """
 WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS body FROM documents),
 g AS (SELECT body, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY body)
