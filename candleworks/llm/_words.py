@@ -125,8 +125,34 @@ def grams(h: np.ndarray, n: int) -> np.ndarray:
     if m <= 0:
         return np.zeros(0, np.uint64)
     total = np.zeros(m, dtype=np.uint64)
-    k = _U(1)
+    k = 1
     for i in range(n):
-        k = k * _U(0xC6A4A7935BD1E995) + _U(2 * i + 1)
-        total += h[i:i + m] * (k | _U(1))
+        k = (k * 0xC6A4A7935BD1E995 + 2 * i + 1) % (1 << 64)
+        total += h[i:i + m] * _U(k | 1)
     return mix(total)
+
+
+def packed_words(words: Words, keep: np.ndarray | None = None) -> tuple[bytes, np.ndarray]:
+    """The (kept) words, each followed by one space, and where each word starts in
+    them (one more offset than there are kept words)."""
+    start, end = (words.start, words.end) if keep is None else (words.start[keep], words.end[keep])
+    length = end - start
+    at = np.concatenate([[0], np.cumsum(length + 1)]).astype(np.int64)
+    out = np.full(int(at[-1]), 0x20, dtype=np.uint8)
+    if len(length):
+        shift = np.repeat(at[:-1], length)
+        place = np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
+        out[shift + place] = words.data[np.repeat(start, length) + place]
+    return out.tobytes(), at
+
+
+def sliding_min(x: np.ndarray, n: int) -> np.ndarray:
+    """Minimum of every ``n`` consecutive values."""
+    if len(x) < n:
+        return x[:0]
+    width = 1
+    while width * 2 <= n:
+        x = np.minimum(x[:-width], x[width:])
+        width *= 2
+    rest = n - width
+    return np.minimum(x[:len(x) - rest], x[rest:]) if rest else x

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from candleworks.session import configure
 
@@ -82,6 +83,25 @@ def op7_decontamination(spark, sf_dir):
     return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op10_substring_dedup", """
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+s AS (SELECT doc_id, array_to_string(ws[k:k + 19], ' ') AS body, k
+      FROM (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 19)) AS k FROM w WHERE len(ws) > 19)),
+f AS (SELECT doc_id, k, row_number() OVER (PARTITION BY body ORDER BY doc_id, k) AS n FROM s),
+r AS (SELECT DISTINCT doc_id, unnest(generate_series(k, k + 19)) AS p FROM f WHERE n > 1),
+p AS (SELECT doc_id, unnest(ws) AS word, unnest(generate_series(1, len(ws))) AS p FROM w WHERE len(ws) > 0),
+t AS (SELECT p.doc_id, string_agg(word, ' ' ORDER BY p.p) FILTER (WHERE r.p IS NULL) AS body, count(r.p) AS gone
+      FROM p LEFT JOIN r ON p.doc_id = r.doc_id AND p.p = r.p GROUP BY p.doc_id)
+SELECT w.doc_id, len(ws) AS n_words, coalesce(gone, 0) AS n_removed, sha256(coalesce(body, '')) AS kept_sha256
+FROM w LEFT JOIN t ON w.doc_id = t.doc_id""")
+def op10_substring_dedup(spark, sf_dir):
+    """Every document without the words of windows that start earlier elsewhere."""
+    from candleworks.llm import substring_dedup
+
+    out = substring_dedup.dedup(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, QueryFn]:
     return {k: fn for k, (fn, _) in REGISTRY.items()}
 
