@@ -31,6 +31,8 @@ from candleworks.llm._words import Words, _words, chunks, grams, packed_words, s
 
 WINDOW = 20
 MINIMISER_WORDS = 3
+#: Buckets per shuffle partition; a task holds one bucket at a time.
+BUCKETS_PER_TASK = 8
 _BLOCK = "bucket int, n int, block binary, doc bigint, a bigint, b bigint"
 _BLOCK_ARROW = pa.schema([("bucket", pa.int32()), ("n", pa.int32()), ("block", pa.binary()), ("doc", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
 
@@ -164,13 +166,14 @@ def _count(batches: Iterable[pa.RecordBatch], window: int) -> Iterator[pa.Record
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """Word ranges ``a`` to ``b - 1`` of document ``doc`` that repeat earlier windows; they may overlap."""
     spark = docs.sparkSession
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    buckets = tasks * BUCKETS_PER_TASK
     m = min(MINIMISER_WORDS, window)
     texts = docs.select(F.col(id_col).cast("long"), text_col).where(F.col(id_col).isNotNull())
     blocks = texts.mapInArrow(lambda it: _send(it, window, m, buckets), _BLOCK)
     # Ranges that are known already are spread over the tasks by their document.
     dealt = F.coalesce(F.col("bucket"), F.pmod(F.xxhash64("doc"), F.lit(buckets)).cast("int"))
-    return blocks.repartition(buckets, dealt).sortWithinPartitions("bucket").mapInArrow(
+    return blocks.repartition(tasks, dealt).sortWithinPartitions("bucket").mapInArrow(
         lambda it: _count(it, window), "doc bigint, a bigint, b bigint")
 
 
