@@ -8,11 +8,13 @@ Equal sets are one class, represented by their smallest doc_id. Two classes link
   enumerates its subsets of those sizes, and equal subsets meet.
 * Heavy sets: each is entered in the inverted lists of its first ``s - ceil(p s) + 1``
   shingles, in an order that all sets share (very frequent shingles last); linked sets
-  meet in at least one list. Lists are scanned for pairs of which one is heavy.
+  meet in at least one list. Sets a little below the boundary are entered too, as a
+  heavy set may link to them.
 
 The boundary is where the estimated number of subsets plus list entries is least. List
 pairs are pruned by size and by a parity bitmap (each differing shingle flips one bit, so
-differing bits never exceed the symmetric difference), then proven on the whole sets.
+differing bits never exceed the symmetric difference), again by a longer bitmap, and
+then proven on the whole sets.
 A long list is cut into blocks and its pairs of blocks are dealt to different tasks.
 Nothing is capped: frequent shingles only come last in the order.
 
@@ -142,30 +144,34 @@ def _enter(batches: Iterable[pa.RecordBatch], n: int, percent: int, boundary: in
         ids = batch.column(0)
         seen: set[bytes] = set()
         for words in chunks(batch.column(1), lower=True):
-            rows, keys, light = [], [], []
+            rows, keys = [], []
             for i, s in enumerate(shingle_sets(words, n), words.rows.start):
                 if len(s) == 0 or (d := hashlib.blake2b(s.tobytes(), digest_size=16).digest()) in seen:
                     continue
                 seen.add(d)
                 if len(s) < boundary and (sizes := subset_sizes(len(s), boundary, percent)):
                     rows.append(np.full(len(k := subset_keys(s, sizes)), i))
-                    keys.append(k), light.append(np.ones(len(k), bool))
+                    keys.append(k)
                 if len(s) >= heavy_from:
                     often = frequent[np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)] == s if len(frequent) else np.zeros(len(s), bool)
                     k = np.concatenate([s[~often], s[often]])[:first_entries(len(s), percent)]
-                    rows.append(np.full(len(k), i)), keys.append(k), light.append(np.zeros(len(k), bool))
+                    rows.append(np.full(len(k), i)), keys.append(k)
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(light)),
-                                                  ids.take(pa.array(np.concatenate(rows)))], names=["key", "light", "doc"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), ids.take(pa.array(np.concatenate(rows)))],
+                                                 names=["key", "doc"])
 
 
-def _scan_lists(batches: Iterable[pa.RecordBatch], percent: int, boundary: int) -> Iterator[pa.RecordBatch]:
+#: A list and a pair of its blocks.
+LIST = ("key", "x", "y")
+
+
+def _scan_lists(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Pairs that may link, from rows sorted by list and pair of blocks."""
     def pairs(t: pa.Table) -> pa.RecordBatch:
-        col = {c: t.column(c).combine_chunks() for c in ("key", "light", "x", "y", "block", "rep", "n")}
+        col = {c: t.column(c).combine_chunks() for c in (*LIST, "block", "rep", "n")}
         v = {c: a.to_numpy(zero_copy_only=False) for c, a in col.items()}
         bits = np.frombuffer(b"".join(t.column("sketch").to_pylist()), dtype=np.uint64).reshape(-1, SKETCH_WORDS)
-        new = np.concatenate([[True], np.any([v[c][1:] != v[c][:-1] for c in ("key", "light", "x", "y")], axis=0)])
+        new = np.concatenate([[True], np.any([v[c][1:] != v[c][:-1] for c in LIST], axis=0)])
         group = np.cumsum(new)
         left = np.arange(len(group))
         out_a, out_b = [], []
@@ -178,7 +184,7 @@ def _scan_lists(batches: Iterable[pa.RecordBatch], percent: int, boundary: int)
             apart = (v["x"][i] == v["y"][i]) | (v["block"][i] != v["block"][j])
             s, u = v["n"][i].astype(np.int64), v["n"][j].astype(np.int64)
             small, big = np.minimum(s, u), np.maximum(s, u)
-            ok = apart & (v["rep"][i] != v["rep"][j]) & (small * 100 >= percent * big) & ((big < boundary) == v["light"][i])
+            ok = apart & (v["rep"][i] != v["rep"][j]) & (small * 100 >= percent * big)
             i, j, most = i[ok], j[ok], (s + u - 2 * need(s, u, percent))[ok]
             differ = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1)
             i, j = i[differ <= most], j[differ <= most]
@@ -194,8 +200,8 @@ def _scan_lists(batches: Iterable[pa.RecordBatch], percent: int, boundary: int)
         now = now if held is None else pa.concat_tables([held, now])
         # The last group may go on in the next batch.
         end = now.num_rows
-        ends = [now.column(c)[end - 1].as_py() for c in ("key", "light", "x", "y")]
-        tail = np.flatnonzero(~np.all([now.column(c).to_numpy() == e for c, e in zip(("key", "light", "x", "y"), ends)], axis=0))
+        ends = [now.column(c)[end - 1].as_py() for c in LIST]
+        tail = np.flatnonzero(~np.all([now.column(c).to_numpy() == e for c, e in zip(LIST, ends)], axis=0))
         cut = int(tail[-1]) + 1 if len(tail) else 0
         if cut:
             yield pairs(now.slice(0, cut).combine_chunks())
@@ -204,11 +210,33 @@ def _scan_lists(batches: Iterable[pa.RecordBatch], percent: int, boundary: int)
         yield pairs(held.combine_chunks())
 
 
+def wide_parity(tokens: np.ndarray) -> bytes:
+    """A parity bitmap with about as many bits as there are shingles (a power of two)."""
+    power = max(9, int(len(tokens)).bit_length())
+    return np.packbits((np.bincount((tokens >> np.uint64(64 - power)).astype(np.int64), minlength=1 << power) & 1).astype(np.uint8)).tobytes()
+
+
+def differing_bits(x: bytes, y: bytes) -> int:
+    """A lower bound of the symmetric difference; the longer bitmap is folded to the shorter."""
+    a, b = sorted((np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)), key=len)
+    if len(b) > len(a):
+        bits = np.unpackbits(b.view(np.uint8)).reshape(len(a) * 64, -1)
+        b = np.packbits(np.bitwise_xor.reduce(bits, axis=1)).view(np.uint64)
+    return int(np.bitwise_count(a ^ b).sum())
+
+
+def _prune(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keep = [differing_bits(x, y) <= s + t - 2 * need(s, t, percent) for s, t, x, y in zip(*(batch.column(i).to_pylist() for i in range(2, 6)))]
+        yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+
 def _sets(batches: Iterable[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for words in chunks(batch.column(1), lower=True):
             own = shingle_sets(words, n)
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(words.rows.start, len(own)), pa.array([s.tobytes() for s in own], pa.binary())], names=["doc", "tokens"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(words.rows.start, len(own)), pa.array([len(s) for s in own], pa.int32()), pa.array([wide_parity(s) for s in own], pa.binary()),
+                                              pa.array([s.tobytes() for s in own], pa.binary())], names=["doc", "n", "bits", "tokens"])
 
 
 def _prove(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -243,24 +271,25 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
     boundary = choose_boundary(small, entries_from, percent)
 
     sent = spark.sparkContext.broadcast(frequent)
-    entries = texts.where("doc is not null").mapInArrow(lambda it: _enter(it, n, percent, boundary, sent.value), "key bigint, light boolean, doc bigint")
+    entries = texts.where("doc is not null").mapInArrow(lambda it: _enter(it, n, percent, boundary, sent.value), "key bigint, doc bigint")
     entries = written(entries, "shingle-lists")
-    lists = entries.groupBy("key", "light").agg(F.count(F.lit(1)).alias("size"), F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo != hi")
-    rows = entries.join(lists.select("key", "light", "size"), ["key", "light"]).join(info.select("doc", "rep").distinct(), "doc")
-    rows = rows.groupBy("key", "light", "rep").agg(F.max("size").alias("size"))
+    lists = entries.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    rows = entries.join(lists, "key").join(info.select("doc", "rep").distinct(), "doc")
+    rows = rows.groupBy("key", "rep").agg(F.max("size").alias("size"))
     blocks = F.ceil(F.col("size") / BLOCK_ROWS).cast("int")
     rows = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    rows = rows.select("key", "light", "rep", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    rows = rows.select("key", "light", "rep", "block", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
-    order = ["key", "light", "x", "y"]
-    rows = rows.join(distinct, "rep").repartition(*order).sortWithinPartitions(*order).select(*order, "block", "rep", "n", "sketch")
-    pairs = written(rows.mapInArrow(lambda it: _scan_lists(it, percent, boundary), "a bigint, b bigint").distinct(), "shingle-pairs")
+    rows = rows.select("key", "rep", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    rows = rows.select("key", "rep", "block", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
+    rows = rows.join(distinct, "rep").repartition(*LIST).sortWithinPartitions(*LIST).select(*LIST, "block", "rep", "n", "sketch")
+    pairs = written(rows.mapInArrow(lambda it: _scan_lists(it, percent), "a bigint, b bigint").distinct(), "shingle-pairs")
 
     named = pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
     named = F.broadcast(named) if same_class_small(named, BROADCAST_ROWS) else named
-    sets = written(texts.join(named, "doc", "left_semi").mapInArrow(lambda it: _sets(it, n), "doc bigint, tokens binary"), "shingle-proof")
-    sides = pairs.join(sets.select(F.col("doc").alias("a"), F.col("tokens").alias("s")), "a").join(
-        sets.select(F.col("doc").alias("b"), F.col("tokens").alias("t")), "b").select("a", "b", "s", "t")
+    sets = written(texts.join(named, "doc", "left_semi").mapInArrow(lambda it: _sets(it, n), "doc bigint, n int, bits binary, tokens binary"), "shingle-proof")
+    side = lambda at, *names: sets.select(F.col("doc").alias(at), *[F.col(c).alias(f"{c}_{at}") for c in names])
+    both = pairs.join(side("a", "n", "bits"), "a").join(side("b", "n", "bits"), "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
+    likely = written(both.mapInArrow(lambda it: _prune(it, percent), "a bigint, b bigint"), "shingle-likely")
+    sides = likely.join(side("a", "tokens"), "a").join(side("b", "tokens"), "b").select("a", "b", "tokens_a", "tokens_b")
     links = sides.mapInArrow(lambda it: _prove(it, percent), "a bigint, b bigint").distinct()
     return info.select("doc", F.col("n").cast("long").alias("n_shingles"), "rep"), links
 
