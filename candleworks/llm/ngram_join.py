@@ -16,6 +16,9 @@ pairs are pruned by size and by a parity bitmap (each differing shingle flips on
 differing bits never exceed the symmetric difference), again by a longer bitmap, and
 then proven on the whole sets.
 A long list is cut into blocks and its pairs of blocks are dealt to different tasks.
+Rows that are known to be of one component aren't compared: star rounds link the rows of
+each block to its first one until they find nothing new, then all pairs between the
+remaining components follow. A group of near copies so costs a few links per member.
 Nothing is capped: frequent shingles only come last in the order.
 
 Shingles are compared by 64-bit hashes. Cases: null and wordless texts have no shingles
@@ -34,23 +37,24 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candleworks.llm import components
-from candleworks.llm._store import same_class_small, written
+from candleworks.llm._store import empty, same_class_small, written
 from candleworks.llm._words import Words, chunks, grams, mix
 
 SHINGLE_WORDS = 3
 PERCENT = 90
 #: Shingles in at least this share of the documents come last in the order. At most
 #: (mean set size / share) shingles can be so frequent, which bounds what is broadcast.
-FREQUENT_SHARE = 1e-3
-FREQUENT_LEAST = 64
+FREQUENT_SHARE = 1e-4
+FREQUENT_LEAST = 16
 LARGEST_BOUNDARY = 40
 BLOCK_ROWS = 256
 SKETCH_WORDS = 8
 BROADCAST_ROWS = 500_000
+SALTS = 32
 
 
 def need(s, t, percent: int):
@@ -165,26 +169,31 @@ def _enter(batches: Iterable[pa.RecordBatch], n: int, percent: int, boundary: in
 LIST = ("key", "x", "y")
 
 
-def _scan_lists(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs that may link, from rows sorted by list and pair of blocks."""
+def _scan_lists(batches: Iterable[pa.RecordBatch], percent: int, star: bool) -> Iterator[pa.RecordBatch]:
+    """Pairs of different components that may link, from rows sorted by list and pair of
+    blocks. ``star``: only pairs with the first row of a pair of blocks."""
     def pairs(t: pa.Table) -> pa.RecordBatch:
-        col = {c: t.column(c).combine_chunks() for c in (*LIST, "block", "rep", "n")}
+        col = {c: t.column(c).combine_chunks() for c in (*LIST, "block", "rep", "root", "n")}
         v = {c: a.to_numpy(zero_copy_only=False) for c, a in col.items()}
         bits = np.frombuffer(b"".join(t.column("sketch").to_pylist()), dtype=np.uint64).reshape(-1, SKETCH_WORDS)
         new = np.concatenate([[True], np.any([v[c][1:] != v[c][:-1] for c in LIST], axis=0)])
         group = np.cumsum(new)
-        left = np.arange(len(group))
         out_a, out_b = [], []
-        for lag in range(1, len(group)):
-            left = left[left + lag < len(group)]
-            left = left[group[left] == group[left + lag]]
-            if len(left) == 0:
-                break
-            i, j = left, left + lag
-            apart = (v["x"][i] == v["y"][i]) | (v["block"][i] != v["block"][j])
+
+        def by_lag() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            left = np.arange(len(group))
+            for lag in range(1, len(group)):
+                left = left[left + lag < len(group)]
+                left = left[group[left] == group[left + lag]]
+                if len(left) == 0:
+                    return
+                yield left, left + lag
+
+        for i, j in [(np.flatnonzero(new)[group - 1], np.arange(len(group)))] if star else by_lag():
+            apart = (v["root"][i] != v["root"][j]) & (star | (v["x"][i] == v["y"][i]) | (v["block"][i] != v["block"][j]))
             s, u = v["n"][i].astype(np.int64), v["n"][j].astype(np.int64)
             small, big = np.minimum(s, u), np.maximum(s, u)
-            ok = apart & (v["rep"][i] != v["rep"][j]) & (small * 100 >= percent * big)
+            ok = apart & (small * 100 >= percent * big)
             i, j, most = i[ok], j[ok], (s + u - 2 * need(s, u, percent))[ok]
             differ = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1)
             i, j = i[differ <= most], j[differ <= most]
@@ -248,21 +257,50 @@ def _prove(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
         yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
 
+def _candidates(rows: DataFrame, known: DataFrame, percent: int, star: bool) -> DataFrame:
+    """Pairs to prove: of the lists' rows, those between components of the links so far."""
+    rooted = rows.join(known.select(F.col("node").alias("rep"), "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+    open_lists = rooted.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
+    rooted = rooted.join(open_lists.select("key", "size"), "key").withColumn("blocks", F.ceil(F.col("size") / BLOCK_ROWS).cast("int"))
+    rooted = rooted.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    if star:  # one row of each block meets the others of the block
+        dealt = rooted.withColumn("x", F.col("block")).withColumn("y", F.col("block"))
+    else:
+        dealt = rooted.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn(
+            "x", F.least("block", "other")).withColumn("y", F.greatest("block", "other"))
+    dealt = dealt.select(*LIST, "block", "rep", "root", "n", "sketch").repartition(*LIST).sortWithinPartitions(*LIST, "rep")
+    return written(dealt.mapInArrow(lambda it: _scan_lists(it, percent, star), "a bigint, b bigint").distinct(), "shingle-pairs")
+
+
+def _proven(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs that link, decided on the whole sets of the documents that they name."""
+    named = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct().withColumnRenamed("a", "doc")
+    named = F.broadcast(named) if same_class_small(named, BROADCAST_ROWS) else named
+    sets = written(texts.join(named, "doc", "left_semi").mapInArrow(lambda it: _sets(it, n), "doc bigint, n int, bits binary, tokens binary"), "shingle-proof")
+    side = lambda at, *names: sets.select(F.col("doc").alias(at), *[F.col(c).alias(f"{c}_{at}") for c in names])
+    both = pairs.join(side("a", "n", "bits"), "a").join(side("b", "n", "bits"), "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
+    likely = written(both.mapInArrow(lambda it: _prune(it, percent), "a bigint, b bigint"), "shingle-likely")
+    sides = likely.join(side("a", "tokens"), "a").join(side("b", "tokens"), "b").select("a", "b", "tokens_a", "tokens_b")
+    return written(sides.mapInArrow(lambda it: _prove(it, percent), "a bigint, b bigint").distinct(), "shingle-links")
+
+
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE_WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """Per document ``doc``, its ``n_shingles`` and its class ``rep``; and the links ``a``, ``b`` between classes."""
+    """Per document ``doc``, its ``n_shingles`` and its class ``rep``; and ``node``, ``root``
+    of every class that links lead to a smaller one."""
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     told = written(texts.mapInArrow(lambda it: _describe(it, n), _INFO), "shingle-sets")
-    info = told.where("n is not null").select("doc", "n", "digest", "sketch")
-    reps = info.where("digest is not null").groupBy("digest").agg(F.min("doc").alias("rep"))
-    info = written(info.join(reps, "digest", "left").select("doc", "n", "sketch", "rep"), "shingle-classes")
+    info = told.where("n is not null").select("doc", "n", "digest", "sketch", F.pmod(F.xxhash64("doc"), F.lit(SALTS)).alias("salt"))
+    salted = info.where("digest is not null").groupBy("digest", "salt").agg(F.min("doc").alias("least"))
+    reps = salted.select("digest", "salt", F.min("least").over(Window.partitionBy("digest")).alias("rep"))
+    info = written(info.join(reps, ["digest", "salt"], "left").select("doc", "n", "sketch", "rep"), "shingle-classes")
 
     # The order's frequent shingles, and the boundary by cost.
     distinct = info.where("doc = rep").select("rep", "n", "sketch").dropDuplicates(["rep"])
     total, = distinct.agg(F.count(F.lit(1))).first()
     counts = told.where("token is not null").groupBy("token").agg(F.sum("seen").alias("seen"))
     most = max(FREQUENT_LEAST, total * FREQUENT_SHARE)
-    frequent = np.array(sorted(np.uint64(r[0] % (1 << 64)) for r in counts.where(F.col("seen") >= most).select("token").collect()), dtype=np.uint64)
+    frequent = np.sort(counts.where(F.col("seen") >= most).select("token").toPandas()["token"].to_numpy(np.int64).view(np.uint64))
     shared, = told.agg(F.sum("seen")).first()
     small = {r[0]: r[1] for r in distinct.where(F.col("n") <= LARGEST_BOUNDARY).groupBy("n").count().collect()}
     large, tokens = distinct.agg(F.sum(F.when(F.col("n") > LARGEST_BOUNDARY, F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)), F.sum("n")).first()
@@ -273,32 +311,30 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
     sent = spark.sparkContext.broadcast(frequent)
     entries = texts.where("doc is not null").mapInArrow(lambda it: _enter(it, n, percent, boundary, sent.value), "key bigint, doc bigint")
     entries = written(entries, "shingle-lists")
-    lists = entries.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    rows = entries.join(lists, "key").join(info.select("doc", "rep").distinct(), "doc")
-    rows = rows.groupBy("key", "rep").agg(F.max("size").alias("size"))
-    blocks = F.ceil(F.col("size") / BLOCK_ROWS).cast("int")
-    rows = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    rows = rows.select("key", "rep", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    rows = rows.select("key", "rep", "block", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
-    rows = rows.join(distinct, "rep").repartition(*LIST).sortWithinPartitions(*LIST).select(*LIST, "block", "rep", "n", "sketch")
-    pairs = written(rows.mapInArrow(lambda it: _scan_lists(it, percent), "a bigint, b bigint").distinct(), "shingle-pairs")
-
-    named = pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
-    named = F.broadcast(named) if same_class_small(named, BROADCAST_ROWS) else named
-    sets = written(texts.join(named, "doc", "left_semi").mapInArrow(lambda it: _sets(it, n), "doc bigint, n int, bits binary, tokens binary"), "shingle-proof")
-    side = lambda at, *names: sets.select(F.col("doc").alias(at), *[F.col(c).alias(f"{c}_{at}") for c in names])
-    both = pairs.join(side("a", "n", "bits"), "a").join(side("b", "n", "bits"), "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
-    likely = written(both.mapInArrow(lambda it: _prune(it, percent), "a bigint, b bigint"), "shingle-likely")
-    sides = likely.join(side("a", "tokens"), "a").join(side("b", "tokens"), "b").select("a", "b", "tokens_a", "tokens_b")
-    links = sides.mapInArrow(lambda it: _prove(it, percent), "a bigint, b bigint").distinct()
-    return info.select("doc", F.col("n").cast("long").alias("n_shingles"), "rep"), links
+    lists = entries.groupBy("key").count().where("count > 1")
+    rows = entries.join(lists.select("key"), "key").join(info.select("doc", "rep").distinct(), "doc").select("key", "rep").distinct()
+    rows = written(rows, "shingle-rows").join(distinct, "rep")
+
+    # Stars first: they join most of a group of near copies in one step, and what they
+    # joined needs no more comparing. Then every pair that is still apart.
+    links, star = None, True
+    known = empty(spark, "node bigint, root bigint")
+    while True:
+        found = _proven(_candidates(rows, known, percent, star), texts, n, percent)
+        some = not found.isEmpty()
+        if some:
+            links = found if links is None else links.unionByName(found)
+            known = components.roots(links)
+        if not star:
+            break
+        star = some
+    return info.select("doc", F.col("n").cast("long").alias("n_shingles"), "rep"), known
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
     """Per row: the id, ``n_shingles`` and ``component_id``, the smallest id that links lead to."""
-    info, links = classes(docs, id_col, text_col, n, percent)
-    roots = components.roots(links)
-    return info.join(roots, F.col("rep") == F.col("node"), "left").select(
+    info, known = classes(docs, id_col, text_col, n, percent)
+    return info.join(known, F.col("rep") == F.col("node"), "left").select(
         F.col("doc").cast(docs.schema[id_col].dataType).alias(id_col), "n_shingles",
         F.coalesce("root", "rep", "doc").cast(docs.schema[id_col].dataType).alias("component_id"))
 
