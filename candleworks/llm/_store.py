@@ -7,12 +7,26 @@ the session names in ``spark.checkpoint.dir`` (see :func:`candleworks.session.sc
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candleworks.session import scratch_path
 
 
+def workers_find_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, if they run
+    where that folder exists (one machine, a shared mount); else it is installed there."""
+    import candleworks
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(candleworks.__file__)))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a fresh folder of the shared store and return it read back."""
     spark = df.sparkSession

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from candleworks.llm._store import workers_find_package
 from candleworks.session import configure
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +19,7 @@ def query(name: str, sql: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             configure(spark)
+            workers_find_package(spark)
             return fn(spark, sf_dir)
         run.__name__, run.__doc__ = fn.__name__, fn.__doc__
         REGISTRY[name] = (run, sql)
@@ -119,6 +121,21 @@ def op10_substring_dedup(spark, sf_dir):
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+TOXIC_FROM = 0.3
+
+
+@query("op6_toxicity")
+def op6_toxicity(spark, sf_dir):
+    """A toxicity score of every document."""
+    from candleworks.llm import _labels, toxicity
+
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", (_labels.fold(F.col("doc_id"), 4) == 2).alias("held_out"), "score",
+        (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
+
+
 def queries() -> dict[str, QueryFn]:
     return {k: fn for k, (fn, _) in REGISTRY.items()}
 
