@@ -121,6 +121,18 @@ def op10_substring_dedup(spark, sf_dir):
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+@query("op5_quality")
+def op5_quality(spark, sf_dir):
+    """A quality score of every document."""
+    from candleworks.llm import _labels, quality
+    from candleworks.llm._store import written
+
+    described = written(quality.describe(table(spark, sf_dir, "documents")), "quality-statistics")
+    model = quality.fit(described, table(spark, sf_dir, "labels"))
+    return quality.score(described, model).select(
+        "doc_id", (_labels.fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 TOXIC_FROM = 0.3
 
 
@@ -136,6 +148,25 @@ def op6_toxicity(spark, sf_dir):
         (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
 
 
+@query("op9_line_dedup", """
+WITH w AS (SELECT doc_id, CASE WHEN coalesce(text, '') = '' THEN [] ELSE string_split(text, chr(10)) END AS ls FROM documents),
+s AS (SELECT doc_id, array_to_string(ls[k:k + 2], chr(10)) AS body, k
+      FROM (SELECT doc_id, ls, unnest(generate_series(1, len(ls) - 2)) AS k FROM w WHERE len(ls) > 2)),
+f AS (SELECT doc_id, k, row_number() OVER (PARTITION BY body ORDER BY doc_id, k) AS n FROM s),
+r AS (SELECT DISTINCT doc_id, unnest(generate_series(k, k + 2)) AS p FROM f WHERE n > 1),
+p AS (SELECT doc_id, unnest(ls) AS line, unnest(generate_series(1, len(ls))) AS p FROM w WHERE len(ls) > 0),
+t AS (SELECT p.doc_id, string_agg(line, chr(10) ORDER BY p.p) FILTER (WHERE r.p IS NULL) AS body, count(r.p) AS gone
+      FROM p LEFT JOIN r ON p.doc_id = r.doc_id AND p.p = r.p GROUP BY p.doc_id)
+SELECT w.doc_id, len(ls) AS n_lines, coalesce(gone, 0) AS n_removed, sha256(coalesce(body, '')) AS kept_sha256
+FROM w LEFT JOIN t ON w.doc_id = t.doc_id""")
+def op9_line_dedup(spark, sf_dir):
+    """Every document without runs of three lines or more that start earlier elsewhere."""
+    from candleworks.llm import line_dedup
+
+    out = line_dedup.dedup(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, QueryFn]:
     return {k: fn for k, (fn, _) in REGISTRY.items()}
 

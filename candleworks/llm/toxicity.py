@@ -296,3 +296,16 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.scores(batch.column(1)))], names=[id_col, "score"])
 
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, score double")
+
+
+def below(docs: DataFrame, model: Model | None, bound: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that score below ``bound``, with all their columns."""
+    if model is None:
+        return docs
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(model.scores(batch.column(at)) < bound))
+
+    return docs.mapInArrow(run, docs.schema)
