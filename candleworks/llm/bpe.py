@@ -27,10 +27,10 @@ from pyspark.sql import functions as F
 
 SUFFIX = "</w>"
 #: Pieces and words kept between the batches of a Python worker; past it they are dropped.
-CACHE_PIECES = 600_000
-CACHE_PAIRS = 1_000_000
+CACHE_PIECES = 400_000
+CACHE_PAIRS = 300_000
 #: Characters of the texts that are handled together.
-GROUP_CHARS = 16 << 20
+GROUP_CHARS = 4 << 20
 #: Pieces that are normalised and split in one call.
 SPLIT_TOGETHER = 2_000
 
