@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 _U = np.uint64
 _ODD = _U(0x9E3779B97F4A7C15)
 

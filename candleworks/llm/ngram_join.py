@@ -55,6 +55,8 @@ BLOCK_ROWS = 256
 SKETCH_WORDS = 8
 BROADCAST_ROWS = 500_000
 SALTS = 32
+#: Shingles that are counted together before the shuffle.
+COUNTED_TOGETHER = 2_000_000
 
 
 def need(s, t, percent: int):
@@ -109,11 +111,21 @@ _INFO = "doc bigint, n int, digest binary, sketch binary, token bigint, seen int
 def _describe(batches: Iterable[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     """A row per document, and a row per shingle that several sets of the batch share."""
     schema = pa.schema([("doc", pa.int64()), ("n", pa.int32()), ("digest", pa.binary()), ("sketch", pa.binary()), ("token", pa.int64()), ("seen", pa.int32())])
+    def shared(sets: list[np.ndarray]) -> pa.RecordBatch:
+        token, count = np.unique(np.concatenate(sets), return_counts=True)
+        token, count = token[count > 1], count[count > 1]
+        none = [None] * len(token)
+        return pa.RecordBatch.from_arrays([pa.array(none, pa.int64()), pa.array(none, pa.int32()), pa.array(none, pa.binary()), pa.array(none, pa.binary()),
+                                           pa.array(token.view(np.int64)), pa.array(count.astype(np.int32))], schema=schema)
+
     for batch in batches:
         seen: set[bytes] = set()
         sets: list[np.ndarray] = []
         for words in chunks(batch.column(1), lower=True):
             own = shingle_sets(words, n)
+            if sum(map(len, sets)) > COUNTED_TOGETHER:
+                yield shared(sets)
+                sets = []
             digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in own]
             for d, s in zip(digests, own):
                 if d is not None and d not in seen:
@@ -124,11 +136,7 @@ def _describe(batches: Iterable[pa.RecordBatch], n: int) -> Iterator[pa.RecordBa
                                               pa.array(digests, pa.binary()), pa.array([parity(s) for s in own], pa.binary()),
                                               pa.array(none, pa.int64()), pa.array(none, pa.int32())], schema=schema)
         if sets:
-            token, count = np.unique(np.concatenate(sets), return_counts=True)
-            token, count = token[count > 1], count[count > 1]
-            none = [None] * len(token)
-            yield pa.RecordBatch.from_arrays([pa.array(none, pa.int64()), pa.array(none, pa.int32()), pa.array(none, pa.binary()), pa.array(none, pa.binary()),
-                                              pa.array(token.view(np.int64)), pa.array(count.astype(np.int32))], schema=schema)
+            yield shared(sets)
 
 
 def subset_keys(tokens: np.ndarray, sizes: list[int]) -> np.ndarray:
