@@ -13,6 +13,7 @@ Only this module and :mod:`candleworks.queries` know the test tables.
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
 import threading
 import uuid
 
@@ -210,7 +211,7 @@ def _build_candles(spark: SparkSession, sf_dir: str, key) -> str:
 
 
 def _slug(s: str) -> str:
-    return "".join(ch if ch.isalnum() else "_" for ch in s.strip("/"))[-60:]
+    return hashlib.sha256(s.encode()).hexdigest()
 
 
 # ---- dimensions built from the screener -------------------------------------------

@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Years 1 to 9999; other epoch texts give null.
+EPOCH_MILLIS = (-62_135_596_800_000, 253_402_300_799_999)
+
 
 def _c(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -32,7 +35,9 @@ def date_from_epoch_seconds_text(t: Column | str) -> Column:
 
 def date_from_epoch_millis_text(t: Column | str) -> Column:
     """``datetime.fromtimestamp(int(t)/1000).date()`` in UTC."""
-    return F.to_date(F.timestamp_millis(text_to_long(t)))
+    millis = text_to_long(t)
+    in_range = millis.between(*EPOCH_MILLIS)
+    return F.to_date(F.timestamp_millis(F.when(in_range, millis)))
 
 
 def epoch_millis_text_at(date: Column | str, hour_utc: int = 20) -> Column:
@@ -42,7 +47,7 @@ def epoch_millis_text_at(date: Column | str, hour_utc: int = 20) -> Column:
 
 def publish_date(time_published: Column | str) -> Column:
     """First 8 characters ``yyyyMMdd`` of the publish time -> date."""
-    return F.to_date(F.left(_c(time_published), F.lit(8)), "yyyyMMdd")
+    return F.to_date(F.try_to_timestamp(F.left(_c(time_published), F.lit(8)), F.lit("yyyyMMdd")))
 
 
 def iso_text(date: Column | str) -> Column:
@@ -57,7 +62,7 @@ def compact_day_text(date: Column | str, suffix: str = "T0000") -> Column:
 
 def object_date(name: Column | str) -> Column:
     """Date inside a landing object name ``XXXX_yyyy-MM-dd.json`` (characters 6..15)."""
-    return F.to_date(F.substring(_c(name), 6, 10), "yyyy-MM-dd")
+    return F.to_date(F.try_to_timestamp(F.substring(_c(name), 6, 10), F.lit("yyyy-MM-dd")))
 
 
 def object_name(prefix: str, date: Column | str) -> Column:

@@ -126,22 +126,19 @@ def stock_facts(news: DataFrame, symbol_dim: DataFrame) -> DataFrame:
 
 # ---- extraction slice (landing side) ----------------------------------------------------
 
-def day_slice(news: DataFrame, limit: int = 1000, lag_days: int = 2) -> DataFrame:
-    """What one daily extraction returns: for each run date, the items published on
-    ``run date - lag`` between 00:00 and 23:59, at most ``limit`` of them (the
-    vendor's cap, kept as the feature it is), earliest first. The cap is a per-day
-    top-k, computed without sending a hot day through one task."""
+def day_slice(news: DataFrame, limit: int | None = None, lag_days: int = 2) -> DataFrame:
+    """What each daily extraction returns: for every run date, the items published on
+    ``run date - lag``. Items without a readable publish time belong to no day. ``limit``
+    (none by default) keeps a day's earliest items, as a request with a size parameter
+    does; it is a per-day top-k, computed without sending a hot day through one task."""
     from candleworks.operators.numbering import top_k_within
 
-    pub = F.to_timestamp(F.col("time_published"), "yyyyMMdd'T'HHmmss")
-    day = F.to_date(pub)
-    rows = (news.withColumn("_pub", pub).withColumn("extract_day", day)
-            .where((F.col("_pub") >= F.col("extract_day").cast("timestamp")) &
-                   (F.col("_pub") < F.date_add("extract_day", 1).cast("timestamp"))))
-    top = top_k_within(rows, ["extract_day"], [F.col(c) for c in FEED_ORDER], limit)
-    return top.select(
-        F.date_add("extract_day", lag_days).alias("run_date"),
-        F.date_sub(F.date_add("extract_day", lag_days), lag_days).alias("extract_day"),
+    day = F.to_date(F.try_to_timestamp(F.col("time_published"), F.lit("yyyyMMdd'T'HHmmss")))
+    rows = news.withColumn("extract_day", day).where("extract_day is not null")
+    if limit is not None:
+        rows = top_k_within(rows, ["extract_day"], [F.col(c) for c in FEED_ORDER], limit)
+    return rows.select(
+        F.date_add("extract_day", lag_days).alias("run_date"), "extract_day",
         times.compact_day_text("extract_day", "T0000").alias("time_from"),
         times.compact_day_text("extract_day", "T2359").alias("time_to"),
         *[c for c in news.columns if c not in ("extract_day",)])

@@ -2,8 +2,8 @@
 
 * M7 ``land_candles``: tick rows -> one grouped bar per ticker and day -> vendor
   attribute names -> ``OHCL_<day>.json``.
-* M8 ``land_news``: news items -> each day's extraction slice (at most ``limit``
-  items published that day) -> numbered 0..n-1 in a declared order ->
+* M8 ``land_news``: news items -> each day's extraction slice (a ``limit``
+  is optional) -> numbered 0..n-1 in a declared order ->
   ``news_<day>.json``.
 """
 
@@ -22,7 +22,7 @@ def land_candles(ticks: DataFrame, base: str, symbol: Column, ts: str, price: st
     landing_sink.write_daily_json(bars.to_landing_rows(daily), base, "OHCL", "trade_date")
 
 
-def news_objects(items: DataFrame, limit: int = 1000) -> DataFrame:
+def news_objects(items: DataFrame, limit: int | None = None) -> DataFrame:
     """The rows of each day's news object: the day's slice, numbered 0..n-1 in the
     declared feed order (time_published, url, title). ``items`` carries the vendor
     fields (arrays included) and no file date: the object's day is the publish day."""
@@ -33,5 +33,5 @@ def news_objects(items: DataFrame, limit: int = 1000) -> DataFrame:
     return numbered.drop("run_date", "time_from", "time_to")
 
 
-def land_news(items: DataFrame, base: str, limit: int = 1000) -> None:
+def land_news(items: DataFrame, base: str, limit: int | None = None) -> None:
     landing_sink.write_daily_json(news_objects(items, limit), base, "news", "file_date")

@@ -101,12 +101,9 @@ def latest_day_close(spark, sf_dir):
     return indicators.latest_day_close(_candles(spark, sf_dir))
 
 
-_DELTA_SQL = """last_day AS (SELECT max(trade_date) AS d FROM candles),
-day_before AS (SELECT max(trade_date) AS d FROM candles WHERE trade_date <> (SELECT d FROM last_day)),
-today_close AS (SELECT stock_symbol, c FROM candles WHERE trade_date = (SELECT d FROM last_day)),
-prior_close AS (SELECT stock_symbol, c FROM candles WHERE trade_date = (SELECT d FROM day_before)),
-delta AS (SELECT (SELECT d FROM last_day) AS date, t.c - p.c AS delta, t.stock_symbol
-          FROM today_close t JOIN prior_close p ON t.stock_symbol = p.stock_symbol)"""
+_DELTA_SQL = """by_age AS (SELECT stock_symbol, c, trade_date, dense_rank() OVER (ORDER BY trade_date DESC) AS age FROM candles),
+delta AS (SELECT stock_symbol, max(trade_date) AS date, sum(CASE age WHEN 1 THEN c ELSE -c END) AS delta
+          FROM by_age WHERE age <= 2 GROUP BY stock_symbol HAVING count(DISTINCT age) = 2)"""
 
 
 @query("close_delta", f"""WITH {CANDLES_SQL}, {_DELTA_SQL}
@@ -459,11 +456,10 @@ def news_numbered(spark, sf_dir):
 SELECT CAST(file_date + 2 AS VARCHAR) AS run_date, CAST(file_date AS VARCHAR) AS extract_day,
        strftime(file_date, '%Y%m%d') || 'T0000' AS time_from, strftime(file_date, '%Y%m%d') || 'T2359' AS time_to,
        title, url
-FROM news QUALIFY row_number() OVER (PARTITION BY file_date ORDER BY time_published, url) <= 1000""")
+FROM news""")
 def news_day_slice(spark, sf_dir):
-    """Each run's extraction window (published on run date - 2) with the
-    vendor's cap of 1,000 items per request."""
-    sl = ns.day_slice(_news_flat(spark, sf_dir, numbered=False), limit=1000, lag_days=2)
+    """Each run's extraction window (published on run date - 2)."""
+    sl = ns.day_slice(_news_flat(spark, sf_dir, numbered=False), lag_days=2)
     return sl.select(d2s("run_date").alias("run_date"), d2s("extract_day").alias("extract_day"),
                      "time_from", "time_to", "title", "url")
 
@@ -597,12 +593,12 @@ agg AS (SELECT l_orderkey, count(*) AS n FROM items GROUP BY l_orderkey),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY file_date ORDER BY time_published, url, title) AS rk FROM news)
 SELECT CAST(n.file_date AS VARCHAR) AS file_date, 'news_' || CAST(n.file_date AS VARCHAR) || '.json' AS object,
        n.rk - 1 AS in_date_id, n.title, agg.n AS n_topics, agg.n AS n_tickers
-FROM ranked n LEFT JOIN agg ON agg.l_orderkey = n.o_orderkey WHERE n.rk <= 1000""")
+FROM ranked n LEFT JOIN agg ON agg.l_orderkey = n.o_orderkey""")
 def land_news(spark, sf_dir):
-    """Each day's extraction slice (at most 1,000 items),
+    """Each day's extraction slice,
     numbered in the feed order, landed as one NDJSON object per day, read back."""
     base = _session.scratch_path(spark, "land-news", unique=True)
-    landing_jobs.land_news(fx.news_feed(spark, sf_dir), base, limit=1000)
+    landing_jobs.land_news(fx.news_feed(spark, sf_dir), base)
     back = landing_src.read_news(spark, base)
     return back.select(d2s("file_date").alias("file_date"), "object", "in_date_id", "title",
                        F.when(F.col("topics").isNotNull(), F.size("topics")).cast("long").alias("n_topics"),

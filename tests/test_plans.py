@@ -10,7 +10,7 @@ from tests.conftest import SF_SMALL
 
 SKIP = {"incremental_candles", "incremental_news", "land_news", "land_candles", "landing_audit",
         "insert_select", "init_schema", "na_words_to_null"}
-KEYS = sorted(k for k in entry_mod.queries() if k not in SKIP)
+KEYS = sorted(k for k in entry_mod._registry.queries() if k not in SKIP)
 
 
 def plan_text(df):
