@@ -4,7 +4,7 @@
     python -m candleworks load-screeners --warehouse DIR CSV [CSV ...]
     python -m candleworks candles --warehouse DIR --landing DIR [--quarantine DIR] [--stream CKPT]
     python -m candleworks indicators --warehouse DIR [--since yyyy-MM-dd]
-    python -m candleworks news --warehouse DIR --landing DIR [--stream CKPT]
+    python -m candleworks news --warehouse DIR --landing DIR [--quarantine DIR] [--stream CKPT]
     python -m candleworks data-tests --warehouse DIR --spec schema.yml
     python -m candleworks audit --landing DIR
 
@@ -19,6 +19,14 @@ import datetime as dt
 import sys
 
 
+def _print_rows(df) -> None:
+    """Every row as a JSON line, one partition in memory at a time."""
+    from pyspark.sql import functions as F
+
+    for row in df.select(F.to_json(F.struct(*df.columns)).alias("line")).toLocalIterator():
+        print(row["line"])
+
+
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="candleworks")
     sub = p.add_subparsers(dest="cmd", required=True)
@@ -30,8 +38,7 @@ def main(argv: list[str] | None = None) -> int:
             c.add_argument("--landing", required=True)
         if name in ("candles", "news"):
             c.add_argument("--stream", default=None, help="checkpoint folder: catch up with a stream")
-        if name == "candles":
-            c.add_argument("--quarantine", default=None)
+            c.add_argument("--quarantine", default=None, help="folder for rejected rows")
         if name == "indicators":
             c.add_argument("--since", default=None)
         if name == "load-screeners":
@@ -45,7 +52,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = get_session()
     if args.cmd == "audit":
         from candleworks.sources import landing
-        landing.objects(spark, args.landing).orderBy("object").show(1000, truncate=False)
+        _print_rows(landing.objects(spark, args.landing).orderBy("object"))
         return 0
 
     from candleworks.plans import daily
@@ -72,14 +79,14 @@ def main(argv: list[str] | None = None) -> int:
         wh.build_calendar()
     elif args.cmd == "news":
         if args.stream:
-            incremental.ingest_news(spark, wh, args.landing, args.stream)
+            incremental.ingest_news(spark, wh, args.landing, args.stream, quarantine_dir=args.quarantine)
         else:
-            print(daily.load_newest_news(wh, args.landing))
+            print(daily.load_newest_news(wh, args.landing, args.quarantine))
     elif args.cmd == "data-tests":
         from candleworks.operators import quality
         wh.register_views()
         with open(args.spec) as fh:
-            quality.tests_from_spec(spark, fh.read()).show(1000, truncate=False)
+            _print_rows(quality.tests_from_spec(spark, fh.read()))
     return 0
 
 

@@ -33,6 +33,7 @@ def _reason(dim_hit: str) -> "F.Column":
     return (F.when(F.col("trade_date").isNull(), F.lit("bad_time"))
             .when(F.col("file_date").isNotNull() & (F.col("file_date") != F.col("trade_date")),
                   F.lit("file_date_mismatch"))
+            .when((F.col("v") < 0) | (F.col("trans") < 0), F.lit("out_of_range"))
             .when(F.col(dim_hit).isNull(), F.lit("unknown_ticker")))
 
 
@@ -44,7 +45,8 @@ def _with_reason(bars: DataFrame, dim: DataFrame) -> DataFrame:
 
 def quarantine(bars: DataFrame, dim: DataFrame) -> DataFrame:
     """Rows a load must not take: unparseable time, a trade date other than the
-    landing object's date, or a ticker missing from the dimension."""
+    landing object's date, a negative volume or trade count (both are unsigned in the
+    warehouse), or a ticker missing from the dimension."""
     return _with_reason(bars, dim).where(F.col("reason").isNotNull())
 
 
@@ -89,6 +91,23 @@ def new_dates_only(incoming: DataFrame, loaded: DataFrame) -> DataFrame:
             .join(done, F.col("_day") == F.col("_done"), "left_anti").drop("_day"))
 
 
+def not_stored(bars: DataFrame, stored: DataFrame) -> DataFrame:
+    """Bars (in the fact's columns and types) that no stored row equals. Nulls are
+    equal to each other."""
+    have = stored.select(*[F.col(c).alias(f"_have_{c}") for c in FACT_COLS])
+    same = [F.col(c).eqNullSafe(F.col(f"_have_{c}")) for c in FACT_COLS]
+    return bars.join(have, same, "left_anti")
+
+
+def traded(fact: DataFrame) -> DataFrame:
+    """Stored rows of real trades: a filled row repeats one price, with no volume and
+    no trades. (A landed bar that looks just like that is a fill.)"""
+    filled = (F.col("Trans") == 0) & (F.col("v") == 0)
+    for price in ("o", "h", "l"):
+        filled = filled & (F.col(price) == F.col("c"))
+    return fact.where(~F.coalesce(filled, F.lit(False)))
+
+
 def first_stamp(t: str = "t"):
     """Earliest epoch-ms stamp of a group, as text. The minimum is taken over the
     number (a hash aggregate with a map-side partial; a minimum over text would
@@ -191,7 +210,10 @@ def carry_forward(bars: DataFrame, dim: DataFrame, seed: DataFrame | None = None
                     F.lit(0).alias("_kind"), F.lit(False).alias("_seed"),
                     F.lit(1).cast("long").alias("_copies")))
     cells = grid.unionByName(rows.select(*grid.columns))
-    order = Window.partitionBy("stock_symbol").orderBy("trade_date", "_kind")
+    # Several bars of one symbol and day: the one of the latest stamp is carried; what
+    # follows the stamp only settles ties.
+    order = Window.partitionBy("stock_symbol").orderBy(
+        "trade_date", "_kind", F.col("t").try_cast("bigint"), "c", "vwap", "v", "trans", "o", "h", "l")
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cells = (cells
              .withColumn("_last", F.last(F.when(F.col("_kind") == 1, F.struct("c", "vwap")),

@@ -1,12 +1,10 @@
 """The daily entry points as the original schedule runs them: take the newest
-landing object, derive its date from the name, skip it if that date is loaded,
-otherwise load that one day. (The streaming ingest in
+landing object, derive its date from the name and load that one day; what is stored
+already is skipped. (The streaming ingest in
 :mod:`candleworks.streaming.incremental` is the catch-up form of the same step.)"""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from candleworks import schemas
 from candleworks.plans.warehouse import Warehouse
 from candleworks.sources import landing
@@ -27,19 +25,22 @@ def load_newest_candles(wh: Warehouse, landing_dir: str, quarantine_dir: str | N
     if newest is None:
         return None
     _, day = newest
-    loaded = wh.read("candles_FACT").where(F.col("trade_date") == F.lit(day))
-    if not loaded.isEmpty():  # already loaded: the re-delivery guard
+    if day is None:  # the newest object's name holds no date
         return None
     rows = landing.read_day(wh.spark, landing_dir, "OHCL", day.isoformat(), schemas.CANDLE_RAW)
-    wh.load_candles(rows, quarantine_dir=quarantine_dir)
-    return day
+    # The load skips what is stored, so a re-delivered object changes nothing and one
+    # that has grown is merged.
+    return day if wh.load_candles(rows, quarantine_dir, f"OHCL_{day}") else None
 
 
-def load_newest_news(wh: Warehouse, landing_dir: str):
+def load_newest_news(wh: Warehouse, landing_dir: str, quarantine_dir: str | None = None):
     """M6 daily step (no guard in the original; the load itself is repeatable)."""
     newest = newest_day(wh, landing_dir)
     if newest is None:
         return None
     _, day = newest
-    wh.load_news(landing.read_day(wh.spark, landing_dir, "news", day.isoformat(), schemas.NEWS_RAW))
+    if day is None:  # the newest object's name holds no date
+        return None
+    rows = landing.read_day(wh.spark, landing_dir, "news", day.isoformat(), schemas.NEWS_RAW)
+    wh.load_news(rows, quarantine_dir, f"news_{day}")
     return day

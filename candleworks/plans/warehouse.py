@@ -9,6 +9,8 @@ and are swapped in when complete.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -101,48 +103,62 @@ class Warehouse:
         rows = dm.stock_symbols(s, self.read("country_DIM"), self.read("sector_DIM"),
                                 self.read("industry_DIM"))
         rows = rows.join(self.read("stock_symbol_DIM").select("stock_symbol"), "stock_symbol", "left_anti")
-        self.append("stock_symbol_DIM", rows)
+        # A symbol on two exchange lists is one symbol, of the smallest exchange id.
+        others = [c for c in rows.columns if c != "stock_symbol"]
+        first = F.struct("exchange", *[c for c in others if c != "exchange"])
+        rows = rows.groupBy("stock_symbol").agg(F.min(first).alias("_first"))
+        self.append("stock_symbol_DIM", rows.select("stock_symbol", *[F.col(f"_first.{c}").alias(c) for c in others]))
 
     # ---- M4: candles --------------------------------------------------------------
-    def load_candles(self, landing_rows: DataFrame, quarantine_dir: str | None = None) -> None:
+    def load_candles(self, landing_rows: DataFrame, quarantine_dir: str | None = None,
+                     batch: str | None = None) -> bool:
         """Load landed bars of any set of days (one day per run normally).
 
-        Days already in the fact are skipped (re-delivery guard). If a day older
-        than the newest loaded day arrives, the carry-forward of every later day is
-        recomputed, so late files never leave stale fills behind."""
+        A bar that the fact holds already is skipped (re-delivery); a further file of a
+        known day is merged into that day, so the fact doesn't depend on how the files
+        were batched. If anything is new before the newest loaded day, the carry-forward
+        of every later day is recomputed, so late files never leave stale fills behind.
+        Rejected rows are written once per ``batch`` (a retried batch of the same name
+        replaces only its own). Returns whether anything was new."""
         dim = self.read("stock_symbol_DIM").select("stock_symbol")
         fact = self.read("candles_FACT")
-        incoming = cd.new_dates_only(cd.with_trade_date(landing_rows), fact)
+        incoming = cd.with_trade_date(landing_rows)
         if quarantine_dir:
-            self._quarantine(cd.quarantine(incoming, dim), quarantine_dir)
-        new_days = cd.landed_days(incoming)
-        if new_days.isEmpty():  # nothing new: leave every table as it is
-            return
-        # A bar delivered twice is one fact (the load is idempotent row by row as well
-        # as day by day); distinct bars of one symbol-day are kept and reported by the
-        # unique test. Counting copies combines map-side, so copies never pile up.
-        bars = cd.accepted(incoming, dim).dropDuplicates()
-        first_new = new_days.agg(F.min("trade_date")).scalar()
-        seed_day = fact.where(F.col("trade_date") < first_new).agg(F.max("trade_date")).scalar()
+            self._quarantine(cd.quarantine(incoming, dim), quarantine_dir, batch)
+        landed = cd.landed_days(incoming)
+        lo, hi = landed.agg(F.min("trade_date"), F.max("trade_date")).first()
+        if lo is None:  # no usable row: leave every table as it is
+            return False
+        near = fact.where(F.col("trade_date").between(F.lit(lo), F.lit(hi)))
+        # A bar delivered twice is one fact; distinct bars of one symbol-day are kept and
+        # reported by the unique test. Dropping copies combines map-side.
+        bars = cd.accepted(incoming, dim).withColumnRenamed("trans", "Trans")
+        bars = cd.not_stored(sink.conform(bars, "candles_FACT").dropDuplicates(), near)
+        new_days = landed.join(near.select("trade_date").distinct(), "trade_date", "left_anti")
+        first_new = (bars.select("trade_date").unionByName(new_days.select("trade_date"))
+                     .agg(F.min("trade_date")).first()[0])
+        if first_new is None:  # everything is stored already
+            return False
+        from_new = F.col("trade_date") >= F.lit(first_new)
+        seed_day = fact.where(F.col("trade_date") < F.lit(first_new)).agg(F.max("trade_date")).scalar()
         seed = fact.where(F.col("trade_date") == seed_day)
-        # Traded rows of already-loaded later days take part in the recompute
-        # (a real trade has Trans >= 1; filled rows have Trans = 0).
-        later = (fact.where((F.col("trade_date") >= first_new) & (F.col("Trans") > 0))
-                 .withColumnRenamed("Trans", "trans"))
-        todo = bars.select(*later.columns).unionByName(later)
-        days = new_days.unionByName(fact.where(F.col("trade_date") >= first_new).select("trade_date", "t"))
-        # todo holds no copies (deduplicated above; stored facts keep the key)
+        # Stored trades from that day on take part in the recompute.
+        todo = bars.unionByName(cd.traded(fact.where(from_new)).select(*bars.columns))
+        days = landed.where(from_new).unionByName(fact.where(from_new).select("trade_date", "t"))
+        # todo holds no copies (new bars are distinct and none is stored)
         out = _materialized(cd.carry_forward(todo, dim, seed=seed, days=days, max_copies=None))
         self.replace_partitions("candles_FACT", out)
+        return True
 
     @staticmethod
-    def _quarantine(rows: DataFrame, quarantine_dir: str) -> None:
-        """Rejected landing rows as NDJSON, one object per day (``OHCL_<day>.json``)."""
+    def _quarantine(rows: DataFrame, quarantine_dir: str, batch: str | None) -> None:
+        """Rejected landing rows as NDJSON, one object per day (``OHCL_<day>.json``) below
+        the folder of their batch, so no batch replaces another's rows."""
         from candleworks.sinks import landing as landing_sink
         landing_sink.write_daily_json(
             rows.select(F.col("stock_symbol").alias("ticker"), "o", "c", "h", "l", "v", "vwap",
                         F.col("t").alias("time"), "trans", "reason", "trade_date"),
-            quarantine_dir, "OHCL", "trade_date", mode="overwrite")
+            f"{quarantine_dir}/batch={batch or uuid.uuid4().hex}", "OHCL", "trade_date", mode="overwrite")
 
     # ---- M5: indicators -----------------------------------------------------------
     def compute_indicators(self) -> None:
@@ -181,24 +197,46 @@ class Warehouse:
         self.replace_table("date_DIM", dm.calendar(self.read("candles_FACT")))
 
     # ---- M6: news -----------------------------------------------------------------
-    def load_news(self, news: DataFrame) -> None:
+    def load_news(self, news: DataFrame, quarantine_dir: str | None = None, batch: str | None = None) -> None:
         """Sources, topics, news items and both sentiment facts for the given items
-        (any number of file days). Items are replaced per insert_date. The items feed
-        five writes, so they are read once and kept (memory, spilling to disk)."""
+        (any number of file days). An item replaces the stored item of its identity
+        (insert date, number in the day); other items of the day stay, so a day may come
+        in several files and batches. Lines without an identity are not loaded but
+        written to ``quarantine_dir``, once per ``batch``. The items feed five writes, so
+        they are read once and kept (memory, spilling to disk)."""
         news = news.persist()
+        known = F.col("file_date").isNotNull() & F.col("in_date_id").isNotNull()
         try:
-            self._load_news(news)
+            if quarantine_dir:
+                (news.where(~known).withColumn("reason", F.lit("no_identity")).write.mode("overwrite")
+                 .json(f"{quarantine_dir}/batch={batch or uuid.uuid4().hex}"))
+            self._load_news(news.where(known))
         finally:
             news.unpersist()
 
     def _load_news(self, news: DataFrame) -> None:
-        self.append("source_DIM", ns.new_sources(news, self.read("source_DIM")))
+        self._load_sources(news)
         self.append("topic_DIM", ns.new_topics(news, self.read("topic_DIM")))
-        self.replace_partitions("news_DIM", ns.news_rows(news, self.read("source_DIM")))
-        self.replace_partitions("new_sentiment_industry_FACT",
-                                ns.topic_facts(news, self.read("topic_DIM")))
-        self.replace_partitions("new_sentiment_stock_FACT",
-                                ns.stock_facts(news, self.read("stock_symbol_DIM")))
+        items = news.select(ns.insert_date().alias("insert_date"),
+                            F.col("in_date_id").cast("long").alias("in_date_id")).distinct()
+        for table, rows in (("news_DIM", ns.news_rows(news, self.read("source_DIM"))),
+                            ("new_sentiment_industry_FACT", ns.topic_facts(news, self.read("topic_DIM"))),
+                            ("new_sentiment_stock_FACT", ns.stock_facts(news, self.read("stock_symbol_DIM")))):
+            of_days = self.read(table).join(items.select("insert_date").distinct(), "insert_date", "left_semi")
+            others = _materialized(of_days.join(items, ["insert_date", "in_date_id"], "left_anti"))
+            self.replace_partitions(table, sink.conform(rows, table).unionByName(sink.conform(others, table)))
+
+    def _load_sources(self, news: DataFrame) -> None:
+        """New sources are appended. A known source whose smallest domain is only now
+        seen makes the (small) table be rewritten, so that the order of loads is of no
+        account."""
+        current, seen = self.read("source_DIM"), ns.sources(news)
+        had = current.select("source_name", F.col("source_domain").alias("_had"))
+        if seen.join(had, "source_name").where("source_domain < _had or (_had is null and source_domain is not null)").isEmpty():
+            self.append("source_DIM", ns.new_sources(news, current))
+        else:
+            merged = current.unionByName(seen).groupBy("source_id", "source_name")
+            self.replace_table("source_DIM", merged.agg(F.min("source_domain").alias("source_domain")))
 
 
 def _materialized(df: DataFrame) -> DataFrame:

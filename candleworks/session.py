@@ -73,7 +73,9 @@ def shared_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        # Tests and laptops only: a cluster always names its shared folder.
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        # Tests and laptops only.
         configured = tempfile.mkdtemp(prefix="candleworks-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

@@ -62,17 +62,21 @@ def write_table(df: DataFrame, path: str, table: str | None = None, mode: str =
 def write_beside_then_swap(df: DataFrame, path: str, partition_by: str | None = None,
                            sort_by: list[str] | None = None, range_partitions: int | None = None) -> None:
     """Write the whole table next to ``path`` and move it into place when complete,
-    so readers never see a half-written table."""
+    so readers never see a half-written table. If the move fails, the old table is put
+    back and the error is raised; the old table's folder (``.old-…``) is kept."""
     spark = df.sparkSession
     tmp = f"{path}.tmp-{uuid.uuid4().hex}"
     out = clustered(df, partition_by, sort_by, range_partitions).write.mode("overwrite")
     if partition_by:
         out = out.partitionBy(partition_by)
     out.parquet(tmp)
-    if _session.path_exists(spark, path):
-        old = f"{path}.old-{uuid.uuid4().hex}"
-        _session.rename_path(spark, path, old)
-    _session.rename_path(spark, tmp, path)
+    old = f"{path}.old-{uuid.uuid4().hex}" if _session.path_exists(spark, path) else None
+    if old and not _session.rename_path(spark, path, old):
+        raise OSError(f"could not move {path} aside; the new table is at {tmp}")
+    if not _session.rename_path(spark, tmp, path):
+        if old:
+            _session.rename_path(spark, old, path)
+        raise OSError(f"could not move {tmp} to {path}")
 
 
 def create_if_missing(spark: SparkSession, path: str, table: str) -> bool:

@@ -8,12 +8,15 @@ processes what has landed and stops, which is how a daily schedule runs it; a
 long-running deployment uses a processing-time trigger instead.
 
 State between batches is the warehouse itself: the candle fact's newest day
-before a batch holds one row per known symbol (the carry-forward seed), read
-with a partition filter, so a batch costs O(symbols + batch), never O(history).
+before a batch holds one row per known symbol (the carry-forward seed). Prices are
+read with partition filters; finding that day still touches the date of every
+stored row. The tables don't depend on how many files a batch holds.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 
 from candleworks import schemas
@@ -31,6 +34,11 @@ def _stream(spark: SparkSession, landing_dir: str, schema, max_files: int) -> Da
     return raw.withColumn("object", obj).withColumn("file_date", times.object_date(obj))
 
 
+def _batch_name(checkpoint: str, epoch_id: int) -> str:
+    """The same for every retry of a batch of one stream, and of no other batch."""
+    return f"{hashlib.sha256(checkpoint.encode()).hexdigest()[:16]}-{epoch_id}"
+
+
 def ingest_candles(spark: SparkSession, warehouse: Warehouse, landing_dir: str, checkpoint: str,
                    quarantine_dir: str | None = None, max_files: int = 1,
                    available_now: bool = True):
@@ -38,7 +46,7 @@ def ingest_candles(spark: SparkSession, warehouse: Warehouse, landing_dir: str,
     def batch(df: DataFrame, epoch_id: int) -> None:
         rows = df.persist()
         try:
-            warehouse.load_candles(rows, quarantine_dir=quarantine_dir)
+            warehouse.load_candles(rows, quarantine_dir, _batch_name(checkpoint, epoch_id))
         finally:
             rows.unpersist()
 
@@ -52,13 +60,13 @@ def ingest_candles(spark: SparkSession, warehouse: Warehouse, landing_dir: str,
 
 
 def ingest_news(spark: SparkSession, warehouse: Warehouse, landing_dir: str, checkpoint: str,
-                max_files: int = 64, available_now: bool = True):
+                max_files: int = 64, available_now: bool = True, quarantine_dir: str | None = None):
     """Stream news landing objects into the source/topic dimensions, news_DIM and
     both sentiment facts."""
     def batch(df: DataFrame, epoch_id: int) -> None:
         rows = df.persist()
         try:
-            warehouse.load_news(rows)
+            warehouse.load_news(rows, quarantine_dir, _batch_name(checkpoint, epoch_id))
         finally:
             rows.unpersist()
 

@@ -315,6 +315,61 @@ def test_stream_late_file_and_malformed_line(spark, days):
     assert ("A", "2024-01-04", 3.0, 0, 0) in _fact_rows(wh)
 
 
+@pytest.mark.parametrize("max_files", [1, 64])
+def test_second_file_of_a_day_is_merged(spark, max_files):
+    """A day in two files, whatever the batches: no row is lost, and rows in = loaded
+    + quarantined."""
+    from candleworks.sinks import landing as landing_sink
+    from candleworks.streaming import incremental
+
+    base = S.scratch_path(spark, "t-two-files", unique=True)
+    d = ["2024-01-01", "2024-01-02"]
+    files = [[("A", d[0], 1.0, _ms(d[0])), ("A", d[0], 1.0, "junk")], [("B", d[0], 2.0, _ms(d[0])), ("B", d[0], 2.0, "junk too")],
+             [("A", d[1], 3.0, _ms(d[1]))], [("ZZZ", d[1], 9.0, _ms(d[1]))]]
+    for rows in files:
+        landing_sink.write_daily_json(_landing(spark, rows).withColumnRenamed("file_date", "day").coalesce(1), base, "OHCL", "day", mode="append")
+    wh = Warehouse(spark, S.scratch_path(spark, "t-two-files-wh", unique=True))
+    _symbols(spark, wh, ["A", "B"])
+    incremental.ingest_candles(spark, wh, base, wh.root + "/_ckpt", quarantine_dir=wh.root + "/_q", max_files=max_files)
+    assert _fact_rows(wh) == [("A", d[0], 1.0, 100, 1), ("A", d[1], 3.0, 100, 1), ("B", d[0], 2.0, 100, 1), ("B", d[1], 2.0, 0, 0)]
+    assert sorted((r.time, r.reason) for r in spark.read.json(wh.root + "/_q").collect()) == [
+        (_ms(d[1]), "unknown_ticker"), ("junk", "bad_time"), ("junk too", "bad_time")]
+
+
+def test_news_of_a_day_in_two_loads_and_lines_without_identity(spark):
+    def item(n, domain, topic):
+        return (D(2024, 1, 1), n, f"t{n}", f"u{n}", "20240101T100000", "Wire", domain, 0.1, [(topic, "0.5")], [("A", "0.3")])
+
+    wh = Warehouse(spark, S.scratch_path(spark, "t-news-two", unique=True))
+    _symbols(spark, wh, ["A"])
+    kind = ("file_date date, in_date_id long, title string, url string, time_published string, "
+            "source string, source_domain string, overall_sentiment_score double, "
+            "topics array<struct<topic:string,relevance_score:string>>, "
+            "ticker_sentiment array<struct<ticker:string,ticker_sentiment_score:string>>")
+    for rows in ([item(0, "b.com", "Tech"), item(1, "b.com", "Tech")], [item(1, "b.com", "Art"), item(2, "a.com", "Tech"), item(None, "c.com", "Tech")]):
+        wh.load_news(spark.createDataFrame(rows, kind), wh.root + "/_q")
+    assert sorted((r.in_date_id, r.title) for r in wh.read("news_DIM").collect()) == [(0, "t0"), (1, "t1"), (2, "t2")]
+    names = {r.topic_id: r.topic_name for r in wh.read("topic_DIM").collect()}
+    assert sorted((r.in_date_id, names[r.topic_id]) for r in wh.read("new_sentiment_industry_FACT").collect()) == [(0, "Tech"), (1, "Art"), (2, "Tech")]
+    assert sorted(r.in_date_id for r in wh.read("new_sentiment_stock_FACT").collect()) == [0, 1, 2]
+    assert [(r.source_name, r.source_domain) for r in wh.read("source_DIM").collect()] == [("Wire", "a.com")]
+    assert [(r.title, r.reason) for r in spark.read.json(wh.root + "/_q").collect()] == [("tNone", "no_identity")]
+
+
+def test_negative_volume_is_rejected_and_a_listed_twice_symbol_is_one(spark):
+    wh = Warehouse(spark, S.scratch_path(spark, "t-range", unique=True))
+    scr = spark.createDataFrame([("A", "A Inc", "US", "Tech", "Software", 2), ("A", "A Inc", "US", "Tech", "Software", 1)],
+                                "Symbol string, Name string, Country string, Sector string, Industry string, exchange smallint")
+    wh.init_schema()
+    wh.load_dimensions(scr)
+    wh.load_stock_symbols(scr)
+    assert [(r.stock_symbol, r.exchange) for r in wh.read("stock_symbol_DIM").collect()] == [("A", 1)]
+    rows = _landing(spark, [("A", "2024-01-01", 1.0, _ms("2024-01-01"))])
+    wh.load_candles(rows.withColumn("v", F.lit(-5.0)), wh.root + "/_q")
+    assert _fact_rows(wh) == []
+    assert [r.reason for r in spark.read.json(wh.root + "/_q").collect()] == ["out_of_range"]
+
+
 def test_moving_average_tables_incremental_equal_full(spark, days):
     wh = Warehouse(spark, S.scratch_path(spark, "t-ma", unique=True))
     _symbols(spark, wh, ["A", "B", "C", "D"])
