@@ -9,10 +9,12 @@ Equal sets are one class, represented by their smallest doc_id. Two classes link
 * Heavy sets: each is entered in the inverted lists of its first ``s - ceil(p s) + 1``
   shingles, in an order that all sets share (very frequent shingles last); linked sets
   meet in at least one list. Sets a little below the boundary are entered too, as a
-  heavy set may link to them.
+  heavy set may link to them. An entry knows its place in the order: sets of sizes s and
+  t that need c common shingles share one of the first s - c + 1 of one and t - c + 1 of
+  the other, so a pair only counts where it meets within these places.
 
 The boundary is where the estimated number of subsets plus list entries is least. List
-pairs are pruned by size and by a parity bitmap (each differing shingle flips one bit, so
+pairs are pruned by size, by place and by a parity bitmap (each differing shingle flips one bit, so
 differing bits never exceed the symmetric difference), again by a longer bitmap, and
 then proven on the whole sets.
 A long list is cut into blocks and its pairs of blocks are dealt to different tasks.
@@ -156,7 +158,7 @@ def _enter(batches: Iterable[pa.RecordBatch], n: int, percent: int, boundary: in
         ids = batch.column(0)
         seen: set[bytes] = set()
         for words in chunks(batch.column(1), lower=True):
-            rows, keys = [], []
+            rows, keys, places = [], [], []
             for i, s in enumerate(shingle_sets(words, n), words.rows.start):
                 if len(s) == 0 or (d := hashlib.blake2b(s.tobytes(), digest_size=16).digest()) in seen:
                     continue
@@ -164,13 +166,14 @@ def _enter(batches: Iterable[pa.RecordBatch], n: int, percent: int, boundary: in
                 if len(s) < boundary and (sizes := subset_sizes(len(s), boundary, percent)):
                     rows.append(np.full(len(k := subset_keys(s, sizes)), i))
                     keys.append(k)
+                    places.append(np.zeros(len(k), np.int32))  # a common subset is no place in an order
                 if len(s) >= heavy_from:
                     often = frequent[np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)] == s if len(frequent) else np.zeros(len(s), bool)
                     k = np.concatenate([s[~often], s[often]])[:first_entries(len(s), percent)]
-                    rows.append(np.full(len(k), i)), keys.append(k)
+                    rows.append(np.full(len(k), i)), keys.append(k), places.append(np.arange(len(k), dtype=np.int32))
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), ids.take(pa.array(np.concatenate(rows)))],
-                                                 names=["key", "doc"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), ids.take(pa.array(np.concatenate(rows))),
+                                                  pa.array(np.concatenate(places))], names=["key", "doc", "place"])
 
 
 #: A list and a pair of its blocks.
@@ -181,7 +184,7 @@ def _scan_lists(batches: Iterable[pa.RecordBatch], percent: int, star: bool) ->
     """Pairs of different components that may link, from rows sorted by list and pair of
     blocks. ``star``: only pairs with the first row of a pair of blocks."""
     def pairs(t: pa.Table) -> pa.RecordBatch:
-        col = {c: t.column(c).combine_chunks() for c in (*LIST, "block", "rep", "root", "n")}
+        col = {c: t.column(c).combine_chunks() for c in (*LIST, "block", "rep", "root", "n", "place")}
         v = {c: a.to_numpy(zero_copy_only=False) for c, a in col.items()}
         bits = np.frombuffer(b"".join(t.column("sketch").to_pylist()), dtype=np.uint64).reshape(-1, SKETCH_WORDS)
         new = np.concatenate([[True], np.any([v[c][1:] != v[c][:-1] for c in LIST], axis=0)])
@@ -201,8 +204,9 @@ def _scan_lists(batches: Iterable[pa.RecordBatch], percent: int, star: bool) ->
             apart = (v["root"][i] != v["root"][j]) & (star | (v["x"][i] == v["y"][i]) | (v["block"][i] != v["block"][j]))
             s, u = v["n"][i].astype(np.int64), v["n"][j].astype(np.int64)
             small, big = np.minimum(s, u), np.maximum(s, u)
-            ok = apart & (small * 100 >= percent * big)
-            i, j, most = i[ok], j[ok], (s + u - 2 * need(s, u, percent))[ok]
+            common = need(s, u, percent)
+            ok = apart & (small * 100 >= percent * big) & (v["place"][i] <= s - common) & (v["place"][j] <= u - common)
+            i, j, most = i[ok], j[ok], (s + u - 2 * common)[ok]
             differ = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1)
             i, j = i[differ <= most], j[differ <= most]
             out_a.append(np.minimum(v["rep"][i], v["rep"][j])), out_b.append(np.maximum(v["rep"][i], v["rep"][j]))
@@ -265,8 +269,9 @@ def _prove(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
         yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
 
-def _candidates(rows: DataFrame, known: DataFrame, percent: int, star: bool) -> DataFrame:
-    """Pairs to prove: of the lists' rows, those between components of the links so far."""
+def _candidates(rows: DataFrame, sets: DataFrame, known: DataFrame, percent: int, star: bool) -> DataFrame:
+    """Pairs to prove: of the lists' rows, those between components of the links so far.
+    Sizes and bitmaps (``sets``) are attached last, for the one shuffle that needs them."""
     rooted = rows.join(known.select(F.col("node").alias("rep"), "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     open_lists = rooted.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
     rooted = rooted.join(open_lists.select("key", "size"), "key").withColumn("blocks", F.ceil(F.col("size") / BLOCK_ROWS).cast("int"))
@@ -276,7 +281,8 @@ def _candidates(rows: DataFrame, known: DataFrame, percent: int, star: bool) ->
     else:
         dealt = rooted.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn(
             "x", F.least("block", "other")).withColumn("y", F.greatest("block", "other"))
-    dealt = dealt.select(*LIST, "block", "rep", "root", "n", "sketch").repartition(*LIST).sortWithinPartitions(*LIST, "rep")
+    dealt = dealt.select(*LIST, "block", "rep", "root", "place").join(sets, "rep").select(
+        *LIST, "block", "rep", "root", "place", "n", "sketch").repartition(*LIST).sortWithinPartitions(*LIST, "rep")
     return written(dealt.mapInArrow(lambda it: _scan_lists(it, percent, star), "a bigint, b bigint").distinct(), "shingle-pairs")
 
 
@@ -317,18 +323,19 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
     boundary = choose_boundary(small, entries_from, percent)
 
     sent = spark.sparkContext.broadcast(frequent)
-    entries = texts.where("doc is not null").mapInArrow(lambda it: _enter(it, n, percent, boundary, sent.value), "key bigint, doc bigint")
+    entries = texts.where("doc is not null").mapInArrow(lambda it: _enter(it, n, percent, boundary, sent.value), "key bigint, doc bigint, place int")
     entries = written(entries, "shingle-lists")
     lists = entries.groupBy("key").count().where("count > 1")
-    rows = entries.join(lists.select("key"), "key").join(info.select("doc", "rep").distinct(), "doc").select("key", "rep").distinct()
-    rows = written(rows, "shingle-rows").join(distinct, "rep")
+    rows = entries.join(lists.select("key"), "key").join(info.select("doc", "rep").distinct(), "doc").select("key", "rep", "place").distinct()
+    rows = written(rows, "shingle-rows")
+    distinct = written(distinct, "shingle-distinct")
 
     # Stars first: they join most of a group of near copies in one step, and what they
     # joined needs no more comparing. Then every pair that is still apart.
     links, star = None, True
     known = empty(spark, "node bigint, root bigint")
     while True:
-        found = _proven(_candidates(rows, known, percent, star), texts, n, percent)
+        found = _proven(_candidates(rows, distinct, known, percent, star), texts, n, percent)
         some = not found.isEmpty()
         if some:
             links = found if links is None else links.unionByName(found)
