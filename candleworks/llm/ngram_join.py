@@ -19,8 +19,9 @@ differing bits never exceed the symmetric difference), again by a longer bitmap,
 then proven on the whole sets.
 A long list is cut into blocks and its pairs of blocks are dealt to different tasks.
 Rows that are known to be of one component aren't compared: star rounds link the rows of
-each block to its first one until they find nothing new, then all pairs between the
-remaining components follow. A group of near copies so costs a few links per member.
+each block to one of them, another one each round, while a round spares a quarter of the
+comparisons left; then all pairs between the remaining components follow. A group of near
+copies so costs a few links per member.
 Nothing is capped: frequent shingles only come last in the order.
 
 Shingles are compared by 64-bit hashes. Cases: null and wordless texts have no shingles
@@ -57,6 +58,8 @@ BLOCK_ROWS = 256
 SKETCH_WORDS = 8
 BROADCAST_ROWS = 500_000
 SALTS = 32
+#: Star rounds go on while each leaves at most this share of the pairs to compare.
+STAR_LEAVES = 0.75
 #: Shingles that are counted together before the shuffle.
 COUNTED_TOGETHER = 2_000_000
 
@@ -182,7 +185,7 @@ LIST = ("key", "x", "y")
 
 def _scan_lists(batches: Iterable[pa.RecordBatch], percent: int, star: bool) -> Iterator[pa.RecordBatch]:
     """Pairs of different components that may link, from rows sorted by list and pair of
-    blocks. ``star``: only pairs with the first row of a pair of blocks."""
+    blocks. ``star``: only pairs with the first row of a pair of blocks, at any place."""
     def pairs(t: pa.Table) -> pa.RecordBatch:
         col = {c: t.column(c).combine_chunks() for c in (*LIST, "block", "rep", "root", "n", "place")}
         v = {c: a.to_numpy(zero_copy_only=False) for c, a in col.items()}
@@ -205,7 +208,7 @@ def _scan_lists(batches: Iterable[pa.RecordBatch], percent: int, star: bool) ->
             s, u = v["n"][i].astype(np.int64), v["n"][j].astype(np.int64)
             small, big = np.minimum(s, u), np.maximum(s, u)
             common = need(s, u, percent)
-            ok = apart & (small * 100 >= percent * big) & (v["place"][i] <= s - common) & (v["place"][j] <= u - common)
+            ok = apart & (small * 100 >= percent * big) & (star | ((v["place"][i] <= s - common) & (v["place"][j] <= u - common)))
             i, j, most = i[ok], j[ok], (s + u - 2 * common)[ok]
             differ = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1)
             i, j = i[differ <= most], j[differ <= most]
@@ -269,12 +272,22 @@ def _prove(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
         yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
 
-def _candidates(rows: DataFrame, sets: DataFrame, known: DataFrame, percent: int, star: bool) -> DataFrame:
-    """Pairs to prove: of the lists' rows, those between components of the links so far.
-    Sizes and bitmaps (``sets``) are attached last, for the one shuffle that needs them."""
+def _open_lists(rows: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """The rows with their component, the lists that hold several components (with their
+    ``size``), and how many pairs of rows of different components those lists have."""
     rooted = rows.join(known.select(F.col("node").alias("rep"), "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-    open_lists = rooted.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
-    rooted = rooted.join(open_lists.select("key", "size"), "key").withColumn("blocks", F.ceil(F.col("size") / BLOCK_ROWS).cast("int"))
+    roots = rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+    size = F.sum("n")
+    lists = roots.groupBy("key").agg(size.alias("size"), ((size * size - F.sum(F.col("n") * F.col("n"))) / 2).alias("apart")).where("apart > 0")
+    lists = written(lists, "shingle-open")
+    return rooted, lists.select("key", "size"), int(lists.agg(F.sum("apart")).first()[0] or 0)
+
+
+def _candidates(rooted: DataFrame, lists: DataFrame, sets: DataFrame, percent: int, star: int) -> DataFrame:
+    """Pairs to prove: of the lists' rows, those between components of the links so far.
+    Sizes and bitmaps (``sets``) are attached last, for the one shuffle that needs them.
+    ``star`` is the number of the star round, whose centres it fixes; 0 asks for all pairs."""
+    rooted = rooted.join(lists, "key").withColumn("blocks", F.ceil(F.col("size") / BLOCK_ROWS).cast("int"))
     rooted = rooted.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     if star:  # one row of each block meets the others of the block
         dealt = rooted.withColumn("x", F.col("block")).withColumn("y", F.col("block"))
@@ -282,8 +295,8 @@ def _candidates(rows: DataFrame, sets: DataFrame, known: DataFrame, percent: int
         dealt = rooted.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn(
             "x", F.least("block", "other")).withColumn("y", F.greatest("block", "other"))
     dealt = dealt.select(*LIST, "block", "rep", "root", "place").join(sets, "rep").select(
-        *LIST, "block", "rep", "root", "place", "n", "sketch").repartition(*LIST).sortWithinPartitions(*LIST, "rep")
-    return written(dealt.mapInArrow(lambda it: _scan_lists(it, percent, star), "a bigint, b bigint").distinct(), "shingle-pairs")
+        *LIST, "block", "rep", "root", "place", "n", "sketch").repartition(*LIST).sortWithinPartitions(*LIST, F.xxhash64("rep", F.lit(star)), "rep")
+    return written(dealt.mapInArrow(lambda it: _scan_lists(it, percent, star > 0), "a bigint, b bigint").distinct(), "shingle-pairs")
 
 
 def _proven(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
@@ -332,17 +345,21 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
 
     # Stars first: they join most of a group of near copies in one step, and what they
     # joined needs no more comparing. Then every pair that is still apart.
-    links, star = None, True
+    links, star = None, 1
     known = empty(spark, "node bigint, root bigint")
+    before = None
     while True:
-        found = _proven(_candidates(rows, distinct, known, percent, star), texts, n, percent)
+        rooted, lists, apart = _open_lists(rows, known)
+        star = star if before is None or apart <= STAR_LEAVES * before else 0
+        before = apart
+        found = _proven(_candidates(rooted, lists, distinct, percent, star), texts, n, percent)
         some = not found.isEmpty()
         if some:
             links = found if links is None else links.unionByName(found)
             known = components.roots(links)
         if not star:
             break
-        star = some
+        star = star + 1 if some else 0
     return info.select("doc", F.col("n").cast("long").alias("n_shingles"), "rep"), known
 
 
