@@ -167,6 +167,26 @@ def op9_line_dedup(spark, sf_dir):
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+@query("op9_passage_dedup", """
+WITH w AS (SELECT doc_id, CASE WHEN coalesce(text, '') = '' THEN [] ELSE string_split(text, chr(10)) END AS ls FROM documents),
+s AS (SELECT doc_id, array_to_string(ls[k:k + m - 1], chr(10)) AS body, k, m
+      FROM (SELECT doc_id, ls, m, unnest(generate_series(1, len(ls) - m + 1)) AS k FROM w, (VALUES (1), (2), (3)) v(m) WHERE len(ls) >= m)),
+f AS (SELECT doc_id, k, m, row_number() OVER (PARTITION BY m, body ORDER BY doc_id, k) AS n FROM s
+      WHERE m = 3 OR len(regexp_extract_all(body, '[^\\x20\\x09-\\x0D]+')) >= 50),
+r AS (SELECT DISTINCT doc_id, unnest(generate_series(k, k + m - 1)) AS p FROM f WHERE n > 1),
+p AS (SELECT doc_id, unnest(ls) AS line, unnest(generate_series(1, len(ls))) AS p FROM w WHERE len(ls) > 0),
+t AS (SELECT p.doc_id, string_agg(line, chr(10) ORDER BY p.p) FILTER (WHERE r.p IS NULL) AS body, count(r.p) AS gone
+      FROM p LEFT JOIN r ON p.doc_id = r.doc_id AND p.p = r.p GROUP BY p.doc_id)
+SELECT w.doc_id, len(ls) AS n_lines, coalesce(gone, 0) AS n_removed, sha256(coalesce(body, '')) AS kept_sha256
+FROM w LEFT JOIN t ON w.doc_id = t.doc_id""")
+def op9_passage_dedup(spark, sf_dir):
+    """Every document without runs of three lines, or of fewer lines with fifty words, that start earlier elsewhere."""
+    from candleworks.llm import line_dedup
+
+    out = line_dedup.dedup(table(spark, sf_dir, "documents"), words=line_dedup.PASSAGE_WORDS)
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, QueryFn]:
     return {k: fn for k, (fn, _) in REGISTRY.items()}
 

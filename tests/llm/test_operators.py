@@ -198,6 +198,14 @@ def test_line_dedup(sp, docs):
         assert (got[d]["n_lines"], got[d]["n_removed"], got[d]["kept"]) == (len(u), len(u) - len(kept), "\n".join(kept))
 
 
+def test_line_dedup_of_passages_by_words(sp):
+    long, half = " ".join(f"w{k}" for k in range(50)), " ".join(f"h{k}" for k in range(25))
+    some = [long, f"a\n{long}\nb", f"{half}\n{half}x\nc", f"d\n{half}\n{half}x", f"{half}\ne", f"{long}\n{long}"]
+    got = by_id(line_dedup.dedup(frame(sp, list(enumerate(some))), words=50))
+    assert [got[i]["kept"] for i in range(6)] == [long, "a\nb", some[2], "d", some[4], ""]
+    assert [r["n_removed"] for r in by_id(line_dedup.dedup(frame(sp, list(enumerate(some))))).values()] == [0] * 6
+
+
 def test_decontamination(sp, docs):
     base = texts()[5].split()
     items = sp.createDataFrame([(1, " ".join(base[5:40]).upper()), (2, None), (3, "two words"), (4, " ".join([*base[5:30], "q", "r", "s", "t", "u", "v", "w", "x"])), (1, " ".join(base[5:40]))], BENCH)
