@@ -21,7 +21,9 @@ A long list is cut into blocks and its pairs of blocks are dealt to different ta
 Rows that are known to be of one component aren't compared: star rounds link the rows of
 each block to one of them, another one each round, while a round spares a quarter of the
 comparisons left; then all pairs between the remaining components follow. A group of near
-copies so costs a few links per member.
+copies so costs a few links per member. ``links`` and ``join_links`` leave the star rounds
+out: every pair is compared, so every link between different sets is reported (as a pair of
+class representatives) and counted (``n_links``, by the documents of the classes).
 Nothing is capped: frequent shingles only come last in the order.
 
 Shingles are compared by 64-bit hashes. Cases: null and wordless texts have no shingles
@@ -311,9 +313,8 @@ def _proven(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFra
     return written(sides.mapInArrow(lambda it: _prove(it, percent), "a bigint, b bigint").distinct(), "shingle-links")
 
 
-def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE_WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """Per document ``doc``, its ``n_shingles`` and its class ``rep``; and ``node``, ``root``
-    of every class that links lead to a smaller one."""
+def _entered(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The texts; per document its size and class; the rows of the lists; the classes."""
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     told = written(texts.mapInArrow(lambda it: _describe(it, n), _INFO), "shingle-sets")
@@ -342,7 +343,14 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
     rows = entries.join(lists.select("key"), "key").join(info.select("doc", "rep").distinct(), "doc").select("key", "rep", "place").distinct()
     rows = written(rows, "shingle-rows")
     distinct = written(distinct, "shingle-distinct")
+    return texts, info, rows, distinct
 
+
+def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE_WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """Per document ``doc``, its ``n_shingles`` and its class ``rep``; and ``node``, ``root``
+    of every class that links lead to a smaller one."""
+    spark = docs.sparkSession
+    texts, info, rows, distinct = _entered(docs, id_col, text_col, n, percent)
     # Stars first: they join most of a group of near copies in one step, and what they
     # joined needs no more comparing. Then every pair that is still apart.
     links, star = None, 1
@@ -363,6 +371,36 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
     return info.select("doc", F.col("n").cast("long").alias("n_shingles"), "rep"), known
 
 
+def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE_WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """Per document ``doc``, its ``n_shingles`` and its class ``rep``; and every link between
+    two classes, ``a`` < ``b``. No star round: pairs of one component are compared as well."""
+    texts, info, rows, distinct = _entered(docs, id_col, text_col, n, percent)
+    rooted, lists, _ = _open_lists(rows, empty(docs.sparkSession, "node bigint, root bigint"))
+    found = _proven(_candidates(rooted, lists, distinct, percent, 0), texts, n, percent)
+    return info.select("doc", F.col("n").cast("long").alias("n_shingles"), "rep"), found
+
+
+def weighted(info: DataFrame, found: DataFrame) -> DataFrame:
+    """``rep`` and ``n_links`` of every class: the documents that each of its members links
+    with, those of its own class (equal sets) and those of the classes it links with."""
+    members = info.where("doc is not null and rep is not null").select("doc", "rep").distinct().groupBy("rep").agg(F.count(F.lit(1)).alias("members"))
+    members = written(members, "shingle-members")
+    both = found.select(F.col("a").alias("rep"), F.col("b").alias("other")).unionByName(found.select(F.col("b").alias("rep"), F.col("a").alias("other")))
+    beyond = both.join(members.select(F.col("rep").alias("other"), "members"), "other").groupBy("rep").agg(F.sum("members").alias("beyond"))
+    return members.join(beyond, "rep", "left").select("rep", (F.col("members") - 1 + F.coalesce("beyond", F.lit(0))).alias("n_links"))
+
+
+def join_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
+    """As :func:`join`, and ``n_links``, the number of documents that a document links with."""
+    info, found = links(docs, id_col, text_col, n, percent)
+    known = components.roots(found)
+    per_class = weighted(info, found).join(known, F.col("rep") == F.col("node"), "left").select(F.col("rep").alias("node"), "root", "n_links")
+    kind = docs.schema[id_col].dataType
+    return info.join(per_class, F.col("rep") == F.col("node"), "left").select(
+        F.col("doc").cast(kind).alias(id_col), "n_shingles", F.coalesce("root", "rep", "doc").cast(kind).alias("component_id"),
+        F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
     """Per row: the id, ``n_shingles`` and ``component_id``, the smallest id that links lead to."""
     info, known = classes(docs, id_col, text_col, n, percent)

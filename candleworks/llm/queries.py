@@ -102,6 +102,24 @@ def op8_ngram_join(spark, sf_dir):
     return ngram_join.join(table(spark, sf_dir, "documents"))
 
 
+@query("op8_ngram_links", """
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[k:k + least(len(ws), 3) - 1], ' ') AS gram
+      FROM (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - least(len(ws), 3) + 1)) AS k FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS size FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 90 * (x.size + y.size - shared)),
+k AS (SELECT a, count(*) AS n_links FROM l GROUP BY a),
+r(doc_id, reached) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.reached)
+SELECT d.doc_id, coalesce(any_value(n.size), 0) AS n_shingles, min(r.reached) AS component_id, coalesce(any_value(k.n_links), 0) AS n_links
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN k ON k.a = d.doc_id JOIN r ON r.doc_id = d.doc_id GROUP BY d.doc_id""")
+def op8_ngram_links(spark, sf_dir):
+    """The components of op8_ngram_join, and the number of documents that each document links with."""
+    from candleworks.llm import ngram_join
+
+    return ngram_join.join_links(table(spark, sf_dir, "documents"))
+
+
 @query("op10_substring_dedup", """
 WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
 s AS (SELECT doc_id, array_to_string(ws[k:k + 19], ' ') AS body, k

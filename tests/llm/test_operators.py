@@ -151,6 +151,18 @@ def test_near_copies_are_components(sp, docs):
         assert [(got[i]["n_shingles"], got[i]["component_id"]) for i in range(len(sets))] == [(len(s), r) for s, r in zip(sets, root)]
 
 
+def test_every_link_of_a_group_of_near_copies(sp):
+    base = [f"w{k}" for k in range(60)]
+    some = [" ".join([*base, f"tail{i % 7}"]) for i in range(9)] + [" ".join(base[:59]), "else where"]
+    sets = [{tuple(t.split()[k:k + 3]) for k in range(max(len(t.split()) - 2, 1))} for t in some]
+    linked = {(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets) if i != j and 100 * len(a & b) >= 90 * len(a | b)}
+    df = frame(sp, list(enumerate(some)))
+    _, found = ngram_join.links(df)
+    assert {(r.a, r.b) for r in found.collect()} == {(i, j) for i, j in linked if i < j and not {i, j} & {7, 8}}
+    got = by_id(ngram_join.join_links(df))
+    assert [got[i]["n_links"] for i in range(11)] == [sum(a == i for a, _ in linked) for i in range(11)]
+
+
 def test_subset_keys_meet_for_light_sets():
     import numpy as np
 
