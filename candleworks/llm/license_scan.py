@@ -6,9 +6,14 @@ Words are runs of digits, letters a-z (A-Z lowered) and bytes from 0x80 on. Each
 becomes its words between single spaces, so that a phrase is found exactly where its
 words stand consecutively, overlapping places included.
 
+After a tag with its colon, any well-formed identifier is an operand or an exception
+(``LicenseRef-`` and ``DocumentRef-`` ones too): what the tables don't hold is labelled as
+it stands and has the rank ``UNKNOWN``, above all others. Words of a note that follows
+``and``, ``or`` or ``with`` on the tag's line can't be told from identifiers.
+
 Cases: a null or empty text has no words, places, notices or expressions; an expression
-ends where no known licence can follow, and a dangling operator or open bracket is
-dropped; repeated rows are scanned alike; extra columns are ignored; a text is scanned
+ends where no licence can follow, and a dangling operator or open bracket is dropped;
+after a tag without a colon (prose) only known identifiers count; repeated rows are scanned alike; extra columns are ignored; a text is scanned
 whole, whatever its length.
 """
 
@@ -57,24 +62,36 @@ LICENCES = {
 }
 # Exceptions that may follow "with".
 EXCEPTIONS = {"classpath-exception-2.0", "llvm-exception", "gcc-exception-3.1", "bison-exception-2.2", "autoconf-exception-3.0"}
+#: Rank of a licence that the table doesn't hold.
+UNKNOWN = 4
 
 TAG = "spdx license identifier"
 BINDS = {"or": 1, "and": 2, "with": 3}
-_SYMBOL = re.compile(r"[()]|[a-z0-9][a-z0-9.+-]*")
+_SYMBOL = re.compile(r"[()]|(?:documentref-[a-z0-9.-]+:)?[a-z0-9][a-z0-9.+-]*")
+_IDENTIFIER = re.compile(r"(?:documentref-[a-z0-9.-]+:licenseref-)?[a-z0-9][a-z0-9.-]*\+?")
+
+
+def _operand(symbol: str, exception: bool, known: bool) -> bool:
+    """Whether a symbol can be a licence, or an exception."""
+    if symbol in EXCEPTIONS or symbol.rstrip("+") in LICENCES:
+        return exception == (symbol in EXCEPTIONS)
+    return not known and symbol not in BINDS and _IDENTIFIER.fullmatch(symbol) is not None
 
 
-def postfix(text: str) -> list[str]:
+def postfix(text: str, known: bool = False) -> list[str]:
     """The expression at the start of ``text`` in postfix order, by the shunting yard.
 
-    Reading stops at the first symbol that can't continue it."""
+    Reading stops at the first symbol that can't continue it; with ``known``, also at an
+    identifier that the tables don't hold."""
     out: list[str] = []
     stack: list[str] = []
     operand_next, at = True, 0
     while m := _SYMBOL.match(text, at := at + len(text[at:]) - len(text[at:].lstrip(" \t"))):
         symbol = m[0].rstrip(".") if m[0] not in LICENCES else m[0]
-        if operand_next and symbol == "(":
+        exception = bool(stack) and stack[-1] == "with"
+        if operand_next and symbol == "(" and not exception:
             stack.append(symbol)
-        elif operand_next and (symbol in EXCEPTIONS if stack and stack[-1] == "with" else symbol.rstrip("+") in LICENCES):
+        elif operand_next and _operand(symbol, exception, known):
             out.append(symbol)
             operand_next = False
         elif not operand_next and symbol in BINDS:
@@ -100,17 +117,20 @@ def postfix(text: str) -> list[str]:
 def evaluate(parts: list[str]) -> tuple[str, list[str], int]:
     """The expression with brackets, its licences, and the rank of what it asks for:
     ``or`` lets the reader choose the lesser, ``and`` asks for the greater, and an
-    exception turns strong into weak copyleft."""
+    exception turns strong into weak copyleft (an unknown one leaves the rank, and nothing
+    but ``or`` lessens an unknown licence)."""
     stack: list[tuple[str, list[str], int]] = []
     for p in parts:
         if p in BINDS:
             (b, ids_b, rank_b), (a, ids_a, rank_a) = stack.pop(), stack.pop()
-            rank = min(rank_a, rank_b) if p == "or" else max(rank_a, rank_b) if p == "and" else min(rank_a, 1)
-            stack.append((f"({a} {p} {b})", ids_a + ids_b, rank))
+            if p == "with":
+                stack.append((f"({a} with {b})", ids_a, min(rank_a, 1) if b in EXCEPTIONS and rank_a < UNKNOWN else rank_a))
+            else:
+                stack.append((f"({a} {p} {b})", ids_a + ids_b, min(rank_a, rank_b) if p == "or" else max(rank_a, rank_b)))
         elif p in EXCEPTIONS:
             stack.append((p, [], 0))
         else:
-            stack.append((p, [p.rstrip("+")], LICENCES[p.rstrip("+")]))
+            stack.append((p, [p.rstrip("+")], LICENCES.get(p.rstrip("+"), UNKNOWN)))
     return stack[0]
 
 
@@ -137,8 +157,8 @@ def _expression(raw: bytes, word: int) -> tuple[str, list[str], int] | None:
     """The evaluated expression on the line after the word number ``word``."""
     lowered = raw.lower()
     end = next(m.end() for i, m in enumerate(_WORD.finditer(lowered)) if i == word)
-    line = lowered[end:].split(b"\n", 1)[0].decode("utf-8", "replace").lstrip(": \t")
-    parts = postfix(line)
+    line = lowered[end:].split(b"\n", 1)[0].decode("utf-8", "replace").lstrip(" \t")
+    parts = postfix(line.lstrip(": \t"), known=not line.startswith(":"))
     return evaluate(parts) if parts else None
 
 

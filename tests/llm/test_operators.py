@@ -113,6 +113,19 @@ def test_licence_expressions(text, value):
     assert (got and (got[0], got[2])) == value
 
 
+@pytest.mark.parametrize("text, value", [
+    ("MIT AND Artistic-2.0", ("(mit and artistic-2.0)", ["mit", "artistic-2.0"], 4)), ("Artistic-2.0 OR MIT", ("(artistic-2.0 or mit)", ["artistic-2.0", "mit"], 0)),
+    ("MIT AND LicenseRef-Proprietary", ("(mit and licenseref-proprietary)", ["mit", "licenseref-proprietary"], 4)),
+    ("GPL-2.0 WITH Linux-syscall-note", ("(gpl-2.0 with linux-syscall-note)", ["gpl-2.0"], 2)),
+    ("DocumentRef-a.b:LicenseRef-x OR ISC", ("(documentref-a.b:licenseref-x or isc)", ["documentref-a.b:licenseref-x", "isc"], 0))])
+def test_licence_expressions_of_unknown_identifiers(text, value):
+    assert license_scan.evaluate(license_scan.postfix(text.lower())) == value
+    machine = license_scan._automaton((("tag", license_scan.TAG, ""),))
+    got = license_scan.scan_text(f"x\n# SPDX-License-Identifier: {text}\ny".encode(), machine)[3]
+    assert [(g["expression"], g["rank"]) for g in got] == [(value[0], value[2])]
+    assert license_scan.scan_text(b"an SPDX license identifier is needed", machine)[3] == []
+
+
 def test_any_symbols_give_a_whole_expression():
     rng = random.Random(5)
     for _ in range(3000):
