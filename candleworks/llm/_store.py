@@ -49,3 +49,10 @@ def plain(docs: DataFrame, *names: str) -> DataFrame:
 def same_class_small(df: DataFrame, most_rows: int) -> bool:
     """Whether ``df`` has at most ``most_rows`` rows, found without reading it all."""
     return df.limit(most_rows + 1).count() <= most_rows
+
+
+def one_each(rows: DataFrame, *keys: str) -> DataFrame:
+    """One row of each that agree in ``keys`` (nulls agree); rows are only combined if any do."""
+    if rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        return rows
+    return rows.dropDuplicates(list(keys))

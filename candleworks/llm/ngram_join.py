@@ -28,9 +28,10 @@ Nothing is capped: frequent shingles only come last in the order.
 
 Shingles are compared by 64-bit hashes. Cases: null and wordless texts have no shingles
 and link with nothing; a text with fewer words than a shingle has one, its whole
-sequence; rows that repeat a doc_id are one class if their texts are equal, and are
-otherwise compared as the rows they are, under that id; rows with a null doc_id get a
-null component and are compared with nothing; extra columns are ignored.
+sequence; rows that repeat a doc_id with an equal text are one document, and with other
+texts are compared and placed as the rows they are (documents are known by a 64-bit hash of
+id and text inside); rows with a null doc_id are compared as well, and have a null component
+if nothing they link with has an id; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -46,7 +47,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candleworks.llm import components
-from candleworks.llm._store import empty, same_class_small, written
+from candleworks.llm._store import empty, one_each, same_class_small, written
 from candleworks.llm._words import Words, chunks, grams, mix
 
 SHINGLE_WORDS = 3
@@ -390,26 +391,46 @@ def weighted(info: DataFrame, found: DataFrame) -> DataFrame:
     return members.join(beyond, "rep", "left").select("rep", (F.col("members") - 1 + F.coalesce("beyond", F.lit(0))).alias("n_links"))
 
 
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Every row with ``_row``, which tells rows of one id and different texts apart."""
+    return docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.xxhash64(id_col, text_col).alias("_row"))
+
+
+def _placed(keyed: DataFrame, info: DataFrame, known: DataFrame) -> DataFrame:
+    """Per row: ``_id``, ``_row``, ``n_shingles``, ``rep`` and the ``root`` of its component."""
+    rows = keyed.select("_id", "_row").join(info.distinct(), F.col("_row") == F.col("doc"))
+    rows = rows.join(known, F.col("rep") == F.col("node"), "left")
+    return written(rows.select("_id", "_row", "n_shingles", "rep", F.coalesce("root", "rep", "_row").alias("root"),
+                               F.pmod(F.xxhash64("_row"), F.lit(SALTS)).alias("salt")), "shingle-placed")
+
+
+def _with_component(placed: DataFrame) -> DataFrame:
+    """``component_id``: the smallest id of a row's component."""
+    least = placed.groupBy("root", "salt").agg(F.min("_id").alias("least")).select(
+        "root", "salt", F.min("least").over(Window.partitionBy("root")).alias("component_id"))
+    return placed.join(least, ["root", "salt"])
+
+
 def join_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
     """As :func:`join`, and ``n_links``, the number of documents that a document links with."""
-    info, found = links(docs, id_col, text_col, n, percent)
-    known = components.roots(found)
-    per_class = weighted(info, found).join(known, F.col("rep") == F.col("node"), "left").select(F.col("rep").alias("node"), "root", "n_links")
-    kind = docs.schema[id_col].dataType
-    return info.join(per_class, F.col("rep") == F.col("node"), "left").select(
-        F.col("doc").cast(kind).alias(id_col), "n_shingles", F.coalesce("root", "rep", "doc").cast(kind).alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    keyed = _keyed(docs, id_col, text_col)
+    info, found = links(keyed, "_row", "_text", n, percent)
+    rows = _with_component(_placed(keyed, info, components.roots(found))).join(weighted(info, found), "rep", "left")
+    return rows.select(F.col("_id").alias(id_col), "n_shingles", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
     """Per row: the id, ``n_shingles`` and ``component_id``, the smallest id that links lead to."""
-    info, known = classes(docs, id_col, text_col, n, percent)
-    return info.join(known, F.col("rep") == F.col("node"), "left").select(
-        F.col("doc").cast(docs.schema[id_col].dataType).alias(id_col), "n_shingles",
-        F.coalesce("root", "rep", "doc").cast(docs.schema[id_col].dataType).alias("component_id"))
+    keyed = _keyed(docs, id_col, text_col)
+    rows = _with_component(_placed(keyed, *classes(keyed, "_row", "_text", n, percent)))
+    return rows.select(F.col("_id").alias(id_col), "n_shingles", "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` that are their component's smallest id, with all their columns."""
-    gone = join(docs, id_col, text_col, n, percent).where(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    """One row of every component, of its smallest id (a null id comes last), with all its columns."""
+    keyed = _keyed(docs, id_col, text_col)
+    placed = _placed(keyed, *classes(keyed, "_row", "_text", n, percent))
+    first = placed.groupBy("root").agg(F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_row")).alias("f"))
+    kept = written(first.select(F.col("f._row").alias("_kept")), "shingle-kept")
+    rows = docs.select(F.struct("*").alias("_doc"), F.xxhash64(id_col, text_col).alias("_row"))
+    return one_each(rows.join(kept, F.col("_row") == F.col("_kept"), "left_semi"), "_row").select("_doc.*")

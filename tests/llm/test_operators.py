@@ -307,6 +307,22 @@ def test_query_matches_sql(sp, duck, key):
     assert sorted(cols) == sorted(df.columns) and multiset(df.columns, rows(df)) == multiset(cols, want)
 
 
+def kept_texts(df):
+    return sorted((r.doc_id is None, r.doc_id or 0, r.text) for r in df.collect())
+
+
+def test_repeated_and_null_ids_lose_no_text(sp):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(30)) for x in "abc")
+    some = frame(sp, [(5, a), (5, b), (3, b), (9, a), (None, c), (None, c), (None, a), (7, "x"), (7, "x")])
+    want = [(False, 3, b), (False, 5, a), (False, 7, "x"), (True, 0, c)]
+    assert kept_texts(exact_dedup.keep_first(some)) == want
+    from pyspark.sql import functions as F
+    assert kept_texts(exact_dedup.keep_first(some, digest=lambda t: F.lit("same"))) == want
+    near = some.unionByName(frame(sp, [(5, b + " tail"), (2, c + " tail"), (5, a + " more words")]))
+    assert kept_texts(ngram_join.keep_one(near, n=5, percent=80)) in [
+        [(False, 2, c + " tail"), (False, 3, b), (False, 5, first), (False, 7, "x")] for first in (a, a + " more words")]
+
+
 def test_pipeline_stages_take_effect(sp):
     docs = sp.read.parquet(f"{SF_SMALL}/documents.parquet")
     kept = docs
