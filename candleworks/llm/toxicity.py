@@ -2,8 +2,9 @@
 Nystroem landmarks.
 
 Strings are words: a white-space token in lower case without its punctuation, between two
-end marks; a run of four or more single characters ("s p a c e d") is one word too. The
-kernel counts common subsequences of three characters, each occurrence discounted by the
+end marks; a run of four or more single characters ("s p a c e d") is one word too. Letters of
+all scripts are told apart: a triple of Latin letters and digits has a weight of its own,
+one with other letters shares a table of hashed triples. The kernel counts common subsequences of three characters, each occurrence discounted by the
 characters it skips (up to two), so inserted and gapped characters cost a little and not
 everything.
 
@@ -26,6 +27,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import unicodedata
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -35,7 +37,7 @@ from pyspark.sql import functions as F
 
 from candleworks.llm import _labels
 from candleworks.llm._store import written
-from candleworks.llm._words import _buffers
+from candleworks.llm._words import _buffers, mix
 
 SAMPLE = 2000
 NEGATIVE_WORDS = 40_000
@@ -53,27 +55,74 @@ CHUNK = 2 << 20
 DECAY = 0.6
 #: Distances between the three characters of a subsequence.
 STEPS = ((1, 1), (1, 2), (2, 1), (1, 3), (2, 2), (3, 1))
+#: Symbols whose triples have a weight of their own; triples with others share as many hashed ones.
 SYMBOLS = 32
+TRIPLES = 2 * SYMBOLS ** 3
+#: Code points from here on have no upper case.
+CASED = 0x20000
+
+
+def _symbols() -> np.ndarray:
+    """Symbol of each code point: 0 ends a word, 1-26 letters, 27 digits, from 32 on other
+    letters and digits (one symbol each, in lower case); -1 white space, -2 dropped."""
+    out = np.full(CASED, -2, dtype=np.int32)
+    for i in range(128, CASED):
+        c = chr(i)
+        if c.isspace():
+            out[i] = -1
+        elif unicodedata.category(c)[0] in "LNM":
+            low = ord(c.lower()[0])
+            out[i] = SYMBOLS + low if low >= 128 else low - 96
+    out[[0x20, *range(9, 14)]] = -1
+    out[48:58] = 27
+    out[65:91] = np.arange(1, 27)
+    out[97:123] = np.arange(1, 27)
+    return out
+
+
+_SYMBOL = _symbols()
+
+
+def _points(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of UTF-8 bytes, and the texts' offsets in them."""
+    if len(data) == 0 or data.max() < 128:
+        return data, off
+    lead = (data & 0xC0) != 0x80
+    at = np.flatnonzero(lead)
+    point = data[at].astype(np.uint32)
+    more = np.concatenate([data & 0x3F, np.zeros(3, np.uint8)]).astype(np.uint32)
+    for least, below, mask, n in ((0xC0, 0xE0, 0x1F, 1), (0xE0, 0xF0, 0x0F, 2), (0xF0, 0x100, 0x07, 3)):
+        long = np.flatnonzero((data[at] >= least) & (data[at] < below))
+        value = point[long] & mask
+        for k in range(1, n + 1):
+            value = (value << 6) | more[at[long] + k]
+        point[long] = value
+    return point, np.concatenate([[0], np.cumsum(lead)])[off]
+
 
-# Symbol of each byte: 0 ends a word, 1-26 letters, 27 digits, 28-31 other letters' bytes; -1 white space, -2 dropped.
-_SYMBOL = np.full(256, -2, dtype=np.int8)
-_SYMBOL[[0x20, *range(9, 14)]] = -1
-_SYMBOL[48:58] = 27
-_SYMBOL[65:91] = np.arange(1, 27)
-_SYMBOL[97:123] = np.arange(1, 27)
-_SYMBOL[128:] = 28 + np.arange(128) % 4
+def _codes(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Where the weight of each triple of symbols stands."""
+    code = (a * SYMBOLS + b) * SYMBOLS + c
+    other = np.flatnonzero((a >= SYMBOLS) | (b >= SYMBOLS) | (c >= SYMBOLS))
+    if len(other):
+        x, y, z = (v[other].astype(np.uint64) for v in (a, b, c))
+        hashed = mix((x << np.uint64(42)) | (y << np.uint64(21)) | z)
+        code[other] = SYMBOLS ** 3 + (hashed % np.uint64(TRIPLES - SYMBOLS ** 3)).astype(np.int64)
+    return code
 
 
 def _strings(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Symbols of all words of some texts, each word from one end mark to the next; where
     words start in them; and the text of each word."""
-    symbol = _SYMBOL[data]
+    data, off = _points(data, off)
+    symbol = _SYMBOL[data] if data.dtype == np.uint8 else np.where(
+        data < CASED, _SYMBOL[np.minimum(data, CASED - 1)], data.astype(np.int32) + SYMBOLS)
     text = np.repeat(np.arange(len(off) - 1), np.diff(off))
     solid = symbol > 0
     gap = np.concatenate([[0], np.cumsum(symbol == -1)])[:-1]
     s, t, g = symbol[solid], text[solid], gap[solid]
     if len(s) == 0:
-        return np.zeros(0, np.int8), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
     begin = np.flatnonzero(np.concatenate([[True], (g[1:] != g[:-1]) | (t[1:] != t[:-1])]))
     owner, length = t[begin], np.diff(np.concatenate([begin, [len(s)]]))
     # Runs of four or more single characters are a word as well.
@@ -88,7 +137,7 @@ def _strings(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         begin = np.concatenate([begin, len(s) - np.cumsum([len(e) for e, _ in extra][::-1])[::-1]])
         owner = np.concatenate([owner, [o for _, o in extra]])
         length = np.concatenate([length, [len(e) for e, _ in extra]])
-    out = np.zeros(len(s) + len(begin) + 1, dtype=np.int8)
+    out = np.zeros(len(s) + len(begin) + 1, dtype=np.int32)
     out[np.arange(len(s)) + np.repeat(np.arange(len(begin)), length) + 1] = s
     return out, begin + np.arange(len(begin)), owner
 
@@ -96,11 +145,11 @@ def _strings(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 def _occurrences(symbols: np.ndarray, begin: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
     """Word, subsequence code and weight of every occurrence, per pair of steps."""
     word = np.repeat(np.arange(len(begin)), np.diff(np.concatenate([begin, [len(symbols) - 1]])))
-    first = symbols[:-1].astype(np.int32)
+    first = symbols[:-1].astype(np.int64)
     stop = np.concatenate([begin[1:], [len(symbols) - 1]])[word]  # where the word's closing mark stands
     for a, b in STEPS:
         at = np.flatnonzero(np.arange(len(first)) + a + b <= stop)
-        yield word[at], (first[at] * SYMBOLS + symbols[at + a]) * SYMBOLS + symbols[at + a + b], DECAY ** (a + b - 2)
+        yield word[at], _codes(first[at], symbols[at + a], symbols[at + a + b]), DECAY ** (a + b - 2)
 
 
 def _norms(begin: np.ndarray, end: int) -> np.ndarray:
@@ -117,14 +166,19 @@ def word_values(symbols: np.ndarray, begin: np.ndarray, weights: np.ndarray) ->
     return total / np.maximum(_norms(begin, len(symbols) - 1), 1e-9)
 
 
-def _features(words: list[str]) -> np.ndarray:
-    """Normalised subsequence counts of each word, one row per word."""
+def _features(words: list[str], columns: np.ndarray | None = None) -> np.ndarray:
+    """Normalised subsequence counts of each word, one row per word; of all triples, or of
+    those that ``columns`` names."""
     raw = [w.encode() for w in words]
     off = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
     symbols, begin, owner = _strings(np.frombuffer(b"".join(raw), np.uint8), off)
-    out = np.zeros((len(words), SYMBOLS ** 3), dtype=np.float32)
+    width = TRIPLES if columns is None else len(columns)
+    place = np.full(TRIPLES, width)
+    place[slice(None) if columns is None else columns] = np.arange(width)
+    out = np.zeros((len(words), width), dtype=np.float32)
     for word, code, w in _occurrences(symbols, begin):
-        np.add.at(out, (owner[word], code), w)
+        named = place[code] < width
+        np.add.at(out, (owner[word[named]], place[code[named]]), w)
     norm = np.ones(len(words))
     norm[owner] = _norms(begin, len(symbols) - 1)
     return out / np.maximum(norm, 1e-9)[:, None]
@@ -168,16 +222,19 @@ def fit_words(positive: dict[str, int], negative: list[str]) -> tuple[np.ndarray
     for r in range(ROUNDS):
         half = LANDMARKS // 2
         marks = _features(list(dict.fromkeys(good[:half] + bad[-half:])))
+        used = np.flatnonzero(marks.any(axis=0))
+        marks = marks[:, used]
         k = (marks @ marks.T).astype(np.float64)
         values, vectors = np.linalg.eigh(k)
         keep = values > 1e-4 * values.max()
         root = vectors[:, keep] / np.sqrt(values[keep])
         rows = good + bad
-        z = np.vstack([_features(rows[i:i + 500]) @ marks.T for i in range(0, len(rows), 500)]).astype(np.float64) @ root
+        z = np.vstack([_features(rows[i:i + 500], used) @ marks.T for i in range(0, len(rows), 500)]).astype(np.float64) @ root
         y = np.array([1.0] * len(good) + [-1.0] * len(bad))
         cost = COST * np.concatenate([price * len(bad) / len(good) / 4, np.ones(len(bad))])
         w = _svm(z, y, cost)
-        weights, bias = marks.T.astype(np.float64) @ (root @ w[:-1]), float(w[-1])
+        weights, bias = np.zeros(TRIPLES), float(w[-1])
+        weights[used] = marks.T.astype(np.float64) @ (root @ w[:-1])
         if r + 1 < ROUNDS:
             worst = _values_of(negative, weights)
             known = set(bad)
@@ -241,7 +298,7 @@ def _sentences(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for y, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             parts = _SENTENCE_END.split(text or "")
-            words = [sorted({w for t in p.split() if (w := "".join(c for c in t.lower() if c.isalnum()))}) for p in parts]
+            words = [sorted({w for t in p.split() if (w := "".join(c.lower()[0] for c in t if unicodedata.category(c)[0] in "LNM"))}) for p in parts]
             keys = [int.from_bytes(hashlib.blake2b(" ".join(w).encode(), digest_size=8).digest(), "little", signed=True) for w in words]
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array([y] * len(parts), pa.int32()), pa.array(words, pa.list_(pa.string()))],
                                              names=["key", "_y", "words"])

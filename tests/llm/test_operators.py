@@ -265,6 +265,22 @@ def test_toxicity_held_out_and_gapped(sp):
     assert toxicity.fit(df, labels.where("toxic = 0")) is None
 
 
+def test_letters_of_all_scripts_are_told_apart():
+    import numpy as np
+    import pyarrow as pa
+
+    letters = [chr(i) for i in range(0x430, 0x450)]
+    x = toxicity._features([a + b + c for a in letters[:8] for b in letters[8:16] for c in letters[16:20]])
+    same = x @ x.T
+    assert (same > 0.99).sum() == len(x)  # each is like itself only
+    assert (toxicity._features(["ДУРАК", "Größe", "naïve", "𐐀b9"]) == toxicity._features(["дурак", "gröSSe".replace("SS", "ß"), "NAÏVE", "𐐨B9"])).all()
+    bad, clean = {"дурак": 9, "болван": 9, "тупица": 9}, ["дорога", "рукава", "карьер", "бокал", "вокзал", "трубица", "молоко", "страница"]
+    weights, bias = toxicity.fit_words(bad, clean)
+    model = toxicity.Model(weights, bias)
+    worst = model.evidence(pa.array(["они ДУРАК там", "это «болван»!", "т у п и ц а", "дорога и бокал", "вокзал, молоко", "a plain text", "", "𠀀𠀁𠀂𠀃"]))[:, 0]
+    assert worst[:3].min() > max(worst[3:].max(), 0)
+
+
 def test_quality_held_out(sp):
     df, labels = classifier_docs(sp, ["$$$", "###", "%%%", "&&&"])
     described = quality.describe(df)
