@@ -29,6 +29,12 @@ def insert_date(file_date: Column | str = "file_date") -> Column:
     return F.date_add(c, INSERT_LAG_DAYS)
 
 
+def item_key(publish_date: Column) -> Column:
+    """What an item is, whatever file brought it: its url, title and publish date (the
+    stored tables keep no time of day)."""
+    return F.sha2(F.to_json(F.struct("url", "title", publish_date.alias("published"))), 256)
+
+
 def source_key(name: Column | str = "source_name") -> Column:
     """Id of a source: keyed on the name, the column the news rows look it up by,
     so incremental and one-shot loads agree whatever domains arrive later."""

@@ -11,15 +11,17 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from candleworks import schemas
 from candleworks import session as _session
+from candleworks.functions import times
 from candleworks.operators import candles as cd
 from candleworks.operators import dimensions as dm
 from candleworks.operators import indicators
 from candleworks.operators import news as ns
+from candleworks.operators.numbering import number_within
 from candleworks.sinks import tables as sink
 
 
@@ -199,9 +201,11 @@ class Warehouse:
     # ---- M6: news -----------------------------------------------------------------
     def load_news(self, news: DataFrame, quarantine_dir: str | None = None, batch: str | None = None) -> None:
         """Sources, topics, news items and both sentiment facts for the given items
-        (any number of file days). An item replaces the stored item of its identity
-        (insert date, number in the day); other items of the day stay, so a day may come
-        in several files and batches. Lines without an identity are not loaded but
+        (any number of file days). An item is one of its insert date, url, title and
+        publish date: it replaces the stored one and keeps its number, and copies inside
+        the batch are one item; other items of the day stay, so a day may come in several
+        files and batches. A new item whose number in the day another item has gets the
+        next free one. Lines without an identity are not loaded but
         written to ``quarantine_dir``, once per ``batch``. The items feed five writes, so
         they are read once and kept (memory, spilling to disk)."""
         news = news.persist()
@@ -210,10 +214,38 @@ class Warehouse:
             if quarantine_dir:
                 (news.where(~known).withColumn("reason", F.lit("no_identity")).write.mode("overwrite")
                  .json(f"{quarantine_dir}/batch={batch or uuid.uuid4().hex}"))
-            self._load_news(news.where(known))
+            merged = self._merged_news(news.where(known)).persist()
+            try:
+                self._load_news(merged)
+            finally:
+                merged.unpersist()
         finally:
             news.unpersist()
 
+    def _merged_news(self, news: DataFrame) -> DataFrame:
+        """One row per item, under the number in the day that it has or gets."""
+        names = ["in_date_id", *[c for c in news.columns if c != "in_date_id"]]
+        keyed = news.withColumn("_day", ns.insert_date()).withColumn("_item", ns.item_key(times.publish_date("time_published")))
+        one = keyed.groupBy("_day", "_item").agg(F.min(F.struct(*names)).alias("_row"))
+        wanted = one.select("_day", "_item", F.col("_row.in_date_id").cast("long").alias("_want"))
+        stored = self.read("news_DIM").withColumnRenamed("insert_date", "_day").join(wanted.select("_day").distinct(), "_day", "left_semi").select(
+            "_day", ns.item_key(F.col("time_publish_id")).alias("_item"), F.col("in_date_id").cast("long").alias("_had"))
+        taken = stored.select("_day", F.col("_had").alias("_want"), F.lit(True).alias("_taken")).distinct()
+        first = F.min(F.when(F.col("_had").isNull() & F.col("_taken").isNull(), F.col("_item"))).over(Window.partitionBy("_day", "_want"))
+        placed = (wanted.join(stored.groupBy("_day", "_item").agg(F.min("_had").alias("_had")), ["_day", "_item"], "left")
+                  .join(taken, ["_day", "_want"], "left").withColumn("_first", first)
+                  .withColumn("_number", F.coalesce("_had", F.when(F.col("_first") == F.col("_item"), F.col("_want")))))
+        placed = _materialized(placed.select("_day", "_item", "_want", "_number"))
+        moved = placed.where("_number is null")
+        numbers = placed.where("_number is not null").select("_day", "_item", "_number")
+        if not moved.isEmpty():
+            last = _materialized(placed.select("_day", F.greatest("_want", "_number").alias("_n")).unionByName(
+                stored.select("_day", F.col("_had").alias("_n"))).groupBy("_day").agg(F.max("_n").alias("_last")))
+            moved = number_within(moved, ["_day"], ["_want", "_item"], "_k").join(last, "_day")
+            numbers = _materialized(numbers.unionByName(moved.select("_day", "_item", (F.col("_last") + 1 + F.col("_k")).alias("_number"))))
+        rows = one.join(numbers, ["_day", "_item"]).select("_row.*", "_number")
+        return rows.withColumn("in_date_id", F.col("_number")).select(*news.columns)
+
     def _load_news(self, news: DataFrame) -> None:
         self._load_sources(news)
         self.append("topic_DIM", ns.new_topics(news, self.read("topic_DIM")))

@@ -10,7 +10,8 @@ long-running deployment uses a processing-time trigger instead.
 State between batches is the warehouse itself: the candle fact's newest day
 before a batch holds one row per known symbol (the carry-forward seed). Prices are
 read with partition filters; finding that day still touches the date of every
-stored row. The tables don't depend on how many files a batch holds.
+stored row. The facts and news items don't depend on how many files a batch holds; of news
+items that came under one number of a day, which one is renumbered may.
 """
 
 from __future__ import annotations

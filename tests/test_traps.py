@@ -356,6 +356,35 @@ def test_news_of_a_day_in_two_loads_and_lines_without_identity(spark):
     assert [(r.title, r.reason) for r in spark.read.json(wh.root + "/_q").collect()] == [("tNone", "no_identity")]
 
 
+def test_news_files_of_a_day_numbered_alike_at_any_batch_size(spark):
+    from candleworks.sinks import landing as landing_sink
+    from candleworks.streaming import incremental
+
+    kind = ("file_date date, in_date_id long, title string, url string, time_published string, "
+            "source string, source_domain string, overall_sentiment_score double, "
+            "topics array<struct<topic:string,relevance_score:string>>, "
+            "ticker_sentiment array<struct<ticker:string,ticker_sentiment_score:string>>")
+
+    def item(n, name):
+        return (D(2024, 1, 1), n, f"t{name}", f"u{name}", "20240101T100000", "Wire", "a.com", 0.1, [(f"T{name}", "0.5")], [("A", f"0.{name}")])
+
+    files = [[item(0, 1), item(1, 2)], [item(0, 3), item(1, 4), item(2, 1)], [item(0, 1), item(1, 2)]]
+    base = S.scratch_path(spark, "t-news-alike", unique=True)
+    for rows in files:
+        landing_sink.write_daily_json(spark.createDataFrame(rows, kind).coalesce(1), base, "news", "file_date", mode="append")
+    got = []
+    for size in (1, 64):
+        wh = Warehouse(spark, S.scratch_path(spark, f"t-news-alike-{size}", unique=True))
+        _symbols(spark, wh, ["A"])
+        incremental.ingest_news(spark, wh, base, S.scratch_path(spark, "t-news-alike-ckpt", unique=True), max_files=size)
+        titles = {r.in_date_id: r.title for r in wh.read("news_DIM").collect()}
+        assert wh.read("news_DIM").count() == len(titles) == 4
+        names = {r.topic_id: r.topic_name for r in wh.read("topic_DIM").collect()}
+        got.append((sorted((titles[r.in_date_id], names[r.topic_id]) for r in wh.read("new_sentiment_industry_FACT").collect()),
+                    sorted((titles[r.in_date_id], round(r.sentiment_score, 3)) for r in wh.read("new_sentiment_stock_FACT").collect())))
+    assert got[0] == got[1] == ([(f"t{k}", f"T{k}") for k in range(1, 5)], [(f"t{k}", k / 10) for k in range(1, 5)])
+
+
 def test_negative_volume_is_rejected_and_a_listed_twice_symbol_is_one(spark):
     wh = Warehouse(spark, S.scratch_path(spark, "t-range", unique=True))
     scr = spark.createDataFrame([("A", "A Inc", "US", "Tech", "Software", 2), ("A", "A Inc", "US", "Tech", "Software", 1)],
