@@ -78,6 +78,20 @@ def _buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return off, raw
 
 
+def text_groups(column: pa.Array, most: int) -> Iterator[tuple[int, list[str]]]:
+    """Consecutive texts of about ``most`` bytes together (nulls as empty texts), each
+    group with the row that it starts at."""
+    n = len(column)
+    if n == 0:
+        return
+    off, _ = _buffers(column)
+    a = 0
+    while a < n:
+        b = min(n, max(int(np.searchsorted(off, off[a] + most, side="right")) - 1, a + 1))
+        yield a, [t or "" for t in column.slice(a, b - a).to_pylist()]
+        a = b
+
+
 def chunks(column: pa.Array, lower: bool = False) -> Iterator[Words]:
     """The words of a string column, in chunks of whole rows."""
     n = len(column)

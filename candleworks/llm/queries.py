@@ -205,6 +205,14 @@ def op9_passage_dedup(spark, sf_dir):
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+@query("op12_byte_bpe")
+def op12_byte_bpe(spark, sf_dir):
+    """Every text of ``documents`` as byte-level BPE ids and back."""
+    from candleworks.llm import byte_bpe
+
+    return byte_bpe.digests(byte_bpe.encode(table(spark, sf_dir, "documents"), byte_bpe.default_path(), byte_bpe.default_pattern()))
+
+
 def queries() -> dict[str, QueryFn]:
     return {k: fn for k, (fn, _) in REGISTRY.items()}
 
