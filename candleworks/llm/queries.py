@@ -205,6 +205,28 @@ def op9_passage_dedup(spark, sf_dir):
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+@query("op11_collocations", """
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+n AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang),
+g AS (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase
+      FROM (SELECT lang, ws, k, unnest(generate_series(1, len(ws) - k + 1)) AS i FROM w, (VALUES (1), (2), (3)) v(k) WHERE len(ws) >= k)),
+c AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS ws, count(*) AS f FROM g GROUP BY lang, k, phrase HAVING count(*) >= 10),
+i AS (SELECT lang, array_to_string(ws[j:j + 1], ' ') AS phrase, max(f) AS whole FROM c, (VALUES (1), (2)) v(j) WHERE k = 3 GROUP BY 1, 2),
+d AS (SELECT c.* FROM c LEFT JOIN i ON c.k = 2 AND c.lang = i.lang AND c.phrase = i.phrase WHERE c.k > 1 AND (whole IS NULL OR 100 * whole < 50 * f)),
+t AS (SELECT lang, phrase, f AS a, j, array_to_string(ws[1:j], ' ') AS head, array_to_string(ws[j + 1:k], ' ') AS tail FROM d, (VALUES (1), (2)) v(j) WHERE j < k),
+s AS (SELECT t.lang, t.phrase, a, j, x.f AS l, y.f AS r, ((1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f))::BIGINT AS score
+      FROM t JOIN c x ON x.lang = t.lang AND x.phrase = t.head JOIN c y ON y.lang = t.lang AND y.phrase = t.tail),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM b)
+SELECT o.lang, rank, phrase, a, l, r, n, score FROM o JOIN n ON o.lang = n.lang WHERE rank <= 2000""")
+def op11_collocations(spark, sf_dir):
+    """The first 2,000 collocations of two and three words of every language."""
+    from candleworks.llm import collocations
+
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 @query("op12_byte_bpe")
 def op12_byte_bpe(spark, sf_dir):
     """Every text of ``documents`` as byte-level BPE ids and back."""
