@@ -186,7 +186,8 @@ def count_chunk(found: Tokens, lang_of: np.ndarray, langs: list[str], longest: i
         count[known] = 0
         yield k, word_langs, parts, count
         admits_now = now.has(hashes) if now else np.ones(len(key), bool)
-        admits_before = before.has(hashes) if before else np.zeros(len(key), bool)
+        # A chance hit for a phrase that wasn't admitted itself admitted nothing.
+        admits_before = known & before.has(hashes) if before else np.zeros(len(key), bool)
 
 
 def long_slices(data: np.ndarray, most: int, longest: int) -> Iterator[tuple[np.ndarray, int]]:

@@ -127,3 +127,30 @@ def test_the_bit_table_holds_what_was_put_in():
     for p in np.concatenate(table.places(h)).tolist():
         words[p >> 6] |= np.uint64(1 << (p & 63))
     assert table.has(h).all() and table.has(rng.integers(0, 2**63, 5000).astype(np.uint64)).mean() < 0.05
+
+
+def test_a_chance_hit_of_the_bit_table_loses_nothing():
+    docs = corpus(7)
+    f, _ = plain_counts(docs)
+    by_lang = {}
+    for _, text, lang in docs:
+        by_lang.setdefault(lang or "und", []).append(text or "")
+    langs, rng = sorted(by_lang), np.random.default_rng(3)
+    data = [(i, t.encode()) for i, lang in enumerate(langs) for t in by_lang[lang]]
+    off = np.cumsum([0, *[len(t) for _, t in data]])
+    found = col.tokens(np.frombuffer(b"".join(t for _, t in data), np.uint8), off)
+    names = [w.decode() for w in found.names.to_pylist()]
+    words, before, got = np.zeros(8, np.uint64), None, Counter()
+    while not before or (before.words != ~np.uint64(0)).any():  # random bits: each pass admits by chance
+        if before is not None:
+            words = words | rng.integers(0, 2**63, 8).astype(np.uint64) * np.uint64(2) & rng.integers(0, 2**63, 8).astype(np.uint64) * np.uint64(2)
+            if (words == before.words).all() or (np.bitwise_count(words).sum() > 400):
+                words = np.full(8, ~np.uint64(0))
+        now = col.Proposal(words)
+        for _, lang, parts, count in col.count_chunk(found, np.array([i for i, _ in data]), langs, 3, now, before):
+            for i in np.flatnonzero(count).tolist():
+                phrase = langs[lang[i]], tuple(names[p[i]] for p in parts)
+                assert phrase not in got
+                got[phrase] = int(count[i])
+        before = now
+    assert got == f
