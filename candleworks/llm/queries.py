@@ -235,6 +235,24 @@ def op12_byte_bpe(spark, sf_dir):
     return byte_bpe.digests(byte_bpe.encode(table(spark, sf_dir, "documents"), byte_bpe.default_path(), byte_bpe.default_pattern()))
 
 
+@query("op13_lexical_search", """
+WITH t AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+f AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY doc_id, term),
+d AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM f GROUP BY doc_id),
+c AS (SELECT count(*) AS nn, sum(n)::BIGINT AS ll FROM d),
+h AS (SELECT term, count(*) AS df FROM f GROUP BY term),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+s AS (SELECT item_id, f.doc_id, sum(floor(1000 * ln((2 * nn + 2) / (2 * df + 1)))::BIGINT * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nn) // ll))))::BIGINT AS score
+      FROM q JOIN h ON h.term = q.term JOIN f ON f.term = q.term JOIN d ON d.doc_id = f.doc_id, c GROUP BY item_id, f.doc_id),
+o AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM o WHERE rank <= 10""")
+def op13_lexical_search(spark, sf_dir):
+    """The ten best documents of every benchmark item."""
+    from candleworks.llm import lexical_search
+
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, QueryFn]:
     return {k: fn for k, (fn, _) in REGISTRY.items()}
 
