@@ -19,9 +19,10 @@ The proposal is sent to the tasks as a bit table of hashes (two bits an entry) w
 is bounded (``MOST_BITS``), whatever the corpus. A hash that hits by chance admits a phrase
 that needn't be counted; its count is exact, so results don't depend on the table. A phrase
 is admitted by the table of one pass for the first time and is counted in that pass only.
-Within a chunk of documents phrases are told apart by exact numbers of their words, between tasks by
-their text. Counting combines per chunk, per task and then by phrase; a frequent phrase
-costs a row per task.
+Within a chunk of documents phrases are told apart by exact numbers of their words, after that by
+their text. A chunk's phrases and counts travel packed, one row for each bucket of phrases (by hash);
+a bucket is merged in one task. There are as many buckets as the corpus is large, and a frequent
+phrase costs its bucket one entry per chunk, summed as they come.
 
 A candidate phrase of two words or more is scored by its worst cut into two parts,
 ``floor(1000000 a a / (l r))``, in 38-digit integers. Candidates inside a longer one that
@@ -60,7 +61,12 @@ SAMPLE_SLACK = 0.8
 BITS_EACH = 16
 MOST_BITS = 1 << 28
 #: Bytes of texts that are counted together.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
+#: Phrases are merged in buckets, one for this many bytes of text, so a bucket's size doesn't grow with the corpus.
+BUCKET_BYTES = 4 << 20
+BUCKETS_A_TASK = 8
+#: Rows of a bucket that are held before they are summed.
+MERGED_TOGETHER = 500_000
 #: Parts of cuts that are looked up in a table of bounded size, as one task would get too many of them.
 HOT_PARTS = 10_000
 COUNTS = "lang string, phrase string, k int, f bigint"
@@ -143,9 +149,9 @@ class Proposal:
 
 
 def count_chunk(found: Tokens, lang_of: np.ndarray, langs: list[str], longest: int, now: Proposal | None, before: Proposal | None,
-                own: int | None = None) -> Iterator[tuple[int, np.ndarray, list[np.ndarray], np.ndarray]]:
+                own: int | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]]:
     """Distinct phrases of a chunk that ``now`` admits and ``before`` doesn't: their length,
-    their languages' numbers, their words' numbers (one array for each place) and counts. Phrases that start at
+    their languages' numbers, hashes, their words' numbers (one array for each place) and counts. Phrases that start at
     ``own`` or later are left out. No ``now`` admits all."""
     n = len(found.word)
     if n == 0:
@@ -159,7 +165,7 @@ def count_chunk(found: Tokens, lang_of: np.ndarray, langs: list[str], longest: i
     mine = np.ones(n, bool) if own is None else found.start < own
     word_langs, parts = distinct // width, [distinct % width]
     if before is None:
-        yield 1, word_langs, parts, np.bincount(number[mine], minlength=len(distinct))
+        yield 1, word_langs, hashes, parts, np.bincount(number[mine], minlength=len(distinct))
     at = np.arange(n)  # where the phrases of the last length start
     phrase = number
     every = np.ones(len(distinct), bool)
@@ -184,7 +190,7 @@ def count_chunk(found: Tokens, lang_of: np.ndarray, langs: list[str], longest: i
         hashes, word_langs, parts = extended(hashes[old], names[last]), word_langs[old], [*(p[old] for p in parts), last]
         count = np.bincount(phrase[mine[at]], minlength=len(key))
         count[known] = 0
-        yield k, word_langs, parts, count
+        yield k, word_langs, hashes, parts, count
         admits_now = now.has(hashes) if now else np.ones(len(key), bool)
         # A chance hit for a phrase that wasn't admitted itself admitted nothing.
         admits_before = known & before.has(hashes) if before else np.zeros(len(key), bool)
@@ -226,29 +232,83 @@ def _chunks(batch: pa.RecordBatch, longest: int) -> Iterator[tuple[np.ndarray, n
         a = b
 
 
-def _count(batches: Iterable[pa.RecordBatch], longest: int, now: Proposal | None, before: Proposal | None) -> Iterator[pa.RecordBatch]:
-    """``lang``, ``phrase``, ``k``, ``f`` of every chunk; a row without phrase counts a language's words."""
+def _packed(bucket: np.ndarray, keys: pa.Array, count: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A row per bucket: the bytes of its keys, one after the other, their lengths and counts, compressed."""
+    order = np.argsort(bucket, kind="stable")
+    bucket, keys, count = bucket[order], keys.take(pa.array(order)), count[order]
+    begin = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+    _, offsets, data = keys.buffers()
+    off = np.frombuffer(offsets, np.int64, len(keys) + 1)
+    length = np.diff(off).astype(np.int32)
+    rows = []
+    for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(bucket)]):
+        body = length[a:b].tobytes() + count[a:b].astype(np.int64).tobytes() + memoryview(data)[off[a]:off[b]].tobytes()
+        rows.append((int(bucket[a]), b - a, len(body), pa.compress(body, codec="zstd", asbytes=True)))
+    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.int64(), pa.binary()))],
+                                     names=["bucket", "n", "size", "body"])
+
+
+def _unpacked(n: int, size: int, body: bytes) -> pa.Table:
+    raw = pa.decompress(body, decompressed_size=size, codec="zstd", asbytes=True)
+    ends = np.concatenate([[0], np.cumsum(np.frombuffer(raw, np.int32, n))]).astype(np.int64)
+    keys = pa.LargeBinaryArray.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(raw[12 * n:])])
+    return pa.table({"key": keys, "f": np.frombuffer(raw, np.int64, n, 4 * n)})
+
+
+def _summed(tables: list[pa.Table]) -> pa.Table:
+    return pa.concat_tables(tables).group_by("key", use_threads=False).aggregate([("f", "sum")]).rename_columns(["key", "f"])
+
+
+def _count(batches: Iterable[pa.RecordBatch], longest: int, now: Proposal | None, before: Proposal | None, buckets: int) -> Iterator[pa.RecordBatch]:
+    """The phrases of every chunk and their counts, packed by bucket. A key is language, line end and phrase (which holds
+    no line end); a key without phrase counts a language's words."""
     for batch in batches:
         for data, off, at, own in _chunks(batch, longest):
             coded = batch.column(0).slice(at.start, at.stop - at.start).dictionary_encode()
             lang_of, langs = coded.indices.to_numpy(), coded.dictionary.to_pylist()
             found = tokens(data, off)
-            names = found.names.cast(pa.large_string())
-            lang_names = pa.array(langs, pa.string())
-            for k, lang, parts, count in count_chunk(found, lang_of, langs, longest, now, before, own):
-                if k == 1:
+            names = found.names.cast(pa.large_binary())
+            starts = pa.array([s.encode() + b"\n" for s in langs], pa.large_binary())
+            for _, lang, hashes, parts, count in count_chunk(found, lang_of, langs, longest, now, before, own):
+                if len(parts) == 1:
                     words = np.bincount(lang, weights=count, minlength=len(langs)).astype(np.int64)
                     having = np.flatnonzero(words)
-                    yield _rows(lang_names.take(pa.array(having)), pa.nulls(len(having), pa.large_string()), 0, words[having])
+                    if len(having):
+                        yield from _packed((lang_hashes(langs)[having] % _U(buckets)).astype(np.int32), starts.take(pa.array(having)), words[having])
                 some = np.flatnonzero(count)
                 if len(some):
-                    phrase = pc.binary_join_element_wise(*[names.take(pa.array(p[some])) for p in parts], pa.scalar(" ", pa.large_string()))
-                    yield _rows(lang_names.take(pa.array(lang[some])), phrase, k, count[some])
+                    phrase = pc.binary_join_element_wise(*[names.take(pa.array(p[some])) for p in parts], pa.scalar(b" ", pa.large_binary()))
+                    keys = pc.binary_join_element_wise(starts.take(pa.array(lang[some])), phrase, pa.scalar(b"", pa.large_binary()))
+                    yield from _packed(((hashes[some] >> _U(32)) % _U(buckets)).astype(np.int32), keys, count[some])
+
 
+def _merge(batches: Iterable[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """``lang``, ``phrase``, ``k``, ``f`` of the frequent phrases of every bucket, and the languages' words; rows of a bucket
+    follow one another. What is held is summed whenever it has doubled."""
+    bucket, held, rows, settled = None, [], 0, 0
 
-def _rows(lang: pa.Array, phrase: pa.Array, k: int, f: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([lang, phrase.cast(pa.string()), pa.array(np.full(len(f), k, np.int32)), pa.array(f.astype(np.int64))],
-                                      names=["lang", "phrase", "k", "f"])
+    def done() -> pa.RecordBatch:
+        whole = _summed(held)
+        key, f = whole.column("key").to_pylist(), whole.column("f").to_pylist()
+        out = [(k.rsplit(b"\n", 1), c) for k, c in zip(key, f) if c >= least or k.endswith(b"\n")]
+        phrases = [p.decode() or None for (_, p), _ in out]
+        return pa.RecordBatch.from_arrays([pa.array([x.decode() for (x, _), _ in out], pa.string()), pa.array(phrases, pa.string()),
+                                           pa.array([p.count(" ") + 1 if p else 0 for p in phrases], pa.int32()), pa.array([c for _, c in out], pa.int64())],
+                                          names=["lang", "phrase", "k", "f"])
+
+    for batch in batches:
+        for at, n, size, body in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            if at != bucket and held:
+                yield done()
+                held, rows, settled = [], 0, 0
+            bucket = at
+            held.append(_unpacked(n, size, body))
+            rows += n
+            if rows > max(MERGED_TOGETHER, 2 * settled):
+                held = [_summed(held)]
+                rows = settled = held[0].num_rows
+    if held:
+        yield done()
 
 
 def _bits(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
@@ -282,12 +342,13 @@ def _proposal(phrases: DataFrame, size: int, held: np.ndarray | None) -> np.ndar
     return words
 
 
-def _counts(rows: DataFrame, longest: int, least: int, now=None, before=None) -> DataFrame:
+def _counts(rows: DataFrame, longest: int, least: int, buckets: int, now=None, before=None) -> DataFrame:
     """Phrases that occur ``least`` times in ``rows`` (and are admitted), and the words of each language."""
     table = lambda sent: Proposal(sent.value) if sent is not None else None
-    found = rows.mapInArrow(lambda it: _count(it, longest, table(now), table(before)), COUNTS)
-    return written(found.groupBy("lang", "phrase").agg(F.max("k").alias("k"), F.sum("f").alias("f")).where(
-        (F.col("f") >= least) | F.col("phrase").isNull()), "phrase-counts")
+    found = rows.mapInArrow(lambda it: _count(it, longest, table(now), table(before), buckets), "bucket int, n int, size bigint, body binary")
+    tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-buckets // BUCKETS_A_TASK))
+    merged = found.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(lambda it: _merge(it, least), COUNTS)
+    return written(merged, "phrase-counts")
 
 
 def mine(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", longest: int = MOST_WORDS, least: int = LEAST) -> DataFrame:
@@ -297,15 +358,17 @@ def mine(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
     rows = docs.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), F.col(text_col).alias("text"), F.col(id_col).alias("id"))
     sample = rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(SAMPLE_ONE_OF)) == 0).select("lang", "text")
     rows = rows.select("lang", "text")
+    size, = rows.agg(F.sum(F.octet_length("text"))).first()
+    buckets = max(1, (size or 0) // BUCKET_BYTES)
     likely = max(2, int(least / SAMPLE_ONE_OF * SAMPLE_SLACK))
-    proposed = _counts(sample, longest - 1, likely).where("phrase is not null")
+    proposed = _counts(sample, longest - 1, likely, buckets).where("phrase is not null")
     size = 1 << min(MOST_BITS.bit_length() - 1, max(16, (BITS_EACH * proposed.count()).bit_length()))
     held = _proposal(proposed, size, None)
     before = None
     now = spark.sparkContext.broadcast(held)
     counted = None
     while True:
-        part = _counts(rows, longest, least, now, before)
+        part = _counts(rows, longest, least, buckets, now, before)
         counted = part if counted is None else counted.unionByName(part)
         # Failures of the border: frequent, shorter than the longest, and not in the proposal.
         new = part.where(F.col("phrase").isNotNull() & (F.col("k") < longest)).join(proposed, ["lang", "phrase"], "left_anti")

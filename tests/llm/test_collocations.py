@@ -112,7 +112,7 @@ def test_slices_of_a_long_text_count_each_phrase_once():
         for part, own in col.long_slices(data, most, 3):
             found = col.tokens(part, np.array([0, len(part)]))
             names = [w.decode() for w in found.names.to_pylist()]
-            for _, lang, parts, count in col.count_chunk(found, np.array([0]), ["en"], 3, None, None, own):
+            for _, lang, _, parts, count in col.count_chunk(found, np.array([0]), ["en"], 3, None, None, own):
                 for i, c in enumerate(count.tolist()):
                     if c:
                         got["en", tuple(names[p[i]] for p in parts)] += c
@@ -147,10 +147,30 @@ def test_a_chance_hit_of_the_bit_table_loses_nothing():
             if (words == before.words).all() or (np.bitwise_count(words).sum() > 400):
                 words = np.full(8, ~np.uint64(0))
         now = col.Proposal(words)
-        for _, lang, parts, count in col.count_chunk(found, np.array([i for i, _ in data]), langs, 3, now, before):
+        for _, lang, _, parts, count in col.count_chunk(found, np.array([i for i, _ in data]), langs, 3, now, before):
             for i in np.flatnonzero(count).tolist():
                 phrase = langs[lang[i]], tuple(names[p[i]] for p in parts)
                 assert phrase not in got
                 got[phrase] = int(count[i])
         before = now
     assert got == f
+
+
+def test_buckets_are_packed_and_merged(monkeypatch):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(2)
+    want, rows = Counter(), []
+    for _ in range(30):
+        keys = [f"la\nng{i % 3}\n" + f"w{i} é{i}" * (i % 7 > 0) for i in rng.integers(0, 200, 90).tolist()]
+        count = rng.integers(1, 9, 90)
+        for k, c in zip(keys, count.tolist()):
+            want[k] += c
+        bucket = np.array([sum(k.encode()) % 5 for k in keys], np.int32)
+        rows += [o for out in col._packed(bucket, pa.array([k.encode() for k in keys], pa.large_binary()), count) for o in out.to_pylist()]
+    rows.sort(key=lambda r: r["bucket"])
+    monkeypatch.setattr(col, "MERGED_TOGETHER", 100)
+    batches = [pa.RecordBatch.from_pylist(rows[a:a + 7]) for a in range(0, len(rows), 7)]
+    got = [r for out in col._merge(batches, 60) for r in out.to_pylist()]
+    assert {(r["lang"] + "\n" + (r["phrase"] or "")): r["f"] for r in got} == {k: c for k, c in want.items() if c >= 60 or k.endswith("\n")}
+    assert all(r["k"] == (2 if r["phrase"] else 0) for r in got)
