@@ -18,10 +18,12 @@ pairs are pruned by size, by place and by a parity bitmap (each differing shingl
 differing bits never exceed the symmetric difference), again by a longer bitmap, and
 then proven on the whole sets.
 A long list is cut into blocks and its pairs of blocks are dealt to different tasks.
-Rows that are known to be of one component aren't compared: star rounds link the rows of
-each block to one of them, another one each round, while a round spares a quarter of the
-comparisons left; then all pairs between the remaining components follow. A group of near
-copies so costs a few links per member. ``links`` and ``join_links`` leave the star rounds
+Rows that are known to be of one component aren't compared. First come neighbour rounds: every
+row of a block asks for its nearest rows (by bitmap) of other components only, in blocks that are dealt
+anew each round, while a round still joins a good part of what it asked for. That
+is a number of pairs in proportion to the rows, and it joins nearly all of a group of near copies, whether
+or not its members link with one another. Then all pairs between the components that are left follow.
+``links`` and ``join_links`` leave the neighbour rounds
 out: every pair is compared, so every link between different sets is reported (as a pair of
 class representatives) and counted (``n_links``, by the documents of the classes).
 Nothing is capped: frequent shingles only come last in the order.
@@ -61,8 +63,10 @@ BLOCK_ROWS = 256
 SKETCH_WORDS = 8
 BROADCAST_ROWS = 500_000
 SALTS = 32
-#: Star rounds go on while each leaves at most this share of the pairs to compare.
-STAR_LEAVES = 0.75
+#: Rows that a row of a list asks for in a neighbour round.
+NEIGHBOURS = 2
+#: Neighbour rounds go on while one joins this share of the components in its lists.
+ROUND_JOINS = 0.05
 #: Shingles that are counted together before the shuffle.
 COUNTED_TOGETHER = 2_000_000
 
@@ -186,37 +190,47 @@ def _enter(batches: Iterable[pa.RecordBatch], n: int, percent: int, boundary: in
 LIST = ("key", "x", "y")
 
 
-def _scan_lists(batches: Iterable[pa.RecordBatch], percent: int, star: bool) -> Iterator[pa.RecordBatch]:
+def _nearest(i: np.ndarray, j: np.ndarray, slack: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of the pairs of rows (``i``, ``j``), those that are among the ``most`` of greatest slack of either row."""
+    row, other = np.concatenate([i, j]), np.concatenate([j, i])
+    order = np.lexsort([other, -np.concatenate([slack, slack]), row])
+    row, other = row[order], other[order]
+    begin = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+    rank = np.arange(len(row)) - np.repeat(begin, np.diff(np.concatenate([begin, [len(row)]])))
+    return row[rank < most], other[rank < most]
+
+
+def _scan_lists(batches: Iterable[pa.RecordBatch], percent: int, near: bool) -> Iterator[pa.RecordBatch]:
     """Pairs of different components that may link, from rows sorted by list and pair of
-    blocks. ``star``: only pairs with the first row of a pair of blocks, at any place."""
+    blocks. ``near``: each row's nearest ones only, met at any place."""
     def pairs(t: pa.Table) -> pa.RecordBatch:
         col = {c: t.column(c).combine_chunks() for c in (*LIST, "block", "rep", "root", "n", "place")}
         v = {c: a.to_numpy(zero_copy_only=False) for c, a in col.items()}
         bits = np.frombuffer(b"".join(t.column("sketch").to_pylist()), dtype=np.uint64).reshape(-1, SKETCH_WORDS)
         new = np.concatenate([[True], np.any([v[c][1:] != v[c][:-1] for c in LIST], axis=0)])
         group = np.cumsum(new)
-        out_a, out_b = [], []
-
-        def by_lag() -> Iterator[tuple[np.ndarray, np.ndarray]]:
-            left = np.arange(len(group))
-            for lag in range(1, len(group)):
-                left = left[left + lag < len(group)]
-                left = left[group[left] == group[left + lag]]
-                if len(left) == 0:
-                    return
-                yield left, left + lag
-
-        for i, j in [(np.flatnonzero(new)[group - 1], np.arange(len(group)))] if star else by_lag():
-            apart = (v["root"][i] != v["root"][j]) & (star | (v["x"][i] == v["y"][i]) | (v["block"][i] != v["block"][j]))
+        out_i, out_j, out_slack = [], [], []
+        left = np.arange(len(group))
+        for lag in range(1, len(group)):
+            left = left[left + lag < len(group)]
+            left = left[group[left] == group[left + lag]]
+            if len(left) == 0:
+                break
+            i, j = left, left + lag
+            apart = (v["root"][i] != v["root"][j]) & ((v["x"][i] == v["y"][i]) | (v["block"][i] != v["block"][j]))
             s, u = v["n"][i].astype(np.int64), v["n"][j].astype(np.int64)
             small, big = np.minimum(s, u), np.maximum(s, u)
             common = need(s, u, percent)
-            ok = apart & (small * 100 >= percent * big) & (star | ((v["place"][i] <= s - common) & (v["place"][j] <= u - common)))
+            ok = apart & (small * 100 >= percent * big) & (near | ((v["place"][i] <= s - common) & (v["place"][j] <= u - common)))
             i, j, most = i[ok], j[ok], (s + u - 2 * common)[ok]
-            differ = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1)
-            i, j = i[differ <= most], j[differ <= most]
-            out_a.append(np.minimum(v["rep"][i], v["rep"][j])), out_b.append(np.maximum(v["rep"][i], v["rep"][j]))
-        found = np.unique(np.stack([np.concatenate(out_a), np.concatenate(out_b)]), axis=1) if out_a else np.zeros((2, 0), np.int64)
+            slack = most - np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1, dtype=np.int64)
+            ok = slack >= 0
+            out_i.append(i[ok]), out_j.append(j[ok]), out_slack.append(slack[ok])
+        i, j, slack = (np.concatenate(o) if o else np.zeros(0, np.int64) for o in (out_i, out_j, out_slack))
+        if near and len(i):
+            i, j = _nearest(i, j, slack, NEIGHBOURS)
+        a, b = v["rep"][i], v["rep"][j]
+        found = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
         return pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], names=["a", "b"])
 
     held: pa.Table | None = None
@@ -275,31 +289,32 @@ def _prove(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
         yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
 
-def _open_lists(rows: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame, int]:
-    """The rows with their component, the lists that hold several components (with their
-    ``size``), and how many pairs of rows of different components those lists have."""
-    rooted = rows.join(known.select(F.col("node").alias("rep"), "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-    roots = rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
-    size = F.sum("n")
-    lists = roots.groupBy("key").agg(size.alias("size"), ((size * size - F.sum(F.col("n") * F.col("n"))) / 2).alias("apart")).where("apart > 0")
-    lists = written(lists, "shingle-open")
-    return rooted, lists.select("key", "size"), int(lists.agg(F.sum("apart")).first()[0] or 0)
+def _open_lists(rows: DataFrame, known: DataFrame | None) -> tuple[DataFrame, int]:
+    """The rows (``key``, ``rep``, ``place``, ``root``) of lists that hold several components, with the
+    ``size`` of their list, and how many components those are. ``rows`` are the open rows of the
+    round before; ``known`` are the components that their roots have become part of."""
+    if known is not None:
+        rows = rows.join(known.select(F.col("node").alias("root"), F.col("root").alias("to")), "root", "left").select(
+            "key", "rep", "place", F.coalesce("to", "root").alias("root"))
+    lists = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    still = written(rows.select("key", "rep", "place", "root").join(lists.select("key", "size"), "key"), "shingle-open")
+    return still, still.agg(F.approx_count_distinct("root")).first()[0]
 
 
-def _candidates(rooted: DataFrame, lists: DataFrame, sets: DataFrame, percent: int, star: int) -> DataFrame:
+def _candidates(rooted: DataFrame, sets: DataFrame, percent: int, turn: int) -> DataFrame:
     """Pairs to prove: of the lists' rows, those between components of the links so far.
     Sizes and bitmaps (``sets``) are attached last, for the one shuffle that needs them.
-    ``star`` is the number of the star round, whose centres it fixes; 0 asks for all pairs."""
-    rooted = rooted.join(lists, "key").withColumn("blocks", F.ceil(F.col("size") / BLOCK_ROWS).cast("int"))
-    rooted = rooted.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    if star:  # one row of each block meets the others of the block
+    ``turn`` is the number of the neighbour round, which fixes its blocks; 0 asks for all pairs."""
+    rooted = rooted.withColumn("blocks", F.ceil(F.col("size") / BLOCK_ROWS).cast("int"))
+    rooted = rooted.withColumn("block", F.pmod(F.xxhash64("rep", F.lit(turn)), F.col("blocks")).cast("int"))
+    if turn:  # rows of one block meet
         dealt = rooted.withColumn("x", F.col("block")).withColumn("y", F.col("block"))
     else:
         dealt = rooted.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn(
             "x", F.least("block", "other")).withColumn("y", F.greatest("block", "other"))
     dealt = dealt.select(*LIST, "block", "rep", "root", "place").join(sets, "rep").select(
-        *LIST, "block", "rep", "root", "place", "n", "sketch").repartition(*LIST).sortWithinPartitions(*LIST, F.xxhash64("rep", F.lit(star)), "rep")
-    return written(dealt.mapInArrow(lambda it: _scan_lists(it, percent, star > 0), "a bigint, b bigint").distinct(), "shingle-pairs")
+        *LIST, "block", "rep", "root", "place", "n", "sketch").repartition(*LIST).sortWithinPartitions(*LIST, "rep")
+    return written(dealt.mapInArrow(lambda it: _scan_lists(it, percent, turn > 0), "a bigint, b bigint").distinct(), "shingle-pairs")
 
 
 def _proven(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
@@ -352,32 +367,38 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
     of every class that links lead to a smaller one."""
     spark = docs.sparkSession
     texts, info, rows, distinct = _entered(docs, id_col, text_col, n, percent)
-    # Stars first: they join most of a group of near copies in one step, and what they
-    # joined needs no more comparing. Then every pair that is still apart.
-    links, star = None, 1
-    known = empty(spark, "node bigint, root bigint")
-    before = None
+    known, turn = None, 1
+    fresh = None
+    open_rows = rows.withColumn("root", F.col("rep"))
     while True:
-        rooted, lists, apart = _open_lists(rows, known)
-        star = star if before is None or apart <= STAR_LEAVES * before else 0
-        before = apart
-        found = _proven(_candidates(rooted, lists, distinct, percent, star), texts, n, percent)
-        some = not found.isEmpty()
-        if some:
-            links = found if links is None else links.unionByName(found)
-            known = components.roots(links)
-        if not star:
+        open_rows, parts = _open_lists(open_rows, fresh)
+        if parts == 0:
+            break
+        found = _proven(_candidates(open_rows, distinct, percent, turn), texts, n, percent)
+        if not found.isEmpty():
+            known = components.joined(known if known is not None else empty(spark, "node bigint, root bigint"), found)
+            fresh = known
+        else:
+            fresh = None
+        if not turn:
             break
-        star = star + 1 if some else 0
+        # A round joins at most as many components as it has links that lead to different ones.
+        turn = turn + 1 if fresh is not None and _joins(open_rows, known) >= ROUND_JOINS * parts else 0
+    known = known if known is not None else empty(spark, "node bigint, root bigint")
     return info.select("doc", F.col("n").cast("long").alias("n_shingles"), "rep"), known
 
 
+def _joins(rows: DataFrame, known: DataFrame) -> int:
+    """How many components of open rows have become part of another."""
+    return rows.select(F.col("root").alias("node")).distinct().join(known.select("node"), "node", "left_semi").count()
+
+
 def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE_WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """Per document ``doc``, its ``n_shingles`` and its class ``rep``; and every link between
     two classes, ``a`` < ``b``. No star round: pairs of one component are compared as well."""
     texts, info, rows, distinct = _entered(docs, id_col, text_col, n, percent)
-    rooted, lists, _ = _open_lists(rows, empty(docs.sparkSession, "node bigint, root bigint"))
-    found = _proven(_candidates(rooted, lists, distinct, percent, 0), texts, n, percent)
+    open_rows, _ = _open_lists(rows.withColumn("root", F.col("rep")), None)
+    found = _proven(_candidates(open_rows, distinct, percent, 0), texts, n, percent)
     return info.select("doc", F.col("n").cast("long").alias("n_shingles"), "rep"), found
 
 
