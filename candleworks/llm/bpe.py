@@ -26,9 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SUFFIX = "</w>"
-#: Pieces and words kept between the batches of a Python worker; past it they are dropped.
-CACHE_PIECES = 400_000
+#: Pieces and words kept between the groups of a Python worker; past it only what the current texts use stays.
+CACHE_PIECES = 300_000
+CACHE_WORDS = 300_000
+#: Longer pieces (characters) aren't kept.
+CACHE_CHARS = 64
 CACHE_PAIRS = 300_000
+CACHE_NODES = 1_000_000
 #: Characters of the texts that are handled together.
 GROUP_CHARS = 4 << 20
 #: Pieces that are normalised and split in one call.
@@ -59,7 +63,6 @@ class PrefixEncoder:
         self.nodes: dict[tuple[str, str], tuple[str, list, list]] = {}
         self.token = {i: t for t, i in vocab.items()}
         self.packed = {i: i.to_bytes(4, "little") for i in self.token}
-        self.named = {i: " " + t for i, t in self.token.items()}
         self.pairs: dict[tuple[int, int], bool] = {}
 
     def merge(self, symbols: Iterable[str]) -> list[str]:
@@ -98,21 +101,22 @@ class PrefixEncoder:
         """The packed ids and the tokens, joined by spaces, of each distinct word.
 
         Sorted words are the trie's leaves in depth-first order. Along the current path
-        ``last`` holds each prefix's last token, ``states`` the text end to match on from,
-        ``ids`` and ``shown`` its encoding."""
+        ``last`` holds each prefix's last token, ``back`` where that token starts, ``states`` the
+        text end to match on from; a word's encoding is read from its end back to its start."""
         out: dict[str, tuple[bytes, str]] = {}
         last: list[int] = [-1]
-        ids: list[bytes] = [b""]
-        shown: list[str] = [""]
+        back: list[int] = [0]
         path = ""
         states: list[str] = [""]
-        nodes, fits, known, packed, named = self.nodes, self.fits, self.pairs, self.packed, self.named
+        nodes, fits, known, packed, token = self.nodes, self.fits, self.pairs, self.packed, self.token
+        if len(nodes) > CACHE_NODES:
+            nodes.clear()
         for word in sorted(set(words)):
             n = len(word)
             same = min(len(path), n - 1)
             if path[:same] != word[:same]:
-                same = next(i for i in range(same) if path[i] != word[i])
-            del last[same + 1:], ids[same + 1:], shown[same + 1:], states[same + 1:]
+                same = _common(path, word, same)
+            del last[same + 1:], back[same + 1:], states[same + 1:]
             for end in range(same + 1, n + 1):
                 step = (states[-1], word[end - 1])
                 state, inner, final = nodes[step] if step in nodes else self.node(*step)
@@ -128,14 +132,29 @@ class PrefixEncoder:
                 if end < n:
                     last.append(t)
                     states.append(state)
-                    ids.append(ids[at] + packed[t])
-                    shown.append(shown[at] + named[t])
-                else:
-                    out[word] = (ids[at] + packed[t], (shown[at] + named[t])[1:])
+                    back.append(at)
+            ids = [t]
+            while at:
+                ids.append(last[at])
+                at = back[at]
+            if len(ids) == 1:
+                out[word] = (packed[t], token[t])
+            else:
+                ids.reverse()
+                out[word] = (b"".join([packed[i] for i in ids]), " ".join([token[i] for i in ids]))
             path = word[:-1]
         return out
 
 
+def _common(a: str, b: str, most: int) -> int:
+    """Length of the common start of two strings that differ before ``most``, by halving."""
+    low, high = 0, most
+    while high - low > 1:
+        middle = (low + high) // 2
+        low, high = (middle, high) if a[low:middle] == b[low:middle] else (low, middle)
+    return low
+
+
 class Encoder:
     """A tokenizer file: pieces to ids and decoded tokens, with a bounded cache."""
 
@@ -153,7 +172,10 @@ class Encoder:
         self.bpe = PrefixEncoder(model["vocab"], pairs)
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.cut = re.compile("(" + "|".join(re.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
+        self.special_ids = {i: (i.to_bytes(4, "little"), s) for s, i in self.special.items()}
+        self.words: dict[int | str, tuple[bytes, str]] = dict(self.special_ids)
         self.known: dict[str, tuple[bytes, str]] = {}
+        self.long: list[str] = []
 
     def _split(self, text: str) -> list[str]:
         """Words of a text without special tokens, by the file's own rules."""
@@ -187,18 +209,31 @@ class Encoder:
 
     def learn(self, pieces: set[str]) -> None:
         """Encode the pieces that aren't known yet."""
-        if len(self.known) + len(pieces) > CACHE_PIECES:
-            self.known.clear()
+        new = [p for p in pieces if p not in self.known]
+        if len(self.known) + len(new) > CACHE_PIECES:
+            self.known = {p: self.known[p] for p in pieces if p in self.known and len(p) <= CACHE_CHARS}
+            new = [p for p in pieces if p not in self.known]
         known = self.known
-        new = [p for p in pieces if p not in known]
         parts = list(self._parts_of(new))
-        made: dict = self.bpe.encode(w for ws in parts for w in ws if w.__class__ is str)
-        made.update((i, (i.to_bytes(4, "little"), s)) for s, i in self.special.items())
+        words = {w for ws in parts for w in ws}
+        if len(self.words) + len(words) > CACHE_WORDS:
+            self.words = self.special_ids | {w: self.words[w] for w in words if w in self.words}
+        made = self.words
+        made.update(self.bpe.encode(w for w in words if w not in made))
         for p, ws in zip(new, parts):
             if len(ws) == 1:
                 known[p] = made[ws[0]]
             else:
                 known[p] = (b"".join([made[w][0] for w in ws]), " ".join([made[w][1] for w in ws]))
+        self.long = [p for p in new if len(p) > CACHE_CHARS]
+        for w in [w for w in words if w.__class__ is str and len(w) > CACHE_CHARS]:
+            del made[w]
+
+    def forget(self) -> None:
+        """Drop the long pieces of the texts that were last encoded."""
+        for p in self.long:
+            self.known.pop(p, None)
+        self.long = []
 
     def texts(self, split: list[list[str]]) -> tuple[list[bytes], list[str]]:
         """Packed ids and decoded text of each list of known pieces."""
@@ -258,6 +293,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                 split = [pieces_of(t) for t in group]
                 enc.learn(set().union(*split))
                 ids, shown = enc.texts(split)
+                enc.forget()
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(done, len(group)), pa.array(ids, pa.binary()), pa.array(shown, pa.string())],
                     names=[id_col, "ids", "decoded"])
