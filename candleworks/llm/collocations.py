@@ -66,7 +66,7 @@ CHUNK_BYTES = 4 << 20
 BUCKET_BYTES = 4 << 20
 BUCKETS_A_TASK = 8
 #: Rows of a bucket that are held before they are summed.
-MERGED_TOGETHER = 500_000
+MERGED_TOGETHER = 1_500_000
 #: Parts of cuts that are looked up in a table of bounded size, as one task would get too many of them.
 HOT_PARTS = 10_000
 COUNTS = "lang string, phrase string, k int, f bigint"
@@ -157,43 +157,58 @@ def count_chunk(found: Tokens, lang_of: np.ndarray, langs: list[str], longest: i
     if n == 0:
         return
     width = len(found.names)
-    lang = lang_of[found.text]
     # The number and hash of every distinct word of a language.
-    distinct, number = np.unique(lang * width + found.word, return_inverse=True)
+    distinct, number = _numbered(lang_of[found.text].astype(np.int64) * width + found.word, len(langs) * width)
     names = word_hashes(found.names)
     hashes = mix(names[distinct % width] ^ lang_hashes(langs)[distinct // width])
     mine = np.ones(n, bool) if own is None else found.start < own
-    word_langs, parts = distinct // width, [distinct % width]
     if before is None:
-        yield 1, word_langs, hashes, parts, np.bincount(number[mine], minlength=len(distinct))
-    at = np.arange(n)  # where the phrases of the last length start
-    phrase = number
-    every = np.ones(len(distinct), bool)
-    admits_now = now.has(hashes) if now else every
-    admits_before = before.has(hashes) if before else ~every
+        yield 1, distinct // width, hashes, [distinct % width], np.bincount(number[mine], minlength=len(distinct))
+    # For each place: whether the phrase that starts there is admitted, now and before, and its hash.
+    holds = lambda table, h, ok: ok & table.has(h) if table else ok
+    at = np.arange(n)
+    phrase = hashes[number]
+    is_now = holds(now, hashes, np.ones(len(distinct), bool))[number]
+    was = holds(before, hashes, np.ones(len(distinct), bool))[number] if before else np.zeros(n, bool)
     for k in range(2, longest + 1):
         # A phrase of k words at i: those of k - 1 words at i and at i + 1, in one piece.
-        where = np.full(n + 1, -1, np.int64)
-        where[at] = phrase
-        at = at[(at + k - 1 < n)]
-        at = at[(found.piece[at] == found.piece[at + k - 1]) & (where[at + 1] >= 0)]
-        head, tail = where[at], where[at + 1]
-        ok = admits_now[head] & admits_now[tail]
-        at, head, tail = at[ok], head[ok], tail[ok]
+        ok = is_now[:-1] & is_now[1:] & (at[1:] == at[:-1] + 1)
+        i = np.flatnonzero(ok)
+        i = i[found.piece[at[i]] == found.piece[at[i] + k - 1]]
+        at, was, phrase = at[i], was[i] & was[i + 1], extended(phrase[i], names[found.word[at[i] + k - 1]])
         if len(at) == 0:
             return
-        key, phrase = np.unique(head * width + found.word[at + k - 1], return_inverse=True)
-        first = np.zeros(len(key), np.int64)
-        first[phrase] = np.arange(len(at))  # any place of each
-        old, last = key // width, key % width
-        known = admits_before[head[first]] & admits_before[tail[first]]
-        hashes, word_langs, parts = extended(hashes[old], names[last]), word_langs[old], [*(p[old] for p in parts), last]
-        count = np.bincount(phrase[mine[at]], minlength=len(key))
-        count[known] = 0
-        yield k, word_langs, hashes, parts, count
-        admits_now = now.has(hashes) if now else np.ones(len(key), bool)
+        new = np.flatnonzero(~was & mine[at])
+        if len(new):
+            first, count = _distinct([number[at[new]], *(found.word[at[new] + j] for j in range(1, k))], [len(distinct), *[width] * (k - 1)])
+            first = new[first]
+            yield k, distinct[number[at[first]]] // width, phrase[first], [found.word[at[first] + j] for j in range(k)], count
+        is_now = holds(now, phrase, np.ones(len(at), bool))
         # A chance hit for a phrase that wasn't admitted itself admitted nothing.
-        admits_before = known & before.has(hashes) if before else np.zeros(len(key), bool)
+        was = holds(before, phrase, was) if before else was
+
+
+def _numbered(values: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values (below ``most``), sorted, and which of them each is."""
+    if most > 8 * len(values) + 1024:
+        return np.unique(values, return_inverse=True)
+    held = np.zeros(most, bool)
+    held[values] = True
+    return np.flatnonzero(held), (np.cumsum(held) - 1)[values]
+
+
+def _distinct(columns: list[np.ndarray], sizes: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Of rows of numbers (each below its column's size): a row of each kind, and how many there are."""
+    key, size = columns[0], sizes[0]
+    for column, width in zip(columns[1:], sizes[1:]):
+        if size * width >= 1 << 62:
+            held, key = np.unique(key, return_inverse=True)
+            size = len(held)
+        key, size = key * width + column, size * width
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    return order[begin], np.diff(np.concatenate([begin, [len(key)]]))
 
 
 def long_slices(data: np.ndarray, most: int, longest: int) -> Iterator[tuple[np.ndarray, int]]:
@@ -242,7 +257,7 @@ def _packed(bucket: np.ndarray, keys: pa.Array, count: np.ndarray) -> Iterator[p
     length = np.diff(off).astype(np.int32)
     rows = []
     for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(bucket)]):
-        body = length[a:b].tobytes() + count[a:b].astype(np.int64).tobytes() + memoryview(data)[off[a]:off[b]].tobytes()
+        body = count[a:b].astype(np.int64).tobytes() + length[a:b].tobytes() + memoryview(data)[off[a]:off[b]].tobytes()
         rows.append((int(bucket[a]), b - a, len(body), pa.compress(body, codec="zstd", asbytes=True)))
     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.int64(), pa.binary()))],
                                      names=["bucket", "n", "size", "body"])
@@ -250,9 +265,9 @@ def _packed(bucket: np.ndarray, keys: pa.Array, count: np.ndarray) -> Iterator[p
 
 def _unpacked(n: int, size: int, body: bytes) -> pa.Table:
     raw = pa.decompress(body, decompressed_size=size, codec="zstd", asbytes=True)
-    ends = np.concatenate([[0], np.cumsum(np.frombuffer(raw, np.int32, n))]).astype(np.int64)
+    ends = np.concatenate([[0], np.cumsum(np.frombuffer(raw, np.int32, n, 8 * n))]).astype(np.int64)
     keys = pa.LargeBinaryArray.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(raw[12 * n:])])
-    return pa.table({"key": keys, "f": np.frombuffer(raw, np.int64, n, 4 * n)})
+    return pa.table({"key": keys, "f": np.frombuffer(raw, np.int64, n).copy()})
 
 
 def _summed(tables: list[pa.Table]) -> pa.Table:
@@ -289,8 +304,8 @@ def _merge(batches: Iterable[pa.RecordBatch], least: int) -> Iterator[pa.RecordB
 
     def done() -> pa.RecordBatch:
         whole = _summed(held)
-        key, f = whole.column("key").to_pylist(), whole.column("f").to_pylist()
-        out = [(k.rsplit(b"\n", 1), c) for k, c in zip(key, f) if c >= least or k.endswith(b"\n")]
+        whole = whole.filter(pc.or_(pc.greater_equal(whole.column("f"), least), pc.ends_with(whole.column("key"), b"\n")))
+        out = [(k.rsplit(b"\n", 1), c) for k, c in zip(whole.column("key").to_pylist(), whole.column("f").to_pylist())]
         phrases = [p.decode() or None for (_, p), _ in out]
         return pa.RecordBatch.from_arrays([pa.array([x.decode() for (x, _), _ in out], pa.string()), pa.array(phrases, pa.string()),
                                            pa.array([p.count(" ") + 1 if p else 0 for p in phrases], pa.int32()), pa.array([c for _, c in out], pa.int64())],
