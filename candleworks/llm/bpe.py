@@ -27,14 +27,14 @@ from pyspark.sql import functions as F
 
 SUFFIX = "</w>"
 #: Pieces and words kept between the groups of a Python worker; past it only what the current texts use stays.
-CACHE_PIECES = 300_000
-CACHE_WORDS = 300_000
+CACHE_PIECES = 200_000
+CACHE_WORDS = 200_000
 #: Longer pieces (characters) aren't kept.
 CACHE_CHARS = 64
-CACHE_PAIRS = 300_000
-CACHE_NODES = 1_000_000
+CACHE_PAIRS = 200_000
+CACHE_NODES = 400_000
 #: Characters of the texts that are handled together.
-GROUP_CHARS = 4 << 20
+GROUP_CHARS = 2 << 20
 #: Pieces that are normalised and split in one call.
 SPLIT_TOGETHER = 2_000
 
