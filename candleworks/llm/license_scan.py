@@ -20,6 +20,8 @@ whole, whatever its length.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from collections import deque
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -67,7 +69,7 @@ UNKNOWN = 4
 
 TAG = "spdx license identifier"
 BINDS = {"or": 1, "and": 2, "with": 3}
-_SYMBOL = re.compile(r"[()]|(?:documentref-[a-z0-9.-]+:)?[a-z0-9][a-z0-9.+-]*")
+_SYMBOL = re.compile(r"[ \t]*([()]|(?:documentref-[a-z0-9.-]+:)?[a-z0-9][a-z0-9.+-]*)")
 _IDENTIFIER = re.compile(r"(?:documentref-[a-z0-9.-]+:licenseref-)?[a-z0-9][a-z0-9.-]*\+?")
 
 
@@ -78,19 +80,21 @@ def _operand(symbol: str, exception: bool, known: bool) -> bool:
     return not known and symbol not in BINDS and _IDENTIFIER.fullmatch(symbol) is not None
 
 
-def postfix(text: str, known: bool = False) -> list[str]:
-    """The expression at the start of ``text`` in postfix order, by the shunting yard.
+def postfix(text: str, known: bool = False, at: int = 0, end: int | None = None) -> list[str]:
+    """The expression in ``text`` from ``at`` on (up to ``end``) in postfix order, by the shunting yard.
 
     Reading stops at the first symbol that can't continue it; with ``known``, also at an
     identifier that the tables don't hold."""
     out: list[str] = []
     stack: list[str] = []
-    operand_next, at = True, 0
-    while m := _SYMBOL.match(text, at := at + len(text[at:]) - len(text[at:].lstrip(" \t"))):
-        symbol = m[0].rstrip(".") if m[0] not in LICENCES else m[0]
+    operand_next, end = True, len(text) if end is None else end
+    brackets = 0
+    while m := _SYMBOL.match(text, at, end):
+        symbol = m[1].rstrip(".") if m[1] not in LICENCES else m[1]
         exception = bool(stack) and stack[-1] == "with"
         if operand_next and symbol == "(" and not exception:
             stack.append(symbol)
+            brackets += 1
         elif operand_next and _operand(symbol, exception, known):
             out.append(symbol)
             operand_next = False
@@ -99,7 +103,8 @@ def postfix(text: str, known: bool = False) -> list[str]:
                 out.append(stack.pop())
             stack.append(symbol)
             operand_next = True
-        elif not operand_next and symbol == ")" and "(" in stack:
+        elif not operand_next and symbol == ")" and brackets:
+            brackets -= 1
             while (top := stack.pop()) != "(":
                 out.append(top)
         else:
@@ -119,24 +124,41 @@ def evaluate(parts: list[str]) -> tuple[str, list[str], int]:
     ``or`` lets the reader choose the lesser, ``and`` asks for the greater, and an
     exception turns strong into weak copyleft (an unknown one leaves the rank, and nothing
     but ``or`` lessens an unknown licence)."""
-    stack: list[tuple[str, list[str], int]] = []
+    stack: list[tuple[deque, deque, int]] = []
     for p in parts:
         if p in BINDS:
             (b, ids_b, rank_b), (a, ids_a, rank_a) = stack.pop(), stack.pop()
             if p == "with":
-                stack.append((f"({a} with {b})", ids_a, min(rank_a, 1) if b in EXCEPTIONS and rank_a < UNKNOWN else rank_a))
+                shown, ids, rank = b[0], ids_a, min(rank_a, 1) if b[0] in EXCEPTIONS and rank_a < UNKNOWN else rank_a
+                a.extend((" with ", shown))
             else:
-                stack.append((f"({a} {p} {b})", ids_a + ids_b, min(rank_a, rank_b) if p == "or" else max(rank_a, rank_b)))
+                a.append(f" {p} ")
+                a, ids = _chained(a, b), _chained(ids_a, ids_b)
+                rank = min(rank_a, rank_b) if p == "or" else max(rank_a, rank_b)
+            a.appendleft("(")
+            a.append(")")
+            stack.append((a, ids, rank))
         elif p in EXCEPTIONS:
-            stack.append((p, [], 0))
+            stack.append((deque([p]), deque(), 0))
         else:
-            stack.append((p, [p.rstrip("+")], LICENCES.get(p.rstrip("+"), UNKNOWN)))
-    return stack[0]
+            stack.append((deque([p]), deque([p.rstrip("+")]), LICENCES.get(p.rstrip("+"), UNKNOWN)))
+    shown, ids, rank = stack[0]
+    return "".join(shown), list(ids), rank
+
+
+def _chained(a: deque, b: deque) -> deque:
+    """``a`` and then ``b``; the shorter one is moved."""
+    if len(b) <= len(a):
+        a.extend(b)
+        return a
+    b.extendleft(reversed(a))
+    return b
 
 
 # Every byte that is part of no word becomes a space; A-Z are lowered.
 _TO_WORDS = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
+_BLANK, _LEAD = re.compile(r"[ \t]*"), re.compile(r"[: \t]*")
 
 
 @lru_cache(maxsize=4)
@@ -153,18 +175,30 @@ def _automaton(phrases: tuple[tuple[str, str, str], ...]):
     return machine
 
 
-def _expression(raw: bytes, word: int) -> tuple[str, list[str], int] | None:
-    """The evaluated expression on the line after the word number ``word``."""
-    lowered = raw.lower()
-    end = next(m.end() for i, m in enumerate(_WORD.finditer(lowered)) if i == word)
-    line = lowered[end:].split(b"\n", 1)[0].decode("utf-8", "replace").lstrip(" \t")
-    parts = postfix(line.lstrip(": \t"), known=not line.startswith(":"))
-    return evaluate(parts) if parts else None
+class _Lines:
+    """Where the words and lines of a text end, found once for all its tags."""
+
+    def __init__(self, raw: bytes) -> None:
+        lowered = raw.lower()
+        self.text = lowered.decode("latin-1")  # one character a byte; symbols are ASCII
+        self.words = [m.end() for m in _WORD.finditer(lowered)]
+        self.breaks = [m.start() for m in re.finditer(rb"\n", lowered)]
+
+    def expression(self, word: int) -> tuple[str, list[str], int] | None:
+        """The evaluated expression on the line after the word number ``word``."""
+        at = self.words[word]
+        i = bisect_left(self.breaks, at)
+        end = self.breaks[i] if i < len(self.breaks) else len(self.text)
+        at = _BLANK.match(self.text, at, end).end()
+        tagged = self.text.startswith(":", at, end)
+        parts = postfix(self.text, not tagged, _LEAD.match(self.text, at, end).end(), end)
+        return evaluate(parts) if parts else None
 
 
 def scan_text(raw: bytes, machine) -> tuple[int, list, list, list]:
     """Number of words, base places, notices (label and first word) and expressions."""
     words = raw.translate(_TO_WORDS).split()
+    lines: _Lines | None = None
     places, notices, expressions = [], [], []
     if words:
         joined = " " + b" ".join(words).decode("latin-1") + " "
@@ -177,8 +211,10 @@ def scan_text(raw: bytes, machine) -> tuple[int, list, list, list]:
                     places.append({"label": label, "start": start})
                 elif kind == "notice":
                     notices.append({"label": label, "start": start})
-                elif got := _expression(raw, start + n - 1):
-                    expressions.append({"expression": got[0], "licences": sorted(set(got[1])), "rank": got[2], "start": start})
+                else:
+                    lines = lines or _Lines(raw)
+                    if got := lines.expression(start + n - 1):
+                        expressions.append({"expression": got[0], "licences": sorted(set(got[1])), "rank": got[2], "start": start})
     return len(words), places, notices, expressions
 
 
