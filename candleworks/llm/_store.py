@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candleworks.session import scratch_path
@@ -56,3 +56,11 @@ def one_each(rows: DataFrame, *keys: str) -> DataFrame:
     if rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
         return rows
     return rows.dropDuplicates(list(keys))
+
+
+def text_key(docs: DataFrame, id_col: str, text_col: str) -> Column:
+    """What tells rows of one id and different texts apart: a hash of the text, or 0 for every row
+    where no id repeats."""
+    if docs.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        return F.lit(0).cast("long")
+    return F.xxhash64(text_col)

@@ -16,7 +16,8 @@ Windows are compared by a 128-bit digest of their lines. Firsts are found by agg
 that combine within tasks and per salt, so a frequent line never meets in one task.
 
 Cases: null and empty texts have no lines; a text with fewer lines than ``run`` keeps
-them (but for those that count by words); blank lines are lines; rows that repeat a doc_id are the same document; rows with
+them (but for those that count by words); blank lines are lines; rows that repeat a doc_id with an equal text are the same
+document, those with different texts are documents of their own, in an order fixed by their texts; rows with
 a null doc_id are not compared and keep their lines; extra columns are ignored.
 """
 
@@ -30,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from candleworks.llm._store import text_key
+
 RUN_LINES = 3
 #: Words from which a repeated run of fewer lines counts as a passage.
 PASSAGE_WORDS = 50
@@ -48,7 +51,7 @@ def _fingerprints(batches: Iterable[pa.RecordBatch], run: int, words: int | None
     fingerprint alone."""
     for batch in batches:
         doc, key, first, windows, size = [], [], [], [], []
-        for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for i, text in enumerate(batch.column(1).to_pylist()):
             lines = text.split("\n") if text else []
             if len(lines) < run and words is None:
                 continue
@@ -70,24 +73,26 @@ def _fingerprints(batches: Iterable[pa.RecordBatch], run: int, words: int | None
             for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()):
                 doc.append(i), key.append(int(hashes[at[a]])), first.append(a), size.append(run)
                 windows.append([hashlib.blake2b(b"".join(digests[w:w + run]), digest_size=16).digest() for w in range(a, b)])
-        yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(key, pa.int64()), pa.array(first, pa.int64()), pa.array(windows, pa.list_(pa.binary())),
-                                          pa.array(size, pa.int32())], names=["doc", "key", "first", "windows", "size"])
+        row = pa.array(doc, pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(2).take(row), pa.array(key, pa.int64()), pa.array(first, pa.int64()),
+                                          pa.array(windows, pa.list_(pa.binary())), pa.array(size, pa.int32())],
+                                         names=["doc", "body", "key", "first", "windows", "size"])
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = RUN_LINES,
             words: int | None = None) -> DataFrame:
-    """``doc``, ``at``, the first line, and ``size``, the lines, of every window that starts earlier elsewhere."""
-    texts = docs.select(F.col(id_col).cast("long").alias("doc"), text_col).where("doc is not null")
-    prints = texts.mapInArrow(lambda it: _fingerprints(it, run, words), "doc bigint, key bigint, first bigint, windows array<binary>, size int")
+    """``doc`` (with the text that ``body`` stands for, see :func:`candleworks.llm._store.text_key`), ``at``, the first line, and ``size``, the lines, of every window that starts earlier elsewhere."""
+    texts = docs.select(F.col(id_col).cast("long").alias("doc"), text_col, text_key(docs, id_col, text_col)).where("doc is not null")
+    prints = texts.mapInArrow(lambda it: _fingerprints(it, run, words), "doc bigint, body bigint, key bigint, first bigint, windows array<binary>, size int")
     salted = prints.withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(SALTS)))
     per_salt = salted.groupBy("key", "salt").agg(F.count(F.lit(1)).alias("n"))
     many = per_salt.withColumn("n", F.sum("n").over(Window.partitionBy("key"))).where("n > 1").select("key", "salt")
-    places = salted.join(many, ["key", "salt"]).select("doc", "salt", F.posexplode("windows").alias("i", "lines"), "first", "size").select(
-        "doc", "salt", "lines", "size", (F.col("first") + F.col("i")).alias("at"))
-    place = F.struct("doc", "at")
+    places = salted.join(many, ["key", "salt"]).select("doc", "body", "salt", F.posexplode("windows").alias("i", "lines"), "first", "size").select(
+        "doc", "body", "salt", "lines", "size", (F.col("first") + F.col("i")).alias("at"))
+    place = F.struct("doc", "body", "at")
     firsts = places.groupBy("lines", "salt").agg(F.min(place).alias("p")).select(
         "lines", "salt", F.min("p").over(Window.partitionBy("lines")).alias("p"))
-    return places.join(firsts, ["lines", "salt"]).where(F.col("p") < place).select("doc", "at", "size")
+    return places.join(firsts, ["lines", "salt"]).where(F.col("p") < place).select("doc", "body", "at", "size")
 
 
 def _keep(batches: Iterable[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
@@ -103,7 +108,8 @@ def _keep(batches: Iterable[pa.RecordBatch], names: list[str]) -> Iterator[pa.Re
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = RUN_LINES, words: int | None = None) -> DataFrame:
     """Per row: the id, ``n_lines``, ``n_removed`` and ``kept``, the text of the lines that stay."""
-    found = repeats(docs, id_col, text_col, run, words).groupBy("doc").agg(F.collect_set(F.struct("at", "size")).alias("_at"))
-    rows = docs.select(F.col(id_col), F.col(text_col)).join(found, F.col(id_col).cast("long") == F.col("doc"), "left").select(id_col, text_col, "_at")
+    found = repeats(docs, id_col, text_col, run, words).groupBy("doc", "body").agg(F.collect_set(F.struct("at", "size")).alias("_at"))
+    rows = docs.select(F.col(id_col), F.col(text_col), text_key(docs, id_col, text_col).alias("_body"))
+    rows = rows.join(found, (F.col(id_col).cast("long") == F.col("doc")) & (F.col("_body") == F.col("body")), "left").select(id_col, text_col, "_at")
     names = [id_col, "n_lines", "n_removed", "kept"]
     return rows.mapInArrow(lambda it: _keep(it, names), f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, n_lines bigint, n_removed bigint, kept string")

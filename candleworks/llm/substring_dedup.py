@@ -13,7 +13,8 @@ in compressed blocks, one per bucket that a chunk has strings for.
 
 Cases: a null text has no words; a text with fewer words than a window keeps them all;
 a document that repeats a window of its own loses the later one; rows that repeat a
-doc_id are the same document (equal starts don't make each other a repeat); rows with a
+doc_id with an equal text are the same document (equal starts don't make each other a repeat); rows
+of one doc_id and different texts are documents of their own, in an order fixed by their texts; rows with a
 null doc_id are not compared and keep all words; extra columns are ignored.
 """
 
@@ -27,25 +28,27 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from candleworks.llm._store import text_key
 from candleworks.llm._words import Words, _words, chunks, grams, packed_words, sliding_min
 
 WINDOW = 20
 MINIMISER_WORDS = 3
-#: Buckets per shuffle partition; a task holds one bucket at a time.
+#: Buckets per shuffle partition, and bytes of text for which there is one bucket at least; a task holds one bucket at a time.
 BUCKETS_PER_TASK = 8
-_BLOCK = "bucket int, n int, block binary, doc bigint, a bigint, b bigint"
-_BLOCK_ARROW = pa.schema([("bucket", pa.int32()), ("n", pa.int32()), ("block", pa.binary()), ("doc", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
+BUCKET_BYTES = 16 << 20
+_BLOCK = "bucket int, n int, block binary, doc bigint, body bigint, a bigint, b bigint"
+_BLOCK_ARROW = pa.schema([("bucket", pa.int32()), ("n", pa.int32()), ("block", pa.binary()), ("doc", pa.int64()), ("body", pa.int64()),
+                          ("a", pa.int64()), ("b", pa.int64())])
 
 
-def _pack(ids: np.ndarray, starts: np.ndarray, strings: list[bytes]) -> bytes:
+def _pack(ids: np.ndarray, bodies: np.ndarray, starts: np.ndarray, strings: list[bytes]) -> bytes:
     sizes = np.fromiter(map(len, strings), np.int32, len(strings))
-    return zstandard.ZstdCompressor(level=3).compress(ids.tobytes() + starts.tobytes() + sizes.tobytes() + b"".join(strings))
+    return zstandard.ZstdCompressor(level=3).compress(ids.tobytes() + bodies.tobytes() + starts.tobytes() + sizes.tobytes() + b"".join(strings))
 
 
-def _unpack(block: bytes, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _unpack(block: bytes, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     raw = zstandard.ZstdDecompressor().decompress(block)
-    return (np.frombuffer(raw, np.int64, n), np.frombuffer(raw, np.int64, n, 8 * n), np.frombuffer(raw, np.int32, n, 16 * n),
-            np.frombuffer(raw, np.uint8, offset=20 * n))
+    return (*(np.frombuffer(raw, np.int64, n, 8 * n * i) for i in range(3)), np.frombuffer(raw, np.int32, n, 24 * n), np.frombuffer(raw, np.uint8, offset=28 * n))
 
 
 def super_kmers(words: Words, window: int, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -62,45 +65,46 @@ def super_kmers(words: Words, window: int, m: int) -> tuple[np.ndarray, np.ndarr
     return whole[begin], whole[last] + window, value[begin]
 
 
-def _ranges(doc: list, a: list, b: list) -> pa.RecordBatch:
-    none = [None] * len(doc)
+def _ranges(*columns: np.ndarray) -> pa.RecordBatch:
+    none = [None] * len(columns[0])
     return pa.RecordBatch.from_arrays([pa.array(none, pa.int32()), pa.array(none, pa.int32()), pa.array(none, pa.binary()),
-                                       pa.array(doc, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=_BLOCK_ARROW)
+                                       *[pa.array(c, pa.int64()) for c in columns]], schema=_BLOCK_ARROW)
 
 
 def _send(batches: Iterable[pa.RecordBatch], window: int, m: int, buckets: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch.column(0).to_numpy(zero_copy_only=False)
+        texts = batch.column(2).to_numpy(zero_copy_only=False)
         for words in chunks(batch.column(1)):
             first, end, value = super_kmers(words, window, m)
             if len(first) == 0:
                 continue
             text, at = packed_words(words)
             row = np.searchsorted(words.first, first, side="right") - 1
-            doc = ids[words.rows][row].astype(np.int64)
+            doc, body = ids[words.rows][row].astype(np.int64), texts[words.rows][row]
             start = first - words.first[row]
             strings = [text[x:y] for x, y in zip(at[first], at[end] - 1)]
             # Equal strings of the chunk, the earliest first: it travels.
             kept: dict[bytes, int] = {}
             repeats: list[int] = []
-            for i in np.lexsort((start, doc)).tolist():
+            for i in np.lexsort((start, body, doc)).tolist():
                 k = kept.setdefault(strings[i], i)
-                if k != i and (doc[k], start[k]) != (doc[i], start[i]):
+                if k != i and (doc[k], body[k], start[k]) != (doc[i], body[i], start[i]):
                     repeats.append(i)
             if repeats:
-                yield _ranges(doc[repeats], start[repeats], start[repeats] + (end - first)[repeats])
+                yield _ranges(doc[repeats], body[repeats], start[repeats], start[repeats] + (end - first)[repeats])
             go = np.fromiter(kept.values(), np.int64, len(kept))
             bucket = (value[go] % np.uint64(buckets)).astype(np.int64)
             go, bucket = go[order := np.argsort(bucket, kind="stable")], bucket[order]
             cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
-            out = [(bucket[x], y - x, _pack(doc[go[x:y]], start[go[x:y]], [strings[i] for i in go[x:y]])) for x, y in zip(cut[:-1], cut[1:])]
+            out = [(bucket[x], y - x, _pack(doc[go[x:y]], body[go[x:y]], start[go[x:y]], [strings[i] for i in go[x:y]])) for x, y in zip(cut[:-1], cut[1:])]
             none = pa.array([None] * len(out), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int32()), pa.array([o[1] for o in out], pa.int32()),
-                                              pa.array([o[2] for o in out], pa.binary()), none, none, none], schema=_BLOCK_ARROW)
+                                              pa.array([o[2] for o in out], pa.binary()), none, none, none, none], schema=_BLOCK_ARROW)
 
 
-def repeated_windows(ids: np.ndarray, starts: np.ndarray, words: Words, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Document and start of every window of a bucket whose text starts earlier elsewhere."""
+def repeated_windows(ids: np.ndarray, bodies: np.ndarray, starts: np.ndarray, words: Words, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document (id and text) and start of every window of a bucket whose text starts earlier elsewhere."""
     hashes = grams(words.hash, window)
     string = np.repeat(np.arange(len(words.first) - 1), np.diff(words.first))
     whole = np.flatnonzero(string[:len(hashes)] == string[window - 1:window - 1 + len(hashes)]) if len(hashes) else np.zeros(0, np.int64)
@@ -111,20 +115,20 @@ def repeated_windows(ids: np.ndarray, starts: np.ndarray, words: Words, window:
     many = np.concatenate([same, [False]]) | np.concatenate([[False], same])
     at = whole[order[many]]
     if len(at) == 0:
-        return at, at
+        return at, at, at
     group = np.cumsum(np.concatenate([[False], ~same]))[many]
-    doc = ids[string[at]]
+    doc, body = ids[string[at]], bodies[string[at]]
     start = starts[string[at]] + at - words.first[string[at]]
-    order = np.lexsort((start, doc, group))
-    at, doc, start = at[order], doc[order], start[order]
+    order = np.lexsort((start, body, doc, group))
+    at, doc, body, start = at[order], doc[order], body[order], start[order]
     data = words.data.tobytes()
     firsts: dict[bytes, int] = {}
     out = []
     for i, (x, y) in enumerate(zip(words.start[at].tolist(), words.end[at + window - 1].tolist())):
         k = firsts.setdefault(data[x:y], i)
-        if k != i and (doc[k] != doc[i] or start[k] != start[i]):
+        if k != i and (doc[k] != doc[i] or body[k] != body[i] or start[k] != start[i]):
             out.append(i)
-    return doc[out], start[out]
+    return doc[out], body[out], start[out]
 
 
 def _count(batches: Iterable[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
@@ -134,25 +138,24 @@ def _count(batches: Iterable[pa.RecordBatch], window: int) -> Iterator[pa.Record
     def done() -> Iterator[pa.RecordBatch]:
         if not held:
             return
-        ids, starts, sizes = (np.concatenate([h[i] for h in held]) for i in range(3))
-        data = np.concatenate([h[3] for h in held])
+        ids, bodies, starts, sizes, data = (np.concatenate([h[i] for h in held]) for i in range(5))
         held.clear()
         off = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
-        doc, start = repeated_windows(ids, starts, _words(data, off, False, slice(0, len(sizes))), window)
+        doc, body, start = repeated_windows(ids, bodies, starts, _words(data, off, False, slice(0, len(sizes))), window)
         if len(doc) == 0:
             return
-        order = np.lexsort((start, doc))
-        doc, start = doc[order], start[order]
-        new = np.concatenate([[True], (doc[1:] != doc[:-1]) | (start[1:] - start[:-1] > 1)])
+        order = np.lexsort((start, body, doc))
+        doc, body, start = doc[order], body[order], start[order]
+        new = np.concatenate([[True], (doc[1:] != doc[:-1]) | (body[1:] != body[:-1]) | (start[1:] - start[:-1] > 1)])
         begin = np.flatnonzero(new)
         last = np.concatenate([begin[1:], [len(doc)]]) - 1
-        yield pa.RecordBatch.from_arrays([pa.array(doc[begin], pa.int64()), pa.array(start[begin], pa.int64()),
-                                          pa.array(start[last] + window, pa.int64())], names=["doc", "a", "b"])
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (doc[begin], body[begin], start[begin], start[last] + window)],
+                                         names=["doc", "body", "a", "b"])
 
     for batch in batches:
         direct = batch.filter(batch.column(0).is_null())
         if direct.num_rows:
-            yield direct.select(["doc", "a", "b"])
+            yield direct.select(["doc", "body", "a", "b"])
         for bucket, n, block in zip(*(batch.column(i).to_pylist() for i in range(3))):
             if bucket is None:
                 continue
@@ -164,17 +167,19 @@ def _count(batches: Iterable[pa.RecordBatch], window: int) -> Iterator[pa.Record
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """Word ranges ``a`` to ``b - 1`` of document ``doc`` that repeat earlier windows; they may overlap."""
+    """Word ranges ``a`` to ``b - 1`` of document ``doc`` (with the text that ``body`` stands for, see
+    :func:`candleworks.llm._store.text_key`) that repeat earlier windows; they may overlap."""
     spark = docs.sparkSession
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    size, = docs.agg(F.sum(F.octet_length(text_col))).first()
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(size or 0) // (BUCKETS_PER_TASK * BUCKET_BYTES)), 1)
     buckets = tasks * BUCKETS_PER_TASK
     m = min(MINIMISER_WORDS, window)
-    texts = docs.select(F.col(id_col).cast("long"), text_col).where(F.col(id_col).isNotNull())
+    texts = docs.select(F.col(id_col).cast("long"), text_col, text_key(docs, id_col, text_col)).where(F.col(id_col).isNotNull())
     blocks = texts.mapInArrow(lambda it: _send(it, window, m, buckets), _BLOCK)
     # Ranges that are known already are spread over the tasks by their document.
     dealt = F.coalesce(F.col("bucket"), F.pmod(F.xxhash64("doc"), F.lit(buckets)).cast("int"))
     return blocks.repartition(tasks, dealt).sortWithinPartitions("bucket").mapInArrow(
-        lambda it: _count(it, window), "doc bigint, a bigint, b bigint")
+        lambda it: _count(it, window), "doc bigint, body bigint, a bigint, b bigint")
 
 
 def _keep(batches: Iterable[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
@@ -197,8 +202,9 @@ def _keep(batches: Iterable[pa.RecordBatch], names: list[str]) -> Iterator[pa.Re
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """Per row: the id, ``n_words``, ``n_removed`` and ``kept``, the words that stay joined by one space."""
-    found = repeats(docs, id_col, text_col, window).groupBy("doc").agg(F.collect_list(F.struct("a", "b")).alias("_ranges"))
-    rows = docs.select(F.col(id_col), F.col(text_col)).join(found, F.col(id_col).cast("long") == F.col("doc"), "left").select(id_col, text_col, "_ranges")
+    found = repeats(docs, id_col, text_col, window).groupBy("doc", "body").agg(F.collect_list(F.struct("a", "b")).alias("_ranges"))
+    rows = docs.select(F.col(id_col), F.col(text_col), text_key(docs, id_col, text_col).alias("_body"))
+    rows = rows.join(found, (F.col(id_col).cast("long") == F.col("doc")) & (F.col("_body") == F.col("body")), "left").select(id_col, text_col, "_ranges")
     kind = docs.schema[id_col].dataType.simpleString()
     names = [id_col, "n_words", "n_removed", "kept"]
     return rows.mapInArrow(lambda it: _keep(it, names), f"`{id_col}` {kind}, n_words bigint, n_removed bigint, kept string")
