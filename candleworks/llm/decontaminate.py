@@ -109,6 +109,11 @@ def find(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that hold no item, with all their columns."""
-    leaks = written(find(docs, items, id_col, text_col).select(F.col(id_col).alias("_leak")).distinct(), "benchmark-leaks")
-    return docs.join(_maybe_broadcast(leaks), docs[id_col] == F.col("_leak"), "left_anti")
+    """The rows of ``docs`` that hold no item, with all their columns. Each row is judged by its own
+    text: rows are known by a 64-bit hash of id and text, so rows of one id, or without one, are told apart."""
+    key = F.xxhash64(id_col, text_col)
+    texts = docs.select(key.alias("_row"), F.col(text_col).alias("_text"))
+    leaks = find(texts, items.select(F.xxhash64("item_id", "text").alias("item_id"), "text"), "_row", "_text")
+    leaks = written(leaks.select(F.col("_row").alias("_leak")).distinct(), "benchmark-leaks")
+    rows = docs.select(F.struct("*").alias("_doc"), key.alias("_row"))
+    return rows.join(_maybe_broadcast(leaks), F.col("_row") == F.col("_leak"), "left_anti").select("_doc.*")

@@ -350,3 +350,136 @@ def test_pipeline_stages_take_effect(sp):
     assert sorted(r.doc_id for r in last.collect()) == sorted(r.doc_id for r in kept.collect())
     texts_left = [hashlib.sha256(" ".join(r.text.split()).encode()).hexdigest() for r in kept.collect()]
     assert len(set(texts_left)) == len(texts_left) < docs.count()
+
+
+ODD = "doc_id bigint, text string, _doc string, _row string, _leak string, _id string, body string"
+
+
+def odd(sp, rows_):
+    return sp.createDataFrame([(i, t, "a", "b", "c", "d", "e") for i, t in rows_], ODD)
+
+
+def test_repeated_ids_of_different_texts_lose_nothing_in_line_dedup(sp):
+    got = line_dedup.dedup(odd(sp, [(1, "\n".join(["x"] * 5)), (1, "x\ny"), (2, "a\nb\nc"), (2, "q\na\nb\nc"), (None, "a\nb\nc")])).collect()
+    kept = {(r.doc_id, r.n_lines): r.kept for r in got}
+    assert kept[1, 2] == "x\ny" and kept[1, 5] == "x\nx\nx" and kept[None, 3] == "a\nb\nc"
+    assert sorted([kept[2, 3], kept[2, 4]]) in (["", "q\na\nb\nc"], ["a\nb\nc", "q"])
+
+
+def test_repeated_ids_of_different_texts_lose_nothing_in_substring_dedup(sp):
+    long = " ".join(f"w{i}" for i in range(100))
+    short, other = "one two three", " ".join(f"v{i}" for i in range(60))
+    got = substring_dedup.dedup(odd(sp, [(1, long), (1, short), (1, long), (2, long + " tail"), (3, other), (None, long)])).collect()
+    kept = sorted((str(r.doc_id), r.n_words, r.n_removed) for r in got)
+    assert kept == sorted([("1", 100, 0), ("1", 100, 0), ("1", 3, 0), ("2", 101, 100), ("3", 60, 0), ("None", 100, 0)])
+
+
+def test_clean_judges_each_row_by_its_own_text(sp):
+    item = "the quick brown fox jumps over the lazy dog again"
+    words = item.split()
+    bench = sp.createDataFrame([(1, item), (2, None), (None, "some other item of more words here")], BENCH)
+    rows_ = [(1, f"x {item} y"), (1, "clean text"), (2, " ".join(words[:7])), (2, " ".join(words[4:])), (None, item), (None, "free"), (3, None), (4, "")]
+    got = decontaminate.clean(odd(sp, rows_), bench)
+    assert got.columns == [c.split()[0] for c in ODD.split(", ")]
+    assert sorted(map(str, [(r.doc_id, r.text) for r in got.collect()])) == sorted(map(str, [r for r in rows_ if r[1] is None or item not in r[1]]))
+    assert decontaminate.clean(odd(sp, rows_), bench.where("false")).count() == len(rows_)
+    assert decontaminate.clean(odd(sp, []), bench).count() == 0
+
+
+def test_keep_first_and_keep_one_on_empty_tables_and_odd_names(sp):
+    for keep in (exact_dedup.keep_first, ngram_join.keep_one):
+        assert keep(odd(sp, [])).collect() == []
+        got = keep(odd(sp, [(2, "same text here now"), (1, "same text here now"), (1, "another one of them")])).collect()
+        assert sorted((r.doc_id, r.text, r.body) for r in got) == [(1, "another one of them", "e"), (1, "same text here now", "e")]
+
+
+def test_near_copies_cost_pairs_in_proportion(sp, monkeypatch):
+    asked = []
+    plain = ngram_join._candidates
+
+    def counted(*args):
+        got = plain(*args)
+        asked.append(got.count())
+        return got
+
+    monkeypatch.setattr(ngram_join, "_candidates", counted)
+    totals = []
+    for n in (100, 400):
+        rng = random.Random(1)
+        base = [f"w{rng.randrange(10**6)}" for _ in range(100)]
+        docs_ = []
+        for i in range(n):
+            words = list(base)
+            for _ in range(2):
+                words[rng.randrange(100)] = f"z{rng.randrange(10**7)}"
+            docs_.append(words)
+        asked.clear()
+        got = ngram_join.keep_one(frame(sp, [(i, " ".join(w)) for i, w in enumerate(docs_)]), n=5, percent=80).count()
+        sets = [{tuple(w[i:i + 5]) for i in range(96)} for w in docs_]
+        root = list(range(n))
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for i in range(n):
+            for j in range(i):
+                same = len(sets[i] & sets[j])
+                if 100 * same >= 80 * (len(sets[i]) + len(sets[j]) - same):
+                    root[find(i)] = find(j)
+        assert got == len({find(i) for i in range(n)})
+        totals.append(sum(asked))
+    assert totals[1] <= 16 * max(totals[0], 50) and totals[1] < 400 * 399 / 2 / 20  # far from all pairs
+
+
+def test_a_megabyte_of_tags_is_read_in_one_pass():
+    import time
+
+    machine = license_scan._automaton((("tag", license_scan.TAG, ""),))
+    for raw, n in ((b"// SPDX-License-Identifier: MIT OR Apache-2.0\nwords\n" * 20_000, 20_000), (b"SPDX-License-Identifier: MIT " * 36_000, 36_000),
+                   (b"SPDX-License-Identifier: " + b"MIT AND " * 100_000, 1), (b"SPDX-License-Identifier: " + b"(" * 10**5 + b"MIT" + b")" * 10**5, 1)):
+        t0 = time.process_time()
+        assert len(license_scan.scan_text(raw, machine)[3]) == n
+        assert time.process_time() - t0 < 5
+
+
+def test_licence_expressions_against_a_plain_evaluator():
+    rng = random.Random(11)
+    names = {**license_scan.LICENCES, "my-own-1.0": license_scan.UNKNOWN}
+
+    def make(depth):
+        if depth == 0 or rng.random() < 0.3:
+            name = rng.choice(sorted(names))
+            if rng.random() < 0.2:
+                exc = rng.choice(sorted(license_scan.EXCEPTIONS))
+                return f"{name} with {exc}", f"({name} with {exc})", [name], min(names[name], 1) if names[name] < license_scan.UNKNOWN else names[name]
+            return name, name, [name], names[name]
+        op = rng.choice(["and", "or"])
+        (ta, sa, ia, ra), (tb, sb, ib, rb) = make(depth - 1), make(depth - 1)
+        return f"({ta}) {op} ({tb})", f"({sa} {op} {sb})", ia + ib, min(ra, rb) if op == "or" else max(ra, rb)
+
+    for _ in range(300):
+        text, shown, ids, rank = make(4)
+        assert license_scan.evaluate(license_scan.postfix(text)) == (shown, ids, rank)
+
+
+def test_bpe_of_a_very_long_word_and_a_full_cache(monkeypatch):
+    from tokenizers import Tokenizer
+
+    lib, enc = Tokenizer.from_file(bpe.default_path()), bpe.Encoder(bpe.default_path())
+    word = ("qwertyuiopasdfghjklzxcvbnm" * 4000)[:100_000]
+    enc.learn({word})
+    (ids,), (shown,) = enc.texts([[word]])
+    enc.forget()
+    want = lib.encode(word, add_special_tokens=False).ids
+    assert ids == b"".join(x.to_bytes(4, "little") for x in want) and shown == lib.decode(want, skip_special_tokens=False)
+    assert word not in enc.known and word not in enc.words
+    monkeypatch.setattr(bpe, "CACHE_PIECES", 60)
+    monkeypatch.setattr(bpe, "CACHE_WORDS", 60)
+    for a in range(0, 1200, 40):
+        texts_ = [f"qzx{i}; vbn-{i * 7919} kept <|endoftext|> zq" for i in range(a, a + 40)]
+        split = [bpe.pieces_of(t) for t in texts_]
+        enc.learn(set().union(*split))
+        for t, got in zip(texts_, enc.texts(split)[0]):
+            assert got == b"".join(x.to_bytes(4, "little") for x in lib.encode(t, add_special_tokens=False).ids)
