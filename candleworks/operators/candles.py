@@ -11,26 +11,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from candleworks import schemas
 from candleworks.functions import times
 
-FACT_COLS = ["stock_symbol", "o", "h", "c", "l", "v", "Trans", "t", "vwap", "trade_date"]
+FACT_COLS = ["stock_symbol", "o", "h", "c", "l", "v", "Trans", "t", "vwap", "filled", "trade_date"]
 
 
 def with_trade_date(raw_landing: DataFrame) -> DataFrame:
     """Landing rows (ticker, ..., time) -> fact-shaped rows with the date derived
     once from the epoch text (null when the text is not a number). The landing
-    object's date is kept as ``file_date`` (null when unknown)."""
-    file_date = F.col("file_date") if "file_date" in raw_landing.columns else F.lit(None).cast("date")
+    object's date is kept as ``file_date``, its name as ``object``, its path as ``file`` and the text of a line
+    that couldn't be parsed as ``raw`` (null when unknown)."""
+    has = lambda name, kind="string": (F.col(name) if name in raw_landing.columns else F.lit(None)).cast(kind)
     return raw_landing.select(
         F.col("ticker").alias("stock_symbol"), "o", "h", "c", "l",
         F.round(F.col("v")).try_cast("bigint").alias("v"), F.col("trans").alias("trans"),
         F.col("time").alias("t"), "vwap",
         times.date_from_epoch_millis_text("time").alias("trade_date"),
-        file_date.alias("file_date"))
+        has("file_date", "date").alias("file_date"), has("object").alias("object"), has("file").alias("file"),
+        has(schemas.CORRUPT).alias("raw"))
 
 
 def _reason(dim_hit: str) -> "F.Column":
-    return (F.when(F.col("trade_date").isNull(), F.lit("bad_time"))
+    return (F.when(F.col("raw").isNotNull(), F.lit("malformed"))
+            .when(F.col("trade_date").isNull(), F.lit("bad_time"))
             .when(F.col("file_date").isNotNull() & (F.col("file_date") != F.col("trade_date")),
                   F.lit("file_date_mismatch"))
             .when((F.col("v") < 0) | (F.col("trans") < 0), F.lit("out_of_range"))
@@ -100,12 +104,8 @@ def not_stored(bars: DataFrame, stored: DataFrame) -> DataFrame:
 
 
 def traded(fact: DataFrame) -> DataFrame:
-    """Stored rows of real trades: a filled row repeats one price, with no volume and
-    no trades. (A landed bar that looks just like that is a fill.)"""
-    filled = (F.col("Trans") == 0) & (F.col("v") == 0)
-    for price in ("o", "h", "l"):
-        filled = filled & (F.col(price) == F.col("c"))
-    return fact.where(~F.coalesce(filled, F.lit(False)))
+    """Stored rows of real trades, whatever they look like: fills are marked."""
+    return fact.where(~F.coalesce(F.col("filled"), F.lit(False)))
 
 
 def first_stamp(t: str = "t"):
@@ -115,8 +115,8 @@ def first_stamp(t: str = "t"):
     return F.min(F.col(t).try_cast("bigint")).cast("string")
 
 
-def _fact(df: DataFrame) -> DataFrame:
-    return df.select(*[F.col(c) for c in FACT_COLS])
+def _fact(df: DataFrame, filled: bool) -> DataFrame:
+    return df.withColumn("filled", F.lit(filled)).select(*[F.col(c) for c in FACT_COLS])
 
 
 def fill_day(day: DataFrame, dim: DataFrame, prior: DataFrame) -> DataFrame:
@@ -132,7 +132,7 @@ def fill_day(day: DataFrame, dim: DataFrame, prior: DataFrame) -> DataFrame:
                       F.col("_c").alias("c"), F.col("_c").alias("l"),
                       F.lit(0).cast("bigint").alias("v"), F.lit(0).cast("bigint").alias("Trans"),
                       day_t.alias("t"), F.col("_vwap").alias("vwap"), d.alias("trade_date")))
-    return _fact(traded.withColumnRenamed("trans", "Trans")).unionByName(filled)
+    return _fact(traded.withColumnRenamed("trans", "Trans"), False).unionByName(_fact(filled, True))
 
 
 def nearest_before(history: DataFrame, day) -> DataFrame:
@@ -150,13 +150,31 @@ def load_latest_day(bars: DataFrame, dim: DataFrame, history: DataFrame) -> Data
     return fill_day(day, dim, nearest_before(history, d))
 
 
-# Bars of one symbol and day above which identical copies are collapsed before the
-# per-symbol window (and expanded again after it).
-MAX_COPIES = 10_000
+def last_of_day(bars: DataFrame) -> DataFrame:
+    """``stock_symbol``, ``trade_date`` and ``_last``, the bar of each symbol and day that is carried:
+    the one of the latest stamp (what follows the stamp only settles ties)."""
+    order = F.struct(F.col("t").try_cast("bigint").alias("stamp"), "c", "vwap", "v", "trans", "o", "h", "l")
+    return bars.groupBy("stock_symbol", "trade_date").agg(F.max(order).alias("_last"))
+
+
+def fills(last: DataFrame, days: DataFrame) -> DataFrame:
+    """A row for every symbol and trading day (``trade_date``, ``_day_t``) after its first bar that
+    has none, from the bar before. ``last`` has one row per symbol and day of trade."""
+    last_day = days.agg(F.max("trade_date")).scalar()
+    after = F.lead("trade_date").over(Window.partitionBy("stock_symbol").orderBy("trade_date"))
+    gaps = (last.withColumn("_from", F.date_add("trade_date", 1))
+            .withColumn("_to", F.coalesce(F.date_sub(after, 1), last_day)).where("_from <= _to")
+            .select("stock_symbol", "_last", F.explode(F.sequence("_from", "_to")).alias("trade_date")))
+    # Trading days are bounded by the calendar (about 250 a year), so broadcasting
+    # them is safe at any data volume.
+    close = F.col("_last.c")
+    return gaps.join(F.broadcast(days), "trade_date").select(
+        "stock_symbol", *[close.alias(c) for c in ("o", "h", "c", "l")], F.lit(0).cast("bigint").alias("v"),
+        F.lit(0).cast("bigint").alias("Trans"), F.col("_day_t").alias("t"), F.col("_last.vwap").alias("vwap"), "trade_date")
 
 
 def carry_forward(bars: DataFrame, dim: DataFrame, seed: DataFrame | None = None,
-                  days: DataFrame | None = None, max_copies: int | None = MAX_COPIES) -> DataFrame:
+                  days: DataFrame | None = None) -> DataFrame:
     """Last-observation-carried-forward fact for every known symbol and every
     trading day (a day some file exists for) from the symbol's first trade on.
 
@@ -165,75 +183,22 @@ def carry_forward(bars: DataFrame, dim: DataFrame, seed: DataFrame | None = None
     ``days`` (optional, ``trade_date, t``) adds trading days that have no bar of a
     known symbol (a loaded day being recomputed).
 
-    One shuffle by symbol does the work: grid cells (generated per symbol, no
-    cross join) and bars are unioned and a single per-symbol window both carries
-    the last trade forward and drops grid cells that a bar already covers. A
-    symbol's partition holds one grid cell and the bars of each trading day; if
-    some symbol-day holds more than ``max_copies`` bars (copies of one bar, say),
-    identical bars are first counted (a map-side-combined aggregate) and the window
-    sees each distinct bar once; the copies are restored after it. ``max_copies=None``
-    skips that check (for inputs already free of copies).
+    Bars pass through as they are, without a shuffle. What is carried is one bar per symbol
+    and day, found by an aggregate that combines within tasks, so neither copies nor
+    distinct bars of a hot symbol meet in one task; the window that looks for gaps sees at most a
+    row per trading day of a symbol, which the calendar bounds.
     """
-    from candleworks.operators.numbering import largest_group
     known = bars.join(dim.select("stock_symbol").distinct(), "stock_symbol", "left_semi")
     rows = known.select("stock_symbol", "trade_date", "o", "h", "l", "c", "v",
-                        F.col("trans").cast("bigint").alias("trans"), "t", "vwap",
-                        F.lit(1).alias("_kind"), F.lit(False).alias("_seed"))
-    collapse = max_copies is not None and largest_group(rows, ["stock_symbol", "trade_date"]) > max_copies
-    if collapse:
-        rows = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    else:
-        rows = rows.withColumn("_copies", F.lit(1).cast("long"))
+                        F.col("trans").cast("bigint").alias("trans"), "t", "vwap")
     all_days = bars.select("trade_date", "t")
     if days is not None:
         all_days = all_days.unionByName(days.select("trade_date", "t"))
-    days = all_days.groupBy("trade_date").agg(first_stamp().alias("_day_t"))
+    carried = rows
     if seed is not None:
-        seed_rows = seed.select("stock_symbol", "trade_date", "o", "h", "l", "c", "v",
-                                F.col("Trans").cast("bigint").alias("trans"), "t", "vwap",
-                                F.lit(1).alias("_kind"), F.lit(True).alias("_seed"),
-                                F.lit(1).cast("long").alias("_copies"))
-        rows = rows.unionByName(seed_rows)
-        days = days.unionByName(seed.groupBy("trade_date").agg(first_stamp().alias("_day_t")))
-    last_day = days.agg(F.max("trade_date")).scalar()
-    # Trading days are bounded by the calendar (about 250 a year), so broadcasting
-    # them is safe at any data volume.
-    starts = rows.groupBy("stock_symbol").agg(F.min("trade_date").alias("_first"))
-    grid = (starts.withColumn("_last", last_day)
-            .select("stock_symbol", F.explode(F.sequence("_first", "_last")).alias("trade_date"))
-            .join(F.broadcast(days), "trade_date", "inner")
-            .select("stock_symbol", "trade_date",
-                    *[F.lit(None).cast(t).alias(c) for c, t in
-                      (("o", "double"), ("h", "double"), ("l", "double"), ("c", "double"),
-                       ("v", "bigint"), ("trans", "bigint"))],
-                    F.col("_day_t").alias("t"), F.lit(None).cast("double").alias("vwap"),
-                    F.lit(0).alias("_kind"), F.lit(False).alias("_seed"),
-                    F.lit(1).cast("long").alias("_copies")))
-    cells = grid.unionByName(rows.select(*grid.columns))
-    # Several bars of one symbol and day: the one of the latest stamp is carried; what
-    # follows the stamp only settles ties.
-    order = Window.partitionBy("stock_symbol").orderBy(
-        "trade_date", "_kind", F.col("t").try_cast("bigint"), "c", "vwap", "v", "trans", "o", "h", "l")
-    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cells = (cells
-             .withColumn("_last", F.last(F.when(F.col("_kind") == 1, F.struct("c", "vwap")),
-                                          ignorenulls=True).over(upto))
-             .withColumn("_next_date", F.lead("trade_date").over(order)))
-    is_bar = F.col("_kind") == 1
-    is_gap = (F.col("_kind") == 0) & (F.col("_next_date").isNull() |
-                                      (F.col("_next_date") != F.col("trade_date")))
-    out = cells.where((is_bar | is_gap) & ~F.col("_seed"))
-    if collapse:  # restore every copy (a narrow step, no shuffle)
-        out = out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("_copy")
-    last_c = F.col("_last.c")
-    return out.select(
-        "stock_symbol",
-        F.when(is_bar, F.col("o")).otherwise(last_c).alias("o"),
-        F.when(is_bar, F.col("h")).otherwise(last_c).alias("h"),
-        F.when(is_bar, F.col("c")).otherwise(last_c).alias("c"),
-        F.when(is_bar, F.col("l")).otherwise(last_c).alias("l"),
-        F.when(is_bar, F.col("v")).otherwise(F.lit(0)).cast("bigint").alias("v"),
-        F.when(is_bar, F.col("trans")).otherwise(F.lit(0)).cast("bigint").alias("Trans"),
-        "t",
-        F.when(is_bar, F.col("vwap")).otherwise(F.col("_last.vwap")).alias("vwap"),
-        "trade_date")
+        carried = rows.unionByName(seed.select("stock_symbol", "trade_date", "o", "h", "l", "c", "v",
+                                               F.col("Trans").cast("bigint").alias("trans"), "t", "vwap"))
+        all_days = all_days.unionByName(seed.select("trade_date", "t"))
+    by_day = all_days.groupBy("trade_date").agg(first_stamp().alias("_day_t"))
+    filled = fills(last_of_day(carried), by_day)
+    return _fact(rows.withColumnRenamed("trans", "Trans"), False).unionByName(_fact(filled, True))

@@ -6,6 +6,10 @@ warehouse stores partitioned by ``trade_date``. Every date used to select rows i
 scalar subquery, so on the stored table it becomes a partition filter and only the
 needed days are read. No window runs without ``partitionBy``; the per-symbol
 windows see at most one row per trading day (the fact's key is symbol x day).
+
+``days`` (``trade_date``, ``rows``, ``upto``), where given, are the fact's days with running row
+counts, as the load keeps them: dates are then looked up there and no row of the
+fact is touched to find them. Without it they are found from the fact.
 """
 
 from __future__ import annotations
@@ -44,40 +48,59 @@ def latest_day_close(candles: DataFrame) -> DataFrame:
     return candles.where(F.col(DATE) == _max_date(candles)).select("stock_symbol", "c")
 
 
-def close_delta(candles: DataFrame) -> DataFrame:
+def close_delta(candles: DataFrame, days: DataFrame | None = None) -> DataFrame:
     """Latest close minus previous-date close, for symbols present on both dates
     (inner self-join on symbol, as the reference's SQL). Each side is one day of
     the fact, whose key (symbol, trade_date) the load keeps unique, so the join
     pairs one row with one row."""
-    cur = candles.where(F.col(DATE) == _max_date(candles)).select(
+    dates = candles if days is None else days
+    cur = candles.where(F.col(DATE) == _max_date(dates)).select(
         "stock_symbol", F.col("c").alias("c_cur"))
-    prv = candles.where(F.col(DATE) == _prev_date(candles)).select(
+    prv = candles.where(F.col(DATE) == _prev_date(dates)).select(
         "stock_symbol", F.col("c").alias("c_prv"))
     return (cur.join(prv, "stock_symbol", "inner")
-            .select(_max_date(candles).alias("date"),
+            .select(_max_date(dates).alias("date"),
                     (F.col("c_cur").cast("double") - F.col("c_prv").cast("double")).alias("delta"),
                     "stock_symbol"))
 
 
+def running_days(rows_of_day: DataFrame) -> DataFrame:
+    """``trade_date``, ``rows`` and ``upto``, the rows of all days up to it, of ``trade_date`` and
+    ``rows``. Sums run within a year, then over the years (a row each)."""
+    year = F.year(DATE)
+    years = rows_of_day.groupBy(year.alias("_year")).agg(F.sum("rows").alias("_n"))
+    before = years.alias("a").join(years.alias("b"), F.col("b._year") < F.col("a._year"), "left").groupBy(
+        F.col("a._year").alias("_year")).agg(F.coalesce(F.sum("b._n"), F.lit(0)).alias("_before"))
+    within = F.sum("rows").over(Window.partitionBy("_year").orderBy(DATE).rowsBetween(Window.unboundedPreceding, 0))
+    return rows_of_day.withColumn("_year", year).join(before, "_year").select(
+        DATE, F.col("rows").cast("long").alias("rows"), (F.col("_before") + within).cast("long").alias("upto"))
+
+
+def day_counts(candles: DataFrame) -> DataFrame:
+    return candles.groupBy(DATE).agg(F.count(F.lit(1)).alias("rows"))
+
+
 def first_rows_dates(candles: DataFrame, k: int) -> DataFrame:
     """Dates of the ``k`` earliest rows (rows, not distinct dates: ``ORDER BY date
     LIMIT k``). A top-k: each task keeps k rows, the driver merges k x tasks."""
     return candles.select(F.col(DATE).alias("row_date")).orderBy("row_date").limit(k)
 
 
-def _kth_row_date(candles: DataFrame, k: int):
+def _kth_row_date(candles: DataFrame, k: int, days: DataFrame | None = None):
+    if days is not None:  # the first day up to which there are k rows; the last day if there are fewer
+        return days.agg(F.coalesce(F.min(F.when(F.col("upto") >= k, F.col(DATE))), F.max(DATE))).scalar()
     # The k earliest rows hold exactly the dates <= the k-th row's date, so the
     # semi join ``date IN (first k rows)`` is the range filter ``date <= kth``.
     return first_rows_dates(candles, k).agg(F.max("row_date")).scalar()
 
 
-def avg_close_first_rows(candles: DataFrame, k: int) -> DataFrame:
+def avg_close_first_rows(candles: DataFrame, k: int, days: DataFrame | None = None) -> DataFrame:
     """Average close per symbol over the dates of the ``k`` earliest rows."""
-    return (candles.where(F.col(DATE) <= _kth_row_date(candles, k))
+    return (candles.where(F.col(DATE) <= _kth_row_date(candles, k, days))
             .groupBy("stock_symbol").agg(F.avg(F.col("c").cast("double")).alias("avg_close")))
 
 
-def ohcl_indicator(candles: DataFrame, short: int = 3, long: int = 5) -> DataFrame:
+def ohcl_indicator(candles: DataFrame, short: int = 3, long: int = 5, days: DataFrame | None = None) -> DataFrame:
     """The indicator row per symbol for the latest date: delta, and the averages
     over the first ``short`` / ``long`` rows' dates (kept as written, see README).
 
@@ -85,7 +108,7 @@ def ohcl_indicator(candles: DataFrame, short: int = 3, long: int = 5) -> DataFra
     A symbol must appear in all three parts (inner joins).
     """
     lo, hi = sorted((short, long))
-    d_lo, d_hi = _kth_row_date(candles, lo), _kth_row_date(candles, hi)
+    d_lo, d_hi = _kth_row_date(candles, lo, days), _kth_row_date(candles, hi, days)
     c = F.col("c").cast("double")
     avgs = (candles.where(F.col(DATE) <= d_hi)
             .groupBy("stock_symbol")
@@ -94,7 +117,7 @@ def ohcl_indicator(candles: DataFrame, short: int = 3, long: int = 5) -> DataFra
                  F.avg(c).alias("_avg_hi"))
             .where(F.col("_n_lo") > 0))
     a_short, a_long = ("_avg_lo", "_avg_hi") if short <= long else ("_avg_hi", "_avg_lo")
-    return (close_delta(candles).join(avgs, "stock_symbol", "inner")
+    return (close_delta(candles, days).join(avgs, "stock_symbol", "inner")
             .select("stock_symbol", times.iso_text("date").alias("date"), "delta",
                     F.col(a_short).alias(f"sliding_avg_{short}"),
                     F.col(a_long).alias(f"sliding_avg_{long}")))
@@ -129,6 +152,15 @@ def moving_average(candles: DataFrame, column: str, n: int, out: str = "ma",
     return candles.select(*keep, DATE, F.avg(F.col(column).cast("double")).over(w).alias(out))
 
 
+def moving_averages(candles: DataFrame, short: int = 3, long: int = 5, volume: int = 5) -> DataFrame:
+    """``stock_symbol``, ``t``, ``trade_date`` and the three trailing averages ``short_ma``, ``long_ma``
+    and ``avg_volume``, from one shuffle by symbol."""
+    by_day = Window.partitionBy("stock_symbol").orderBy(DATE)
+    mean = lambda column, n: F.avg(F.col(column).cast("double")).over(by_day.rowsBetween(-(n - 1), Window.currentRow))
+    return candles.select("stock_symbol", "t", DATE, mean("c", short).alias("short_ma"), mean("c", long).alias("long_ma"),
+                          mean("v", volume).alias("avg_volume"))
+
+
 def short_ma(candles: DataFrame, n: int = 3) -> DataFrame:
     return moving_average(candles, "c", n).select("stock_symbol", "t", "ma")
 

@@ -29,10 +29,12 @@ def insert_date(file_date: Column | str = "file_date") -> Column:
     return F.date_add(c, INSERT_LAG_DAYS)
 
 
-def item_key(publish_date: Column) -> Column:
-    """What an item is, whatever file brought it: its url, title and publish date (the
-    stored tables keep no time of day)."""
-    return F.sha2(F.to_json(F.struct("url", "title", publish_date.alias("published"))), 256)
+def item_key() -> Column:
+    """What an item is, whatever file of its day brought it: its url, title and full publish
+    time; where it has none of them, its number in the day."""
+    nothing = F.col("url").isNull() & F.col("title").isNull() & F.col("time_published").isNull()
+    number = F.when(nothing, F.col("in_date_id").cast("long"))
+    return F.sha2(F.to_json(F.struct("url", "title", "time_published", number.alias("number"))), 256)
 
 
 def source_key(name: Column | str = "source_name") -> Column:
@@ -64,11 +66,11 @@ def new_sources(news: DataFrame, current: DataFrame, one_per_name: bool = True)
 
 # ---- topics ---------------------------------------------------------------------------
 
-def topic_entries(news: DataFrame) -> DataFrame:
+def topic_entries(news: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     """One row per (news item, topic element); scores stay text until cast."""
-    return (news.select("file_date", "in_date_id", F.explode("topics").alias("_t"))
+    return (news.select("file_date", "in_date_id", *extra, F.explode("topics").alias("_t"))
             .where(F.col("_t").isNotNull())
-            .select("file_date", "in_date_id", F.col("_t.topic").alias("topic"),
+            .select("file_date", "in_date_id", *extra, F.col("_t.topic").alias("topic"),
                     F.col("_t.relevance_score").alias("relevance_score")))
 
 
@@ -85,8 +87,8 @@ def new_topics(news: DataFrame, current: DataFrame) -> DataFrame:
 
 # ---- news dimension -------------------------------------------------------------------
 
-def news_rows(news: DataFrame, source_dim: DataFrame) -> DataFrame:
-    """news_DIM rows: the source looked up by name (left join: an unknown source
+def news_rows(news: DataFrame, source_dim: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """news_DIM rows (and the columns ``extra``): the source looked up by name (left join: an unknown source
     leaves a null id; several rows for one name multiply the item)."""
     src = source_dim.select(F.col("source_id"), F.col("source_name").alias("_src_name"))
     return (news.join(src, F.col("source") == F.col("_src_name"), "left")
@@ -94,40 +96,40 @@ def news_rows(news: DataFrame, source_dim: DataFrame) -> DataFrame:
                     F.col("in_date_id").cast("long").alias("in_date_id"),
                     "title", "url",
                     times.publish_date("time_published").alias("time_publish_id"),
-                    "source_id", "overall_sentiment_score"))
+                    "source_id", "overall_sentiment_score", *extra))
 
 
 # ---- facts ----------------------------------------------------------------------------
 
-def topic_facts(news: DataFrame, topic_dim: DataFrame) -> DataFrame:
+def topic_facts(news: DataFrame, topic_dim: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     """new_sentiment_industry_FACT: per topic element, the topic id and - as in the
     reference - the topic's *relevance* score in the sentiment column."""
     t = topic_dim.select(F.col(TOPIC.id_col), F.col(TOPIC.name_col).alias("_topic_name"))
-    return (topic_entries(news)
+    return (topic_entries(news, extra)
             .join(t, F.col("topic") == F.col("_topic_name"), "left")
             .select(insert_date().alias("insert_date"),
                     F.col("in_date_id").cast("long").alias("in_date_id"),
                     TOPIC.id_col,
-                    F.col("relevance_score").try_cast("double").alias("sentiment_score")))
+                    F.col("relevance_score").try_cast("double").alias("sentiment_score"), *extra))
 
 
-def ticker_entries(news: DataFrame) -> DataFrame:
-    return (news.select("file_date", "in_date_id", F.explode("ticker_sentiment").alias("_s"))
+def ticker_entries(news: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    return (news.select("file_date", "in_date_id", *extra, F.explode("ticker_sentiment").alias("_s"))
             .where(F.col("_s").isNotNull())
-            .select("file_date", "in_date_id", F.col("_s.ticker").alias("ticker"),
+            .select("file_date", "in_date_id", *extra, F.col("_s.ticker").alias("ticker"),
                     F.col("_s.ticker_sentiment_score").alias("ticker_sentiment_score")))
 
 
-def stock_facts(news: DataFrame, symbol_dim: DataFrame) -> DataFrame:
+def stock_facts(news: DataFrame, symbol_dim: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     """new_sentiment_stock_FACT: per ticker element of a known symbol (inner join:
     unknown tickers are dropped)."""
     sym = symbol_dim.select(F.col("stock_symbol"))
-    return (ticker_entries(news)
+    return (ticker_entries(news, extra)
             .join(sym, F.col("ticker") == F.col("stock_symbol"), "inner")
             .select(insert_date().alias("insert_date"),
                     F.col("in_date_id").cast("long").alias("in_date_id"),
                     "stock_symbol",
-                    F.col("ticker_sentiment_score").try_cast("double").alias("sentiment_score")))
+                    F.col("ticker_sentiment_score").try_cast("double").alias("sentiment_score"), *extra))
 
 
 # ---- extraction slice (landing side) ----------------------------------------------------

@@ -9,14 +9,14 @@ and are swapped in when complete.
 
 from __future__ import annotations
 
+import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candleworks import schemas
 from candleworks import session as _session
-from candleworks.functions import times
 from candleworks.operators import candles as cd
 from candleworks.operators import dimensions as dm
 from candleworks.operators import indicators
@@ -111,6 +111,26 @@ class Warehouse:
         rows = rows.groupBy("stock_symbol").agg(F.min(first).alias("_first"))
         self.append("stock_symbol_DIM", rows.select("stock_symbol", *[F.col(f"_first.{c}").alias(c) for c in others]))
 
+    # ---- days of the candle fact ----------------------------------------------------
+    def days(self) -> DataFrame:
+        """``trade_date``, ``rows`` and ``upto`` of every loaded day, as the loads keep them. A
+        fact that no load has counted yet is counted once."""
+        path = self.path(LOADED_DAYS)
+        if not _session.path_exists(self.spark, path):
+            self._write_days(indicators.day_counts(self.read("candles_FACT")))
+        return self.spark.read.schema(schemas.LOADED_DAYS).parquet(path)
+
+    def _write_days(self, counts: DataFrame) -> None:
+        # A row a trading day, so one file; a reader of the old folder finds a whole table.
+        out = sink.typed(indicators.running_days(counts), schemas.LOADED_DAYS).coalesce(1)
+        sink.write_beside_then_swap(out, self.path(LOADED_DAYS), sort_by=["trade_date"])
+
+    def _count_days(self, written: DataFrame, before: DataFrame) -> None:
+        """Days that were written have the rows that were written; others keep theirs."""
+        counts = _materialized(indicators.day_counts(written))
+        others = before.select("trade_date", "rows").join(counts.select("trade_date"), "trade_date", "left_anti")
+        self._write_days(_materialized(counts.unionByName(others)))
+
     # ---- M4: candles --------------------------------------------------------------
     def load_candles(self, landing_rows: DataFrame, quarantine_dir: str | None = None,
                      batch: str | None = None) -> bool:
@@ -122,6 +142,16 @@ class Warehouse:
         of every later day is recomputed, so late files never leave stale fills behind.
         Rejected rows are written once per ``batch`` (a retried batch of the same name
         replaces only its own). Returns whether anything was new."""
+        return self._load_candles(landing_rows, quarantine_dir, batch, counted=False)[0]
+
+    def load_candle_objects(self, landing_rows: DataFrame, quarantine_dir: str | None = None,
+                            batch: str | None = None) -> DataFrame:
+        """As :meth:`load_candles`; returns ``file``, ``rows_in``, ``loaded``, ``quarantined`` and ``equal``
+        (to a stored or another landed bar) of every landed file (column ``file``)."""
+        return self._load_candles(landing_rows, quarantine_dir, batch, counted=True)[1]
+
+    def _load_candles(self, landing_rows: DataFrame, quarantine_dir: str | None, batch: str | None,
+                      counted: bool) -> tuple[bool, DataFrame | None]:
         dim = self.read("stock_symbol_DIM").select("stock_symbol")
         fact = self.read("candles_FACT")
         incoming = cd.with_trade_date(landing_rows)
@@ -129,43 +159,51 @@ class Warehouse:
             self._quarantine(cd.quarantine(incoming, dim), quarantine_dir, batch)
         landed = cd.landed_days(incoming)
         lo, hi = landed.agg(F.min("trade_date"), F.max("trade_date")).first()
-        if lo is None:  # no usable row: leave every table as it is
-            return False
-        near = fact.where(F.col("trade_date").between(F.lit(lo), F.lit(hi)))
+        near = fact.where(F.col("trade_date").between(F.lit(lo), F.lit(hi))) if lo is not None else fact.where("false")
         # A bar delivered twice is one fact; distinct bars of one symbol-day are kept and
         # reported by the unique test. Dropping copies combines map-side.
-        bars = cd.accepted(incoming, dim).withColumnRenamed("trans", "Trans")
-        bars = cd.not_stored(sink.conform(bars, "candles_FACT").dropDuplicates(), near)
+        rows = cd.accepted(incoming, dim).withColumnRenamed("trans", "Trans").withColumn("filled", F.lit(False))
+        rows = rows.select("file", *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.schema_of("candles_FACT").fields])
+        bars = rows.groupBy(*cd.FACT_COLS).agg(F.min("file").alias("file"))
+        bars = cd.not_stored(bars, near)
+        counts = _materialized(_object_counts(incoming, cd.quarantine(incoming, dim), bars)) if counted else None
+        if lo is None:  # no usable row: leave every table as it is
+            return False, counts
+        bars = bars.select(*[f.name for f in schemas.schema_of("candles_FACT").fields])
         new_days = landed.join(near.select("trade_date").distinct(), "trade_date", "left_anti")
         first_new = (bars.select("trade_date").unionByName(new_days.select("trade_date"))
                      .agg(F.min("trade_date")).first()[0])
         if first_new is None:  # everything is stored already
-            return False
+            return False, counts
+        loaded = self.days()
         from_new = F.col("trade_date") >= F.lit(first_new)
-        seed_day = fact.where(F.col("trade_date") < F.lit(first_new)).agg(F.max("trade_date")).scalar()
+        seed_day = loaded.where(F.col("trade_date") < F.lit(first_new)).agg(F.max("trade_date")).scalar()
         seed = fact.where(F.col("trade_date") == seed_day)
         # Stored trades from that day on take part in the recompute.
         todo = bars.unionByName(cd.traded(fact.where(from_new)).select(*bars.columns))
         days = landed.where(from_new).unionByName(fact.where(from_new).select("trade_date", "t"))
-        # todo holds no copies (new bars are distinct and none is stored)
-        out = _materialized(cd.carry_forward(todo, dim, seed=seed, days=days, max_copies=None))
+        out = _materialized(cd.carry_forward(todo, dim, seed=seed, days=days))
+        before = _materialized(loaded)
         self.replace_partitions("candles_FACT", out)
-        return True
+        self._count_days(out, before)
+        return True, counts
 
     @staticmethod
     def _quarantine(rows: DataFrame, quarantine_dir: str, batch: str | None) -> None:
         """Rejected landing rows as NDJSON, one object per day (``OHCL_<day>.json``) below
-        the folder of their batch, so no batch replaces another's rows."""
+        the folder of their batch, so no batch replaces another's rows. A line that couldn't be parsed
+        is kept as its text (``raw``), under the day of its object."""
         from candleworks.sinks import landing as landing_sink
         landing_sink.write_daily_json(
             rows.select(F.col("stock_symbol").alias("ticker"), "o", "c", "h", "l", "v", "vwap",
-                        F.col("t").alias("time"), "trans", "reason", "trade_date"),
+                        F.col("t").alias("time"), "trans", "reason", "raw", F.col("object").alias("landed_as"),
+                        F.coalesce("trade_date", "file_date").alias("trade_date")),
             f"{quarantine_dir}/batch={batch or uuid.uuid4().hex}", "OHCL", "trade_date", mode="overwrite")
 
     # ---- M5: indicators -----------------------------------------------------------
     def compute_indicators(self) -> None:
         """Indicator rows of the latest date; re-running replaces that date."""
-        rows = indicators.ohcl_indicator(self.read("candles_FACT"))
+        rows = indicators.ohcl_indicator(self.read("candles_FACT"), days=self.days())
         self.replace_partitions("ohcl_indicator", rows)
 
     # ---- F1 F2 F3 / B13: moving averages and the calendar ----------------------------
@@ -173,26 +211,23 @@ class Warehouse:
                                 volume: int = 5) -> None:
         """Fill shot_MA, long_MA and avg_volume for the trading days from ``since``
         (default: all). Each needs the previous ``n - 1`` trading days of history,
-        so the fact is read from the earliest such day on (a partition filter), and
-        only days >= ``since`` are written (their partitions replaced)."""
+        so the fact is read from the earliest such day on (a partition filter on a date from the
+        loaded days: what is read doesn't grow with the history), and
+        only days >= ``since`` are written (their partitions replaced). One shuffle by symbol serves
+        the three averages."""
         fact = self.read("candles_FACT")
-        widest = max(short, long, volume)
-        if since is None:
-            start, rows = None, fact
-        else:
+        rows, start = fact, None
+        if since is not None:
             start = F.lit(since).cast("date")
-            back = (fact.where(F.col("trade_date") < start).select("trade_date").distinct()
-                    .orderBy(F.col("trade_date").desc()).limit(widest - 1)
-                    .agg(F.min("trade_date")).scalar())
+            back = (self.days().where(F.col("trade_date") < start).orderBy(F.col("trade_date").desc())
+                    .limit(max(short, long, volume) - 1).agg(F.min("trade_date")).scalar())
             rows = fact.where(F.col("trade_date") >= F.coalesce(back, start))
-        rows = _materialized(rows.select("stock_symbol", "t", "c", "v", "trade_date"))
-
-        def keep(df, col="trade_date"):
-            return df if start is None else df.where(F.col(col) >= start)
-
-        self.replace_partitions("shot_MA", keep(indicators.moving_average(rows, "c", short)))
-        self.replace_partitions("long_MA", keep(indicators.moving_average(rows, "c", long)))
-        self.replace_partitions("avg_volume", keep(indicators.avg_volume(rows, volume), "date"))
+        made = indicators.moving_averages(rows, short, long, volume)
+        made = _materialized(made if start is None else made.where(F.col("trade_date") >= start))
+        self.replace_partitions("shot_MA", made.withColumnRenamed("short_ma", "ma"))
+        self.replace_partitions("long_MA", made.withColumnRenamed("long_ma", "ma"))
+        self.replace_partitions("avg_volume", made.select("stock_symbol", F.col("trade_date").alias("date"),
+                                                          F.col("avg_volume").alias("sliding_avg")))
 
     def build_calendar(self) -> None:
         """date_DIM over the fact's first..last trade date (whole table, swapped in)."""
@@ -201,62 +236,102 @@ class Warehouse:
     # ---- M6: news -----------------------------------------------------------------
     def load_news(self, news: DataFrame, quarantine_dir: str | None = None, batch: str | None = None) -> None:
         """Sources, topics, news items and both sentiment facts for the given items
-        (any number of file days). An item is one of its insert date, url, title and
-        publish date: it replaces the stored one and keeps its number, and copies inside
-        the batch are one item; other items of the day stay, so a day may come in several
-        files and batches. A new item whose number in the day another item has gets the
-        next free one. Lines without an identity are not loaded but
-        written to ``quarantine_dir``, once per ``batch``. The items feed five writes, so
-        they are read once and kept (memory, spilling to disk)."""
-        news = news.persist()
-        known = F.col("file_date").isNotNull() & F.col("in_date_id").isNotNull()
+        (any number of file days).
+
+        An item of a day is one of its url, title and publish time (:func:`news.item_key`). Of its
+        versions the one whose object was modified last stays (``modified``, the time of the load for rows
+        that are of no object; of one time, the one of the greatest digest), whether they come in one batch or in several. An item keeps the
+        number in the day that it came under; where several came under one, the first seen keeps it
+        and the others follow after the day's greatest. All this follows from the set of
+        items, so the tables don't depend on batches. Lines that can't be parsed or have no day or number are not loaded but
+        written to ``quarantine_dir``, once per ``batch``."""
+        self._load_news(news, quarantine_dir, batch)
+
+    def load_news_objects(self, news: DataFrame, quarantine_dir: str | None = None, batch: str | None = None) -> DataFrame:
+        """As :meth:`load_news`; returns ``file``, ``rows_in``, ``loaded``, ``quarantined`` and ``equal`` (to
+        a version that is stored, or older than one) of every landed file."""
+        return self._load_news(news, quarantine_dir, batch, counted=True)
+
+    def _load_news(self, news: DataFrame, quarantine_dir: str | None, batch: str | None, counted: bool = False) -> DataFrame | None:
+        for name, kind in (("file", "string"), ("object", "string"), ("modified", "bigint"), (schemas.CORRUPT, "string")):
+            if name not in news.columns:
+                news = news.withColumn(name, F.lit(None).cast(kind))
+        news = news.withColumn("modified", F.coalesce("modified", F.lit(time.time_ns() // 1000)))
+        news = news.persist()  # memory, spilling to disk: it feeds several writes
+        usable = F.col("file_date").isNotNull() & F.col("in_date_id").isNotNull() & F.col(schemas.CORRUPT).isNull()
+        reason = F.when(F.col(schemas.CORRUPT).isNotNull(), F.lit("malformed")).otherwise(F.lit("no_identity"))
         try:
             if quarantine_dir:
-                (news.where(~known).withColumn("reason", F.lit("no_identity")).write.mode("overwrite")
+                (news.where(~usable).withColumn("reason", reason).withColumnRenamed(schemas.CORRUPT, "raw").write.mode("overwrite")
                  .json(f"{quarantine_dir}/batch={batch or uuid.uuid4().hex}"))
-            merged = self._merged_news(news.where(known)).persist()
-            try:
-                self._load_news(merged)
-            finally:
-                merged.unpersist()
+            rows = news.where(usable)
+            items = _materialized(self._items(rows))
+            fresh = self._fresh(rows, items)
+            counts = _materialized(_object_counts(news, news.where(~usable), fresh)) if counted else None
+            self._write_news(fresh, items)
+            return counts
         finally:
             news.unpersist()
 
-    def _merged_news(self, news: DataFrame) -> DataFrame:
-        """One row per item, under the number in the day that it has or gets."""
-        names = ["in_date_id", *[c for c in news.columns if c != "in_date_id"]]
-        keyed = news.withColumn("_day", ns.insert_date()).withColumn("_item", ns.item_key(times.publish_date("time_published")))
-        one = keyed.groupBy("_day", "_item").agg(F.min(F.struct(*names)).alias("_row"))
-        wanted = one.select("_day", "_item", F.col("_row.in_date_id").cast("long").alias("_want"))
-        stored = self.read("news_DIM").withColumnRenamed("insert_date", "_day").join(wanted.select("_day").distinct(), "_day", "left_semi").select(
-            "_day", ns.item_key(F.col("time_publish_id")).alias("_item"), F.col("in_date_id").cast("long").alias("_had"))
-        taken = stored.select("_day", F.col("_had").alias("_want"), F.lit(True).alias("_taken")).distinct()
-        first = F.min(F.when(F.col("_had").isNull() & F.col("_taken").isNull(), F.col("_item"))).over(Window.partitionBy("_day", "_want"))
-        placed = (wanted.join(stored.groupBy("_day", "_item").agg(F.min("_had").alias("_had")), ["_day", "_item"], "left")
-                  .join(taken, ["_day", "_want"], "left").withColumn("_first", first)
-                  .withColumn("_number", F.coalesce("_had", F.when(F.col("_first") == F.col("_item"), F.col("_want")))))
-        placed = _materialized(placed.select("_day", "_item", "_want", "_number"))
-        moved = placed.where("_number is null")
-        numbers = placed.where("_number is not null").select("_day", "_item", "_number")
+    def _items(self, news: DataFrame) -> DataFrame:
+        """Every item of the days that ``news`` touches, stored ones too: ``_day``, ``item``, ``want``,
+        ``first_seen``, ``modified``, ``tie``, its ``number``, whether it ``had`` one and whether its version is of this batch
+        (``_fresh``). Only flat keys are grouped; nested rows are not."""
+        keyed = _keyed(news)
+        came = keyed.groupBy("_day", "item").agg(
+            F.max(F.struct("modified", "tie")).alias("version"), F.min("want").alias("want"), F.min("modified").alias("first_seen"),
+        ).withColumn("_new", F.lit(True))
+        stored = self._stored_items().join(F.broadcast(came.select("_day").distinct()), "_day", "left_semi").select(
+            "_day", "item", F.struct("modified", "tie").alias("version"), "want", "first_seen", F.lit(False).alias("_new"))
+        stored = stored.groupBy("_day", "item").agg(*[F.max(c).alias(c) for c in ("version", "want", "first_seen", "_new")])
+        both = came.unionByName(stored).groupBy("_day", "item").agg(
+            F.max(F.struct("version", (~F.col("_new")).alias("_stored"))).alias("best"), F.min("want").alias("want"),
+            F.min("first_seen").alias("first_seen"), (F.count(F.when(~F.col("_new"), 1)) > 0).alias("had"))
+        items = both.select("_day", "item", "want", "first_seen", F.col("best.version.modified").alias("modified"),
+                            F.col("best.version.tie").alias("tie"), (~F.col("best._stored")).alias("_fresh"), "had")
+        of_number = items.groupBy("_day", "want").agg(F.min(F.struct("first_seen", "item")).alias("_holder"))
+        placed = _materialized(items.join(of_number, ["_day", "want"]).withColumn("_keeps", F.col("_holder.item") == F.col("item")).drop("_holder"))
+        moved = placed.where(~F.col("_keeps"))
+        numbers = placed.where("_keeps").withColumn("number", F.col("want"))
         if not moved.isEmpty():
-            last = _materialized(placed.select("_day", F.greatest("_want", "_number").alias("_n")).unionByName(
-                stored.select("_day", F.col("_had").alias("_n"))).groupBy("_day").agg(F.max("_n").alias("_last")))
-            moved = number_within(moved, ["_day"], ["_want", "_item"], "_k").join(last, "_day")
-            numbers = _materialized(numbers.unionByName(moved.select("_day", "_item", (F.col("_last") + 1 + F.col("_k")).alias("_number"))))
-        rows = one.join(numbers, ["_day", "_item"]).select("_row.*", "_number")
-        return rows.withColumn("in_date_id", F.col("_number")).select(*news.columns)
-
-    def _load_news(self, news: DataFrame) -> None:
-        self._load_sources(news)
-        self.append("topic_DIM", ns.new_topics(news, self.read("topic_DIM")))
-        items = news.select(ns.insert_date().alias("insert_date"),
-                            F.col("in_date_id").cast("long").alias("in_date_id")).distinct()
-        for table, rows in (("news_DIM", ns.news_rows(news, self.read("source_DIM"))),
-                            ("new_sentiment_industry_FACT", ns.topic_facts(news, self.read("topic_DIM"))),
-                            ("new_sentiment_stock_FACT", ns.stock_facts(news, self.read("stock_symbol_DIM")))):
-            of_days = self.read(table).join(items.select("insert_date").distinct(), "insert_date", "left_semi")
-            others = _materialized(of_days.join(items, ["insert_date", "in_date_id"], "left_anti"))
-            self.replace_partitions(table, sink.conform(rows, table).unionByName(sink.conform(others, table)))
+            last = placed.groupBy("_day").agg(F.max("want").alias("_last"))
+            moved = number_within(moved, ["_day"], ["want", "first_seen", "item"], "_k").join(last, "_day")
+            numbers = numbers.unionByName(moved.withColumn("number", F.col("_last") + 1 + F.col("_k")).drop("_last", "_k"))
+        return numbers.drop("_keeps")
+
+    def _stored_items(self) -> DataFrame:
+        return sink.read_table(self.spark, self.path("news_DIM"), "news_DIM", schemas.NEWS_ITEM.fields).where("item is not null").withColumnRenamed("insert_date", "_day")
+
+    def _fresh(self, news: DataFrame, items: DataFrame) -> DataFrame:
+        """The rows of this batch that are to be stored, one for each item, under its number."""
+        won = items.where("_fresh").select("_day", "item", F.col("modified").alias("_modified"), F.col("tie").alias("_tie"),
+                                           F.col("want").alias("_want"), "first_seen", "number")
+        same = ["_day", "item"]
+        rows = _keyed(news).join(won, same).where(F.col("modified").eqNullSafe(F.col("_modified")) & (F.col("tie") == F.col("_tie")))
+        rows = rows.drop("_modified", "_tie", "want").withColumnRenamed("_want", "want")
+        return rows.withColumn("in_date_id", F.col("number")).dropDuplicates(same)
+
+    def _write_news(self, fresh: DataFrame, items: DataFrame) -> None:
+        fresh = _materialized(fresh)
+        self._load_sources(fresh)
+        self.append("topic_DIM", ns.new_topics(fresh, self.read("topic_DIM")))
+        of_item, whole = schemas.NEWS_ITEM.fields[:1], schemas.NEWS_ITEM.fields
+        names = tuple(f.name for f in whole)
+        # The items' own table comes last: a retried batch then finds its items still to be stored.
+        for table, rows, extra in (
+                ("new_sentiment_industry_FACT", ns.topic_facts(fresh, self.read("topic_DIM"), ("item",)), of_item),
+                ("new_sentiment_stock_FACT", ns.stock_facts(fresh, self.read("stock_symbol_DIM"), ("item",)), of_item),
+                ("news_DIM", ns.news_rows(fresh, self.read("source_DIM"), names), whole)):
+            held = sink.read_table(self.spark, self.path(table), table, extra)
+            held = held.join(F.broadcast(items.select(F.col("_day").alias("insert_date")).distinct()), "insert_date", "left_semi")
+            state = items.select(F.col("_day").alias("insert_date"), "item", "number", "_fresh", F.col("want").alias("_want"),
+                                 F.col("first_seen").alias("_first_seen"))
+            kept = held.join(state, ["insert_date", "item"], "left").where("_fresh is null or not _fresh")
+            kept = kept.withColumn("in_date_id", F.coalesce("number", "in_date_id"))
+            if extra is whole:
+                kept = kept.withColumn("want", F.coalesce("_want", "want")).withColumn("first_seen", F.coalesce("_first_seen", "first_seen"))
+            out = sink.conform(rows, table, extra).unionByName(_materialized(sink.conform(kept, table, extra)))
+            sink.write_table(out, self.path(table), table, mode="overwrite", extra=extra)
 
     def _load_sources(self, news: DataFrame) -> None:
         """New sources are appended. A known source whose smallest domain is only now
@@ -271,6 +346,27 @@ class Warehouse:
             self.replace_table("source_DIM", merged.agg(F.min("source_domain").alias("source_domain")))
 
 
+LOADED_DAYS = "_loaded_days"
+
+
+def _keyed(news: DataFrame) -> DataFrame:
+    """News rows with their day, what they are (``item``), the number they came under (``want``) and a digest of
+    the whole row (``tie``)."""
+    payload = [c for c in news.columns if c not in ("object", "file", "modified", "in_date_id", schemas.CORRUPT)]
+    return (news.withColumn("_day", ns.insert_date()).withColumn("item", ns.item_key())
+            .withColumn("want", F.col("in_date_id").cast("long"))
+            .withColumn("tie", F.sha2(F.to_json(F.struct(*payload)), 256)))
+
+
+def _object_counts(landed: DataFrame, rejected: DataFrame, loaded: DataFrame) -> DataFrame:
+    """Rows of each file: landed, loaded, quarantined, and the rest."""
+    parts = [df.select("file", *[F.lit(int(i == j)).cast("long").alias(n) for j, n in enumerate(("rows_in", "loaded", "quarantined"))])
+             for i, df in enumerate((landed, loaded, rejected))]
+    sums = parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("file").agg(
+        *[F.sum(n).alias(n) for n in ("rows_in", "loaded", "quarantined")])
+    return sums.withColumn("equal", F.col("rows_in") - F.col("loaded") - F.col("quarantined"))
+
+
 def _materialized(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder (the plan
     reads the table it is about to replace)."""

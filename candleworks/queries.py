@@ -582,7 +582,7 @@ def _nested_summary(df):
 def news_json_roundtrip(spark, sf_dir):
     """News rows -> JSON text -> typed columns with the declared schema."""
     n = fx.news(spark, sf_dir)
-    fields = [f.name for f in schemas.NEWS_RAW.fields]
+    fields = [f.name for f in schemas.NEWS_RAW.fields if f.name != schemas.CORRUPT]
     text = n.select(F.to_json(F.struct(*fields)).alias("value"))
     back = text.select(F.from_json("value", schemas.NEWS_RAW).alias("j")).select("j.*")
     return _nested_summary(back)

@@ -20,10 +20,13 @@ def _schema(*fields: tuple[str, T.DataType]) -> T.StructType:
 
 # ---- raw landing shapes ---------------------------------------------------------
 
+#: Where a permissive read keeps the text of a line that it can't parse.
+CORRUPT = "_corrupt_record"
+
 # One grouped daily bar per ticker, NDJSON, object ``OHCL_<yyyy-MM-dd>.json``.
 CANDLE_RAW = _schema(
     ("ticker", S), ("o", F64), ("c", F64), ("h", F64), ("l", F64), ("v", F64),
-    ("vwap", F64), ("time", S), ("trans", T.LongType()),
+    ("vwap", F64), ("time", S), ("trans", T.LongType()), (CORRUPT, S),
 )
 
 # One news item per line, object ``news_<yyyy-MM-dd>.json``. Scores inside the
@@ -33,7 +36,7 @@ TICKER_SENTIMENT = _schema(("ticker", S), ("ticker_sentiment_score", S))
 NEWS_RAW = _schema(
     ("in_date_id", T.LongType()), ("title", S), ("url", S), ("time_published", S),
     ("source", S), ("source_domain", S), ("overall_sentiment_score", F64),
-    ("topics", T.ArrayType(TOPIC)), ("ticker_sentiment", T.ArrayType(TICKER_SENTIMENT)),
+    ("topics", T.ArrayType(TOPIC)), ("ticker_sentiment", T.ArrayType(TICKER_SENTIMENT)), (CORRUPT, S),
 )
 
 # Exchange screener CSV (header row). ``IPO Year`` is never used, so never read.
@@ -62,10 +65,11 @@ TABLES: dict[str, dict] = {
         ("time_publish_id", D), ("source_id", S), ("overall_sentiment_score", F64)),
         sort=["insert_date", "in_date_id"], partition="insert_date"),
     "date_DIM": dict(schema=_schema(("date_id", S), ("date", D)), sort=["date_id"]),
-    # trade_date is derived once at ingest from t and is the partition column.
+    # trade_date is derived once at ingest from t and is the partition column; filled marks
+    # rows that carry an earlier close forward.
     "candles_FACT": dict(schema=_schema(
         ("stock_symbol", S), ("o", F32), ("h", F32), ("c", F32), ("l", F32), ("v", U32),
-        ("Trans", U32), ("t", S), ("vwap", F32), ("trade_date", D)),
+        ("Trans", U32), ("t", S), ("vwap", F32), ("filled", T.BooleanType()), ("trade_date", D)),
         sort=["t", "stock_symbol"], partition="trade_date"),
     "new_sentiment_stock_FACT": dict(schema=_schema(
         ("insert_date", D), ("in_date_id", U32), ("stock_symbol", S), ("sentiment_score", F32)),
@@ -87,5 +91,14 @@ TABLES: dict[str, dict] = {
 }
 
 
+# ---- kept beside the contract (same folder, not part of the 16 tables) ----------------
+
+# What a stored news item is and which version of it is stored, in the files of news_DIM;
+# readers of the contract's columns don't see them. The facts carry ``item``.
+NEWS_ITEM = _schema(("item", S), ("want", U32), ("first_seen", T.LongType()), ("modified", T.LongType()), ("tie", S))
+# Rows of candles_FACT per trading day, and of all days up to it.
+LOADED_DAYS = _schema(("trade_date", D), ("rows", T.LongType()), ("upto", T.LongType()))
+
+
 def schema_of(table: str) -> T.StructType:
     return TABLES[table]["schema"]

@@ -16,21 +16,29 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from candleworks import schemas
 from candleworks import session as _session
 
 
-def conform(df: DataFrame, table: str) -> DataFrame:
-    """Project ``df`` onto the contract of ``table``: by name, contract types."""
-    schema = schemas.schema_of(table)
-    missing = [f.name for f in schema.fields if f.name not in df.columns]
+def typed(df: DataFrame, schema: StructType) -> DataFrame:
+    """Project ``df`` onto ``schema``, by name."""
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def conform(df: DataFrame, table: str, extra: Sequence[StructField] = ()) -> DataFrame:
+    """Project ``df`` onto the contract of ``table`` (and ``extra`` columns that its files hold
+    beside it): by name, contract types."""
+    fields = [*schemas.schema_of(table).fields, *extra]
+    missing = [f.name for f in fields if f.name not in df.columns]
     if missing:
         raise ValueError(f"{table}: missing columns {missing}")
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
 
 
 def clustered(df: DataFrame, partition_by: str | None, sort_by: list[str] | None,
@@ -45,12 +53,12 @@ def clustered(df: DataFrame, partition_by: str | None, sort_by: list[str] | None
 
 def write_table(df: DataFrame, path: str, table: str | None = None, mode: str = "append",
                 partition_by: str | None = None, sort_by: list[str] | None = None,
-                range_partitions: int | None = None) -> None:
+                range_partitions: int | None = None, extra: Sequence[StructField] = ()) -> None:
     """Append (``mode='append'``) or replace the written partitions (``'overwrite'``,
     dynamic partition overwrite) of the table at ``path``."""
     if table:
         meta = schemas.TABLES[table]
-        df = conform(df, table)
+        df = conform(df, table, extra)
         partition_by = partition_by or meta.get("partition")
         sort_by = sort_by or meta.get("sort")
     out = clustered(df, partition_by, sort_by, range_partitions).write.mode(mode)
@@ -88,6 +96,7 @@ def create_if_missing(spark: SparkSession, path: str, table: str) -> bool:
     return True
 
 
-def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """Read a table with its contract schema (no inference, empty tables too)."""
-    return spark.read.schema(schemas.schema_of(table)).parquet(path)
+def read_table(spark: SparkSession, path: str, table: str, extra: Sequence[StructField] = ()) -> DataFrame:
+    """Read a table with its contract schema (no inference, empty tables too); ``extra``
+    columns are null in files that don't hold them."""
+    return spark.read.schema(StructType([*schemas.schema_of(table).fields, *extra])).parquet(path)

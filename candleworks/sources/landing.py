@@ -13,10 +13,15 @@ from candleworks.sources.screener import object_name
 def read_ndjson(spark: SparkSession, path: str | list[str], schema) -> DataFrame:
     """Declared schema, permissive: a malformed line becomes a row with nulls (and its
     text in ``_corrupt_record`` when that column is part of the schema), never a
-    failed load. Adds the landing object name and its date."""
-    df = (spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
-          .withColumn("object", object_name()))
-    return df.withColumn("file_date", times.object_date("object"))
+    failed load."""
+    return with_object(spark.read.schema(schema).option("mode", "PERMISSIVE").json(path))
+
+
+def with_object(lines: DataFrame) -> DataFrame:
+    """Adds what a line's landing object is called, its date, path and modification time (microseconds)."""
+    return (lines.withColumn("object", object_name()).withColumn("file_date", times.object_date("object"))
+            .withColumn("file", F.col("_metadata.file_path"))
+            .withColumn("modified", F.unix_micros(F.col("_metadata.file_modification_time"))))
 
 
 def read_candles(spark: SparkSession, path: str | list[str]) -> DataFrame:

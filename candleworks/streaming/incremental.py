@@ -9,9 +9,9 @@ long-running deployment uses a processing-time trigger instead.
 
 State between batches is the warehouse itself: the candle fact's newest day
 before a batch holds one row per known symbol (the carry-forward seed). Prices are
-read with partition filters; finding that day still touches the date of every
-stored row. The facts and news items don't depend on how many files a batch holds; of news
-items that came under one number of a day, which one is renumbered may.
+read with partition filters, and days are looked up in the loaded days. The tables don't depend on
+how many files a batch holds: of several versions of a news item the one of the object modified last
+stays (of one time, the one of the greatest digest), and numbers in a day follow from the day's items.
 """
 
 from __future__ import annotations
@@ -21,9 +21,8 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 
 from candleworks import schemas
-from candleworks.functions import times
 from candleworks.plans.warehouse import Warehouse
-from candleworks.sources.screener import object_name
+from candleworks.sources.landing import with_object
 
 
 def _stream(spark: SparkSession, landing_dir: str, schema, max_files: int) -> DataFrame:
@@ -31,8 +30,7 @@ def _stream(spark: SparkSession, landing_dir: str, schema, max_files: int) -> Da
            .option("maxFilesPerTrigger", max_files)
            .option("mode", "PERMISSIVE")
            .json(landing_dir))
-    obj = object_name()
-    return raw.withColumn("object", obj).withColumn("file_date", times.object_date(obj))
+    return with_object(raw)
 
 
 def _batch_name(checkpoint: str, epoch_id: int) -> str:

@@ -482,13 +482,122 @@ def test_a4_newest_object_tie_goes_to_first_listed(spark):
     assert got["OHCL_2024-01-03.json"] == (1, "2024-01-03")
 
 
-def test_carry_forward_collapses_copies_and_keeps_them(spark):
-    rows = [("A", D(2024, 1, 1), 1)] * 50 + [("A", D(2024, 1, 2), 2), ("B", D(2024, 1, 2), 3)]
+def test_carry_forward_of_a_hot_symbol_day_keeps_every_bar(spark):
+    """Copies and distinct bars of one symbol and day pass as they are; what is carried is
+    one row per symbol and day, so that is all a window sees."""
+    rows = [("A", D(2024, 1, 1), 1)] * 50 + [("A", D(2024, 1, 1), 2 + i / 1000) for i in range(500)] + [("B", D(2024, 1, 3), 3)]
     b = bars(spark, rows)
     dim = spark.createDataFrame([("A",), ("B",)], "stock_symbol string")
-    plain = sorted(tuple(r) for r in cd.carry_forward(b, dim).collect())
-    collapsed = sorted(tuple(r) for r in cd.carry_forward(b, dim, max_copies=5).collect())
-    assert plain == collapsed and len(collapsed) == 52
+    got = cd.carry_forward(b, dim).collect()
+    assert len([r for r in got if not r.filled]) == 551
+    assert [(r.stock_symbol, str(r.trade_date), r.c, r.v, r.Trans) for r in got if r.filled] == [("A", "2024-01-03", 2.499, 0, 0)]
+    assert cd.last_of_day(b).count() == 2
+    plan = cd.carry_forward(b, dim)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window") >= 1 and "partial_max" in plan
+
+
+def test_a_flat_bar_without_volume_is_no_fill(spark):
+    """A traded bar of one price, no volume and no trades survives the recompute after a late day."""
+    wh = Warehouse(spark, S.scratch_path(spark, "t-flat", unique=True))
+    _symbols(spark, wh, ["A"])
+    flat = _landing(spark, [("A", "2024-01-03", 7.0, _ms("2024-01-03"))]).withColumn("v", F.lit(0.0)).withColumn("trans", F.lit(0).cast("long"))
+    for c in ("o", "h", "l", "c", "vwap"):
+        flat = flat.withColumn(c, F.lit(7.0))
+    wh.load_candles(_landing(spark, [("A", "2024-01-01", 1.0, _ms("2024-01-01"))]))
+    wh.load_candles(flat)
+    wh.load_candles(_landing(spark, [("A", "2024-01-02", 2.0, _ms("2024-01-02"))]))
+    got = {str(r.trade_date): (r.c, r.filled) for r in wh.read("candles_FACT").collect()}
+    assert got == {"2024-01-01": (1.0, False), "2024-01-02": (2.0, False), "2024-01-03": (7.0, False)}
+    assert [(str(r.trade_date), r.rows, r.upto) for r in wh.days().orderBy("trade_date").collect()] == [
+        ("2024-01-01", 1, 1), ("2024-01-02", 1, 2), ("2024-01-03", 1, 3)]
+
+
+@pytest.mark.parametrize("n_days", [30, 300])
+def test_indicator_reads_as_many_files_whatever_the_history(spark, n_days):
+    wh = Warehouse(spark, S.scratch_path(spark, "t-days", unique=True))
+    wh.init_schema()
+    first = D(2023, 1, 1)
+    b = bars(spark, [(s, first + dt.timedelta(days=i), i + 1) for i in range(n_days) for s in "AB"])
+    rows = b.withColumnRenamed("trans", "Trans").withColumn("filled", F.lit(False)).repartition(4, "trade_date")
+    wh.replace_partitions("candles_FACT", rows)
+    plain = sorted(map(tuple, indicators.ohcl_indicator(wh.read("candles_FACT")).collect()))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = indicators.ohcl_indicator(wh.read("candles_FACT"), days=wh.days())
+        assert sorted(map(tuple, df.collect())) == plain
+        scans = _scans(df._jdf.queryExecution().executedPlan())
+        files = {c.metrics().apply("numFiles").value() for c in scans if "stock_symbol" in c.toString()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert files and max(files) <= 3  # days of a side: the latest, the one before, the first rows' three
+
+
+def _scans(plan):
+    leaves = plan.collectLeaves()
+    return [leaves.apply(i) for i in range(leaves.size()) if "numFiles" in leaves.apply(i).metrics().keySet().mkString(" ")]
+
+
+NEWS_KIND = ("file_date date, in_date_id long, title string, url string, time_published string, "
+             "source string, source_domain string, overall_sentiment_score double, "
+             "topics array<struct<topic:string,relevance_score:string>>, "
+             "ticker_sentiment array<struct<ticker:string,ticker_sentiment_score:string>>")
+NEWS_TABLES = ("source_DIM", "topic_DIM", "news_DIM", "new_sentiment_industry_FACT", "new_sentiment_stock_FACT")
+
+
+def _news_tables(wh):
+    return {t: sorted(map(str, wh.read(t).collect())) for t in NEWS_TABLES}
+
+
+def _land_news_files(spark, files, base):
+    from candleworks.sinks import landing as landing_sink
+
+    for i, rows in enumerate(files):
+        landing_sink.write_daily_json(spark.createDataFrame(rows, NEWS_KIND).coalesce(1), base, "news", "file_date", mode="append")
+    jvm = spark.sparkContext._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    it = fs.listFiles(jvm.org.apache.hadoop.fs.Path(base), True)
+    found = []
+    while it.hasNext():
+        st = it.next()
+        if st.getPath().getName().endswith(".json"):
+            found.append((st.getModificationTime(), st.getPath().toString()))
+    for i, (_, path) in enumerate(sorted(found)):  # a second apart, in the order they came
+        S.set_mtime(spark, path, 1_700_000_000_000 + 1000 * i)
+
+
+def test_news_tables_do_not_depend_on_batches(spark):
+    """Items without url and title, versions of one item, items under one number, items of one
+    title at different times, re-delivery: all five tables are equal for any batch size."""
+    from candleworks.streaming import incremental
+
+    day = D(2024, 1, 1)
+
+    def item(n, name, score, time="20240101T100000", topic="T", source="Wire", file_date=day):
+        known = name is not None
+        return (file_date, n, f"t{name}" if known else None, f"u{name}" if known else None, time if known else None, source, "a.com", score,
+                [(topic, str(score))], [("A", str(score))])
+
+    files = [[item(0, None, 0.01), item(1, None, 0.02), item(2, None, 0.03), item(3, 1, 0.1)],
+             [item(3, 2, 0.2), item(4, 1, 0.9, topic="New")],                       # a newer version of 1, and 2 under 1's number
+             [item(0, 3, 0.3, source="Other"), item(5, 1, 0.5, time="20240101T110000")],  # 3 under a nameless item's number, 1's title at another time
+             [item(0, None, 0.01), item(3, 2, 0.2)],                                    # re-delivery
+             [item(0, 4, 0.4, file_date=D(2024, 1, 2))]]
+    base = S.scratch_path(spark, "t-news-batches", unique=True)
+    _land_news_files(spark, files, base)
+    got = []
+    for size in (1, 2, 64):
+        wh = Warehouse(spark, S.scratch_path(spark, f"t-news-batches-{size}", unique=True))
+        _symbols(spark, wh, ["A"])
+        incremental.ingest_news(spark, wh, base, S.scratch_path(spark, "t-news-batches-ckpt", unique=True), max_files=size)
+        got.append(_news_tables(wh))
+    assert got[0] == got[1] == got[2]
+    rows = {(str(r.insert_date), r.in_date_id): (r.title, r.overall_sentiment_score) for r in wh.read("news_DIM").collect()}
+    assert wh.read("news_DIM").count() == len(rows) == 8
+    scores = sorted(s for _, s in rows.values())
+    assert scores == [0.01, 0.02, 0.03, 0.2, 0.3, 0.4, 0.5, 0.9]
+    assert rows["2024-01-03", 0] == (None, 0.01) and rows["2024-01-03", 3] == ("t1", 0.9) and rows["2024-01-04", 0] == ("t4", 0.4)
+    facts = {(str(r.insert_date), r.in_date_id): round(r.sentiment_score, 3) for r in wh.read("new_sentiment_stock_FACT").collect()}
+    assert facts == {k: s for k, (_, s) in rows.items()}
 
 
 def test_copies_in_landing_are_one_fact(spark):
