@@ -210,6 +210,18 @@ def _build_candles(spark: SparkSession, sf_dir: str, key) -> str:
     return path
 
 
+def stored_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored fact's days with running row counts, as the load keeps them."""
+    from candleworks import schemas
+    from candleworks.operators import indicators
+    from candleworks.sinks import tables as sink_tables
+
+    bars_ = stored_candles(spark, sf_dir)
+    path = _once(spark, sf_dir, "loaded-days", lambda p: sink_tables.typed(
+        indicators.running_days(indicators.day_counts(bars_)), schemas.LOADED_DAYS).coalesce(1).write.parquet(p))
+    return spark.read.schema(schemas.LOADED_DAYS).parquet(path)
+
+
 def _slug(s: str) -> str:
     return hashlib.sha256(s.encode()).hexdigest()
 
@@ -273,3 +285,36 @@ def news_landing(spark: SparkSession, sf_dir: str) -> str:
     rows = news(spark, sf_dir).drop("o_orderkey")
     return _once(spark, sf_dir, "news",
                  lambda p: landing.write_daily_json(rows, p, "news", "file_date"))
+
+
+# ---- landing drops with lines that can't be loaded ---------------------------------------
+
+def candle_lines(spark: SparkSession, sf_dir: str, base: str) -> str:
+    """The candle objects as text, with every line of three trades cut short (as by a broken upload)."""
+    rows = bars.to_landing_rows(candles(spark, sf_dir))
+    cut = F.col("trans") == 3
+    return _lines(rows.withColumn("object", _object("OHCL", "trade_date")), [c for c in rows.columns if c != "trade_date"], cut, CUT_AT, base)
+
+
+def news_lines(spark: SparkSession, sf_dir: str, base: str) -> str:
+    """The news objects as text: lines of every eleventh order are cut short, those of the next one have no number."""
+    rows = news(spark, sf_dir).withColumn("object", _object("news", "file_date"))
+    rows = rows.withColumn("in_date_id", F.when(F.col("o_orderkey") % 11 != 1, F.col("in_date_id")))
+    fields = ["title", *[c for c in rows.columns if c not in ("title", "file_date", "o_orderkey", "object")]]
+    return _lines(rows, fields, F.col("o_orderkey") % 11 == 0, CUT_AT, base)
+
+
+#: Characters that are left of a line cut short.
+CUT_AT = 15
+
+
+def _object(prefix: str, day: str):
+    from candleworks.functions import times
+    return times.object_name(prefix, day)
+
+
+def _lines(rows: DataFrame, fields: list[str], cut, at: int, base: str) -> str:
+    text = F.to_json(F.struct(*fields))
+    (rows.select(F.when(cut, F.left(text, F.lit(at))).otherwise(text).alias("value"), "object")
+     .repartition(rows.sparkSession.sparkContext.defaultParallelism, "object").write.partitionBy("object").option("compression", "none").text(base))
+    return base

@@ -7,6 +7,8 @@ into null, and the row goes to quarantine instead of failing the load.
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -68,3 +70,8 @@ def object_date(name: Column | str) -> Column:
 def object_name(prefix: str, date: Column | str) -> Column:
     """Landing object name for a day: ``<prefix>_<yyyy-MM-dd>.json``."""
     return F.concat(F.lit(prefix + "_"), iso_text(date), F.lit(".json"))
+
+
+def date_of_day_number(days: int) -> datetime.date:
+    """The date that is ``days`` days after 1970-01-01."""
+    return datetime.date(1970, 1, 1) + datetime.timedelta(days=int(days))

@@ -80,9 +80,14 @@ def day_counts(candles: DataFrame) -> DataFrame:
     return candles.groupBy(DATE).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def first_rows_dates(candles: DataFrame, k: int) -> DataFrame:
+def first_rows_dates(candles: DataFrame, k: int, days: DataFrame | None = None) -> DataFrame:
     """Dates of the ``k`` earliest rows (rows, not distinct dates: ``ORDER BY date
-    LIMIT k``). A top-k: each task keeps k rows, the driver merges k x tasks."""
+    LIMIT k``). From ``days`` each day gives its date as often as it has rows among them; else a
+    top-k: each task keeps k rows, the driver merges k x tasks."""
+    if days is not None:
+        before = F.col("upto") - F.col("rows")
+        copies = F.sequence(F.lit(1).cast("bigint"), F.least("rows", F.lit(k) - before))
+        return days.where((before < k) & (F.col("rows") > 0)).select(F.col(DATE).alias("row_date"), F.explode(copies)).select("row_date")
     return candles.select(F.col(DATE).alias("row_date")).orderBy("row_date").limit(k)
 
 

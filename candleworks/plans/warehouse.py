@@ -211,6 +211,7 @@ class Warehouse:
                                 volume: int = 5) -> None:
         """Fill shot_MA, long_MA and avg_volume for the trading days from ``since``
         (default: all). Each needs the previous ``n - 1`` trading days of history,
+        (the load keeps a row for every known symbol and day from its first trade on),
         so the fact is read from the earliest such day on (a partition filter on a date from the
         loaded days: what is read doesn't grow with the history), and
         only days >= ``since`` are written (their partitions replaced). One shuffle by symbol serves

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from candleworks import fixtures as fx
@@ -64,6 +64,11 @@ def _candles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.stored_candles(spark, sf_dir)
 
 
+def _days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loaded days of that fact, with running row counts."""
+    return fx.stored_days(spark, sf_dir)
+
+
 # =============================== candles: bars and indicators ===============================
 
 @query("grouped_daily_bars", f"""WITH {CANDLES_SQL}
@@ -81,7 +86,7 @@ def grouped_daily_bars(spark, sf_dir):
 SELECT CAST(max(trade_date) AS VARCHAR) AS max_date FROM candles""")
 def latest_trade_date(spark, sf_dir):
     """Max trade date."""
-    return indicators.latest_trade_date(_candles(spark, sf_dir)).select(
+    return indicators.latest_trade_date(_days(spark, sf_dir)).select(
         d2s("max_date").alias("max_date"))
 
 
@@ -90,7 +95,7 @@ SELECT CAST(max(trade_date) AS VARCHAR) AS max_date_2 FROM candles
 WHERE trade_date <> (SELECT max(trade_date) FROM candles)""")
 def previous_trade_date(spark, sf_dir):
     """Second-largest distinct date via a scalar-subquery filter."""
-    return indicators.previous_trade_date(_candles(spark, sf_dir)).select(
+    return indicators.previous_trade_date(_days(spark, sf_dir)).select(
         d2s("max_date_2").alias("max_date_2"))
 
 
@@ -110,7 +115,7 @@ delta AS (SELECT stock_symbol, max(trade_date) AS date, sum(CASE age WHEN 1 THEN
 SELECT CAST(date AS VARCHAR) AS date, round(delta, 6) AS delta, stock_symbol FROM delta""")
 def close_delta(spark, sf_dir):
     """Latest minus previous-date close (inner self-join)."""
-    return indicators.close_delta(_candles(spark, sf_dir)).select(
+    return indicators.close_delta(_candles(spark, sf_dir), _days(spark, sf_dir)).select(
         d2s("date").alias("date"), r6("delta").alias("delta"), "stock_symbol")
 
 
@@ -122,9 +127,9 @@ SELECT 5 AS k, CAST(row_date AS VARCHAR) AS row_date
 FROM (SELECT trade_date AS row_date FROM candles ORDER BY trade_date LIMIT 5)""")
 def first_rows_dates(spark, sf_dir):
     """G1: dates of the 3 and the 5 earliest rows (duplicates kept)."""
-    c = _candles(spark, sf_dir)
-    return indicators.first_rows_dates(c, 3).select(F.lit(3).alias("k"), d2s("row_date").alias("row_date")) \
-        .unionByName(indicators.first_rows_dates(c, 5).select(F.lit(5).alias("k"),
+    c, days = _candles(spark, sf_dir), _days(spark, sf_dir)
+    return indicators.first_rows_dates(c, 3, days).select(F.lit(3).alias("k"), d2s("row_date").alias("row_date")) \
+        .unionByName(indicators.first_rows_dates(c, 5, days).select(F.lit(5).alias("k"),
                                                               d2s("row_date").alias("row_date")))
 
 
@@ -138,14 +143,14 @@ WHERE trade_date IN (SELECT trade_date FROM first_rows) GROUP BY stock_symbol"""
 @query("avg_close_first_3_rows", _avg_first_sql(3))
 def avg_close_first_3_rows(spark, sf_dir):
     """Average close over the dates of the 3 earliest rows."""
-    return indicators.avg_close_first_rows(_candles(spark, sf_dir), 3).select(
+    return indicators.avg_close_first_rows(_candles(spark, sf_dir), 3, _days(spark, sf_dir)).select(
         "stock_symbol", r6("avg_close").alias("avg_close"))
 
 
 @query("avg_close_first_5_rows", _avg_first_sql(5))
 def avg_close_first_5_rows(spark, sf_dir):
     """Average close over the dates of the 5 earliest rows."""
-    return indicators.avg_close_first_rows(_candles(spark, sf_dir), 5).select(
+    return indicators.avg_close_first_rows(_candles(spark, sf_dir), 5, _days(spark, sf_dir)).select(
         "stock_symbol", r6("avg_close").alias("avg_close"))
 
 
@@ -162,8 +167,8 @@ FROM delta JOIN short_avg ON delta.stock_symbol = short_avg.stock_symbol
            JOIN long_avg ON delta.stock_symbol = long_avg.stock_symbol"""
 
 
-def ohcl_indicator_df(candles: DataFrame) -> DataFrame:
-    return indicators.ohcl_indicator(candles).select(
+def ohcl_indicator_df(candles: DataFrame, days: DataFrame) -> DataFrame:
+    return indicators.ohcl_indicator(candles, days=days).select(
         "stock_symbol", "date", r6("delta").alias("delta"),
         r6("sliding_avg_3").alias("sliding_avg_3"), r6("sliding_avg_5").alias("sliding_avg_5"))
 
@@ -171,7 +176,7 @@ def ohcl_indicator_df(candles: DataFrame) -> DataFrame:
 @query("ohcl_indicator", OHCL_INDICATOR_SQL)
 def ohcl_indicator(spark, sf_dir):
     """M5 D4 I6 T1 T2 (flagship): the indicator table exactly as the reference computes it."""
-    return ohcl_indicator_df(_candles(spark, sf_dir))
+    return ohcl_indicator_df(_candles(spark, sf_dir), _days(spark, sf_dir))
 
 
 @query("avg_close_last_n_days", f"""WITH {CANDLES_SQL},
@@ -313,6 +318,29 @@ _FACT_OUT_SQL = """stock_symbol, o, h, c, l, CAST(v AS BIGINT) AS v, CAST(Trans
        round(vwap, 6) AS vwap, CAST(trade_date AS VARCHAR) AS trade_date"""
 
 
+_FACT_OUT_REAL_SQL = """stock_symbol, round(CAST(CAST(o AS REAL) AS DOUBLE), 6) AS o, round(CAST(CAST(h AS REAL) AS DOUBLE), 6) AS h,
+       round(CAST(CAST(c AS REAL) AS DOUBLE), 6) AS c, round(CAST(CAST(l AS REAL) AS DOUBLE), 6) AS l,
+       CAST(v AS BIGINT) AS v, CAST(Trans AS BIGINT) AS Trans, t,
+       round(CAST(CAST(vwap AS REAL) AS DOUBLE), 6) AS vwap, CAST(trade_date AS VARCHAR) AS trade_date"""
+
+
+def _fact_out_real(fact: DataFrame) -> DataFrame:
+    """The stored fact, whose prices are single precision."""
+    return fact.select("stock_symbol", *[r6(c).alias(c) for c in ("o", "h", "c", "l")],
+                       F.col("v").cast("long").alias("v"), F.col("Trans").cast("long").alias("Trans"), "t",
+                       r6("vwap").alias("vwap"), d2s("trade_date").alias("trade_date"))
+
+
+def _warehouse(spark: SparkSession, sf_dir: str, name: str) -> Warehouse:
+    """A warehouse of its own with the schema, dimensions and symbols loaded."""
+    wh = Warehouse(spark, _session.scratch_path(spark, name, unique=True))
+    wh.init_schema()
+    scr = fx.screener(spark, sf_dir)
+    wh.load_dimensions(scr)
+    wh.load_stock_symbols(scr)
+    return wh
+
+
 @query("carry_forward_last_day", f"""WITH {CANDLES_SQL}, {SCREENER_SQL}, {_DIM_SYMBOLS_SQL}, {_DAY_SQL},
 nd AS (SELECT max(trade_date) AS d FROM candles WHERE trade_date < (SELECT d FROM dd)),
 nearest AS (SELECT * FROM candles WHERE trade_date = (SELECT d FROM nd)),
@@ -363,15 +391,16 @@ rows AS (
   UNION ALL
   SELECT lb.stock_symbol, lb.c, lb.c, lb.c, lb.c, 0, 0, (SELECT min(t) FROM today), lb.vwap, (SELECT d FROM dd)
   FROM last_before lb WHERE lb.stock_symbol NOT IN (SELECT stock_symbol FROM today))
-SELECT {_FACT_OUT_SQL} FROM rows""")
+SELECT {_FACT_OUT_REAL_SQL} FROM rows""")
 def load_candles(spark, sf_dir):
-    """M4: load the newest day on top of the fact the earlier days' loads left
-    (which carries every known symbol forward, so the fill is the last close)."""
-    bars_ = _candles(spark, sf_dir)
-    dim = fx.symbol_dim(spark, sf_dir)
-    d = indicators._max_date(bars_)
-    history = cd.carry_forward(bars_.where(F.col("trade_date") < d), dim)
-    return _fact_out(cd.load_latest_day(bars_, dim, history))
+    """M4: the job itself - the landed objects of the earlier days are loaded, then the newest
+    day's on top (the fill is the last close); the newest day as it is stored."""
+    wh = _warehouse(spark, sf_dir, "load-candles")
+    landed = landing_src.read_candles(spark, fx.candle_landing(spark, sf_dir))
+    newest = landed.agg(F.max("file_date")).first()[0]
+    wh.load_candles(landed.where(F.col("file_date") < F.lit(newest)))
+    wh.load_candles(landed.where(F.col("file_date") == F.lit(newest)))
+    return _fact_out_real(wh.read("candles_FACT").where(F.col("trade_date") == F.lit(newest)))
 
 
 @query("unknown_tickers", f"""WITH {CANDLES_SQL}, {SCREENER_SQL}, {_DIM_SYMBOLS_SQL}
@@ -660,28 +689,35 @@ WHERE i.ticker IN (SELECT Symbol FROM screener)"""
 
 @query("load_news", _LOAD_NEWS_SQL)
 def load_news(spark, sf_dir):
-    """M6: every landed day at once - new sources, new topics, news items, topic
+    """M6: the job itself, every landed day at once - new sources, new topics, news items, topic
     facts and stock facts, tagged by output table and unioned."""
-    n = fx.news(spark, sf_dir)
-    src_cur = ns.sources(n).where(F.col("source_name") < fx.CURRENT_SOURCES_BELOW)
-    top_cur = ns.topics(n).where(F.col("topic_name") < fx.CURRENT_TOPICS_BELOW)
-    new_src, new_top = ns.new_sources(n, src_cur), ns.new_topics(n, top_cur)
-    src_dim, top_dim = src_cur.unionByName(new_src), top_cur.unionByName(new_top)
-
+    n = fx.news(spark, sf_dir).drop("o_orderkey")
+    wh = _warehouse(spark, sf_dir, "load-news")
+    known_sources = ns.sources(n).where(F.col("source_name") < fx.CURRENT_SOURCES_BELOW).checkpoint()
+    known_topics = ns.topics(n).where(F.col("topic_name") < fx.CURRENT_TOPICS_BELOW).checkpoint()
+    wh.append("source_DIM", known_sources)
+    wh.append("topic_DIM", known_topics)
+    wh.load_news(n)
+    return _news_tables(wh, known_sources, known_topics)
+
+
+def _news_tables(wh: Warehouse, known_sources: DataFrame | None = None, known_topics: DataFrame | None = None) -> DataFrame:
+    """The five news tables, tagged by name and unioned, without members that were known before."""
     def tag(df, out, insert_date, in_date_id, key, name, score):
         return df.select(F.lit(out).alias("output"), insert_date.alias("insert_date"),
                          in_date_id.cast("long").alias("in_date_id"), key.alias("key"),
                          name.alias("name"), score.alias("score"))
     none_s, none_l, none_d = F.lit(None).cast("string"), F.lit(None).cast("long"), F.lit(None).cast("double")
+    sources, topics = wh.read("source_DIM"), wh.read("topic_DIM")
+    if known_sources is not None:
+        sources, topics = sources.join(known_sources, "source_id", "left_anti"), topics.join(known_topics, "topic_id", "left_anti")
+    day, number = d2s("insert_date"), F.col("in_date_id")
     parts = [
-        tag(new_src, "source_DIM", none_s, none_l, F.col("source_id"), F.col("source_name"), none_d),
-        tag(new_top, "topic_DIM", none_s, none_l, F.col("topic_id"), F.col("topic_name"), none_d),
-        tag(ns.news_rows(n, src_dim), "news_DIM", d2s("insert_date"), F.col("in_date_id"),
-            F.col("source_id"), F.col("title"), F.col("overall_sentiment_score")),
-        tag(ns.topic_facts(n, top_dim), "new_sentiment_industry_FACT", d2s("insert_date"),
-            F.col("in_date_id"), F.col("topic_id"), none_s, r6("sentiment_score")),
-        tag(ns.stock_facts(n, fx.symbol_dim(spark, sf_dir)), "new_sentiment_stock_FACT",
-            d2s("insert_date"), F.col("in_date_id"), F.col("stock_symbol"), none_s, r6("sentiment_score")),
+        tag(sources, "source_DIM", none_s, none_l, F.col("source_id"), F.col("source_name"), none_d),
+        tag(topics, "topic_DIM", none_s, none_l, F.col("topic_id"), F.col("topic_name"), none_d),
+        tag(wh.read("news_DIM"), "news_DIM", day, number, F.col("source_id"), F.col("title"), F.col("overall_sentiment_score")),
+        tag(wh.read("new_sentiment_industry_FACT"), "new_sentiment_industry_FACT", day, number, F.col("topic_id"), none_s, r6("sentiment_score")),
+        tag(wh.read("new_sentiment_stock_FACT"), "new_sentiment_stock_FACT", day, number, F.col("stock_symbol"), none_s, r6("sentiment_score")),
     ]
     out = parts[0]
     for p_ in parts[1:]:
@@ -783,18 +819,23 @@ def date_dim(spark, sf_dir):
     return dm.calendar(_candles(spark, sf_dir)).select("date_id", d2s("date").alias("date"))
 
 
-@query("landing_audit", None)
+@query("landing_audit", f"""WITH {CANDLES_SQL}, {NEWS_SQL},
+o AS (SELECT 'candles' AS bucket, 'OHCL_' AS prefix, trade_date AS d, count(*) AS n FROM candles GROUP BY trade_date
+      UNION ALL SELECT 'news', 'news_', file_date, count(*) FROM news GROUP BY file_date)
+SELECT bucket, prefix || CAST(d AS VARCHAR) || '.json' AS object, CAST(d AS VARCHAR) AS file_date, 1 AS files, TRUE AS has_bytes, n AS rows,
+       d = max(d) OVER (PARTITION BY bucket) AS is_newest FROM o""")
 def landing_audit(spark, sf_dir):
-    """A10 A4 A5 A9 M10 (rows only): per landing object its date, files, bytes and
-    rows, and which object is the newest."""
+    """Per landing object its date, files, whether it has bytes, rows, and which object
+    is the newest (the drops carry the time of their day)."""
     parts = []
     for bucket, path in (("candles", fx.candle_landing(spark, sf_dir)),
                          ("news", fx.news_landing(spark, sf_dir))):
+        incremental.order_landing_by_day(spark, path)
         listing = landing_src.objects(spark, path)
         newest = landing_src.newest_object(listing).select(F.col("object").alias("_newest"))
         parts.append(listing.join(F.broadcast(newest), F.col("object") == F.col("_newest"), "left")
                      .select(F.lit(bucket).alias("bucket"), "object", d2s("file_date").alias("file_date"),
-                             "files", "bytes", "rows", F.col("_newest").isNotNull().alias("is_newest")))
+                             "files", (F.col("bytes") > 0).alias("has_bytes"), "rows", F.col("_newest").isNotNull().alias("is_newest")))
     return parts[0].unionByName(parts[1])
 
 
@@ -806,7 +847,7 @@ def insert_select(spark, sf_dir):
     table as a model (view) and insert-select it into another table; read back."""
     wh = Warehouse(spark, _session.scratch_path(spark, "insert-select", unique=True))
     sink_tables.create_if_missing(spark, wh.path("ohcl_indicator"), "ohcl_indicator")
-    rows = indicators.ohcl_indicator(_candles(spark, sf_dir))
+    rows = indicators.ohcl_indicator(_candles(spark, sf_dir), days=_days(spark, sf_dir))
     for _ in range(2):
         if not rows.isEmpty():
             wh.replace_partitions("ohcl_indicator", rows)
@@ -845,44 +886,124 @@ def init_schema(spark, sf_dir):
     return wh.catalog()
 
 
-_FACT_OUT_REAL_SQL = """stock_symbol, round(CAST(CAST(o AS REAL) AS DOUBLE), 6) AS o, round(CAST(CAST(h AS REAL) AS DOUBLE), 6) AS h,
-       round(CAST(CAST(c AS REAL) AS DOUBLE), 6) AS c, round(CAST(CAST(l AS REAL) AS DOUBLE), 6) AS l,
-       CAST(v AS BIGINT) AS v, CAST(Trans AS BIGINT) AS Trans, t,
-       round(CAST(CAST(vwap AS REAL) AS DOUBLE), 6) AS vwap, CAST(trade_date AS VARCHAR) AS trade_date"""
-
-
 @query("incremental_candles", CARRY_FORWARD_SQL.replace(f"SELECT {_FACT_OUT_SQL} FROM rows",
                                                         f"SELECT {_FACT_OUT_REAL_SQL} FROM rows"))
 def incremental_candles(spark, sf_dir):
     """K1 K3 K4 M4: stream the daily candle objects (8 days per micro-batch, availableNow)
     into the warehouse; the final fact equals the one-shot carry-forward."""
-    wh = Warehouse(spark, _session.scratch_path(spark, "incremental-candles", unique=True))
-    wh.init_schema()
-    scr = fx.screener(spark, sf_dir)
-    wh.load_dimensions(scr)
-    wh.load_stock_symbols(scr)
+    wh = _warehouse(spark, sf_dir, "incremental-candles")
     landing = fx.candle_landing(spark, sf_dir)
     incremental.order_landing_by_day(spark, landing)
     incremental.ingest_candles(spark, wh, landing, checkpoint=wh.root + "/_checkpoints/candles",
                                quarantine_dir=wh.root + "/_quarantine", max_files=8)
-    f = wh.read("candles_FACT")
-    return f.select("stock_symbol", *[r6(c).alias(c) for c in ("o", "h", "c", "l")],
-                    F.col("v").cast("long").alias("v"), F.col("Trans").cast("long").alias("Trans"), "t",
-                    r6("vwap").alias("vwap"), d2s("trade_date").alias("trade_date"))
+    return _fact_out_real(wh.read("candles_FACT"))
 
 
-@query("incremental_news", NEWS_DIM_SQL)
+@query("incremental_news", _LOAD_NEWS_SQL.replace(f" WHERE source_name >= '{fx.CURRENT_SOURCES_BELOW}'", "")
+       .replace(f"\nFROM src WHERE source_name >= '{fx.CURRENT_SOURCES_BELOW}'", "\nFROM src")
+       .replace(f" WHERE topic >= '{fx.CURRENT_TOPICS_BELOW}'", ""))
 def incremental_news(spark, sf_dir):
-    """K2 M6: stream the daily news objects into the warehouse; the final news_DIM
-    equals the one-shot load."""
-    wh = Warehouse(spark, _session.scratch_path(spark, "incremental-news", unique=True))
-    wh.init_schema()
-    scr = fx.screener(spark, sf_dir)
-    wh.load_dimensions(scr)
-    wh.load_stock_symbols(scr)
+    """K2 M6: stream the daily news objects into the warehouse; the five tables equal
+    the one-shot load."""
+    wh = _warehouse(spark, sf_dir, "incremental-news")
     landing = fx.news_landing(spark, sf_dir)
     incremental.ingest_news(spark, wh, landing, checkpoint=wh.root + "/_checkpoints/news", max_files=1024)
-    return _news_dim_out(wh.read("news_DIM"))
+    return _news_tables(wh)
+
+
+@query("moving_average_tables", CARRY_FORWARD_SQL.replace(f"SELECT {_FACT_OUT_SQL} FROM rows", """, f AS (
+  SELECT stock_symbol, t, trade_date, CAST(CAST(c AS REAL) AS DOUBLE) AS c, CAST(v AS DOUBLE) AS v FROM rows),
+m AS (SELECT stock_symbol, t, trade_date,
+             avg(c) OVER (PARTITION BY stock_symbol ORDER BY trade_date ROWS 2 PRECEDING) AS short_ma,
+             avg(c) OVER (PARTITION BY stock_symbol ORDER BY trade_date ROWS 4 PRECEDING) AS long_ma,
+             avg(v) OVER (PARTITION BY stock_symbol ORDER BY trade_date ROWS 4 PRECEDING) AS volume FROM f)
+SELECT 'shot_MA' AS output, stock_symbol, t, CAST(trade_date AS VARCHAR) AS date, round(short_ma, 6) AS value FROM m
+UNION ALL SELECT 'long_MA', stock_symbol, t, CAST(trade_date AS VARCHAR), round(long_ma, 6) FROM m
+UNION ALL SELECT 'avg_volume', stock_symbol, NULL, CAST(trade_date AS VARCHAR), round(CAST(CAST(volume AS REAL) AS DOUBLE), 6) FROM m"""))
+def moving_average_tables(spark, sf_dir):
+    """The three tables as the job fills them - all days, and then again the days from the
+    middle one on, with the days before them as the windows need."""
+    wh = _warehouse(spark, sf_dir, "moving-averages")
+    wh.load_candles(landing_src.read_candles(spark, fx.candle_landing(spark, sf_dir)))
+    wh.compute_moving_averages()
+    middle = wh.days().agg(F.percentile_approx(F.unix_date("trade_date"), 0.5)).first()[0]
+    wh.compute_moving_averages(since=times.date_of_day_number(middle))
+    none = F.lit(None).cast("string")
+    parts = [wh.read(t).select(F.lit(t).alias("output"), "stock_symbol", stamp.alias("t"), d2s(day).alias("date"), r6(value).alias("value"))
+             for t, stamp, day, value in (("shot_MA", F.col("t"), "trade_date", "ma"), ("long_MA", F.col("t"), "trade_date", "ma"),
+                                          ("avg_volume", none, "date", "sliding_avg"))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("object_ledger", f"""WITH {CANDLES_SQL}, {SCREENER_SQL},
+d AS (SELECT trade_date, count(*) AS n, count(*) FILTER (WHERE stock_symbol IN (SELECT Symbol FROM screener)) AS known FROM candles GROUP BY trade_date)
+SELECT 'OHCL_' || CAST(trade_date AS VARCHAR) || '.json' AS object, 1 AS delivery, n AS rows_in, known AS loaded, n - known AS quarantined, 0 AS equal FROM d
+UNION ALL
+SELECT 'OHCL_' || CAST(trade_date AS VARCHAR) || '.json', 2, n, 0, n - known, known FROM d WHERE trade_date >= DATE '{fx.INCOMING_FROM}'""")
+def object_ledger(spark, sf_dir):
+    """Every landed object is read once; objects delivered again are read again, and found
+    equal; what became of each one's rows. A third run finds nothing to read."""
+    from candleworks.plans import ledger
+    from candleworks.sinks import landing as landing_sink
+
+    wh = _warehouse(spark, sf_dir, "object-ledger")
+    base = wh.root + "/_drop"
+    landed = bars.to_landing_rows(fx.candles(spark, sf_dir))
+    landing_sink.write_daily_json(landed, base, "OHCL", "trade_date")
+    ledger.ingest(wh, "candles", base, wh.root + "/_quarantine")
+    landing_sink.write_daily_json(landed.where(F.col("trade_date") >= F.lit(fx.INCOMING_FROM)), base, "OHCL", "trade_date")
+    ledger.ingest(wh, "candles", base, wh.root + "/_quarantine")
+    if ledger.ingest(wh, "candles", base, wh.root + "/_quarantine"):
+        raise RuntimeError("an unchanged object was read again")
+    per_object = ledger.entries(wh).groupBy("object", "file").agg(F.max("modified").alias("modified"), *[F.sum(c).alias(c) for c in ("rows_in", "loaded", "quarantined", "equal")])
+    turn = F.row_number().over(Window.partitionBy("object").orderBy("modified", "file"))
+    return per_object.select("object", turn.alias("delivery"), "rows_in", "loaded", "quarantined", "equal")
+
+
+@query("quarantine_candles", f"""WITH {CANDLES_SQL}, {SCREENER_SQL}
+SELECT 'OHCL_' || CAST(trade_date AS VARCHAR) || '.json' AS object, 'malformed' AS reason, NULL AS ticker, NULL AS time,
+       left('{{"ticker":"' || stock_symbol || '"', {fx.CUT_AT}) AS raw FROM candles WHERE trans = 3
+UNION ALL
+SELECT 'OHCL_' || CAST(trade_date AS VARCHAR) || '.json', 'unknown_ticker', stock_symbol, t, NULL FROM candles
+WHERE trans <> 3 AND stock_symbol NOT IN (SELECT Symbol FROM screener)""")
+def quarantine_candles(spark, sf_dir):
+    """What the load wrote to quarantine - lines that can't be parsed, as their text, and
+    rows of unknown tickers - read back."""
+    wh = _warehouse(spark, sf_dir, "quarantine-candles")
+    landed = landing_src.read_candles(spark, fx.candle_lines(spark, sf_dir, wh.root + "/_drop"))
+    wh.load_candles(landed, wh.root + "/_quarantine", "drop")
+    back = spark.read.schema("ticker string, time string, reason string, raw string, landed_as string").json(wh.root + "/_quarantine")
+    return back.select(F.col("landed_as").alias("object"), "reason", "ticker", "time", "raw")
+
+
+@query("quarantine_news", f"""WITH {NEWS_SQL}
+SELECT 'news_' || CAST(file_date AS VARCHAR) || '.json' AS object, 'malformed' AS reason, NULL AS title, left('{{"title":"' || title || '"', {fx.CUT_AT}) AS raw
+FROM news WHERE o_orderkey % 11 = 0
+UNION ALL
+SELECT 'news_' || CAST(file_date AS VARCHAR) || '.json', 'no_identity', title, NULL FROM news WHERE o_orderkey % 11 = 1""")
+def quarantine_news(spark, sf_dir):
+    """News lines that can't be parsed (as their text) or have no number, as the load wrote
+    them to quarantine, read back."""
+    wh = _warehouse(spark, sf_dir, "quarantine-news")
+    landed = landing_src.read_news(spark, fx.news_lines(spark, sf_dir, wh.root + "/_drop"))
+    wh.load_news(landed, wh.root + "/_quarantine", "drop")
+    back = spark.read.schema("object string, reason string, title string, raw string").json(wh.root + "/_quarantine")
+    return back.select("object", "reason", "title", "raw")
+
+
+@query("model_table_preview", f"""WITH {CANDLES_SQL},
+m AS (SELECT stock_symbol, count(*) AS n_days, sum(v)::BIGINT AS volume FROM candles GROUP BY stock_symbol)
+SELECT count(*) AS n_rows, least(count(*), 10) AS n_shown, sum(n_days)::BIGINT AS n_days, sum(volume)::BIGINT AS volume, TRUE AS shown_are_rows FROM m""")
+def model_table_preview(spark, sf_dir):
+    """A model written as a table and referred to by name, and the preview of its first ten rows
+    (each of which is a row of the table; a limit implies no order)."""
+    model = _candles(spark, sf_dir).groupBy("stock_symbol").agg(F.count(F.lit(1)).alias("n_days"), F.sum("v").cast("long").alias("volume"))
+    made = models.materialize_table(model, _session.scratch_path(spark, "model-table", unique=True), "symbol_model")
+    shown = models.preview(made).checkpoint()
+    found = shown.join(models.ref(spark, "symbol_model"), ["stock_symbol", "n_days", "volume"], "left_semi")
+    return made.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("n_days").alias("n_days"), F.sum("volume").alias("volume")).crossJoin(
+        shown.agg(F.count(F.lit(1)).alias("n_shown"))).crossJoin(found.agg(F.count(F.lit(1)).alias("n_found"))).select(
+        "n_rows", "n_shown", "n_days", "volume", (F.col("n_found") == F.col("n_shown")).alias("shown_are_rows"))
 
 
 def queries() -> dict[str, QueryFn]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candleworks import schemas
@@ -24,6 +24,13 @@ def with_object(lines: DataFrame) -> DataFrame:
             .withColumn("modified", F.unix_micros(F.col("_metadata.file_modification_time"))))
 
 
+def same_path(a: Column, b: Column) -> Column:
+    """Whether two forms of a file's path (with or without an authority, encoded or not) name one file."""
+    def plain(c: Column) -> Column:
+        return F.regexp_replace(F.url_decode(F.regexp_replace(c, r"\+", "%2B")), "^file:/+", "file:/")
+    return plain(a) == plain(b)
+
+
 def read_candles(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Candle landing rows (ticker, o, c, h, l, v, vwap, time, trans) + object, file_date."""
     return read_ndjson(spark, path, schemas.CANDLE_RAW)
@@ -41,27 +48,21 @@ def read_day(spark: SparkSession, base: str, prefix: str, day: str, schema) -> D
 
 def objects(spark: SparkSession, path: str | list[str], with_rows: bool = True) -> DataFrame:
     """Per landing object: name, date in the name, files, bytes, modification time
-    and (``with_rows``) line count.
-
-    Without row counts only file metadata is read: the ``binaryFile`` source with
-    its content column pruned (the daily step uses this). With row counts, one
-    text scan yields lines and each file's metadata together."""
-    if with_rows:
-        per_file = (spark.read.text(path)
-                    .select(object_name().alias("object"), F.col("_metadata.file_path").alias("file"),
-                            F.col("_metadata.file_size").alias("bytes"),
-                            F.col("_metadata.file_modification_time").alias("modified"))
-                    .groupBy("object", "file")
-                    .agg(F.max("bytes").alias("bytes"), F.max("modified").alias("modified"),
-                         F.count(F.lit(1)).alias("rows")))
-    else:
-        per_file = (spark.read.format("binaryFile").load(path)
-                    .select(object_name("path").alias("object"), F.col("length").alias("bytes"),
-                            F.col("modificationTime").alias("modified")))
+    and (``with_rows``) line count; an object without a line has 0.
+
+    Only file metadata is read: the ``binaryFile`` source with
+    its content column pruned (the daily step uses this). With row counts, a
+    text scan counts the lines of each file beside it."""
+    per_file = (spark.read.format("binaryFile").load(path)
+                .select(object_name("path").alias("object"), F.col("path").alias("file"), F.col("length").alias("bytes"),
+                        F.col("modificationTime").alias("modified")))
     aggs = [F.sum("bytes").alias("bytes"), F.max("modified").alias("modified"),
-            F.count(F.lit(1)).alias("files")] + ([F.sum("rows").alias("rows")] if with_rows else [])
-    return (per_file.groupBy("object").agg(*aggs)
-            .withColumn("file_date", times.object_date("object")))
+            F.count(F.lit(1)).alias("files")]
+    listed = per_file.groupBy("object").agg(*aggs)
+    if with_rows:
+        lines = spark.read.text(path).select(object_name().alias("_object")).groupBy("_object").agg(F.count(F.lit(1)).alias("_rows"))
+        listed = listed.join(lines, F.col("object") == F.col("_object"), "left").withColumn("rows", F.coalesce("_rows", F.lit(0))).drop("_object", "_rows")
+    return listed.withColumn("file_date", times.object_date("object"))
 
 
 def newest_object(listing: DataFrame) -> DataFrame:
