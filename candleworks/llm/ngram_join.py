@@ -19,9 +19,10 @@ differing bits never exceed the symmetric difference), again by a longer bitmap,
 then proven on the whole sets.
 A long list is cut into blocks and its pairs of blocks are dealt to different tasks.
 Rows that are known to be of one component aren't compared. First come neighbour rounds: every
-row of a block asks for its nearest rows (by bitmap) of other components only, in blocks that are dealt
+row goes to one of its lists (the one of smallest hash, another order each round, so rows that share
+most lists meet) and asks there for its nearest rows (by bitmap) of other components, in blocks that are dealt
 anew each round, while a round still joins a good part of what it asked for. That
-is a number of pairs in proportion to the rows, and it joins nearly all of a group of near copies, whether
+is at most two pairs a row, and it joins nearly all of a group of near copies, whether
 or not its members link with one another. Then all pairs between the components that are left follow.
 ``links`` and ``join_links`` leave the neighbour rounds
 out: every pair is compared, so every link between different sets is reported (as a pair of
@@ -63,10 +64,12 @@ BLOCK_ROWS = 256
 SKETCH_WORDS = 8
 BROADCAST_ROWS = 500_000
 SALTS = 32
+#: Pairs of one first row that are kept in mind (past it, some may be asked for twice).
+SEEN_PAIRS = 500_000
 #: Rows that a row of a list asks for in a neighbour round.
 NEIGHBOURS = 2
-#: Neighbour rounds go on while one joins this share of the components in its lists.
-ROUND_JOINS = 0.05
+#: Neighbour rounds go on while one joins this many components for each pair that it asks for.
+ROUND_JOINS = 0.1
 #: Shingles that are counted together before the shuffle.
 COUNTED_TOGETHER = 2_000_000
 
@@ -233,6 +236,21 @@ def _scan_lists(batches: Iterable[pa.RecordBatch], percent: int, near: bool) ->
         found = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
         return pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], names=["a", "b"])
 
+    seen: set[tuple[int, int]] = set()
+    lead: int | None = None
+
+    def once(t: pa.Table) -> pa.RecordBatch:
+        """The pairs of some lists without those that lists of the same first row have just given."""
+        nonlocal seen, lead
+        found = pairs(t)
+        names = list(zip(*(c.to_pylist() for c in found.columns)))
+        fresh = [p not in seen for p in names]
+        last = t.column("lead")[t.num_rows - 1].as_py()
+        seen = seen if last == lead and len(seen) < SEEN_PAIRS else set()
+        lead = last
+        seen.update(names)
+        return found.filter(pa.array(fresh, pa.bool_()))
+
     held: pa.Table | None = None
     for batch in batches:
         if batch.num_rows == 0:
@@ -245,10 +263,10 @@ def _scan_lists(batches: Iterable[pa.RecordBatch], percent: int, near: bool) ->
         tail = np.flatnonzero(~np.all([now.column(c).to_numpy() == e for c, e in zip(LIST, ends)], axis=0))
         cut = int(tail[-1]) + 1 if len(tail) else 0
         if cut:
-            yield pairs(now.slice(0, cut).combine_chunks())
+            yield once(now.slice(0, cut).combine_chunks())
         held = now.slice(cut)
     if held is not None and held.num_rows:
-        yield pairs(held.combine_chunks())
+        yield once(held.combine_chunks())
 
 
 def wide_parity(tokens: np.ndarray) -> bytes:
@@ -289,22 +307,26 @@ def _prove(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
         yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
 
-def _open_lists(rows: DataFrame, known: DataFrame | None) -> tuple[DataFrame, int]:
+def _open_lists(rows: DataFrame, known: DataFrame | None) -> tuple[DataFrame, bool]:
     """The rows (``key``, ``rep``, ``place``, ``root``) of lists that hold several components, with the
-    ``size`` of their list, and how many components those are. ``rows`` are the open rows of the
+    ``size`` and the first row (``lead``) of their list, and whether there are any. ``rows`` are the open rows of the
     round before; ``known`` are the components that their roots have become part of."""
     if known is not None:
         rows = rows.join(known.select(F.col("node").alias("root"), F.col("root").alias("to")), "root", "left").select(
             "key", "rep", "place", F.coalesce("to", "root").alias("root"))
-    lists = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    still = written(rows.select("key", "rep", "place", "root").join(lists.select("key", "size"), "key"), "shingle-open")
-    return still, still.agg(F.approx_count_distinct("root")).first()[0]
+    lists = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("root").alias("low"), F.max("root").alias("high"),
+                                    F.min("rep").alias("lead")).where("low < high")
+    still = written(rows.select("key", "rep", "place", "root").join(lists.select("key", "size", "lead"), "key"), "shingle-open")
+    return still, not still.isEmpty()
 
 
 def _candidates(rooted: DataFrame, sets: DataFrame, percent: int, turn: int) -> DataFrame:
     """Pairs to prove: of the lists' rows, those between components of the links so far.
     Sizes and bitmaps (``sets``) are attached last, for the one shuffle that needs them.
     ``turn`` is the number of the neighbour round, which fixes its blocks; 0 asks for all pairs."""
+    if turn:  # every row goes to one of its lists, the same for rows that share most of them
+        one = F.min(F.struct(F.xxhash64("key", F.lit(turn)).alias("_h"), "key", "size", "lead", "place", "root"))
+        rooted = rooted.groupBy("rep").agg(one.alias("l")).select("rep", "l.key", "l.size", "l.lead", "l.place", "l.root")
     rooted = rooted.withColumn("blocks", F.ceil(F.col("size") / BLOCK_ROWS).cast("int"))
     rooted = rooted.withColumn("block", F.pmod(F.xxhash64("rep", F.lit(turn)), F.col("blocks")).cast("int"))
     if turn:  # rows of one block meet
@@ -312,8 +334,11 @@ def _candidates(rooted: DataFrame, sets: DataFrame, percent: int, turn: int) ->
     else:
         dealt = rooted.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn(
             "x", F.least("block", "other")).withColumn("y", F.greatest("block", "other"))
-    dealt = dealt.select(*LIST, "block", "rep", "root", "place").join(sets, "rep").select(
-        *LIST, "block", "rep", "root", "place", "n", "sketch").repartition(*LIST).sortWithinPartitions(*LIST, "rep")
+    # Lists of one group of near copies mostly have the same first row; dealt by it, they meet, and a
+    # pair that stands in many of them is asked for once.
+    by = ("lead", "x", "y")
+    dealt = dealt.select(*LIST, "lead", "block", "rep", "root", "place").join(sets, "rep").select(
+        *LIST, "lead", "block", "rep", "root", "place", "n", "sketch").repartition(*by).sortWithinPartitions(*by, "key", "rep")
     return written(dealt.mapInArrow(lambda it: _scan_lists(it, percent, turn > 0), "a bigint, b bigint").distinct(), "shingle-pairs")
 
 
@@ -371,10 +396,11 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
     fresh = None
     open_rows = rows.withColumn("root", F.col("rep"))
     while True:
-        open_rows, parts = _open_lists(open_rows, fresh)
-        if parts == 0:
+        open_rows, some = _open_lists(open_rows, fresh)
+        if not some:
             break
-        found = _proven(_candidates(open_rows, distinct, percent, turn), texts, n, percent)
+        asked = _candidates(open_rows, distinct, percent, turn)
+        found = _proven(asked, texts, n, percent)
         if not found.isEmpty():
             known = components.joined(known if known is not None else empty(spark, "node bigint, root bigint"), found)
             fresh = known
@@ -383,7 +409,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
         if not turn:
             break
         # A round joins at most as many components as it has links that lead to different ones.
-        turn = turn + 1 if fresh is not None and _joins(open_rows, known) >= ROUND_JOINS * parts else 0
+        turn = turn + 1 if fresh is not None and _joins(open_rows, known) >= ROUND_JOINS * asked.count() else 0
     known = known if known is not None else empty(spark, "node bigint, root bigint")
     return info.select("doc", F.col("n").cast("long").alias("n_shingles"), "rep"), known
 
