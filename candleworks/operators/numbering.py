@@ -1,12 +1,11 @@
-"""Gap-free numbering 0..n-1 inside groups, safe for a hot group.
+"""Gap-free numbering 0..n-1 inside groups and the first k of each group, the same plan at every size.
 
 ``row_number() OVER (PARTITION BY g ORDER BY k)`` sends a whole group through one
-task. When the largest group is small that is the cheapest plan. When one group
-is huge (a third of all rows, say), the rows are range-partitioned on ``(g, k)``
-instead, each range ("slice") numbers its own rows, and a per-(group, slice) count
-table - at most ``groups + slices`` rows - turns local numbers into global ones.
-The sliced frame is checkpointed to the shared folder so that the slice a row
-lands in cannot change if an executor is lost and work is recomputed.
+task. Here the distinct (group, key) pairs - flat columns only - are counted and range-partitioned
+into slices instead; each slice sums its own counts, and a per-(group, slice) table - at most
+``groups + slices`` rows - turns local sums into global ones. The numbers are then joined back to the
+rows, so nested columns are moved once, by that join. The sliced pairs are checkpointed to the
+shared folder so that the slice a pair lands in cannot change if an executor is lost and work is recomputed.
 """
 
 from __future__ import annotations
@@ -14,77 +13,49 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Largest group numbered by a single task (rows). Above it, slices are used.
-MAX_GROUP_ROWS = 2_000_000
 
-
-def largest_group(df: DataFrame, group_cols: list[str]) -> int:
-    row = df.groupBy(*group_cols).count().agg(F.max("count").alias("m")).first()
-    return int(row["m"] or 0)
-
-
-def number_within(df: DataFrame, group_cols: list[str], order_cols: list[str], out: str,
-                  max_group_rows: int = MAX_GROUP_ROWS, slices: int | None = None) -> DataFrame:
-    """Add ``out`` = 0-based position of the row in its group under ``order_cols``.
-    ``order_cols`` must be a total order within a group (ties would be numbered
-    arbitrarily)."""
-    largest = largest_group(df, group_cols)
-    if largest <= max_group_rows:
-        w = Window.partitionBy(*group_cols).orderBy(*order_cols)
-        return df.withColumn(out, (F.row_number().over(w) - 1).cast("long"))
-    # Enough slices that the largest group spreads over pieces of ~max_group_rows/2.
-    need = -(-2 * largest // max_group_rows)
-    return sliced_number_within(df, group_cols, order_cols, out, slices or need)
-
-
-def sliced_number_within(df: DataFrame, group_cols: list[str], order_cols: list[str], out: str,
-                         slices: int | None = None) -> DataFrame:
-    spark = df.sparkSession
-    n = max(slices or 0, int(spark.conf.get("spark.sql.shuffle.partitions")))
+def number_within(df: DataFrame, group_cols: list[str], order_cols: list[str], out: str, slices: int | None = None) -> DataFrame:
+    """Add ``out`` = 0-based position of the row in its group under ``order_cols``. Rows
+    that agree in all of them (nulls too) follow one another in an order of no meaning."""
+    keys = [*group_cols, *order_cols]
+    numbered = _first_numbers(df, group_cols, order_cols, slices)
+    have = numbered.select(*[F.col(c).alias(f"_n_{i}") for i, c in enumerate(keys)], "_number", "_copies")
+    same = [F.col(c).eqNullSafe(F.col(f"_n_{i}")) for i, c in enumerate(keys)]
+    rows = df.join(have, same).drop(*[f"_n_{i}" for i in range(len(keys))])
+    if numbered.where("_copies > 1").isEmpty():
+        number = F.col("_number")
+    else:  # rows of one key: which of them is which is of no account
+        number = F.col("_number") + F.row_number().over(Window.partitionBy(*keys).orderBy("_number")) - 1
+    return rows.withColumn(out, number.cast("long")).drop("_number", "_copies")
+
+
+def _first_numbers(df: DataFrame, group_cols: list[str], order_cols: list[str], slices: int | None) -> DataFrame:
+    """Every distinct (group, key) with its rows (``_copies``) and the number of the first of them."""
+    n = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [*group_cols, *order_cols]
-    ranged = (df.repartitionByRange(n, *keys)
-              .withColumn("_slice", F.spark_partition_id())
-              .checkpoint(eager=True))
-    counts = ranged.groupBy(*group_cols, "_slice").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*group_cols).orderBy("_slice").rowsBetween(
-        Window.unboundedPreceding, -1)
-    offsets = counts.select(*group_cols, "_slice",
+    ranged = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"))
+              .repartitionByRange(n, *keys).withColumn("_slice", F.spark_partition_id()).checkpoint(eager=True))
+    counts = ranged.groupBy(*group_cols, "_slice").agg(F.sum("_copies").alias("_n"))
+    before = Window.partitionBy(*group_cols).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*[F.col(c).alias(f"_g_{i}") for i, c in enumerate(group_cols)], F.col("_slice").alias("_s"),
                             F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    local = Window.partitionBy(*group_cols, "_slice").orderBy(*order_cols)
-    return (ranged.withColumn("_local", F.row_number().over(local) - 1)
-            .join(offsets, [*group_cols, "_slice"], "inner")
-            .withColumn(out, (F.col("_off") + F.col("_local")).cast("long"))
-            .drop("_slice", "_local", "_off"))
+    local = Window.partitionBy(*group_cols, "_slice").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
+    of_group = [F.col(c).eqNullSafe(F.col(f"_g_{i}")) for i, c in enumerate(group_cols)]
+    return (ranged.withColumn("_local", F.coalesce(F.sum("_copies").over(local), F.lit(0)))
+            .join(offsets, [*of_group, F.col("_slice") == F.col("_s")])
+            .select(*keys, "_copies", (F.col("_off") + F.col("_local")).alias("_number")))
 
 
-def top_k_within(df: DataFrame, group_cols: list[str], order_cols: list, k: int,
-                 max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def top_k_within(df: DataFrame, group_cols: list[str], order_cols: list, k: int, salts: int | None = None) -> DataFrame:
     """The first ``k`` rows of each group under ``order_cols`` (a total order),
-    without sending a hot group through one task.
-
-    If the largest group fits one task (one aggregate tells), a plain window ranks
-    each group. Otherwise level 0 keeps the first k rows of each group within each
-    input split (the split is the salt, so every piece is bounded by the split
-    size). While some group still has more than ``max_group_rows`` survivors, they
-    are re-salted by a hash into enough buckets and reduced again (each level
-    shrinks a group by about piece size / k). The last level ranks each group's
-    survivors once. Every row gets exactly one salt per level: the result is exact."""
-    def keep_first_k(frame: DataFrame) -> DataFrame:
-        w = Window.partitionBy(*group_cols, "_salt").orderBy(*order_cols)
-        return frame.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).drop("_r", "_salt")
-
-    w = Window.partitionBy(*group_cols).orderBy(*order_cols)
-    if largest_group(df, group_cols) <= max_group_rows:
-        return df.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).drop("_r")
-    cur = keep_first_k(df.withColumn("_salt", F.spark_partition_id()))
-    largest = largest_group(cur, group_cols)
-    # A level keeps at most buckets * k rows of a group, so it only helps while
-    # pieces of max_group_rows hold many more than k rows; stop once it cannot shrink.
-    while largest > max_group_rows and 2 * k <= max_group_rows:
-        buckets = -(-largest // max_group_rows)
-        if buckets * k >= largest:
-            break
-        cur = cur.checkpoint(eager=True)  # each level is computed once
-        cur = keep_first_k(cur.withColumn("_salt", F.pmod(F.xxhash64(*cur.columns), F.lit(buckets))))
-        largest = largest_group(cur, group_cols)
-    return cur.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).drop("_r")
+    without sending a hot group through one task: the first k of each group and input split stay (the
+    split is the salt, so a piece is bounded by its size), of those the first k of each group and one of
+    ``salts`` (by default the root of the number of splits), then the first k of each group."""
+    def keep_first_k(frame: DataFrame, *salt: str) -> DataFrame:
+        w = Window.partitionBy(*group_cols, *salt).orderBy(*order_cols)
+        return frame.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).drop("_r")
+
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    level = keep_first_k(df.withColumn("_split", F.spark_partition_id()), "_split")
+    level = keep_first_k(level.withColumn("_salt", F.pmod("_split", F.lit(salts or max(1, round(n ** 0.5))))).drop("_split"), "_salt")
+    return keep_first_k(level.drop("_salt"))

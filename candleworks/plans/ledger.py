@@ -22,10 +22,8 @@ from pyspark.sql import types as T
 
 from candleworks import schemas
 from candleworks import session as _session
-from candleworks.functions import times
 from candleworks.plans.warehouse import Warehouse
-from candleworks.sources import landing
-from candleworks.sources.screener import object_name
+from candleworks.sources import landing, landing_source
 
 TABLE = "_landing_objects"
 COLUMNS = ("bucket string, file string, object string, file_date date, length bigint, modified bigint, "
@@ -42,18 +40,10 @@ def entries(wh: Warehouse) -> DataFrame:
     return wh.spark.read.schema(T.StructType.fromDDL(COLUMNS)).parquet(path)
 
 
-def listing(wh: Warehouse, landing_dir: str) -> DataFrame:
-    """``file``, ``object``, ``file_date``, ``length`` and ``modified`` of every landed file, from metadata only."""
-    name = object_name("path")
-    return (wh.spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").load(landing_dir)
-            .select(F.col("path").alias("file"), name.alias("object"), times.object_date(name).alias("file_date"), "length",
-                    F.unix_micros("modificationTime").alias("modified")))
-
-
 def pending(wh: Warehouse, bucket: str, landing_dir: str) -> DataFrame:
     """Files that the ledger doesn't have as they are now."""
     had = entries(wh).where(F.col("bucket") == bucket).select("file", "length", "modified")
-    return listing(wh, landing_dir).join(had, ["file", "length", "modified"], "left_anti")
+    return landing_source.listed(wh.spark, landing_dir).join(had, ["file", "length", "modified"], "left_anti")
 
 
 def ingest(wh: Warehouse, bucket: str, landing_dir: str, quarantine_dir: str | None = None, max_files: int = 64) -> int:

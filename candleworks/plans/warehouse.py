@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from candleworks import schemas
 from candleworks import session as _session
+from candleworks.functions import sql_functions
 from candleworks.operators import candles as cd
 from candleworks.operators import dimensions as dm
 from candleworks.operators import indicators
@@ -48,8 +49,10 @@ class Warehouse:
                 self.read(t).createOrReplaceTempView(t)
 
     def sql(self, text: str) -> DataFrame:
-        """Run arbitrary SQL over the warehouse tables."""
+        """Run arbitrary SQL over the warehouse tables; the date rules are at hand as functions
+        (:mod:`candleworks.functions.sql_functions`)."""
         self.register_views()
+        sql_functions.register(self.spark)
         return self.spark.sql(text)
 
     def catalog(self) -> DataFrame:

@@ -263,6 +263,20 @@ SELECT Symbol AS stock_symbol, Name AS stock_symbol_name,
 FROM screener"""
 
 
+@query("symbol_repair", f"""WITH {SCREENER_SQL},
+listed AS (SELECT CASE WHEN Industry IS NULL THEN NULL ELSE Symbol END AS Symbol, Name, Industry FROM screener)
+SELECT CASE WHEN Industry IS NULL THEN 'NA' ELSE Symbol END AS symbol, count(*) AS n, count(DISTINCT Name) AS names FROM listed GROUP BY 1""")
+def symbol_repair(spark, sf_dir):
+    """The symbol of a company whose symbol a reader takes for a missing value is set again by its
+    name; the rows without an industry are listed under that company's name and without a symbol."""
+    scr = fx.screener(spark, sf_dir)
+    broken = F.col("Industry").isNull()
+    listed = scr.select(F.when(~broken, F.col("Symbol")).alias("Symbol"), F.when(broken, F.lit(next(iter(dm.SYMBOL_REPAIRS)))).otherwise(F.col("Name")).alias("Name"),
+                        F.col("Name").alias("as_listed"))
+    return dm.repair_symbols(listed).groupBy(F.col("Symbol").alias("symbol")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("as_listed").alias("names"))
+
+
 @query("stock_symbol_dim", STOCK_SYMBOL_SQL)
 def stock_symbol_dim(spark, sf_dir):
     """Symbols with their country/sector/industry ids."""
@@ -795,7 +809,8 @@ def data_test_not_null(spark, sf_dir):
 
 
 _PASSTHROUGH = """SELECT f.stock_symbol, d.stock_symbol_name, count(*) AS n_days,
-       round(avg(f.c), 6) AS avg_c, round(max(f.h), 6) AS max_h
+       round(avg(CAST({c} AS DOUBLE)), 6) AS avg_c, round(CAST(max({h}) AS DOUBLE), 6) AS max_h,
+       sum(CASE WHEN {from_millis} = f.trade_date AND {from_seconds} = f.trade_date THEN 1 ELSE 0 END) AS n_dated
 FROM candles_FACT f JOIN stock_symbol_DIM d ON d.stock_symbol = f.stock_symbol
 GROUP BY f.stock_symbol, d.stock_symbol_name"""
 
@@ -803,12 +818,15 @@ GROUP BY f.stock_symbol, d.stock_symbol_name"""
 @query("sql_passthrough", f"""WITH {CANDLES_SQL}, {SCREENER_SQL},
 candles_FACT AS (SELECT * FROM candles),
 stock_symbol_DIM AS (SELECT Symbol AS stock_symbol, Name AS stock_symbol_name FROM screener)
-{_PASSTHROUGH}""")
+""" + _PASSTHROUGH.format(c="CAST(f.c AS REAL)", h="CAST(f.h AS REAL)",
+                          from_millis="(DATE '1970-01-01' + CAST(floor(TRY_CAST(f.t AS BIGINT) / 86400000) AS INTEGER))",
+                          from_seconds="(DATE '1970-01-01' + CAST(floor(TRY_CAST(left(f.t, 10) AS BIGINT) / 86400) AS INTEGER))"))
 def sql_passthrough(spark, sf_dir):
-    """Arbitrary SQL text over tables registered under their warehouse names."""
-    _candles(spark, sf_dir).createOrReplaceTempView("candles_FACT")
-    fx.symbol_dim(spark, sf_dir).createOrReplaceTempView("stock_symbol_DIM")
-    return spark.sql(_PASSTHROUGH)
+    """Arbitrary SQL text over the warehouse tables under their names, with the
+    date rules as SQL functions."""
+    wh = _warehouse(spark, sf_dir, "sql-passthrough")
+    wh.replace_partitions("candles_FACT", _candles(spark, sf_dir).withColumnRenamed("trans", "Trans").withColumn("filled", F.lit(False)))
+    return wh.sql(_PASSTHROUGH.format(c="f.c", h="f.h", from_millis="date_from_epoch_millis(f.t)", from_seconds="date_from_epoch_seconds(f.t)"))
 
 
 @query("date_dim", f"""WITH {CANDLES_SQL}
@@ -874,7 +892,7 @@ def _init_schema_sql() -> str:
 
 @query("init_schema", _init_schema_sql())
 def init_schema(spark, sf_dir):
-    """Create the 16 tables, reseed exchanges, append unseen
+    """Create the 16 tables, reseed exchanges, append unseen
     dimension members (column subset + generated key) and symbols from the
     screener - twice, the loads are re-runnable; list the catalog with row counts."""
     wh = Warehouse(spark, _session.scratch_path(spark, "init-schema", unique=True))

@@ -8,6 +8,7 @@ that setting is missing (a laptop, a test) does :func:`get_session` pick one.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -65,6 +66,16 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def share_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, if they run where that
+    folder exists (one machine, a shared mount); else it is installed there."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (set one only where it is unset)."""
     sc = spark.sparkContext

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from candleworks import schemas
 from candleworks.functions import times
+from candleworks.sources import landing_source
 from candleworks.sources.screener import object_name
 
 
@@ -42,20 +43,21 @@ def read_news(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def read_day(spark: SparkSession, base: str, prefix: str, day: str, schema) -> DataFrame:
-    """The landing object of one given date (``<prefix>_<yyyy-MM-dd>.json``)."""
-    return read_ndjson(spark, base, schema).where(F.col("object") == f"{prefix}_{day}.json")
+    """The landing object of one given date (``<prefix>_<yyyy-MM-dd>.json``): only its folder is listed
+    and read. A day without an object gives no rows."""
+    name = f"{prefix}_{day}.json"
+    files = [r[0] for r in landing_source.listed(spark, base).where(F.col("object") == name).select("file").collect()]  # of one object
+    rows = read_ndjson(spark, files, schema) if files else read_ndjson(spark, base, schema).where("false")
+    return rows.where(F.col("object") == name)
 
 
-def objects(spark: SparkSession, path: str | list[str], with_rows: bool = True) -> DataFrame:
+def objects(spark: SparkSession, path: str, with_rows: bool = True) -> DataFrame:
     """Per landing object: name, date in the name, files, bytes, modification time
     and (``with_rows``) line count; an object without a line has 0.
 
-    Only file metadata is read: the ``binaryFile`` source with
-    its content column pruned (the daily step uses this). With row counts, a
-    text scan counts the lines of each file beside it."""
-    per_file = (spark.read.format("binaryFile").load(path)
-                .select(object_name("path").alias("object"), F.col("path").alias("file"), F.col("length").alias("bytes"),
-                        F.col("modificationTime").alias("modified")))
+    The files are listed by the ``landing`` data source, which reads none of them (the daily step
+    uses this). With row counts, a text scan counts the lines of each file beside it."""
+    per_file = landing_source.listed(spark, path).select("object", F.col("length").alias("bytes"), F.timestamp_micros("modified").alias("modified"))
     aggs = [F.sum("bytes").alias("bytes"), F.max("modified").alias("modified"),
             F.count(F.lit(1)).alias("files")]
     listed = per_file.groupBy("object").agg(*aggs)

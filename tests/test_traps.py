@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from candleworks import session as S
@@ -241,23 +242,113 @@ def test_exchange_reseed_is_repeatable(spark):
         [(1, "nasdaq"), (2, "nyse"), (3, "amex"), (7, "other")])
 
 
-def test_sliced_numbering_equals_window(spark):
-    df = spark.range(0, 5000).select((F.col("id") % 3).alias("g"), (F.col("id") * 7919 % 5003).alias("k"))
-    plain = numbering.number_within(df, ["g"], ["k"], "n")
-    sliced = numbering.number_within(df, ["g"], ["k"], "n", max_group_rows=10, slices=7)
-    assert sorted(plain.collect()) == sorted(sliced.collect())
-    got = sliced.groupBy("g").agg(F.min("n").alias("lo"), F.max("n").alias("hi"),
-                                  F.countDistinct("n").alias("d"), F.count("*").alias("c")).collect()
-    assert all(r.lo == 0 and r.hi == r.c - 1 == r.d - 1 for r in got)
+def test_numbering_equals_window_with_ties_and_nulls(spark):
+    df = spark.range(0, 600).select(
+        F.when(F.col("id") % 7 > 0, F.col("id") % 2).alias("g"), (F.col("id") * 31 % 601).alias("k"),
+        F.when(F.col("id") % 5 > 0, (F.col("id") % 11).cast("string")).alias("s"), F.array("id").alias("nested"))
+    w = Window.partitionBy("g").orderBy("k")
+    want = sorted(map(str, df.withColumn("n", (F.row_number().over(w) - 1).cast("long")).collect()))
+    for slices in (1, 7):
+        assert sorted(map(str, numbering.number_within(df, ["g"], ["k"], "n", slices=slices).collect())) == want
+    # ties: every number once in a group, smaller keys first
+    rows = numbering.number_within(df, ["g"], ["s"], "n", slices=5).collect()
+    assert len(rows) == 600
+    for g in (None, 0, 1):
+        of_group = sorted(((r.n, r.s) for r in rows if r.g == g), key=lambda x: x[0])
+        assert [n for n, _ in of_group] == list(range(len(of_group)))
+        assert [s or "" for _, s in of_group] == sorted(s or "" for _, s in of_group)
+    assert numbering.number_within(df.where("false"), ["g"], ["k"], "n").collect() == []
 
 
 def test_top_k_within_equals_rank(spark):
     df = spark.range(0, 3000).select((F.col("id") % 2).alias("g"), (F.col("id") * 31 % 3001).alias("k"))
-    got = numbering.top_k_within(df.repartition(40), ["g"], [F.col("k")], 5, max_group_rows=60)
+    got = numbering.top_k_within(df.repartition(40), ["g"], [F.col("k")], 5)
     want = {(g, k) for g in (0, 1) for k in sorted(r.k for r in df.where(F.col("g") == g).collect())[:5]}
     assert {(r.g, r.k) for r in got.collect()} == want
 
 
+def test_a_hot_day_is_landed_in_several_files(spark):
+    from candleworks.sinks import landing as landing_sink
+    from candleworks.sources import landing as landing_src
+
+    base = S.scratch_path(spark, "t-hot-day", unique=True)
+    rows = spark.range(0, 1000).select(F.concat(F.lit("S"), F.col("id")).alias("ticker"), F.lit(1.0).alias("o"),
+                                       F.when(F.col("id") < 950, F.lit("2024-01-01")).otherwise(F.lit("2024-01-02")).cast("date").alias("day"))
+    landing_sink.write_daily_json(rows, base, "OHCL", "day", rows_a_file=100)
+    assert landing_src.read_candles(spark, base).select("ticker").distinct().count() == 1000
+    got = {r.object: (r.files, r.rows) for r in landing_src.objects(spark, base).collect()}
+    assert got["OHCL_2024-01-01.json"][1] == 950 and got["OHCL_2024-01-01.json"][0] >= 10 and got["OHCL_2024-01-02.json"] == (1, 50)
+
+
+def test_sql_functions_are_the_dataframe_rules(spark):
+    from candleworks.functions import sql_functions
+
+    sql_functions.register(spark)
+    texts = ["1704153600000", "1704153600", "abc", "", None, "-1", "9" * 25, "253402300800000", "20240102T101010", "20241399", "2024"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    df.createOrReplaceTempView("t_texts")
+    got = spark.sql("SELECT t, epoch_seconds_text(t) AS a, text_to_long(t) AS b, date_from_epoch_millis(t) AS c, publish_date(t) AS d FROM t_texts").collect()
+    want = df.select("t", times.epoch_seconds_text("t").alias("a"), times.text_to_long("t").alias("b"),
+                     times.date_from_epoch_millis_text("t").alias("c"), times.publish_date("t").alias("d")).collect()
+    assert sorted(map(str, got)) == sorted(map(str, want))
+    ok = "t IN ('1704153600000', 'abc', '', '-1') OR t IS NULL"
+    assert sorted(map(str, spark.sql(f"SELECT t, date_from_epoch_seconds(t) AS c FROM t_texts WHERE {ok}").collect())) == sorted(
+        map(str, df.where(ok).select("t", times.date_from_epoch_seconds_text("t").alias("c")).collect()))
+
+
+def test_landing_source_lists_empty_files_and_plans_one_day(spark):
+    import os
+
+    from candleworks.sinks import landing as landing_sink
+    from candleworks.sources import landing as landing_src
+    from candleworks.sources import landing_source
+
+    base = S.scratch_path(spark, "t-source", unique=True)
+    rows = spark.range(0, 200).select(F.concat(F.lit("S"), F.col("id")).alias("ticker"), F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int")).alias("day"))
+    landing_sink.write_daily_json(rows, base, "OHCL", "day")
+    os.makedirs(base.replace("file:", "") + "/object=OHCL_2024-12-31.json")
+    open(base.replace("file:", "") + "/object=OHCL_2024-12-31.json/part-0.json", "w").close()
+    files = landing_source.listed(spark, base)
+    assert files.count() == 201 and files.rdd.getNumPartitions() == 4
+    one = files.where(F.col("file_date") == F.lit(D(2024, 1, 5)))
+    assert one.rdd.getNumPartitions() == 1 and [r.object for r in one.collect()] == ["OHCL_2024-01-05.json"]
+    assert files.where(F.col("object").isin("OHCL_2024-01-05.json", "OHCL_2024-01-06.json", "none")).count() == 2
+    assert files.where((F.col("file_date") >= F.lit(D(2024, 7, 1))) & (F.col("length") == 0)).count() == 1
+    got = {r.object: (r.files, r.bytes > 0, r.rows) for r in landing_src.objects(spark, base).collect()}
+    assert got["OHCL_2024-12-31.json"] == (1, False, 0) and got["OHCL_2024-01-05.json"] == (1, True, 1) and len(got) == 201
+    assert [r.ticker for r in landing_src.read_day(spark, base, "OHCL", "2024-01-05", landing_src.schemas.CANDLE_RAW).collect()] == ["S4"]
+    assert landing_src.read_day(spark, base, "OHCL", "2023-01-05", landing_src.schemas.CANDLE_RAW).collect() == []
+
+
+def test_ledger_reads_an_object_once_and_a_changed_one_again(spark):
+    """Rows in = loaded + quarantined + equal to stored, per file; an empty file and a malformed line are counted too."""
+    import os
+
+    from candleworks.plans import ledger
+    from candleworks.sinks import landing as landing_sink
+
+    base = S.scratch_path(spark, "t-ledger", unique=True)
+    d = ["2024-01-01", "2024-01-02"]
+    land = lambda rows: landing_sink.write_daily_json(_landing(spark, rows).withColumnRenamed("file_date", "day").coalesce(1), base, "OHCL", "day")
+    land([("A", d[0], 1.0, _ms(d[0])), ("A", d[0], 1.0, _ms(d[0])), ("ZZZ", d[0], 2.0, _ms(d[0])), ("A", d[1], 3.0, _ms(d[1]))])
+    folder = base.replace("file:", "") + f"/object=OHCL_{d[0]}.json"
+    with open(os.path.join(folder, "part-junk.json"), "w") as fh:
+        fh.write('{"ticker": "B", "o": 1.0, "time": \n')
+    open(os.path.join(folder, "part-empty.json"), "w").close()
+    wh = Warehouse(spark, S.scratch_path(spark, "t-ledger-wh", unique=True))
+    _symbols(spark, wh, ["A", "B"])
+    assert ledger.ingest(wh, "candles", base, wh.root + "/_q", max_files=3) == 4
+    assert ledger.ingest(wh, "candles", base, wh.root + "/_q") == 0
+    counts = lambda: sorted((r.object, r.rows_in, r.loaded, r.quarantined, r.equal) for r in ledger.entries(wh).collect())
+    first = [(f"OHCL_{d[0]}.json", 0, 0, 0, 0), (f"OHCL_{d[0]}.json", 1, 0, 1, 0), (f"OHCL_{d[0]}.json", 4 - 1, 1, 1, 1), (f"OHCL_{d[1]}.json", 1, 1, 0, 0)]
+    assert counts() == first
+    assert [(r.reason, r.raw) for r in spark.read.json(wh.root + "/_q").where("raw is not null").collect()] == [("malformed", '{"ticker": "B", "o": 1.0, "time": ')]
+    land([("A", d[1], 3.0, _ms(d[1])), ("B", d[1], 4.0, _ms(d[1]))])  # the object of the second day has changed
+    assert ledger.ingest(wh, "candles", base, wh.root + "/_q") == 1
+    assert counts() == sorted([*first, (f"OHCL_{d[1]}.json", 2, 1, 0, 1)])
+    assert _fact_rows(wh) == [("A", d[0], 1.0, 100, 1), ("A", d[1], 3.0, 100, 1), ("B", d[1], 4.0, 100, 1)]
+
+
 def test_carry_forward_plan_has_one_wide_shuffle(spark):
     b = bars(spark, [("A", D(2024, 1, 1), 1), ("A", D(2024, 1, 3), 2)])
     dim = spark.createDataFrame([("A",)], "stock_symbol string")
