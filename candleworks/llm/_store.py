@@ -15,9 +15,15 @@ from pyspark.sql import functions as F
 from candleworks.session import scratch_path
 
 
+#: Rows that travel to and from Python workers at a time; documents have kilobytes each.
+ROWS_A_BATCH = 2_000
+
+
 def workers_find_package(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver has it, if they run
-    where that folder exists (one machine, a shared mount); else it is installed there."""
+    where that folder exists (one machine, a shared mount); else it is installed there. Also bounds
+    the batches that they get, whose buffers the workers and the executor hold several times."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_A_BATCH))
     import candleworks
 
     root = os.path.dirname(os.path.dirname(os.path.abspath(candleworks.__file__)))

@@ -7,8 +7,10 @@ documents, so memory follows the longest text and never a partition.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,22 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 
+def release() -> None:
+    """Give memory that a batch no longer needs back to the system: workers live on and share
+    an executor's memory with the tasks to come."""
+    pa.default_memory_pool().release_unused()
+    if (trim := _trim()) is not None:
+        trim(0)
+
+
+@lru_cache(maxsize=1)
+def _trim():
+    try:
+        return ctypes.CDLL(None).malloc_trim  # of the GNU C library
+    except (OSError, AttributeError):
+        return None
+
+
 class _Powers:
     """Powers of an odd number modulo 2**64, grown to the longest word seen."""
 
@@ -90,6 +108,7 @@ def text_groups(column: pa.Array, most: int) -> Iterator[tuple[int, list[str]]]:
         b = min(n, max(int(np.searchsorted(off, off[a] + most, side="right")) - 1, a + 1))
         yield a, [t or "" for t in column.slice(a, b - a).to_pylist()]
         a = b
+    release()
 
 
 def chunks(column: pa.Array, lower: bool = False) -> Iterator[Words]:
@@ -104,6 +123,7 @@ def chunks(column: pa.Array, lower: bool = False) -> Iterator[Words]:
         b = min(n, max(b, a + 1))
         yield _words(raw[off[a]:off[b]], off[a:b + 1] - off[a], lower, slice(a, b))
         a = b
+    release()
 
 
 def _words(data: np.ndarray, off: np.ndarray, lower: bool, rows: slice) -> Words:

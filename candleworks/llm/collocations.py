@@ -48,7 +48,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candleworks.llm._store import written
-from candleworks.llm._words import _BYTE_VALUE, _LOWER, _ODD, _POWERS, _buffers, mix
+from candleworks.llm._words import _BYTE_VALUE, _LOWER, _ODD, _POWERS, _buffers, mix, release
 
 LEAST = 10
 MOST_WORDS = 3
@@ -245,6 +245,7 @@ def _chunks(batch: pa.RecordBatch, longest: int) -> Iterator[tuple[np.ndarray, n
         else:
             yield data, off[a:b + 1] - off[a], slice(a, b), None
         a = b
+    release()
 
 
 def _packed(bucket: np.ndarray, keys: pa.Array, count: np.ndarray) -> Iterator[pa.RecordBatch]:

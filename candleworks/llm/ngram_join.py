@@ -65,13 +65,13 @@ SKETCH_WORDS = 8
 BROADCAST_ROWS = 500_000
 SALTS = 32
 #: Pairs of one first row that are kept in mind (past it, some may be asked for twice).
-SEEN_PAIRS = 500_000
+SEEN_PAIRS = 200_000
 #: Rows that a row of a list asks for in a neighbour round.
 NEIGHBOURS = 2
 #: Neighbour rounds go on while one joins this many components for each pair that it asks for.
 ROUND_JOINS = 0.1
 #: Shingles that are counted together before the shuffle.
-COUNTED_TOGETHER = 2_000_000
+COUNTED_TOGETHER = 500_000
 
 
 def need(s, t, percent: int):

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from candleworks.llm import _labels
 from candleworks.llm._store import written
-from candleworks.llm._words import _buffers, mix
+from candleworks.llm._words import _buffers, mix, release
 
 SAMPLE = 2000
 NEGATIVE_WORDS = 40_000
@@ -269,6 +269,7 @@ class Model:
                 many += np.bincount(a + owner, 1 / (1 + np.exp(-8 * margin)), len(column))
                 words += np.bincount(a + owner, minlength=len(column))
             a = b
+        release()
         return np.stack([worst, np.log1p(many), many / np.maximum(words, 1), np.ones(len(column))], axis=1)
 
     def scores(self, column: pa.Array) -> np.ndarray:
