@@ -65,19 +65,23 @@ def close_delta(candles: DataFrame, days: DataFrame | None = None) -> DataFrame:
 
 
 def running_days(rows_of_day: DataFrame) -> DataFrame:
-    """``trade_date``, ``rows`` and ``upto``, the rows of all days up to it, of ``trade_date`` and
-    ``rows``. Sums run within a year, then over the years (a row each)."""
+    """``trade_date``, ``rows``, ``upto``, the rows of all days up to it, and ``nulls``, of ``trade_date``, ``rows``
+    and ``nulls``. Sums run within a year, then over the years (a row each)."""
     year = F.year(DATE)
     years = rows_of_day.groupBy(year.alias("_year")).agg(F.sum("rows").alias("_n"))
     before = years.alias("a").join(years.alias("b"), F.col("b._year") < F.col("a._year"), "left").groupBy(
         F.col("a._year").alias("_year")).agg(F.coalesce(F.sum("b._n"), F.lit(0)).alias("_before"))
     within = F.sum("rows").over(Window.partitionBy("_year").orderBy(DATE).rowsBetween(Window.unboundedPreceding, 0))
     return rows_of_day.withColumn("_year", year).join(before, "_year").select(
-        DATE, F.col("rows").cast("long").alias("rows"), (F.col("_before") + within).cast("long").alias("upto"))
+        DATE, F.col("rows").cast("long").alias("rows"), (F.col("_before") + within).cast("long").alias("upto"), "nulls")
 
 
 def day_counts(candles: DataFrame) -> DataFrame:
-    return candles.groupBy(DATE).agg(F.count(F.lit(1)).alias("rows"))
+    """``trade_date``, ``rows`` and ``nulls`` (column to number), in one aggregate that combines within tasks."""
+    columns = [c for c in candles.columns if c != DATE]
+    counts = candles.groupBy(DATE).agg(F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(c).isNull()).alias(f"_{i}") for i, c in enumerate(columns)])
+    pairs = [x for i, c in enumerate(columns) for x in (F.lit(c), F.col(f"_{i}"))]
+    return counts.select(DATE, "rows", F.create_map(*pairs).alias("nulls"))
 
 
 def first_rows_dates(candles: DataFrame, k: int, days: DataFrame | None = None) -> DataFrame:

@@ -40,6 +40,12 @@ def not_null_tests(model: str, df: DataFrame, columns: list[str]) -> DataFrame:
                 F.coalesce(F.col("failures"), F.lit(0)).cast("long").alias("failures"))
 
 
+def not_null_from_days(model: str, days: DataFrame, columns: list[str]) -> DataFrame:
+    """``not_null`` of a fact from the null counts that its loads keep per day; the fact isn't read."""
+    return days.select(F.explode("nulls").alias("column_name", "n")).where(F.col("column_name").isin(columns)).groupBy("column_name").agg(
+        F.sum("n").cast("long").alias("failures")).select(F.lit(model).alias("model"), "column_name", F.lit("not_null").alias("test"), "failures")
+
+
 def run_data_tests(spec: list[tuple[str, DataFrame, str, list[str]]]) -> DataFrame:
     """``spec``: (model name, relation, test, columns). One result row per test."""
     parts = []

@@ -116,7 +116,8 @@ class Warehouse:
 
     # ---- days of the candle fact ----------------------------------------------------
     def days(self) -> DataFrame:
-        """``trade_date``, ``rows`` and ``upto`` of every loaded day, as the loads keep them. A
+        """``trade_date``, ``rows``, ``upto`` and ``nulls`` of every loaded day, as the loads keep them: counted
+        from the rows that a load writes, so neither dates nor null tests need a scan of the fact. A
         fact that no load has counted yet is counted once."""
         path = self.path(LOADED_DAYS)
         if not _session.path_exists(self.spark, path):
@@ -131,9 +132,19 @@ class Warehouse:
     def _count_days(self, written: DataFrame, before: DataFrame) -> None:
         """Days that were written have the rows that were written; others keep theirs."""
         counts = _materialized(indicators.day_counts(written))
-        others = before.select("trade_date", "rows").join(counts.select("trade_date"), "trade_date", "left_anti")
+        others = before.select("trade_date", "rows", "nulls").join(counts.select("trade_date"), "trade_date", "left_anti")
         self._write_days(_materialized(counts.unionByName(others)))
 
+    def co_located(self, tables: dict[str, DataFrame], buckets: int, prefix: str = "co_located_") -> dict[str, DataFrame]:
+        """Write frames as catalog tables in ``buckets`` buckets of ``stock_symbol`` (sorted by it), so that joins
+        and groupings by symbol among them need no shuffle. Returned read back, by name."""
+        out = {}
+        for name, rows in tables.items():
+            (rows.write.mode("overwrite").format("parquet").option("path", self.path(prefix + name))
+             .bucketBy(buckets, "stock_symbol").sortBy("stock_symbol").saveAsTable(prefix + name))
+            out[name] = self.spark.table(prefix + name)
+        return out
+
     # ---- M4: candles --------------------------------------------------------------
     def load_candles(self, landing_rows: DataFrame, quarantine_dir: str | None = None,
                      batch: str | None = None) -> bool:

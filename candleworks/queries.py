@@ -798,14 +798,13 @@ ids AS (SELECT {uuid_key_sql('country_DIM', "coalesce(Country, 'unpredict')")} A
 UNION ALL {_not_null_sql('screener', 'screener', ['Symbol', 'Country', 'Sector', 'Industry'])}
 UNION ALL {_not_null_sql('stock_symbol_DIM', 'ids', ['country_id', 'sector_id', 'industry_id'])}""")
 def data_test_not_null(spark, sf_dir):
-    """``not_null`` tests, all columns of a relation in one scan
-    (a member id left null by a failed lookup is reported, never written as text)."""
-    return quality.run_data_tests([
-        ("candles_FACT", _candles(spark, sf_dir), "not_null", ["o", "h", "l", "c", "v", "vwap", "t"]),
+    """``not_null`` tests, of the fact from the null counts that its load keeps, of other
+    relations all columns in one scan (a member id left null by a failed lookup is reported, never written as text)."""
+    return quality.not_null_from_days("candles_FACT", _days(spark, sf_dir), ["o", "h", "l", "c", "v", "vwap", "t"]).unionByName(quality.run_data_tests([
         ("screener", fx.screener(spark, sf_dir), "not_null", ["Symbol", "Country", "Sector", "Industry"]),
         ("stock_symbol_DIM", fx.symbol_dim(spark, sf_dir), "not_null",
          ["country_id", "sector_id", "industry_id"]),
-    ])
+    ]))
 
 
 _PASSTHROUGH = """SELECT f.stock_symbol, d.stock_symbol_name, count(*) AS n_days,
@@ -829,6 +828,20 @@ def sql_passthrough(spark, sf_dir):
     return wh.sql(_PASSTHROUGH.format(c="f.c", h="f.h", from_millis="date_from_epoch_millis(f.t)", from_seconds="date_from_epoch_seconds(f.t)"))
 
 
+@query("co_located_join", f"""WITH {CANDLES_SQL}, {SCREENER_SQL}
+SELECT c.stock_symbol, s.Name AS stock_symbol_name, count(*) AS n_days, sum(c.v)::BIGINT AS volume, CAST(max(c.trade_date) AS VARCHAR) AS last_date
+FROM candles c JOIN screener s ON s.Symbol = c.stock_symbol GROUP BY c.stock_symbol, s.Name""")
+def co_located_join(spark, sf_dir):
+    """Facts and symbols written in buckets of the symbol, joined and grouped by it without a shuffle."""
+    wh = Warehouse(spark, _session.scratch_path(spark, "co-located", unique=True))
+    stored = wh.co_located({"candles": _candles(spark, sf_dir).select("stock_symbol", "v", "trade_date"),
+                            "symbols": fx.symbol_dim(spark, sf_dir).select("stock_symbol", "stock_symbol_name")}, buckets=8,
+                           prefix="co_located_" + wh.root.rsplit("/", 1)[-1] + "_")
+    joined = stored["candles"].hint("merge").join(stored["symbols"], "stock_symbol")
+    return joined.groupBy("stock_symbol", "stock_symbol_name").agg(
+        F.count(F.lit(1)).alias("n_days"), F.sum("v").cast("long").alias("volume"), d2s(F.max("trade_date")).alias("last_date"))
+
+
 @query("date_dim", f"""WITH {CANDLES_SQL}
 SELECT strftime(d, '%Y%m%d') AS date_id, CAST(CAST(d AS DATE) AS VARCHAR) AS date
 FROM (SELECT unnest(generate_series(min(trade_date), max(trade_date), INTERVAL 1 DAY)) AS d FROM candles)""")

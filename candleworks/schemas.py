@@ -96,8 +96,8 @@ TABLES: dict[str, dict] = {
 # What a stored news item is and which version of it is stored, in the files of news_DIM;
 # readers of the contract's columns don't see them. The facts carry ``item``.
 NEWS_ITEM = _schema(("item", S), ("want", U32), ("first_seen", T.LongType()), ("modified", T.LongType()), ("tie", S))
-# Rows of candles_FACT per trading day, and of all days up to it.
-LOADED_DAYS = _schema(("trade_date", D), ("rows", T.LongType()), ("upto", T.LongType()))
+# Rows of candles_FACT per trading day, and of all days up to it; and the nulls of each column that day.
+LOADED_DAYS = _schema(("trade_date", D), ("rows", T.LongType()), ("upto", T.LongType()), ("nulls", T.MapType(S, T.LongType())))
 
 
 def schema_of(table: str) -> T.StructType:

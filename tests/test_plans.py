@@ -10,7 +10,7 @@ from tests.conftest import SF_SMALL
 
 SKIP = {"incremental_candles", "incremental_news", "land_news", "land_candles", "landing_audit",
         "insert_select", "init_schema", "na_words_to_null", "load_candles", "load_news", "moving_average_tables",
-        "object_ledger", "quarantine_candles", "quarantine_news", "sql_passthrough"}  # these run jobs that write
+        "object_ledger", "quarantine_candles", "quarantine_news", "sql_passthrough", "co_located_join"}  # these run jobs that write
 KEYS = sorted(k for k in entry_mod._registry.queries() if k not in SKIP)
 
 
@@ -43,6 +43,13 @@ def test_indicator_prunes_partitions(spark):
     assert "ReadSchema: struct<stock_symbol:string,c:double>" in formatted
 
 
+def test_co_located_tables_join_without_a_shuffle(spark):
+    df = entry_mod.queries()["co_located_join"](spark, SF_SMALL)
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "SortMergeJoin" in text and "Exchange" not in text
+
+
 def test_every_survey_id_is_run_by_a_key_with_an_oracle():
     oracles = entry_mod._registry.oracle_sql()
     text = " ".join(fn.__doc__ or "" for key, fn in entry_mod._registry.queries().items() if key in oracles)
