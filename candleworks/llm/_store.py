@@ -34,10 +34,13 @@ def workers_find_package(spark: SparkSession) -> None:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to a fresh folder of the shared store and return it read back."""
+    """Write ``df`` to a fresh folder of the shared store and return it read back. The folder is
+    removed when the application ends: until then, what is returned may be read again."""
     spark = df.sparkSession
     path = scratch_path(spark, "llm", name, unique=True)
     df.write.parquet(path)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
     return spark.read.schema(df.schema).parquet(path)
 
 
