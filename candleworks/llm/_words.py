@@ -111,15 +111,15 @@ def text_groups(column: pa.Array, most: int) -> Iterator[tuple[int, list[str]]]:
     release()
 
 
-def chunks(column: pa.Array, lower: bool = False) -> Iterator[Words]:
-    """The words of a string column, in chunks of whole rows."""
+def chunks(column: pa.Array, lower: bool = False, most: int = CHUNK_BYTES) -> Iterator[Words]:
+    """The words of a string column, in chunks of whole rows and about ``most`` bytes."""
     n = len(column)
     if n == 0:
         return
     off, raw = _buffers(column)
     a = 0
     while a < n:
-        b = int(np.searchsorted(off, off[a] + CHUNK_BYTES, side="right")) - 1
+        b = int(np.searchsorted(off, off[a] + most, side="right")) - 1
         b = min(n, max(b, a + 1))
         yield _words(raw[off[a]:off[b]], off[a:b + 1] - off[a], lower, slice(a, b))
         a = b

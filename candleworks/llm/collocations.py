@@ -4,7 +4,7 @@ Texts are cut at sentence marks and line ends into pieces, pieces at spaces and
 words (A-Z in lower case). Everything is counted per language. A phrase that occurs
 ``least`` times is frequent; only phrases whose parts are all frequent can be.
 
-1. Sample: a quarter of the documents (by a hash of the row) is counted, one and two words at a time
+1. Sample: an eighth of the documents (by a hash of the row) is counted, one and two words at a time
    (in general up to one word less than the longest phrase). What reaches a lowered threshold
    there is the *proposal*.
 2. Full pass: over all documents the proposal and its negative border are counted exactly.
@@ -48,13 +48,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candleworks.llm._store import written
-from candleworks.llm._words import _BYTE_VALUE, _LOWER, _ODD, _POWERS, _buffers, mix, release
+from candleworks.llm._words import _BYTE_VALUE, _LOWER, _ODD, _POWERS, _buffers, mix
 
 LEAST = 10
 MOST_WORDS = 3
 TOP = 2000
 #: One of this many documents is in the sample.
-SAMPLE_ONE_OF = 4
+SAMPLE_ONE_OF = 8
 #: Share of the expected number that a phrase must reach in the sample to be proposed.
 SAMPLE_SLACK = 0.8
 #: Bits of the proposal's table: this many for each entry, up to a bound (32 MB).
@@ -100,7 +100,7 @@ def tokens(data: np.ndarray, off: np.ndarray) -> Tokens:
     edge[off] = True
     start = np.flatnonzero(solid & (~np.concatenate([[False], solid[:-1]]) | edge[:-1]))
     end = np.flatnonzero(solid & (~np.concatenate([solid[1:], [False]]) | edge[1:])) + 1
-    text = np.searchsorted(off, start, side="right") - 1
+    text = np.repeat(np.arange(len(off) - 1), np.diff(np.searchsorted(start, off)))
     piece = np.cumsum((kind == 2) | edge[:-1])[start]
     # A text of no bytes shares its edge with the next one, so pieces of two texts always differ.
     places = np.concatenate([[0], np.cumsum(end - start)]).astype(np.int64)
@@ -245,7 +245,6 @@ def _chunks(batch: pa.RecordBatch, longest: int) -> Iterator[tuple[np.ndarray, n
         else:
             yield data, off[a:b + 1] - off[a], slice(a, b), None
         a = b
-    release()
 
 
 def _packed(bucket: np.ndarray, keys: pa.Array, count: np.ndarray) -> Iterator[pa.RecordBatch]:

@@ -70,6 +70,8 @@ SEEN_PAIRS = 200_000
 NEIGHBOURS = 2
 #: Neighbour rounds go on while one joins this many components for each pair that it asks for.
 ROUND_JOINS = 0.1
+#: Bytes of text whose shingles are made together.
+CHUNK_BYTES = 1 << 19
 #: Shingles that are counted together before the shuffle.
 COUNTED_TOGETHER = 500_000
 
@@ -136,7 +138,7 @@ def _describe(batches: Iterable[pa.RecordBatch], n: int) -> Iterator[pa.RecordBa
     for batch in batches:
         seen: set[bytes] = set()
         sets: list[np.ndarray] = []
-        for words in chunks(batch.column(1), lower=True):
+        for words in chunks(batch.column(1), lower=True, most=CHUNK_BYTES):
             own = shingle_sets(words, n)
             if sum(map(len, sets)) > COUNTED_TOGETHER:
                 yield shared(sets)
@@ -170,7 +172,7 @@ def _enter(batches: Iterable[pa.RecordBatch], n: int, percent: int, boundary: in
     for batch in batches:
         ids = batch.column(0)
         seen: set[bytes] = set()
-        for words in chunks(batch.column(1), lower=True):
+        for words in chunks(batch.column(1), lower=True, most=CHUNK_BYTES):
             rows, keys, places = [], [], []
             for i, s in enumerate(shingle_sets(words, n), words.rows.start):
                 if len(s) == 0 or (d := hashlib.blake2b(s.tobytes(), digest_size=16).digest()) in seen:
@@ -292,7 +294,7 @@ def _prune(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
 
 def _sets(batches: Iterable[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for words in chunks(batch.column(1), lower=True):
+        for words in chunks(batch.column(1), lower=True, most=CHUNK_BYTES):
             own = shingle_sets(words, n)
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(words.rows.start, len(own)), pa.array([len(s) for s in own], pa.int32()), pa.array([wide_parity(s) for s in own], pa.binary()),
                                               pa.array([s.tobytes() for s in own], pa.binary())], names=["doc", "n", "bits", "tokens"])
