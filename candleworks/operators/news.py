@@ -134,15 +134,18 @@ def stock_facts(news: DataFrame, symbol_dim: DataFrame, extra: tuple[str, ...] =
 
 # ---- extraction slice (landing side) ----------------------------------------------------
 
-def day_slice(news: DataFrame, limit: int | None = None, lag_days: int = 2) -> DataFrame:
-    """What each daily extraction returns: for every run date, the items published on
-    ``run date - lag``. Items without a readable publish time belong to no day. ``limit``
+def day_slice(news: DataFrame, limit: int | None = None, lag_days: int = 2, run_dates: DataFrame | None = None) -> DataFrame:
+    """What each daily extraction returns: for every run date (of ``run_dates``, column ``run_date``; by default
+    each one that has items), the items published on ``run date - lag``. Items without a readable publish time belong to no day. ``limit``
     (none by default) keeps a day's earliest items, as a request with a size parameter
     does; it is a per-day top-k, computed without sending a hot day through one task."""
     from candleworks.operators.numbering import top_k_within
 
     day = F.to_date(F.try_to_timestamp(F.col("time_published"), F.lit("yyyyMMdd'T'HHmmss")))
     rows = news.withColumn("extract_day", day).where("extract_day is not null")
+    if run_dates is not None:  # bounded by the calendar
+        asked = run_dates.select(F.date_sub("run_date", lag_days).alias("extract_day")).distinct()
+        rows = rows.join(F.broadcast(asked), "extract_day", "left_semi")
     if limit is not None:
         rows = top_k_within(rows, ["extract_day"], [F.col(c) for c in FEED_ORDER], limit)
     return rows.select(

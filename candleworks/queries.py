@@ -507,6 +507,20 @@ def news_day_slice(spark, sf_dir):
                      "time_from", "time_to", "title", "url")
 
 
+@query("news_run_slices", f"""WITH {NEWS_SQL}
+SELECT CAST(file_date + 2 AS VARCHAR) AS run_date, CAST(file_date AS VARCHAR) AS extract_day,
+       strftime(file_date, '%Y%m%d') || 'T0000' AS time_from, strftime(file_date, '%Y%m%d') || 'T2359' AS time_to,
+       title, url
+FROM news WHERE day(file_date + 2) IN (1, 15)""")
+def news_run_slices(spark, sf_dir):
+    """The extraction windows of given run dates (the first and fifteenth of each month with orders)."""
+    flat = _news_flat(spark, sf_dir, numbered=False)
+    runs = flat.select(ns.insert_date().alias("run_date")).distinct().where(F.dayofmonth("run_date").isin(1, 15))
+    sl = ns.day_slice(flat, lag_days=2, run_dates=runs)
+    return sl.select(d2s("run_date").alias("run_date"), d2s("extract_day").alias("extract_day"),
+                     "time_from", "time_to", "title", "url")
+
+
 @query("news_publish_date", f"""WITH {NEWS_SQL}
 SELECT title, time_published,
        CAST(CAST(strptime(left(time_published, 8), '%Y%m%d') AS DATE) AS VARCHAR) AS time_publish_id,
