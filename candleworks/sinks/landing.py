@@ -35,10 +35,11 @@ def write_daily_json(rows: DataFrame, base: str, prefix: str, date_col: str,
 
 
 def write_screener_csv(screener: DataFrame, base: str, file_col: str = "object",
-                       null_word: str = "NA") -> None:
-    """One CSV (with header) per exchange file name; nulls are written as
-    ``null_word`` the way exported screeners carry them."""
-    (screener.repartition(file_col).write.mode("overwrite")
+                       null_word: str = "NA", writers: int = 4) -> None:
+    """A folder of CSV parts (with header) per exchange file name, each written by up to ``writers`` tasks;
+    nulls are written as ``null_word`` the way exported screeners carry them."""
+    salt = F.pmod(F.xxhash64(*screener.columns), F.lit(writers))
+    (screener.repartition(file_col, salt).write.mode("overwrite")
      .option("header", True).option("nullValue", null_word)
      .partitionBy(file_col).csv(base))
 
