@@ -726,3 +726,33 @@ def test_read_day_and_daily_news_step(spark):
     assert got == [(D(2024, 1, 4), "t2")]
     assert [r.sentiment_score for r in wh.read("new_sentiment_stock_FACT").collect()] == [pytest.approx(0.3)]
     assert models.preview(wh.read("news_DIM"), 5).count() == 1
+
+
+@pytest.mark.parametrize("name", ["grouped_daily_bars", "land_candles", "latest_day_close", "avg_volume"])
+def test_bars_without_volume_equal_the_sql(spark, tmp_path, name):
+    """Ticks of price 0 have size 0: a day of nothing else divides 0 by 0; a missing price is no volume at all."""
+    import duckdb
+
+    import __spark_entry__ as entry_mod
+
+    at = dt.datetime
+    ticks = [(1, at(2024, 1, 1, 10), 1, 0.0), (2, at(2024, 1, 1, 11), 1, 0.0), (3, at(2024, 1, 2, 10), 1, 2.5),
+             (4, at(2024, 1, 2, 10), 2, 0.0), (5, at(2024, 1, 2, 11), 2, 4.0), (6, at(2024, 1, 2, 10), 3, 0.004), (7, at(2024, 1, 2, 10), 4, None)]
+    events = tmp_path / "events.parquet"
+    spark.createDataFrame(ticks, "event_id long, ts timestamp_ntz, user_id long, value double").coalesce(1).write.parquet(str(events))
+    got = entry_mod.queries()[name](spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{events}/*.parquet')")
+    want = con.execute(entry_mod.oracle_sql()[name])
+    order = [c[0] for c in want.description]
+    assert sorted(map(str, (tuple(r) for r in got.select(*order).collect()))) == sorted(map(str, want.fetchall()))
+
+
+def test_vwap_without_volume_is_the_ieee_quotient(spark):
+    from candleworks.operators import bars as bars_op
+
+    ticks = spark.createDataFrame([("A", 0.0, 0), ("B", 2.0, 3), ("B", 4.0, 1), ("C", 3.0, 2), ("C", 1.0, -2), ("D", None, None)], "s string, p double, n long").withColumn(
+        "ts", F.lit(dt.datetime(2024, 1, 2, 9)))
+    got = {r.stock_symbol: r.vwap for r in bars_op.daily_bars(ticks, F.col("s"), "ts", "p", F.col("n")).collect()}
+    assert str(got.pop("A")) == "nan"
+    assert got == {"B": 2.5, "C": float("inf"), "D": None}
