@@ -25,16 +25,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from candleworks.llm._words import release
+
 SUFFIX = "</w>"
 #: Pieces and words kept between the groups of a Python worker; past it only what the current texts use stays.
 CACHE_PIECES = 200_000
-CACHE_WORDS = 200_000
+CACHE_WORDS = 120_000
 #: Longer pieces (characters) aren't kept.
 CACHE_CHARS = 64
 CACHE_PAIRS = 200_000
 CACHE_NODES = 400_000
-#: Characters of the texts that are handled together.
-GROUP_CHARS = 2 << 20
+#: Characters of the texts that are handled together; memory beside the caches follows it and the longest text.
+GROUP_CHARS = 1 << 19
 #: Pieces that are normalised and split in one call.
 SPLIT_TOGETHER = 2_000
 
@@ -265,7 +267,7 @@ def default_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def _groups(texts: list[str], most: int = GROUP_CHARS) -> Iterator[list[str]]:
+def _groups(texts: Iterable[str], most: int = GROUP_CHARS) -> Iterator[list[str]]:
     """Consecutive texts of about ``most`` characters together."""
     group, size = [], 0
     for t in texts:
@@ -278,26 +280,36 @@ def _groups(texts: list[str], most: int = GROUP_CHARS) -> Iterator[list[str]]:
         yield group
 
 
+def _encoded(batches: Iterable[pa.RecordBatch], path: str, id_col: str) -> Iterator[pa.RecordBatch]:
+    """Groups of encoded rows; what a group took goes back to the system before the next one."""
+    enc = _encoder(path)
+    release()
+    gc.freeze()  # the caches hold no cycles; don't walk them again and again
+    gc.disable()
+    for batch in batches:
+        done = 0
+        for group in _groups(t.as_py() or "" for t in batch.column(1)):
+            split = [pieces_of(t) for t in group]
+            enc.learn(set().union(*split))
+            ids, shown = enc.texts(split)
+            enc.forget()
+            out = pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(done, len(group)), pa.array(ids, pa.binary()), pa.array(shown, pa.string())],
+                names=[id_col, "ids", "decoded"])
+            done += len(group)
+            del group, split, ids, shown
+            yield out
+            del out
+            release()
+
+
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col``, ``ids`` (packed little-endian unsigned 32-bit integers) and
     ``decoded`` (the decoding of those ids) of every row. ``path`` names the
     tokenizer file, which every executor must be able to open."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = _encoder(path)
-        gc.freeze()  # the caches hold no cycles; don't walk them again and again
-        gc.disable()
-        for batch in batches:
-            done = 0
-            for group in _groups([t or "" for t in batch.column(1).to_pylist()]):
-                split = [pieces_of(t) for t in group]
-                enc.learn(set().union(*split))
-                ids, shown = enc.texts(split)
-                enc.forget()
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(done, len(group)), pa.array(ids, pa.binary()), pa.array(shown, pa.string())],
-                    names=[id_col, "ids", "decoded"])
-                done += len(group)
+        return _encoded(batches, path, id_col)
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, ids binary, decoded string")

@@ -483,3 +483,25 @@ def test_bpe_of_a_very_long_word_and_a_full_cache(monkeypatch):
         enc.learn(set().union(*split))
         for t, got in zip(texts_, enc.texts(split)[0]):
             assert got == b"".join(x.to_bytes(4, "little") for x in lib.encode(t, add_special_tokens=False).ids)
+
+
+def test_bpe_handles_a_batch_in_small_groups_and_gives_memory_back(monkeypatch):
+    import gc
+
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    released = []
+    monkeypatch.setattr(bpe, "release", lambda: released.append(1), raising=False)
+    texts_ = ["some words of a long text " * 10_000, None, "a b", "other words, too. " * 20_000, ""] * 2
+    batch = pa.RecordBatch.from_arrays([pa.array(range(10), pa.int64()), pa.array(texts_, pa.string())], names=["doc_id", "text"])
+    try:
+        got = list(bpe._encoded([batch], bpe.default_path(), "doc_id"))
+    finally:  # the worker's settings aren't for this process
+        gc.enable()
+        gc.unfreeze()
+    lib = Tokenizer.from_file(bpe.default_path())
+    assert [i for b in got for i in b.column(0).to_pylist()] == list(range(10))
+    assert [r for b in got for r in b.column(1).to_pylist()] == [b"".join(i.to_bytes(4, "little") for i in lib.encode(t or "", add_special_tokens=False).ids) for t in texts_]
+    assert max(sum(len(texts_[i] or "") for i in b.column(0).to_pylist()) for b in got) < 1 << 20
+    assert len(got) == 3 and len(released) >= len(got)
