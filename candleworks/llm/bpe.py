@@ -20,17 +20,20 @@ import json
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import islice
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candleworks.llm._words import release
 
 SUFFIX = "</w>"
-#: Pieces and words kept between the groups of a Python worker; past it only what the current texts use stays.
-CACHE_PIECES = 200_000
-CACHE_WORDS = 120_000
+#: Pieces and words that a Python worker keeps between groups: those seen in one group so far, and those seen again.
+BRIEF_PIECES, CACHE_PIECES = 100_000, 170_000
+BRIEF_WORDS, CACHE_WORDS = 70_000, 100_000
 #: Longer pieces (characters) aren't kept.
 CACHE_CHARS = 64
 CACHE_PAIRS = 200_000
@@ -45,106 +48,133 @@ class PrefixEncoder:
     """Encodes words (strings over the vocabulary's alphabet) by their shared prefixes."""
 
     def __init__(self, vocab: dict[str, int], merges: Iterable[tuple[str, str]], suffix: str = SUFFIX) -> None:
-        self.vocab, self.suffix = vocab, suffix
-        self.rank = {pair: i for i, pair in enumerate(merges)}
+        self.suffix = suffix
+        own = {token: token for token in vocab}  # one string each
+        self.rank = {(own.get(a, a), own.get(b, b)): i for i, (a, b) in enumerate(merges)}
         n = len(suffix)
         self.inner: dict[str, int] = {}
         self.final: dict[str, int] = {}
-        self.symbols: dict[int, tuple[str, ...]] = {}
         for token, i in vocab.items():
-            ends = token.endswith(suffix) and len(token) > n
-            letters = tuple(token[:-n]) if ends else tuple(token)
-            if not letters:
+            if not token or self.merge(self.symbols(token)) != [token]:  # no merge makes it
                 continue
-            symbols = (*letters[:-1], letters[-1] + suffix) if ends else letters
-            if self.merge(symbols) != [token]:  # no merge makes it
-                continue
-            (self.final if ends else self.inner)["".join(letters)] = i
-            self.symbols[i] = symbols
+            if token.endswith(suffix) and len(token) > n:
+                self.final[token[:-n]] = i
+            else:
+                self.inner[token] = i
         self.starts = {t[:n] for t in (*self.inner, *self.final) for n in range(len(t) + 1)}
-        self.nodes: dict[tuple[str, str], tuple[str, list, list]] = {}
-        self.token = {i: t for t, i in vocab.items()}
-        self.packed = {i: i.to_bytes(4, "little") for i in self.token}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.longest = max(map(len, self.starts), default=0)
+        #: Per text end to match on from, where each letter leads.
+        self.nodes: dict[str, dict[str, tuple[dict, list, list]]] = {"": {}}
+        self.steps = 0
+        self.size = max(vocab.values(), default=0) + 1
+        self.token = [""] * self.size
+        for token, i in vocab.items():
+            self.token[i] = token
+        self.packed = [i.to_bytes(4, "little") for i in range(self.size)]
+        #: Whether two tokens fit, by left * size + right.
+        self.pairs: dict[int, bool] = {}
+
+    def symbols(self, token: str) -> list[str]:
+        """The symbols that a token's merges begin with."""
+        letters = list(token)
+        if token.endswith(self.suffix) and len(token) > len(self.suffix):
+            del letters[-len(self.suffix):]
+            letters[-1] += self.suffix
+        return letters
 
     def merge(self, symbols: Iterable[str]) -> list[str]:
         """The merges in order of rank, leftmost first."""
-        parts = list(symbols)
-        while len(parts) > 1:
-            best = min(range(len(parts) - 1), key=lambda i: self.rank.get((parts[i], parts[i + 1]), 1 << 60))
-            if (parts[best], parts[best + 1]) not in self.rank:
-                break
-            parts[best:best + 2] = [parts[best] + parts[best + 1]]
+        parts, rank, none = list(symbols), self.rank, len(self.rank)
+        ranks = [rank.get(pair, none) for pair in zip(parts, parts[1:])]
+        while ranks and (best := min(ranks)) < none:
+            i = ranks.index(best)
+            parts[i:i + 2] = [parts[i] + parts[i + 1]]
+            del ranks[i]
+            if i < len(ranks):
+                ranks[i] = rank.get((parts[i], parts[i + 1]), none)
+            if i:
+                ranks[i - 1] = rank.get((parts[i - 1], parts[i]), none)
         return parts
 
     def fits(self, left: int, right: int) -> bool:
         """Whether the merges leave ``left`` and ``right`` side by side as they are."""
-        known = self.pairs.get((left, right))
+        pair = left * self.size + right
+        known = self.pairs.get(pair)
         if known is None:
-            got = self.merge(self.symbols[left] + self.symbols[right])
-            known = got == [self.token[left], self.token[right]]
+            both = [self.token[left], self.token[right]]
+            known = self.merge(self.symbols(both[0]) + self.symbols(both[1])) == both
             if len(self.pairs) >= CACHE_PAIRS:
                 self.pairs.clear()
-            self.pairs[left, right] = known
+            self.pairs[pair] = known
         return known
 
-    def node(self, state: str, letter: str) -> tuple[str, list, list]:
-        """Where ``letter`` leads from the longest text end that starts a token: that end
-        again, and the inner and the final tokens (with their lengths) that end there."""
-        text = state + letter
+    def node(self, row: dict, text: str) -> tuple[dict, list, list]:
+        """Where the last letter of ``text`` leads from ``row``: the row of the longest text end
+        that starts a token, and the inner and the final tokens (with their lengths) that end there."""
+        letter, text = text[-1], text[-self.longest:]
         while text not in self.starts:
             text = text[1:]
         ends = [text[i:] for i in range(len(text))]
-        found = (text, [(self.inner[e], len(e)) for e in ends if e in self.inner], [(self.final[e], len(e)) for e in ends if e in self.final])
-        self.nodes[state, letter] = found
+        found = (self.nodes.setdefault(text, {}), [(self.inner[e], len(e)) for e in ends if e in self.inner],
+                 [(self.final[e], len(e)) for e in ends if e in self.final])
+        row[letter] = found
+        self.steps += 1
         return found
 
-    def encode(self, words: Iterable[str]) -> dict[str, tuple[bytes, str]]:
-        """The packed ids and the tokens, joined by spaces, of each distinct word.
+    def encode(self, words: Iterable[str]) -> dict[str, bytes]:
+        """The packed ids of each distinct word.
 
         Sorted words are the trie's leaves in depth-first order. Along the current path
-        ``last`` holds each prefix's last token, ``back`` where that token starts, ``states`` the
-        text end to match on from; a word's encoding is read from its end back to its start."""
-        out: dict[str, tuple[bytes, str]] = {}
+        ``last`` holds each prefix's last token, ``back`` where that token starts, ``rows`` the
+        steps from the text end to match on from; a word's encoding is read from its end back to its start."""
+        out: dict[str, bytes] = {}
+        if self.steps > CACHE_NODES:
+            for row in self.nodes.values():  # rows refer to each other
+                row.clear()
+            self.nodes, self.steps = {"": {}}, 0
         last: list[int] = [-1]
         back: list[int] = [0]
         path = ""
-        states: list[str] = [""]
-        nodes, fits, known, packed, token = self.nodes, self.fits, self.pairs, self.packed, self.token
-        if len(nodes) > CACHE_NODES:
-            nodes.clear()
+        rows: list[dict] = [self.nodes[""]]
+        node, fits, known, packed, size, reach = self.node, self.fits, self.pairs, self.packed, self.size, self.longest + 1
         for word in sorted(set(words)):
             n = len(word)
             same = min(len(path), n - 1)
             if path[:same] != word[:same]:
                 same = _common(path, word, same)
-            del last[same + 1:], back[same + 1:], states[same + 1:]
-            for end in range(same + 1, n + 1):
-                step = (states[-1], word[end - 1])
-                state, inner, final = nodes[step] if step in nodes else self.node(*step)
-                for t, length in inner if end < n else final:
+            del last[same + 1:], back[same + 1:], rows[same + 1:]
+            row, end, path = rows[same], same, word[:-1]
+            for letter in path[same:]:
+                end += 1
+                row, inner, _ = row.get(letter) or node(row, word[max(0, end - reach):end])
+                for t, length in inner:
                     at = end - length
-                    if at == 0:
+                    if not at:
                         break
-                    pair = (last[at], t)
-                    if known[pair] if pair in known else fits(*pair):
+                    fit = known.get(last[at] * size + t)
+                    if fit or fit is None and fits(last[at], t):
                         break
                 else:
                     raise ValueError(f"no token ends {word[:end]!r}")
-                if end < n:
-                    last.append(t)
-                    states.append(state)
-                    back.append(at)
-            ids = [t]
-            while at:
-                ids.append(last[at])
-                at = back[at]
-            if len(ids) == 1:
-                out[word] = (packed[t], token[t])
+                last.append(t)
+                rows.append(row)
+                back.append(at)
+            _, _, final = row.get(word[-1]) or node(row, word[max(0, n - reach):])
+            for t, length in final:
+                at = n - length
+                if not at or fits(last[at], t):
+                    break
             else:
+                raise ValueError(f"no token ends {word!r}")
+            if at:
+                ids = [packed[t]]
+                while at:
+                    ids.append(packed[last[at]])
+                    at = back[at]
                 ids.reverse()
-                out[word] = (b"".join([packed[i] for i in ids]), " ".join([token[i] for i in ids]))
-            path = word[:-1]
+                out[word] = b"".join(ids)
+            else:
+                out[word] = packed[t]
         return out
 
 
@@ -157,6 +187,37 @@ def _common(a: str, b: str, most: int) -> int:
     return low
 
 
+class Kept:
+    """A bounded cache: what was seen once goes soon, so that rare entries don't drive out frequent ones."""
+
+    def __init__(self) -> None:
+        self.once: dict[str, bytes] = {}
+        self.again: dict[str, bytes] = {}
+
+    def __contains__(self, key: str) -> bool:
+        return key in self.once or key in self.again
+
+    def find(self, keys: set[str]) -> tuple[dict[str, bytes], list[str]]:
+        """The kept entries of ``keys``, and the keys that aren't kept."""
+        once, again = self.once, self.again
+        found = {k: again[k] for k in again.keys() & keys}
+        rest = keys.difference(found)
+        for k in once.keys() & rest:
+            found[k] = again[k] = once.pop(k)
+        return found, list(rest.difference(found))
+
+    def add(self, made: dict[str, bytes], used: dict[str, bytes], most_once: int, most_again: int) -> None:
+        """Keep new entries; the oldest go first, but for those that are ``used`` now."""
+        self.once.update(made)
+        for k in [k for k in made if len(k) > CACHE_CHARS]:
+            del self.once[k]
+        for entries, most in ((self.once, most_once), (self.again, most_again)):
+            if len(entries) > most:
+                old = (k for k in entries if k not in used)
+                for k in list(islice(old, len(entries) - most * 3 // 4)):
+                    del entries[k]
+
+
 class Encoder:
     """A tokenizer file: pieces to ids and decoded tokens, with a bounded cache."""
 
@@ -174,10 +235,12 @@ class Encoder:
         self.bpe = PrefixEncoder(model["vocab"], pairs)
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.cut = re.compile("(" + "|".join(re.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
-        self.special_ids = {i: (i.to_bytes(4, "little"), s) for s, i in self.special.items()}
-        self.words: dict[int | str, tuple[bytes, str]] = dict(self.special_ids)
-        self.known: dict[str, tuple[bytes, str]] = {}
-        self.long: list[str] = []
+        self.special_ids = {i: i.to_bytes(4, "little") for i in self.special.values()}
+        shown = dict(enumerate(self.bpe.token)) | {i: s for s, i in self.special.items()}
+        self.shown = pa.array([shown.get(i, "") for i in range(max(shown, default=-1) + 1)], pa.string())
+        #: Pieces of the texts at hand; pieces and words of earlier ones.
+        self.known: dict[str, bytes] = {}
+        self.pieces, self.words = Kept(), Kept()
 
     def _split(self, text: str) -> list[str]:
         """Words of a text without special tokens, by the file's own rules."""
@@ -211,40 +274,28 @@ class Encoder:
 
     def learn(self, pieces: set[str]) -> None:
         """Encode the pieces that aren't known yet."""
-        new = [p for p in pieces if p not in self.known]
-        if len(self.known) + len(new) > CACHE_PIECES:
-            self.known = {p: self.known[p] for p in pieces if p in self.known and len(p) <= CACHE_CHARS}
-            new = [p for p in pieces if p not in self.known]
-        known = self.known
+        known, new = self.pieces.find(pieces)
         parts = list(self._parts_of(new))
-        words = {w for ws in parts for w in ws}
-        if len(self.words) + len(words) > CACHE_WORDS:
-            self.words = self.special_ids | {w: self.words[w] for w in words if w in self.words}
-        made = self.words
-        made.update(self.bpe.encode(w for w in words if w not in made))
-        for p, ws in zip(new, parts):
-            if len(ws) == 1:
-                known[p] = made[ws[0]]
-            else:
-                known[p] = (b"".join([made[w][0] for w in ws]), " ".join([made[w][1] for w in ws]))
-        self.long = [p for p in new if len(p) > CACHE_CHARS]
-        for w in [w for w in words if w.__class__ is str and len(w) > CACHE_CHARS]:
-            del made[w]
+        made, unmade = self.words.find({w for ws in parts for w in ws if w.__class__ is str})
+        fresh = self.bpe.encode(unmade)
+        made |= fresh
+        made |= self.special_ids
+        learnt = {p: made[ws[0]] if len(ws) == 1 else b"".join([made[w] for w in ws]) for p, ws in zip(new, parts)}
+        self.pieces.add(learnt, known, BRIEF_PIECES, CACHE_PIECES)
+        self.words.add(fresh, made, BRIEF_WORDS, CACHE_WORDS)
+        known |= learnt
+        self.known = known
 
     def forget(self) -> None:
-        """Drop the long pieces of the texts that were last encoded."""
-        for p in self.long:
-            self.known.pop(p, None)
-        self.long = []
+        """Drop the pieces of the texts that were last encoded, but for those that are kept."""
+        self.known = {}
 
     def texts(self, split: list[list[str]]) -> tuple[list[bytes], list[str]]:
         """Packed ids and decoded text of each list of known pieces."""
-        ids, shown = [], []
-        for pieces in split:
-            a, b = zip(*map(self.known.__getitem__, pieces)) if pieces else ((), ())
-            ids.append(b"".join(a))
-            shown.append(" ".join(filter(None, b)))
-        return ids, shown
+        ids = [b"".join(map(self.known.__getitem__, pieces)) for pieces in split]
+        tokens = self.shown.take(pa.array(np.frombuffer(b"".join(ids), "<u4")))
+        starts = pa.array(np.cumsum([0, *[len(i) // 4 for i in ids]]), pa.int32())
+        return ids, pc.binary_join(pa.ListArray.from_arrays(starts, tokens), " ").to_pylist()
 
 
 @lru_cache(maxsize=2)
@@ -284,7 +335,7 @@ def _encoded(batches: Iterable[pa.RecordBatch], path: str, id_col: str) -> Itera
     """Groups of encoded rows; what a group took goes back to the system before the next one."""
     enc = _encoder(path)
     release()
-    gc.freeze()  # the caches hold no cycles; don't walk them again and again
+    gc.freeze()  # the caches make no garbage; don't walk them again and again
     gc.disable()
     for batch in batches:
         done = 0

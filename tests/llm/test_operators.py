@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -505,3 +506,31 @@ def test_bpe_handles_a_batch_in_small_groups_and_gives_memory_back(monkeypatch):
     assert [r for b in got for r in b.column(1).to_pylist()] == [b"".join(i.to_bytes(4, "little") for i in lib.encode(t or "", add_special_tokens=False).ids) for t in texts_]
     assert max(sum(len(texts_[i] or "") for i in b.column(0).to_pylist()) for b in got) < 1 << 20
     assert len(got) == 3 and len(released) >= len(got)
+
+
+def test_bpe_keeps_frequent_pieces(monkeypatch):
+    monkeypatch.setattr(bpe, "BRIEF_PIECES", 30)
+    monkeypatch.setattr(bpe, "CACHE_PIECES", 30)
+    enc = bpe._encoder(bpe.default_path())
+    for a in range(60):  # two frequent pieces among ever new ones
+        enc.learn({"often", "again;", *(f"once{a}x{i}" for i in range(20))})
+        enc.forget()
+        assert len(enc.pieces.once) <= 30 + 20 and len(enc.pieces.again) <= 30
+    assert {"often", "again;"} <= enc.pieces.again.keys() and "once0x0" not in enc.pieces
+
+
+def test_bpe_fits_by_the_merges_of_the_file():
+    import json
+
+    with open(bpe.default_path(), encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    rank = {tuple(m) if isinstance(m, list) else tuple(m.split(" ")): i for i, m in enumerate(model["merges"])}
+    enc, rng = bpe._encoder(bpe.default_path()).bpe, random.Random(5)
+    for _ in range(2000):
+        want = [rng.choice("abcdehimnorstu") for _ in range(rng.randint(1, 9))]
+        want[-1] += "</w>"
+        got = enc.merge(want)
+        while (pairs := [(rank[p], i) for i, p in enumerate(zip(want, want[1:])) if p in rank]):
+            i = min(pairs)[1]
+            want[i:i + 2] = [want[i] + want[i + 1]]
+        assert got == want
