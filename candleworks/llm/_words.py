@@ -8,7 +8,8 @@ documents, so memory follows the longest text and never a partition.
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterator
+import gc
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -44,6 +45,23 @@ def release() -> None:
         trim(0)
 
 
+#: How to drop what an operator keeps in this worker between its tasks.
+_KEPT: dict[str, Callable[[], None]] = {}
+
+
+def make_room(owner: str, drop: Callable[[], None] | None = None) -> None:
+    """Drop what other operators than ``owner`` keep in this worker: it serves the tasks of later
+    operators too, beside an executor whose heap has grown meanwhile. ``drop`` frees what ``owner`` keeps."""
+    others = [name for name in _KEPT if name != owner]
+    for name in others:
+        _KEPT.pop(name)()
+    if others:
+        gc.collect()
+        release()
+    if drop is not None:
+        _KEPT[owner] = drop
+
+
 @lru_cache(maxsize=1)
 def _trim():
     try:
@@ -113,6 +131,7 @@ def text_groups(column: pa.Array, most: int) -> Iterator[tuple[int, list[str]]]:
 
 def chunks(column: pa.Array, lower: bool = False, most: int = CHUNK_BYTES) -> Iterator[Words]:
     """The words of a string column, in chunks of whole rows and about ``most`` bytes."""
+    make_room("words")
     n = len(column)
     if n == 0:
         return

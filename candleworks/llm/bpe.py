@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candleworks.llm._words import release
+from candleworks.llm._words import make_room, release
 
 SUFFIX = "</w>"
 #: Pieces and words that a Python worker keeps between groups: those seen in one group so far, and those seen again.
@@ -303,6 +303,13 @@ def _encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def _drop() -> None:
+    """Give up this worker's encoder and the settings that went with it."""
+    _encoder.cache_clear()
+    gc.unfreeze()
+    gc.enable()
+
+
 # Separators U+001C to U+001F are no white space for the tokenizer, but are for str.split().
 _ODD_SEPARATORS = re.compile("[\x1c-\x1f]")
 _ASCII_SPACE = re.compile("[^ \t-\r]+")
@@ -333,6 +340,7 @@ def _groups(texts: Iterable[str], most: int = GROUP_CHARS) -> Iterator[list[str]
 
 def _encoded(batches: Iterable[pa.RecordBatch], path: str, id_col: str) -> Iterator[pa.RecordBatch]:
     """Groups of encoded rows; what a group took goes back to the system before the next one."""
+    make_room("bpe", _drop)
     enc = _encoder(path)
     release()
     gc.freeze()  # the caches make no garbage; don't walk them again and again

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from candleworks.llm import _labels
 from candleworks.llm._store import written
-from candleworks.llm._words import _buffers, mix, release
+from candleworks.llm._words import _buffers, make_room, mix, release
 
 SAMPLE = 2000
 NEGATIVE_WORDS = 40_000
@@ -257,6 +257,7 @@ class Model:
 
     def evidence(self, column: pa.Array) -> np.ndarray:
         """Per text: the worst margin, the soft number of words beyond it, their share, and 1."""
+        make_room("toxicity")
         off, raw = _buffers(column)
         worst, many, words = np.full(len(column), self.bias), np.zeros(len(column)), np.zeros(len(column))
         a = 0
@@ -296,6 +297,7 @@ _SENTENCE_END = re.compile(r"[.!?\n]+(?=\s|$)|\n+")
 def _sentences(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The sentences of every labelled text: a hash, the label and the different words, in
     lower case and without punctuation."""
+    make_room("toxicity")
     for batch in batches:
         for y, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             parts = _SENTENCE_END.split(text or "")

@@ -508,7 +508,14 @@ def test_bpe_handles_a_batch_in_small_groups_and_gives_memory_back(monkeypatch):
     assert len(got) == 3 and len(released) >= len(got)
 
 
-def test_bpe_keeps_frequent_pieces(monkeypatch):
+def test_bpe_keeps_frequent_pieces_and_leaves_the_worker_to_other_operators(monkeypatch):
+    import gc
+    import weakref
+
+    import pyarrow as pa
+
+    from candleworks.llm import _words, toxicity
+
     monkeypatch.setattr(bpe, "BRIEF_PIECES", 30)
     monkeypatch.setattr(bpe, "CACHE_PIECES", 30)
     enc = bpe._encoder(bpe.default_path())
@@ -517,6 +524,17 @@ def test_bpe_keeps_frequent_pieces(monkeypatch):
         enc.forget()
         assert len(enc.pieces.once) <= 30 + 20 and len(enc.pieces.again) <= 30
     assert {"often", "again;"} <= enc.pieces.again.keys() and "once0x0" not in enc.pieces
+    batch = pa.RecordBatch.from_arrays([pa.array([1], pa.int64()), pa.array(["a few words"], pa.string())], names=["doc_id", "text"])
+    gone = weakref.ref(enc)
+    del enc
+    try:
+        list(bpe._encoded([batch], bpe.default_path(), "doc_id"))
+        assert gone() is not None and not gc.isenabled()  # kept for the worker's next task
+        toxicity.Model(np.zeros(toxicity.TRIPLES), 0.0).scores(batch.column(1))
+        assert gone() is None and gc.isenabled() and not _words._KEPT
+    finally:
+        gc.enable()
+        gc.unfreeze()
 
 
 def test_bpe_fits_by_the_merges_of_the_file():
