@@ -11,6 +11,7 @@ import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from candleworks.session import scratch_path
 
@@ -44,9 +45,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def empty(spark: SparkSession, schema: str) -> DataFrame:
-    """A DataFrame without rows."""
-    return spark.createDataFrame([], schema)
+def empty(spark: SparkSession, schema: str | StructType) -> DataFrame:
+    """A DataFrame without rows. No Python list is behind it, for which every executor would start (and keep)
+    Python workers of another kind than those of the operators."""
+    fields = schema.fields if isinstance(schema, StructType) else StructType.fromDDL(schema).fields
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
 
 
 def plain(docs: DataFrame, *names: str) -> DataFrame:

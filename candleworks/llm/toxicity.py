@@ -51,7 +51,8 @@ COST = 10.0
 VARIANT_COST = 0.3
 #: How much more frequent a witness is in toxic sentences.
 LIFT = 8
-CHUNK = 1 << 19
+#: Bytes of text that are scored together; whole texts, so no score depends on it.
+CHUNK = 1 << 17
 DECAY = 0.6
 #: Distances between the three characters of a subsequence.
 STEPS = ((1, 1), (1, 2), (2, 1), (1, 3), (2, 2), (3, 1))

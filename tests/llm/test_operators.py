@@ -552,3 +552,38 @@ def test_bpe_fits_by_the_merges_of_the_file():
             i = min(pairs)[1]
             want[i:i + 2] = [want[i] + want[i + 1]]
         assert got == want
+
+
+def test_bpe_by_shares_keeps_less_and_gives_the_same(monkeypatch):
+    import gc
+
+    import pyarrow as pa
+
+    monkeypatch.setattr(bpe, "GROUP_CHARS", 4_000)
+    monkeypatch.setattr(bpe, "BRIEF_PIECES", 400)
+    monkeypatch.setattr(bpe, "CACHE_PIECES", 400)
+    texts_ = [" ".join(f"word{(i * j) % 997}" for j in range(40)) for i in range(200)] + [None, "", "a b" * 5_000]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts_)), pa.int64()), pa.array(texts_, pa.string())], names=["doc_id", "text"])
+    try:
+        whole, parts = (list(bpe._encoded([batch], bpe.default_path(), "doc_id", share)) for share in (1, 4))
+        enc = bpe._encoder(bpe.default_path())
+        assert enc.share == 4 and len(enc.pieces.again) <= 100 and len(enc.pieces.once) <= 100 + 40
+    finally:
+        bpe._drop()
+    assert len(parts) > 2 * len(whole)
+    for a in range(3):
+        assert [r for b in parts for r in b.column(a).to_pylist()] == [r for b in whole for r in b.column(a).to_pylist()]
+
+
+def test_tables_without_rows_start_no_python_workers(sp):
+    from pyspark.sql import types as T
+
+    from candleworks.llm._store import empty
+
+    made = empty(sp, "node bigint, root bigint")
+    assert made.count() == 0 and made.dtypes == [("node", "bigint"), ("root", "bigint")]
+    odd = T.StructType([T.StructField("item", T.StringType()), T.StructField("a b", T.ArrayType(T.LongType()))])
+    assert empty(sp, odd).schema == odd and empty(sp, odd).collect() == []
+    assert "ExistingRDD" not in made._jdf.queryExecution().executedPlan().toString()  # of a Python list
+    links = sp.createDataFrame([(1, 2), (2, 3)], "a bigint, b bigint")
+    assert sorted(map(tuple, components.joined(made, links).collect())) == [(2, 1), (3, 1)]
