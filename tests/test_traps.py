@@ -748,6 +748,42 @@ def test_bars_without_volume_equal_the_sql(spark, tmp_path, name):
     assert sorted(map(str, (tuple(r) for r in got.select(*order).collect()))) == sorted(map(str, want.fetchall()))
 
 
+@pytest.fixture(scope="module")
+def no_volume(spark, tmp_path_factory):
+    """Eight days of six symbols, of which some trade at price 0 only, on the first and the last day too; companies and news."""
+    base = tmp_path_factory.mktemp("no-volume")
+    ticks = [(100 * d + 10 * u + n, dt.datetime(2024, 1, 10 + d, 9 + n), u, 0.0 if (u + d) % 4 == 0 or u == 6 else 1.25 * u + d + n)
+             for d in range(8) for u in range(1, 7) for n in range(1 + (u + d) % 3) if (u, d) not in ((3, 7), (5, 0), (2, 4))]
+    made = {"events": (ticks, "event_id long, ts timestamp_ntz, user_id long, value double"),
+            "supplier": ([(i, f"Company {i}", i % 3, 150.0 * i - 300) for i in range(1, 9)], "s_suppkey long, s_name string, s_nationkey long, s_acctbal double"),
+            "nation": ([(0, "A", 0), (1, "B", 0), (2, "C", 1)], "n_nationkey long, n_name string, n_regionkey long"),
+            "region": ([(0, "North"), (1, "South")], "r_regionkey long, r_name string"),
+            "orders": ([(k, dt.datetime(2024, 1, 1 + k % 2), "1-URGENT", 100.0 * k) for k in range(1, 5)], "o_orderkey long, o_orderdate timestamp_ntz, o_orderpriority string, o_totalprice double"),
+            "lineitem": ([(k, 1, k, n, 0.05, 0.02 * n) for k in range(1, 4) for n in (1, 2)], "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber long, l_discount double, l_tax double"),
+            "part": ([(1, "Brand#11")], "p_partkey long, p_brand string")}
+    for name, (table, schema) in made.items():
+        spark.createDataFrame(table, schema).coalesce(1).write.parquet(str(base / f"{name}.parquet"))
+    return base
+
+
+@pytest.mark.parametrize("name", ["avg_close_first_5_rows", "avg_close_last_n_days", "candle_scan_projection", "candles_right_join_dim", "carry_forward_history",
+                                  "carry_forward_last_day", "close_delta", "co_located_join", "data_test_not_null", "date_dim", "data_test_unique",
+                                  "epoch_text_to_date", "first_rows_dates", "incremental_candles", "insert_select", "landing_audit", "latest_trade_date",
+                                  "load_candles"])
+def test_queries_over_bars_without_volume_equal_the_sql(spark, no_volume, name):
+    import duckdb
+
+    import __spark_entry__ as entry_mod
+
+    con = duckdb.connect()
+    for table in ("events", "supplier", "nation", "region", "orders", "lineitem", "part"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{no_volume}/{table}.parquet/*.parquet')")
+    want = con.execute(entry_mod.oracle_sql()[name])
+    order = [c[0] for c in want.description]
+    want = sorted(map(str, want.fetchall()))
+    assert want and sorted(map(str, (tuple(r) for r in entry_mod.queries()[name](spark, str(no_volume)).select(*order).collect()))) == want
+
+
 def test_vwap_without_volume_is_the_ieee_quotient(spark):
     from candleworks.operators import bars as bars_op
 
