@@ -792,3 +792,21 @@ def test_vwap_without_volume_is_the_ieee_quotient(spark):
     got = {r.stock_symbol: r.vwap for r in bars_op.daily_bars(ticks, F.col("s"), "ts", "p", F.col("n")).collect()}
     assert str(got.pop("A")) == "nan"
     assert got == {"B": 2.5, "C": float("inf"), "D": None}
+
+
+def test_object_names_are_found_in_long_paths(spark):
+    """The name comes from the path's last two names; the time it takes follows the path's length, not its square."""
+    import time
+
+    from candleworks.sources.screener import object_name
+
+    far = "file:/shared/" + "a" * 8000
+    want = {f"{far}/object=OHCL_2024-01-02.json/part-00000-x.c000.json": "OHCL_2024-01-02.json", f"{far}/nyse.csv/part-1": "nyse.csv",
+            f"{far}/day=1/news_2024-01-02.json": "news_2024-01-02.json", f"{far}/part-00000.json": "part-00000.json", f"{far}.json/x=y.json": "y.json",
+            f"{far}.json/deeper/part-0": "", f"{far}/.json": "", f"{far}/a.json/b": "", "nasdaq.csv": "nasdaq.csv"}
+    paths = spark.createDataFrame([(p,) for p in want], "path string").crossJoin(spark.range(25)).coalesce(1)
+    began = time.monotonic()
+    got = paths.select("path", object_name("path").alias("name")).groupBy("path", "name").count().collect()
+    assert time.monotonic() - began < 15
+    assert {r.path: r["name"] for r in got} == want
+    assert [r["count"] for r in got] == [25] * len(want)
