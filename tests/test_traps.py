@@ -810,3 +810,75 @@ def test_object_names_are_found_in_long_paths(spark):
     assert time.monotonic() - began < 15
     assert {r.path: r["name"] for r in got} == want
     assert [r["count"] for r in got] == [25] * len(want)
+
+
+# ---- news tables and objects: a file a day --------------------------------------------
+
+def _news_days(spark, days, items, parts):
+    """``items`` items on each of ``days`` days, every day in every one of ``parts`` splits; the last item of a day has no number."""
+    rows = [(D(2024, 1, 1) + dt.timedelta(days=d), n if n < items else None, f"t{n}", f"u{n:03}", f"202401{d + 1:02}T1000{n:02}", "Wire", "a.com", n / 100,
+             [("T", "0.5"), ("U", "0.25")], [("A", str(n / 100)), ("B", "0.5")]) for d in range(days) for n in range(items + 1)]
+    return spark.createDataFrame(rows, NEWS_KIND).repartition(parts, "in_date_id")
+
+
+def _files_a_day(spark, path, day):
+    return {r[0]: r[1] for r in spark.read.option("basePath", path).load(path, format="binaryFile", recursiveFileLookup=True, pathGlobFilter="part-*")
+            .select(F.regexp_extract("path", f"{day}=([^/]+)/", 1).alias("day")).groupBy("day").count().collect()}
+
+
+@pytest.mark.parametrize("way", ["load_news", "quarantine_news", "incremental_news"])
+def test_news_tables_have_a_file_a_day_and_piece(spark, way, monkeypatch):
+    """Not one of every task that has rows of the day; a hot day has a file for every so many items."""
+    from candleworks.plans import warehouse
+    from candleworks.streaming import incremental
+
+    items, usable = _news_days(spark, 3, 6, 5), F.col("in_date_id").isNotNull()
+    wh = Warehouse(spark, S.scratch_path(spark, f"t-files-{way}", unique=True))
+    _symbols(spark, wh, ["A"])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small tables are otherwise one task's
+    try:
+        if way == "load_news":
+            wh.load_news(items.where(usable).withColumn("overall_sentiment_score", F.col("overall_sentiment_score") + 1))
+        elif way == "quarantine_news":
+            wh.load_news(items, wh.root + "/_q", "b")
+            back = spark.read.json(wh.root + "/_q")
+            assert sorted((str(r.file_date), r.title, r.reason) for r in back.collect()) == [(f"2024-01-0{d}", "t6", "no_identity") for d in (1, 2, 3)]
+            assert not {*warehouse.KEYED} & {*back.columns}
+        else:
+            base = S.scratch_path(spark, "t-files-land", unique=True)
+            from candleworks.sinks import landing as landing_sink
+            landing_sink.write_daily_json(items.where(usable), base, "news", "file_date")
+            incremental.ingest_news(spark, wh, base, S.scratch_path(spark, "t-files-ckpt", unique=True))
+        facts = {"news_DIM": 18, "new_sentiment_stock_FACT": 18, "new_sentiment_industry_FACT": 36}
+        for t, n in facts.items():
+            assert wh.read(t).count() == n
+            assert _files_a_day(spark, wh.path(t), "insert_date") == {f"2024-01-0{d}": 1 for d in (3, 4, 5)}
+        assert sorted((r.in_date_id, r.title) for r in wh.read("news_DIM").where("insert_date = '2024-01-03'").collect()) == [(n, f"t{n}") for n in range(6)]
+        if way == "load_news":  # newer versions of a hot day
+            before = _news_tables(wh)
+            monkeypatch.setattr(warehouse, "ITEMS_A_FILE", 1)
+            wh.load_news(items.where(usable))
+            assert all(k > 1 for k in _files_a_day(spark, wh.path("new_sentiment_industry_FACT"), "insert_date").values())
+            after = _news_tables(wh)
+            assert {t: after[t] == before[t] for t in NEWS_TABLES} == {t: t != "news_DIM" for t in NEWS_TABLES}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_versions_of_news_are_chosen_with_one_move_of_the_rows(spark):
+    """The join with the winning versions and the dropping of copies need nested rows dealt once."""
+    from candleworks.plans import warehouse
+
+    wh = Warehouse(spark, S.scratch_path(spark, "t-moves", unique=True))
+    _symbols(spark, wh, ["A"])
+    rows = _news_days(spark, 2, 4, 3).where("in_date_id is not null").withColumn("modified", F.lit(5))
+    keyed = warehouse._keyed(rows.unionByName(rows).unionByName(rows.withColumn("modified", F.lit(4)).withColumn("source", F.lit("Old"))))
+    items = wh._items(keyed).checkpoint()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        fresh = wh._fresh(keyed.checkpoint(), items)
+        plan = fresh._jdf.queryExecution().executedPlan().toString()
+        assert sorted((str(r.file_date), r.in_date_id, r.source) for r in fresh.collect()) == [(f"2024-01-0{d}", n, "Wire") for d in (1, 2) for n in range(4)]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("Exchange hashpartitioning") <= 2  # rows and winners
