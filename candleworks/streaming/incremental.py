@@ -63,11 +63,7 @@ def ingest_news(spark: SparkSession, warehouse: Warehouse, landing_dir: str, che
     """Stream news landing objects into the source/topic dimensions, news_DIM and
     both sentiment facts."""
     def batch(df: DataFrame, epoch_id: int) -> None:
-        rows = df.persist()
-        try:
-            warehouse.load_news(rows, quarantine_dir, _batch_name(checkpoint, epoch_id))
-        finally:
-            rows.unpersist()
+        warehouse.load_news(df, quarantine_dir, _batch_name(checkpoint, epoch_id))  # keeps the rows it reads itself
 
     writer = (_stream(spark, landing_dir, schemas.NEWS_RAW, max_files)
               .writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint))

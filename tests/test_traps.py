@@ -882,3 +882,17 @@ def test_versions_of_news_are_chosen_with_one_move_of_the_rows(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert plan.count("Exchange hashpartitioning") <= 2  # rows and winners
+
+
+def test_tables_are_listed_by_a_bounded_number_of_tasks(spark):
+    """Not by a task for each day's folder; a number that the session has chosen stays."""
+    try:
+        spark.conf.unset(S.LISTING_TASKS)
+        S.configure(spark)
+        assert int(spark.conf.get(S.LISTING_TASKS)) <= max(32, 4 * spark.sparkContext.defaultParallelism)
+        spark.conf.set(S.LISTING_TASKS, "7")
+        S.configure(spark)
+        assert spark.conf.get(S.LISTING_TASKS) == "7"
+    finally:
+        spark.conf.unset(S.LISTING_TASKS)
+        S.configure(spark)
