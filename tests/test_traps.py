@@ -884,6 +884,38 @@ def test_versions_of_news_are_chosen_with_one_move_of_the_rows(spark):
     assert plan.count("Exchange hashpartitioning") <= 2  # rows and winners
 
 
+def test_pieces_of_a_group_are_numbered_like_the_group(spark):
+    """Cut at any size, with nulls and ties: the same numbers as a window over whole groups."""
+    df = spark.range(0, 600).select(
+        F.when(F.col("id") % 7 > 0, F.col("id") % 2).alias("g"), F.when(F.col("id") % 5 > 0, (F.col("id") % 11).cast("string")).alias("s"),
+        (F.col("id") * 31 % 601).alias("k"), F.array("id").alias("nested")).repartition(5)
+    w = Window.partitionBy("g").orderBy("s", "k")
+    want = sorted(map(str, df.withColumn("n", (F.row_number().over(w) - 1).cast("long")).collect()))
+    for piece in (1, 7, 100, 1000):
+        assert sorted(map(str, numbering.number_and_deal(df, "g", ["s", "k"], "n", 6, piece).collect())) == want
+    ties = numbering.number_and_deal(df, "g", ["s"], "n", 6, 10).collect()
+    for g in (None, 0, 1):
+        of_group = sorted(((r.n, r.s) for r in ties if r.g == g), key=lambda x: x[0])
+        assert [n for n, _ in of_group] == list(range(len(of_group)))
+        assert [s or "" for _, s in of_group] == sorted(s or "" for _, s in of_group)
+    assert numbering.number_and_deal(df.where("false"), "g", ["k"], "n", 3).collect() == []
+
+
+def test_land_news_moves_nested_rows_once(spark):
+    """They are numbered where they are written: nothing is moved after the first exchange."""
+    from candleworks.plans import landing_jobs
+    from candleworks.sources import landing as landing_src
+
+    feed = _news_days(spark, 3, 5, 4).drop("file_date", "in_date_id").checkpoint()
+    plan = landing_jobs.news_objects(feed)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Exchange range" not in plan
+    base = S.scratch_path(spark, "t-land-once", unique=True)
+    landing_jobs.land_news(feed, base)
+    rows = landing_src.read_news(spark, base).collect()
+    assert sorted((str(r.file_date), r.in_date_id, r.title, len(r.topics)) for r in rows) == [(f"2024-01-0{d}", n, f"t{n}", 2) for d in (1, 2, 3) for n in range(6)]
+    assert _files_a_day(spark, base, "object") == {f"news_2024-01-0{d}.json": 1 for d in (1, 2, 3)}
+
+
 def test_tables_are_listed_by_a_bounded_number_of_tasks(spark):
     """Not by a task for each day's folder; a number that the session has chosen stays."""
     try:
